@@ -26,7 +26,7 @@ SHORT_DASH = "M-d-yy"
 
 def parse_date(x: ColLike, fmt: str = ISO) -> Column:
     """Parse text to a date; unparseable text gives null (R gives NA)."""
-    return F.try_to_date(_c(x).cast("string"), F.lit(fmt))
+    return F.try_to_date(_c(x).cast("string"), fmt)
 
 
 def iso_prefix_date(x: ColLike) -> Column:
