@@ -93,12 +93,18 @@ def demean(df: DataFrame, cols: list[str], entity: list[str]) -> DataFrame:
     return df.withColumns({c: F.col(c) - F.avg(F.col(c)).over(w) for c in cols})
 
 
-def independent_columns(g: np.ndarray, names: list[str], tol: float = 1e-9) -> list[int]:
+def independent_columns(g: np.ndarray, names: list[str], tol: float = 1e-9,
+                        scale: np.ndarray | None = None) -> list[int]:
     """Keep columns in formula order whose residual norm, after projecting
-    on the kept ones, is a non-negligible share of their own norm."""
+    on the kept ones, is a non-negligible share of their own norm.
+
+    ``scale`` is each column's sum of squares before any transform: a column
+    that demeaning reduced to rounding noise (constant within entity) is
+    measured against it, not against its own noise."""
+    scale = np.diag(g) if scale is None else scale
     keep: list[int] = []
     for j in range(len(names)):
-        if g[j, j] <= 0:
+        if g[j, j] <= tol * scale[j] or g[j, j] <= 0:
             continue
         if keep:
             gk = g[np.ix_(keep, keep)]
@@ -106,7 +112,7 @@ def independent_columns(g: np.ndarray, names: list[str], tol: float = 1e-9) -> l
             resid = g[j, j] - g[keep, j] @ b
         else:
             resid = g[j, j]
-        if resid > tol * g[j, j]:
+        if resid > tol * g[j, j] and resid > tol * scale[j]:
             keep.append(j)
     return keep
 
@@ -153,10 +159,12 @@ def within(df: DataFrame, y: str, xs: list[str], entity: list[str] | str,
     data = df.select(*entity, y, *xs).dropna()
     dm = demean(data, [y, *xs], entity)
     g = gram(dm, [*xs, y])
-    stats = data.agg(F.count(F.lit(1)).alias("n"),
-                     F.countDistinct(*entity).alias("g")).collect()[0]
+    stats = data.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(*entity).alias("g"),
+                     *[F.sum(F.col(x) * F.col(x)).alias(f"ss{i}") for i, x in enumerate(xs)]
+                     ).collect()[0]
     n, n_ent = int(stats["n"]), int(stats["g"])
-    keep = independent_columns(g[:-1, :-1], xs)
+    raw_ss = np.array([float(stats[f"ss{i}"] or 0.0) for i in range(len(xs))])
+    keep = independent_columns(g[:-1, :-1], xs, scale=raw_ss)
     beta, inv = _solve(g, keep, len(xs))
     kept = [xs[i] for i in keep]
     vc = None
