@@ -46,22 +46,20 @@ def two_grain(df: DataFrame, coarse: list[str], extra: list[str], aggs: dict,
 def column_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """R's ``summary()`` per column - min, quartiles, mean, max, NAs.
 
-    Quartiles are exact type-7 values from the distributed rank; the other
-    statistics come from one aggregate over all columns.
+    The columns are stacked into one long (column, value) frame, so a single
+    aggregate and a single distributed ranking (exact type-7 quartiles) cover
+    all of them; each column is a group that the ranking may split across
+    many tasks.
     """
     from plume.operators.rank import quantiles
+    from plume.operators.shape import unpivot_long
 
-    rows = []
-    for c in cols:
-        stats = df.agg(F.min(F.col(c)).cast("double").alias("min"),
-                       F.avg(F.col(c)).alias("mean"),
-                       F.max(F.col(c)).cast("double").alias("max"),
-                       F.count(F.lit(1)).alias("n"),
-                       F.sum(F.col(c).isNull().cast("long")).alias("nulls"),
-                       null_share(c).alias("null_share"))
-        qs = quantiles(df.select(F.col(c).cast("double").alias("_v")), "_v",
-                       [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
-        key = F.lit(c).alias("column")
-        rows.append(stats.select(key, "*").join(qs.select(key, "*"), on="column"))
-    return union_all(rows).select("column", "n", "min", "q1", "median", "mean", "q3",
-                                  "max", "nulls", "null_share")
+    long = unpivot_long(df, [], cols, "column", "value", cast="double")
+    stats = long.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.avg("value").alias("mean"),
+        F.max("value").alias("max"), F.sum(F.col("value").isNull().cast("long")).alias("nulls"),
+        null_share("value").alias("null_share"))
+    qs = quantiles(long, "value", [0.25, 0.5, 0.75], ["column"], names=["q1", "median", "q3"])
+    out = stats.join(qs, "column", "left")
+    return out.select("column", "n", "min", "q1", "median", "mean", "q3", "max", "nulls",
+                      "null_share")

@@ -112,13 +112,12 @@ def quantiles(df: DataFrame, value_col: str, probs: list[float],
     tiebreak = list(tiebreak or [])  # equal values are interchangeable here
     ranked = dist_rank(vals.select(*group_cols, value_col, *tiebreak), [value_col, *tiebreak],
                        group_cols, rank_col="_rk", size_col="_sz")
-    spark = df.sparkSession
-    pt = spark.createDataFrame([(nm, float(p)) for nm, p in zip(names, probs)],
-                               "qname string, p double")
     # needed ranks per (group, prob): lo = floor(h), hi = lo + 1 (capped at n)
-    sizes = ranked.select(*group_cols, "_sz").distinct() if group_cols \
-        else ranked.select("_sz").distinct()
-    need = sizes.crossJoin(F.broadcast(pt)) \
+    probs_arr = F.array(*[F.struct(F.lit(nm).alias("qname"), F.lit(float(p)).alias("p"))
+                          for nm, p in zip(names, probs)])
+    sizes = ranked.select(*group_cols, "_sz").distinct()
+    need = sizes.select("*", F.explode(probs_arr).alias("_q")) \
+        .select(*group_cols, "_sz", "_q.qname", "_q.p") \
         .withColumn("_h", (F.col("_sz") - 1) * F.col("p") + 1) \
         .withColumn("_lo", F.floor("_h").cast("long")) \
         .withColumn("_frac", F.col("_h") - F.col("_lo")) \

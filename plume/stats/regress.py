@@ -49,23 +49,32 @@ class Fit:
 
 # --- distributed cross products ------------------------------------------------
 
-def gram(df: DataFrame, cols: list[str]) -> np.ndarray:
-    """Sum of outer products of the row vectors of ``cols`` (k x k)."""
+def gram(df: DataFrame, cols: list[str], extra: list | None = None):
+    """Sum of outer products of the row vectors of ``cols`` (k x k).
+
+    ``extra`` aggregate columns ride along in the same job; with them the
+    result is ``(matrix, row)``.
+    """
     k = len(cols)
+    extra = list(extra or [])
     if k <= _AGG_MAX_K:
         exprs = [F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"g_{i}_{j}")
                  for i in range(k) for j in range(i, k)]
-        row = df.agg(*exprs).collect()[0]
+        row = df.agg(*exprs, *extra).collect()[0]
         g = np.zeros((k, k))
         for i in range(k):
             for j in range(i, k):
                 v = row[f"g_{i}_{j}"]
                 g[i, j] = g[j, i] = 0.0 if v is None else float(v)
-        return g
-    return _gram_partials(df, cols)
+        return (g, row) if extra else g
+    g = _gram_partials(df, cols)
+    return (g, df.agg(*extra).collect()[0]) if extra else g
 
 
 def _gram_partials(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """One partial k x k matrix per partition (Arrow batches, numpy), summed
+    by a k-row aggregate: for wide designs where k^2/2 sum expressions would
+    overflow code generation."""
     k = len(cols)
     schema = T.StructType([T.StructField("i", T.IntegerType()),
                            T.StructField("v", T.ArrayType(T.DoubleType()))])
@@ -133,8 +142,8 @@ def ols(df: DataFrame, y: str, xs: list[str], intercept: bool = True,
     if intercept:
         data = data.withColumn("_const", F.lit(1.0))
         cols = ["_const", *cols]
-    g = gram(data, [*cols, y])
-    n = int(data.count())
+    g, row = gram(data, [*cols, y], [F.count(F.lit(1)).alias("_n")])
+    n = int(row["_n"])
     keep = independent_columns(g[:-1, :-1], cols)
     beta, inv = _solve(g, keep, len(cols))
     names = ["(Intercept)" if cols[i] == "_const" else cols[i] for i in keep]
@@ -153,24 +162,32 @@ def within(df: DataFrame, y: str, xs: list[str], entity: list[str] | str,
     """E1 (+E4, E11): one-way within regression with cluster-robust errors.
 
     Complete cases only (F7); entity means are taken after the drop, as plm
-    does.  ``cluster="entity"`` clusters on the entity key.
+    does.  ``cluster="entity"`` clusters on the entity key.  Two jobs: the
+    Gram matrix with counts and raw sums of squares, then the cluster scores
+    with their outer products and the cluster count.
     """
     entity = [entity] if isinstance(entity, str) else list(entity)
     data = df.select(*entity, y, *xs).dropna()
-    dm = demean(data, [y, *xs], entity)
-    g = gram(dm, [*xs, y])
-    stats = data.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(*entity).alias("g"),
-                     *[F.sum(F.col(x) * F.col(x)).alias(f"ss{i}") for i, x in enumerate(xs)]
-                     ).collect()[0]
-    n, n_ent = int(stats["n"]), int(stats["g"])
-    raw_ss = np.array([float(stats[f"ss{i}"] or 0.0) for i in range(len(xs))])
+    w = Window.partitionBy(*entity)
+    dmc = {f"_d{i}": F.col(c) - F.avg(F.col(c)).over(w) for i, c in enumerate([y, *xs])}
+    dm = data.withColumns(dmc).cache()
+    dy, dxs = "_d0", [f"_d{i + 1}" for i in range(len(xs))]
+    cl = entity if cluster == "entity" else ([cluster] if cluster else None)
+    extra = [F.count(F.lit(1)).alias("_n"),
+             *[F.sum(F.col(x) * F.col(x)).alias(f"_ss{i}") for i, x in enumerate(xs)]]
+    if cl != entity:
+        extra.append(F.countDistinct(*entity).alias("_g"))
+    g, row = gram(dm, [*dxs, dy], extra)
+    n = int(row["_n"])
+    raw_ss = np.array([float(row[f"_ss{i}"] or 0.0) for i in range(len(xs))])
     keep = independent_columns(g[:-1, :-1], xs, scale=raw_ss)
     beta, inv = _solve(g, keep, len(xs))
     kept = [xs[i] for i in keep]
-    vc = None
-    if cluster:
-        cl = entity if cluster == "entity" else [cluster]
-        vc, _ = _cluster_vcov(dm, y, kept, beta, inv, cl, n, len(keep))
+    vc, n_ent = None, (int(row["_g"]) if cl != entity else None)
+    if cl:
+        vc, n_cl = _cluster_vcov(dm, dy, [dxs[i] for i in keep], beta, inv, cl, n, len(keep))
+        n_ent = n_ent if n_ent is not None else n_cl
+    dm.unpersist()
     return Fit(kept, beta, vc, n, n_ent, n - n_ent - len(keep),
                [xs[i] for i in range(len(xs)) if i not in keep])
 
@@ -188,42 +205,48 @@ def _cluster_vcov(dm: DataFrame, y: str, xs: list[str], beta: np.ndarray, inv: n
     scores = res.groupBy(*cl).agg(*[F.sum(F.col(x) * F.col("_u")).alias(f"s{i}")
                                     for i, x in enumerate(xs)])
     sc = [f"s{i}" for i in range(len(xs))]
-    meat = gram(scores, sc)
-    n_cl = int(scores.count())
+    meat, row = gram(scores, sc, [F.count(F.lit(1)).alias("_g")])
+    n_cl = int(row["_g"])
     factor = (n_cl / max(n_cl - 1, 1)) * ((n - 1) / max(n - k, 1))
     return factor * inv @ meat @ inv, n_cl
 
 
 def two_way_within(df: DataFrame, y: str, xs: list[str], entity: str, time: str,
                    max_iter: int = 50, tol: float = 1e-10) -> Fit:
-    """Entity + time effects by alternating demeaning (exact after one
-    round on a balanced panel; iterates for unbalanced ones).
+    """Entity + time effects by alternating demeaning.
 
-    Each round is two aggregate-and-join steps (partial aggregation, no window
-    over a time key that holds every entity); lineage is cut by a checkpoint
-    in the shared folder every few rounds.
+    One round (entity sweep, then time sweep) is exact on a balanced panel,
+    which is detected from the counts; unbalanced panels iterate until the
+    entity means vanish.  Each sweep is an aggregate (map-side combined, so a
+    time period holding every entity is not one task) joined back; lineage
+    is cut by a checkpoint in the shared folder every few rounds.
     """
     cols = [y, *xs]
     cur = df.select(entity, time, *cols).dropna()
-    n_ent = cur.select(entity).distinct().count()
-    n_t = cur.select(time).distinct().count()
-    for it in range(max_iter):
+    st = cur.agg(F.countDistinct(entity).alias("e"), F.countDistinct(time).alias("t"),
+                 F.count(F.lit(1)).alias("n"),
+                 F.countDistinct(entity, time).alias("cells")).collect()[0]
+    n_ent, n_t = int(st["e"]), int(st["t"])
+    balanced = st["n"] == st["cells"] == n_ent * n_t
+    for it in range(1 if balanced else max_iter):
         for key in (entity, time):
             means = cur.groupBy(key).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
             cur = cur.join(means, on=key, how="inner") \
                 .withColumns({c: F.col(c) - F.col(f"_m_{c}") for c in cols}) \
                 .drop(*[f"_m_{c}" for c in cols])
-        if it % 3 == 2:
-            cur = cur.checkpoint(eager=True)
-        # converged when entity means are ~0 after the time sweep
+        if balanced:
+            break
+        cur = cur.checkpoint(eager=True) if it % 3 == 2 else cur
         dev = cur.groupBy(entity).agg(*[F.avg(c).alias(c) for c in cols]) \
             .agg(F.max(F.greatest(*[F.abs(c) for c in cols])).alias("d")).collect()[0]["d"]
         if dev is None or dev < tol:
             break
-    g = gram(cur, [*xs, y])
-    n = int(cur.count())
+    cur = cur.cache()
+    g, row = gram(cur, [*xs, y], [F.count(F.lit(1)).alias("_n")])
+    n = int(row["_n"])
     keep = independent_columns(g[:-1, :-1], xs)
     beta, inv = _solve(g, keep, len(xs))
     kept = [xs[i] for i in keep]
     vc, _ = _cluster_vcov(cur, y, kept, beta, inv, [entity], n, len(keep))
+    cur.unpersist()
     return Fit(kept, beta, vc, n, n_ent, n - n_ent - n_t + 1 - len(keep))
