@@ -41,6 +41,19 @@ def one_hot(df: DataFrame, col: str, levels, name: str = "{col}_{level}") -> Dat
     })
 
 
+def preview(df: DataFrame, start: int, stop: int, n: int = 10) -> DataFrame:
+    """P4 + O2: columns start..stop (1-based) of the first ``n`` rows, as the
+    notebooks page through a wide panel.  A display helper: the limit is the
+    feature here."""
+    return df.select(*cols_slice(df, start, stop)).limit(n)
+
+
+def arrange(df: DataFrame, *keys: str) -> DataFrame:
+    """O1: dplyr ``arrange`` with NA last (N11); used only at sinks, since
+    row order means nothing to later stages."""
+    return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+
+
 # --- reshape -----------------------------------------------------------------
 
 def pivot_wide(df: DataFrame, ids: list[str], key: str, value: str, levels: list,

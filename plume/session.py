@@ -53,12 +53,16 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; create a scratch one only when unset.
-
-    A cluster must name a shared folder in ``spark.checkpoint.dir``; the
-    scratch fallback exists for local tests only.
+    """Return the checkpoint folder; create a scratch one only when unset in
+    local mode (tests).  A cluster must name a shared folder in
+    ``spark.checkpoint.dir``; without it this raises.
     """
     current = checkpoint_dir(spark)
+    master = spark.sparkContext.master or ""
+    if not current and not master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster "
+                           "(e.g. on the distributed file system); plume does not fall back "
+                           "to a machine-local folder outside local mode")
     if current:
         # make sure the context uses it (the conf alone is read at start-up)
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()

@@ -57,9 +57,16 @@ def to_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.parquet(path)
 
 
-def to_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """S9 (CSV form)."""
-    df.write.mode(mode).option("header", True).csv(path)
+def to_csv(df: DataFrame, path: str, mode: str = "overwrite",
+           order_by: list[str] | None = None, compression: str | None = None) -> None:
+    """S9 (CSV form); ``order_by`` sorts at the sink (O1, NA last), the only
+    place row order is kept.  ``compression="gzip"`` gives .csv.gz parts."""
+    if order_by:
+        df = df.orderBy(*[F.col(k).asc_nulls_last() for k in order_by])
+    w = df.write.mode(mode).option("header", True)
+    if compression:
+        w = w.option("compression", compression)
+    w.csv(path)
 
 
 def write_snapshot(df: DataFrame, base: str, as_of: str) -> None:

@@ -91,3 +91,20 @@ def test_two_way_unbalanced_matches_dummy_ols(spark):
     full = regress.ols(d, "y", ["x", *[f"e{i}" for i in range(12)], *[f"t{j}" for j in range(1, 6)]],
                        intercept=False)
     assert abs(fit.coef[0] - full.coef[0]) < 1e-8
+
+
+def test_gzip_csv_roundtrip_sorted_sink(spark):
+    base = tempfile.mkdtemp(prefix="plume-gz-")
+    df = spark.createDataFrame([("a", "b", "01003"), (None, "c", "00001"), ("a", "a", "01001")],
+                               schemas.COUNTY_FIPS)
+    io.to_csv(df, f"{base}/out", order_by=["state", "county"], compression="gzip")
+    assert any(f.endswith(".gz") for f in os.listdir(f"{base}/out"))
+    back = io.read_csv(spark, f"{base}/out", schemas.COUNTY_FIPS)
+    assert back.count() == 3 and back.filter(F.col("county_fips") == "00001").count() == 1
+    assert [r.county for r in shape.arrange(back, "state", "county").collect()] == ["a", "b", "c"]
+
+
+def test_preview_pages_columns(spark):
+    df = spark.range(50).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(20)])
+    p = shape.preview(df, 14, 20)
+    assert p.columns == [f"c{i}" for i in range(13, 20)] and p.count() == 10
