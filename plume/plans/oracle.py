@@ -88,6 +88,45 @@ WEEKLY_PANEL = f"""
 """
 
 
+DEVICE_ROWS = """
+  WITH dv AS (
+    SELECT lpad(CAST(user_id AS VARCHAR), 5, '0') AS county_fips, CAST(ts AS DATE) AS date,
+           COUNT(*) AS devices, COUNT(CASE WHEN value < 10 THEN 1 END) AS home,
+           avg(value) AS mh, max(value) AS mn, COUNT(*) + 2 AS cand
+    FROM events GROUP BY user_id, event_type, CAST(ts AS DATE)),
+  cov AS (SELECT county_fips FROM dv GROUP BY 1 HAVING count(DISTINCT date) = 30),
+  rw AS (SELECT dv.* FROM dv JOIN cov USING (county_fips) WHERE substr(county_fips, 1, 2) <> '02'),
+  ini AS (SELECT county_fips, avg(devices) AS init FROM rw
+          WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-07' GROUP BY 1),
+  r3 AS (SELECT rw.*, 1 - home / nullif(devices, 0) AS sod, 1 - home / nullif(cand, 0) AS socd,
+           1 - (CASE WHEN home + init - devices < 0 THEN 0 ELSE home + init - devices END)
+               / nullif(init, 0) AS saa
+         FROM rw LEFT JOIN ini USING (county_fips)),
+  daily AS (
+    SELECT county_fips, date, CAST(coalesce(sum(devices), 0) AS BIGINT) AS device_count,
+           CAST(coalesce(sum(home), 0) AS BIGINT) AS completely_home_device_count,
+           avg(sod) AS share_of_devices, avg(socd) AS share_of_candidate_devices,
+           avg(saa) AS share_adj_attrition,
+           CASE WHEN count(devices * mh) = count(*) THEN sum(devices * mh) END / nullif(sum(devices), 0) AS median_home_dwell_time,
+           CASE WHEN count(devices * mn) = count(*) THEN sum(devices * mn) END / nullif(sum(devices), 0) AS median_non_home_dwell_time
+    FROM r3 GROUP BY 1, 2)
+"""
+
+
+def _dist_out(t: str) -> str:
+    return f"""
+  SELECT county_fips, {t}, device_count, completely_home_device_count,
+         device_count - completely_home_device_count AS devices_leaving_home,
+         {R6('ln(1 + device_count - completely_home_device_count)')} AS log_devices_leaving_home,
+         {R6('median_home_dwell_time')} AS median_home_dwell_time,
+         {R6('ln(1 + median_home_dwell_time)')} AS log_median_home_dwell_time,
+         {R6('median_non_home_dwell_time')} AS median_non_home_dwell_time,
+         {R6('ln(1 + median_non_home_dwell_time)')} AS log_median_non_home_dwell_time,
+         {R6('share_of_devices')} AS share_of_devices,
+         {R6('share_of_candidate_devices')} AS share_of_candidate_devices,
+         {R6('share_adj_attrition')} AS share_adj_attrition"""
+
+
 def _event_time(src: str, flag: str, t: str) -> str:
     return EVENT_TIME.format(src=src, flag=flag, t=t)
 
@@ -395,6 +434,19 @@ def oracle_sql() -> dict[str, str]:
              {R6('total_value')} AS total_value,
              {R6("total_value / nullif(last_value(CASE WHEN week_start = DATE '2024-01-01' THEN total_value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY week_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)")} AS value_index
       FROM et""")
+    q["distancing_daily_pipeline"] = DEVICE_ROWS + _dist_out("date") + " FROM daily"
+    q["distancing_weekly_pipeline"] = DEVICE_ROWS + """,
+  wk AS (
+    SELECT county_fips, CAST(date_trunc('week', date) AS DATE) AS week_start_date,
+           CAST(coalesce(sum(device_count), 0) AS BIGINT) AS device_count,
+           CAST(coalesce(sum(completely_home_device_count), 0) AS BIGINT) AS completely_home_device_count,
+           avg(share_of_devices) AS share_of_devices,
+           avg(share_of_candidate_devices) AS share_of_candidate_devices,
+           avg(share_adj_attrition) AS share_adj_attrition,
+           coalesce(sum(device_count * median_home_dwell_time), 0) / nullif(sum(device_count), 0) AS median_home_dwell_time,
+           coalesce(sum(device_count * median_non_home_dwell_time), 0) / nullif(sum(device_count), 0) AS median_non_home_dwell_time
+    FROM daily WHERE date <= DATE '2024-01-30' GROUP BY 1, 2)
+""" + _dist_out("week_start_date") + " FROM wk WHERE week_start_date >= DATE '2024-01-01'"
     q["snapshot_latest"] = """
       SELECT n_nationkey, n_name, n_regionkey, DATE '2024-01-31' AS snapshot_date FROM nation"""
     return q

@@ -59,6 +59,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "welch_ci": s.welch_ci,
     "welch_ci_bounds": s.welch_ci_bounds,
     "event_study_table": s.event_study_table,
+    "distancing_daily_pipeline": s.distancing_daily_pipeline,
+    "distancing_weekly_pipeline": s.distancing_weekly_pipeline,
     "snapshot_latest": s.snapshot_latest,
 }
 

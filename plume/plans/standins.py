@@ -633,6 +633,58 @@ def event_study_table(spark, d):
     return es.sweep(spark, panel, specs, "user_id")
 
 
+# --- the distancing pipeline (D4) itself, on a device table derived from events ---
+
+EVENT_TYPE_CODE = {t: i + 1 for i, t in enumerate(EVENT_TYPES)}
+
+
+def device_days(spark, d):
+    """Stand-in ``device_daily`` rows: block group = user x event type (the
+    user's 5-digit code is the county), one row per day; devices = events,
+    at home = events with value < 10, dwell medians = mean and max value."""
+    ev = _events(spark, d)
+    code = F.when(F.col("event_type") == "click", 1).when(F.col("event_type") == "error", 2) \
+        .when(F.col("event_type") == "purchase", 3).when(F.col("event_type") == "signup", 4) \
+        .when(F.col("event_type") == "view", 5).otherwise(0)
+    g = ev.groupBy("user_id", code.alias("bg"), F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("device_count"),
+        F.count(F.when(F.col("value") < 10, 1)).alias("completely_home_device_count"),
+        F.avg("value").alias("median_home_dwell_time"),
+        F.max("value").alias("median_non_home_dwell_time"))
+    # numeric block-group ids lose their leading zeros, as when read by fread
+    return g.select(
+        (F.col("user_id") * 10000000 + F.col("bg")).cast("string").alias("origin_census_block_group"),
+        F.concat(F.col("day").cast("string"), F.lit("T00:00:00-05:00")).alias("date_range_start"),
+        "device_count", "completely_home_device_count", "median_home_dwell_time",
+        "median_non_home_dwell_time",
+        (F.col("device_count") + 2).alias("candidate_device_count"))
+
+
+def _distancing(spark, d):
+    from plume.sources.mobility import distancing
+    return distancing(device_days(spark, d), n_days=30, base=(STUDY_START, "2024-01-07"),
+                      last_day=STUDY_END, first_week=STUDY_START)
+
+
+_DIST_MEASURES = ["log_devices_leaving_home", "median_home_dwell_time",
+                  "log_median_home_dwell_time", "median_non_home_dwell_time",
+                  "log_median_non_home_dwell_time", "share_of_devices",
+                  "share_of_candidate_devices", "share_adj_attrition"]
+
+
+def distancing_daily_pipeline(spark, d):
+    x = _distancing(spark, d)["daily"]
+    return x.select("county_fips", "date", "device_count", "completely_home_device_count",
+                    "devices_leaving_home", *[r6(c).alias(c) for c in _DIST_MEASURES])
+
+
+def distancing_weekly_pipeline(spark, d):
+    x = _distancing(spark, d)["weekly"]
+    return x.select("county_fips", "week_start_date", "device_count",
+                    "completely_home_device_count", "devices_leaving_home",
+                    *[r6(c).alias(c) for c in _DIST_MEASURES])
+
+
 def snapshot_latest(spark, d):
     from plume.sources.io import read_latest, write_snapshot
     from plume.session import scratch_path
