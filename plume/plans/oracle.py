@@ -127,6 +127,25 @@ def _dist_out(t: str) -> str:
          {R6('share_adj_attrition')} AS share_adj_attrition"""
 
 
+PLACE_WEEKS = """
+  WITH ev AS (
+    SELECT user_id, CAST(ts AS DATE) AS day,
+           CAST(date_trunc('week', CAST(ts AS DATE)) AS DATE) AS week,
+           CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
+                           WHEN 'signup' THEN 4 WHEN 'view' THEN 5 ELSE 0 END AS code,
+           CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+    FROM events),
+  pw AS (SELECT user_id, code, week, COUNT(*) AS visits, count(DISTINCT day) AS visitors,
+                sum(k) AS sk FROM ev GROUP BY 1, 2, 3),
+  sp AS (SELECT *, least(visitors, CASE WHEN sk % 5 = 0 THEN 0 WHEN sk % 2 = 0 THEN sk % 9
+                                        ELSE 0 END) AS same
+         FROM pw),
+  lk AS (SELECT user_id, code, 'st' || CAST(user_id // 50 AS VARCHAR) AS state,
+                'co' || CAST(user_id // 5 AS VARCHAR) AS county,
+                CAST(code + 10 AS VARCHAR) AS naics FROM pw GROUP BY 1, 2)
+"""
+
+
 def _event_time(src: str, flag: str, t: str) -> str:
     return EVENT_TIME.format(src=src, flag=flag, t=t)
 
@@ -447,6 +466,19 @@ def oracle_sql() -> dict[str, str]:
            coalesce(sum(device_count * median_non_home_dwell_time), 0) / nullif(sum(device_count), 0) AS median_non_home_dwell_time
     FROM daily WHERE date <= DATE '2024-01-30' GROUP BY 1, 2)
 """ + _dist_out("week_start_date") + " FROM wk WHERE week_start_date >= DATE '2024-01-01'"
+    q["poi_weekly_pipeline"] = PLACE_WEEKS + """
+  SELECT state, county, week AS date_week_start, CAST(sum(visits) AS BIGINT) AS total_visits,
+         CAST(sum(visitors) AS BIGINT) AS total_visitors,
+         CAST(sum(same) AS BIGINT) AS total_visitors_same_cbg,
+         CAST(sum(visitors - same) AS BIGINT) AS total_visitors_diff_cbg
+  FROM sp JOIN lk USING (user_id, code) GROUP BY 1, 2, 3"""
+    q["poi_daily_naics_pipeline"] = PLACE_WEEKS + """,
+  pd AS (SELECT pw.user_id, pw.code, CAST(pw.week + INTERVAL (r.i) DAY AS DATE) AS date
+         FROM pw CROSS JOIN range(0, 7) r(i)),
+  dn AS (SELECT user_id, code, day AS date, COUNT(*) AS n FROM ev GROUP BY 1, 2, 3)
+  SELECT state, county, naics, pd.date, CAST(sum(coalesce(dn.n, 0)) AS BIGINT) AS total_visits
+  FROM pd LEFT JOIN dn USING (user_id, code, date) JOIN lk USING (user_id, code)
+  GROUP BY 1, 2, 3, 4"""
     q["snapshot_latest"] = """
       SELECT n_nationkey, n_name, n_regionkey, DATE '2024-01-31' AS snapshot_date FROM nation"""
     return q

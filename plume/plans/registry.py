@@ -61,6 +61,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_study_table": s.event_study_table,
     "distancing_daily_pipeline": s.distancing_daily_pipeline,
     "distancing_weekly_pipeline": s.distancing_weekly_pipeline,
+    "poi_weekly_pipeline": s.poi_weekly_pipeline,
+    "poi_daily_naics_pipeline": s.poi_daily_naics_pipeline,
     "snapshot_latest": s.snapshot_latest,
 }
 

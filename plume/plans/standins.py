@@ -685,6 +685,74 @@ def distancing_weekly_pipeline(spark, d):
                     *[r6(c).alias(c) for c in _DIST_MEASURES])
 
 
+# --- the POI patterns pipeline (D2) itself, on patterns derived from events --------
+
+def _type_code():
+    return F.when(F.col("event_type") == "click", 1).when(F.col("event_type") == "error", 2) \
+        .when(F.col("event_type") == "purchase", 3).when(F.col("event_type") == "signup", 4) \
+        .when(F.col("event_type") == "view", 5).otherwise(0)
+
+
+def weekly_patterns(spark, d):
+    """Stand-in ``weekly_patterns``: place = user x event type, one row per
+    Monday week with the 7 daily counts as '[n,...]' text, visitors = active
+    days, and a home map whose first entry is the place's own block group on
+    even weeks (sum of props.k), another one on odd weeks, empty when the sum
+    is a multiple of 5."""
+    ev = _events(spark, d).withColumns({
+        "day": F.to_date("ts"), "code": _type_code(),
+        "k": F.get_json_object("props", "$.k").cast("long")})
+    ev = ev.withColumn("week", cal.week_start("day"))
+    per_day = ev.groupBy("user_id", "code", "week", "day").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("k").alias("k"))
+    pw = per_day.groupBy("user_id", "code", "week").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.datediff("day", "week"), "n"))).alias("m"),
+        F.sum("n").alias("raw_visit_counts"), F.count(F.lit(1)).alias("raw_visitor_counts"),
+        F.sum("k").alias("sk"))
+    days = F.transform(F.sequence(F.lit(0), F.lit(6)),
+                       lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0)).cast("string"))
+    cbg = F.lpad(F.col("user_id").cast("string"), 12, "0")
+    homes = F.when(F.col("sk") % 5 == 0, F.lit("{}")) \
+        .when(F.col("sk") % 2 == 0, F.concat(F.lit('{"'), cbg, F.lit('": '),
+                                             (F.col("sk") % 9).cast("string"),
+                                             F.lit(', "999999999999": 1}'))) \
+        .otherwise(F.concat(F.lit('{"888888888888": 3, "'), cbg, F.lit('": 2}')))
+    return pw.select(
+        F.concat(F.lit("p"), F.col("user_id").cast("string"), F.lit("-"),
+                 F.col("code").cast("string")).alias("safegraph_place_id"),
+        F.concat(F.col("week").cast("string"), F.lit("T00:00:00-05:00")).alias("date_range_start"),
+        F.concat(F.lit("["), F.array_join(days, ","), F.lit("]")).alias("visits_by_day"),
+        "raw_visit_counts", "raw_visitor_counts", cbg.alias("poi_cbg"),
+        homes.alias("visitor_home_cbgs"))
+
+
+def poi_lookup(spark, d):
+    """Stand-in ``poi_counties``: five users per county, fifty per state."""
+    ev = _events(spark, d).select("user_id", _type_code().alias("code")).distinct()
+    return ev.select(
+        F.concat(F.lit("p"), F.col("user_id").cast("string"), F.lit("-"),
+                 F.col("code").cast("string")).alias("safegraph_place_id"),
+        F.concat((F.col("code") + 10).cast("string"), F.lit("1110")).alias("naics_code"),
+        F.concat(F.lit("st"), F.floor(F.col("user_id") / 50).cast("string")).alias("state"),
+        F.concat(F.lit("co"), F.floor(F.col("user_id") / 5).cast("string")).alias("county"))
+
+
+def _patterns(spark, d):
+    from plume.sources.mobility import poi_patterns
+    return poi_patterns(weekly_patterns(spark, d), poi_lookup(spark, d))
+
+
+def poi_weekly_pipeline(spark, d):
+    return _patterns(spark, d)["weekly"].select(
+        "state", "county", "date_week_start", "total_visits", "total_visitors",
+        "total_visitors_same_cbg", "total_visitors_diff_cbg")
+
+
+def poi_daily_naics_pipeline(spark, d):
+    return _patterns(spark, d)["daily_naics"].select(
+        "state", "county", "naics", "date", F.col("total_visits").cast("long"))
+
+
 def snapshot_latest(spark, d):
     from plume.sources.io import read_latest, write_snapshot
     from plume.session import scratch_path
