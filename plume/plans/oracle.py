@@ -146,6 +146,35 @@ PLACE_WEEKS = """
 """
 
 
+ORDER_DAYS = """
+  WITH o AS (SELECT o_custkey, o_orderpriority, CAST(o_orderdate AS DATE) AS od FROM orders
+             WHERE year(o_orderdate) = 1998),
+  pc AS (SELECT o_custkey, min(CASE WHEN o_orderpriority = '2-HIGH' THEN od END) AS cs,
+                max(CASE WHEN o_orderpriority = '5-LOW' THEN od END) AS ce FROM o GROUP BY 1),
+  pn AS (SELECT c_nationkey,
+                min(CASE WHEN o_orderpriority = '1-URGENT' AND month(od) = 3 THEN od END) AS ss,
+                max(CASE WHEN o_orderpriority = '1-URGENT' AND month(od) = 4 THEN od END) AS se
+         FROM o JOIN customer ON o_custkey = c_custkey GROUP BY 1),
+  co AS (SELECT c_custkey, c_nationkey,
+                CASE WHEN length(CAST(c_nationkey AS VARCHAR)) < 2 THEN lpad(CAST(c_nationkey AS VARCHAR), 2, '0')
+                     ELSE CAST(c_nationkey AS VARCHAR) END ||
+                CASE WHEN length(CAST(c_custkey AS VARCHAR)) < 3 THEN lpad(CAST(c_custkey AS VARCHAR), 3, '0')
+                     ELSE CAST(c_custkey AS VARCHAR) END AS county_fips,
+                lower(n_name) AS state, lower(trim(c_name)) AS county, ss, se, cs, ce
+         FROM customer JOIN nation ON c_nationkey = n_nationkey
+         LEFT JOIN pc ON c_custkey = pc.o_custkey LEFT JOIN pn USING (c_nationkey)),
+  dd AS (SELECT co.*, CAST(t.d AS DATE) AS date
+         FROM co CROSS JOIN range(DATE '1998-01-26', DATE '1998-06-01', INTERVAL 1 DAY) t(d)),
+  fl AS (SELECT county_fips, state, county, date, ss AS state_sip_start_date, se AS state_sip_end_date,
+           cs AS county_sip_start_date, ce AS county_sip_end_date,
+           CASE WHEN (ss IS NOT NULL AND ss <= date AND (se IS NULL OR se >= date))
+                  OR (ss IS NULL AND se IS NOT NULL AND se >= date) THEN 1 ELSE 0 END AS state_sip,
+           CASE WHEN (cs IS NOT NULL AND cs <= date AND (ce IS NULL OR ce >= date))
+                  OR (cs IS NULL AND ce IS NOT NULL AND ce >= date) THEN 1 ELSE 0 END AS county_sip
+         FROM dd)
+"""
+
+
 def _event_time(src: str, flag: str, t: str) -> str:
     return EVENT_TIME.format(src=src, flag=flag, t=t)
 
@@ -479,6 +508,19 @@ def oracle_sql() -> dict[str, str]:
   SELECT state, county, naics, pd.date, CAST(sum(coalesce(dn.n, 0)) AS BIGINT) AS total_visits
   FROM pd LEFT JOIN dn USING (user_id, code, date) JOIN lk USING (user_id, code)
   GROUP BY 1, 2, 3, 4"""
+    q["orders_daily_pipeline"] = ORDER_DAYS + """
+  SELECT county_fips, state, county, date, state_sip_start_date, state_sip_end_date,
+         county_sip_start_date, county_sip_end_date, CAST(state_sip AS BIGINT) AS state_sip,
+         CAST(county_sip AS BIGINT) AS county_sip,
+         CAST(CASE WHEN state_sip = 1 OR county_sip = 1 THEN 1 ELSE 0 END AS BIGINT) AS sip_binary
+  FROM fl"""
+    q["orders_weekly_pipeline"] = ORDER_DAYS + """
+  SELECT county_fips, state, county, CAST(date_trunc('week', date) AS DATE) AS week_start_date,
+         state_sip_start_date, county_sip_end_date,
+         CAST(sum(CASE WHEN state_sip = 1 OR county_sip = 1 THEN 1 ELSE 0 END) AS BIGINT) AS sip_days,
+         CAST(CASE WHEN sum(CASE WHEN state_sip = 1 OR county_sip = 1 THEN 1 ELSE 0 END) > 0 THEN 1 ELSE 0 END AS BIGINT) AS weekly_sipo_binary
+  FROM fl GROUP BY county_fips, state, county, date_trunc('week', date), state_sip_start_date,
+           state_sip_end_date, county_sip_start_date, county_sip_end_date"""
     q["snapshot_latest"] = """
       SELECT n_nationkey, n_name, n_regionkey, DATE '2024-01-31' AS snapshot_date FROM nation"""
     return q

@@ -63,6 +63,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distancing_weekly_pipeline": s.distancing_weekly_pipeline,
     "poi_weekly_pipeline": s.poi_weekly_pipeline,
     "poi_daily_naics_pipeline": s.poi_daily_naics_pipeline,
+    "orders_daily_pipeline": s.orders_daily_pipeline,
+    "orders_weekly_pipeline": s.orders_weekly_pipeline,
     "snapshot_latest": s.snapshot_latest,
 }
 

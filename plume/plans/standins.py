@@ -753,6 +753,70 @@ def poi_daily_naics_pipeline(spark, d):
         "state", "county", "naics", "date", F.col("total_visits").cast("long"))
 
 
+# --- the stay-home-order pipeline (D6) itself, on orders derived from customers -----
+
+ORDER_SPINE = ("1998-01-26", "1998-05-31")   # 126 days from a Monday, as the reference's
+
+
+def county_orders(spark, d):
+    """Stand-in ``county_orders``: state = nation, county = customer; the local
+    order starts at the customer's first 2-HIGH order of the spine year and
+    ends at its last 5-LOW order, the state order starts at the nation's first
+    1-URGENT order of 1998-03 and ends at its last 1-URGENT order of 1998-04
+    (``M/d/yyyy`` text, null when there is none)."""
+    cust = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_name", "c_acctbal")
+    nat = table(spark, d, "nation").select("n_nationkey", "n_name")
+    o = table(spark, d, "orders").select(
+        "o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("od")) \
+        .filter(F.year("od") == 1998)
+    per_c = o.groupBy("o_custkey").agg(
+        F.min(F.when(F.col("o_orderpriority") == "2-HIGH", F.col("od"))).alias("cs"),
+        F.max(F.when(F.col("o_orderpriority") == "5-LOW", F.col("od"))).alias("ce"))
+    per_n = o.join(cust.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey") \
+        .groupBy("c_nationkey").agg(
+            F.min(F.when((F.col("o_orderpriority") == "1-URGENT") & (F.month("od") == 3),
+                         F.col("od"))).alias("ss"),
+            F.max(F.when((F.col("o_orderpriority") == "1-URGENT") & (F.month("od") == 4),
+                         F.col("od"))).alias("se"))
+    fmt = lambda c: F.date_format(c, "M/d/yyyy")
+    x = cust.join(nat, cust.c_nationkey == nat.n_nationkey) \
+        .join(per_c, cust.c_custkey == per_c.o_custkey, "left") \
+        .join(per_n, "c_nationkey", "left")
+    none = F.lit(None).cast("string")
+    return x.select(
+        F.col("c_nationkey").cast("string").alias("state_code"),
+        F.col("c_custkey").cast("string").alias("county_code"), F.lit("XX").alias("state"),
+        F.col("n_name").alias("state_name"), F.concat("c_name", F.lit(" County")).alias("county_name"),
+        F.floor(F.abs("c_acctbal")).cast("long").alias("popestimate2019"),
+        fmt("ss").alias("state_sip_start_date"), fmt("se").alias("state_sip_end_date"),
+        fmt("cs").alias("county_sip_start_date"), fmt("ce").alias("county_sip_end_date"),
+        *[none.alias(f"citation{i}") for i in range(1, 6)])
+
+
+def _orders_pipeline(spark, d):
+    from plume.sources.health import orders
+    co = county_orders(spark, d)
+    pop = co.select(F.col("state_code").alias("STATE"), F.col("county_code").alias("COUNTY"),
+                    F.col("state_name").alias("STNAME"), F.col("county_name").alias("CTYNAME"),
+                    F.col("popestimate2019").alias("POPESTIMATE2019"))
+    return orders(co, pop, *ORDER_SPINE)
+
+
+def orders_daily_pipeline(spark, d):
+    x = _orders_pipeline(spark, d)["daily"]
+    return x.select("county_fips", "state", "county", "date", "state_sip_start_date",
+                    "state_sip_end_date", "county_sip_start_date", "county_sip_end_date",
+                    F.col("state_sip").cast("long"), F.col("county_sip").cast("long"),
+                    F.col("sip_binary").cast("long"))
+
+
+def orders_weekly_pipeline(spark, d):
+    x = _orders_pipeline(spark, d)["weekly"]
+    return x.select("county_fips", "state", "county", "week_start_date", "state_sip_start_date",
+                    "county_sip_end_date", F.col("sip_days").cast("long"),
+                    F.col("weekly_sipo_binary").cast("long"))
+
+
 def snapshot_latest(spark, d):
     from plume.sources.io import read_latest, write_snapshot
     from plume.session import scratch_path
