@@ -69,13 +69,17 @@ def unpivot_long(df: DataFrame, ids: list[str], cols: list[str], key: str = "key
     return src.unpivot(ids, cols, key, value)
 
 
-def date_spine(keys: DataFrame, start: str, end: str, date_col: str = "date") -> DataFrame:
-    """Every day from ``start`` to ``end`` for each distinct key row.
+def date_spine(keys: DataFrame, start: str, end: str, date_col: str = "date",
+               distinct: bool = True) -> DataFrame:
+    """Every day from ``start`` to ``end`` for each (distinct) key row.
 
     The sequence is generated inside each task from the key row, so the spine
-    is as distributed as the keys.
+    is as distributed as the keys.  With ``distinct=False`` every input row
+    gets the days, which equals "distinct keys x days, left join the rows"
+    (including its fan-out on repeated keys) without the join.
     """
-    return keys.distinct().withColumn(
+    base = keys.distinct() if distinct else keys
+    return base.withColumn(
         date_col,
         F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)),
                              F.expr("interval 1 day"))))

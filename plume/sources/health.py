@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plume.functions import calendar as cal
 from plume.functions import rsem
 from plume.functions import strings as st
-from plume.operators import joins, policy, shape
+from plume.operators import policy, shape
 
 # Fixed values (must equal the reference's) ---------------------------------------
 SPINE_START, SPINE_END = "2020-01-27", "2020-05-31"
@@ -142,10 +142,10 @@ def orders(county_orders: DataFrame, pop: DataFrame, start: str = SPINE_START,
            end: str = SPINE_END) -> dict[str, DataFrame]:
     """Daily state/county/any order flags on the county spine (M5) and
     weekly order days and any-day flag (M6)."""
-    fixed = _orders_fixed(county_orders, pop, keep_dates=True)
-    keys = ["state_fips", "county_fips", "state", "county"]
-    spine = shape.date_spine(fixed.select(*keys), start, end, "date")
-    daily = joins.left_join(spine, fixed.drop("popestimate2019"), keys, null_keys=True)
+    fixed = _orders_fixed(county_orders, pop, keep_dates=True).drop("popestimate2019")
+    # the reference joins the order rows back onto a spine of their own distinct
+    # keys; exploding the days on the rows themselves is the same, without a join
+    daily = shape.date_spine(fixed, start, end, "date", distinct=False)
     daily = daily.withColumns({c: cal.parse_date(c, cal.US_SLASH) for c in _DATE_COLS})
     daily = policy.daily_flags(daily, "date")
     daily = daily.withColumn("county_fips", F.concat("state_fips", "county_fips"))

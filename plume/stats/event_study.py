@@ -56,35 +56,73 @@ def event_dummies(df: DataFrame, event_col: str) -> tuple[DataFrame, list[str],
     return out, [name.format(level=lv) for lv in levels[1:]], name.format(level=levels[0])
 
 
-def fit_table(spark: SparkSession, panel: DataFrame, spec: Spec, entity: str,
-              band: float = Z95) -> DataFrame:
-    """E1+E4+E5+E10+M9 for one spec: coefficient table with the omitted base
-    row re-added first (term_order 0), percent difference = -estimate and a
-    +-band * se interval."""
-    data, dummies, base = event_dummies(panel, spec.event_col)
-    xs = [*dummies, *spec.controls]
-    fit = within(data.dropna(subset=[spec.event_col]), spec.outcome, xs, entity)
+def _table(spark: SparkSession, name: str, fit, base: str, band: float) -> DataFrame:
     rows = [{"term": base, "estimate": 0.0, "std_error": 0.0, "statistic": 0.0,
              "p_value": 0.0}] + fit.table()
     out = []
     for i, r in enumerate(rows):
         se = r["std_error"]
         pdiff = -r["estimate"]
-        out.append((spec.name, i, r["term"], r["estimate"], se, r["statistic"], r["p_value"],
+        out.append((name, i, r["term"], r["estimate"], se, r["statistic"], r["p_value"],
                     stars(r["p_value"]) if i else "", pdiff,
                     pdiff - band * se if se == se else None,
                     pdiff + band * se if se == se else None))
     return spark.createDataFrame(out, TABLE_SCHEMA)
 
 
+def fit_table(spark: SparkSession, panel: DataFrame, spec: Spec, entity: str,
+              band: float = Z95) -> DataFrame:
+    """E1+E4+E5+E10+M9 for one spec: coefficient table with the omitted base
+    row re-added first (term_order 0), percent difference = -estimate and a
+    +-band * se interval."""
+    data, dummies, base = event_dummies(panel, spec.event_col)
+    xs = [*dummies, *spec.controls]
+    fit = within(data.dropna(subset=[spec.event_col]), spec.outcome, xs, entity)
+    return _table(spark, spec.name, fit, base, band)
+
+
 def sweep(spark: SparkSession, panel: DataFrame, specs: list[Spec], entity: str,
-          keep_rows: tuple[int, int] | None = None) -> DataFrame:
+          keep_rows: tuple[int, int] | None = None, band: float = Z95) -> DataFrame:
     """E7 (+F6): fit every spec on one cached panel and stack the tables;
-    ``keep_rows`` keeps term_order in [a, b] (the reference's row filter)."""
+    ``keep_rows`` keeps term_order in [a, b] (the reference's row filter).
+
+    Specs with the same outcome and event column whose complete cases
+    coincide (one count job decides) share the data passes
+    (``regress.within_multi``); the others are fitted one by one.
+    """
+    from plume.stats.regress import within_multi
+
     panel = panel.cache()
-    tables = [fit_table(spark, panel, s, entity) for s in specs]
-    out = tables[0]
-    for t in tables[1:]:
+    groups: dict[tuple[str, str], list[Spec]] = {}
+    for sp in specs:
+        groups.setdefault((sp.outcome, sp.event_col), []).append(sp)
+    tables = {}
+    for (outcome, ev), group in groups.items():
+        data, dummies, base = event_dummies(panel, ev)
+        data = data.dropna(subset=[ev])
+        designs = [[*dummies, *sp.controls] for sp in group]
+        union = list(dict.fromkeys(c for d in designs for c in d))
+
+        def complete(cols):
+            cond = F.col(outcome).isNotNull()
+            for c in cols:
+                cond = cond & F.col(c).isNotNull()
+            return F.count(F.when(cond, 1))
+        counts = data.agg(complete(union).alias("u"),
+                          *[complete(d).alias(f"c{i}") for i, d in enumerate(designs)]
+                          ).collect()[0]
+        shared = [i for i in range(len(group)) if counts[f"c{i}"] == counts["u"]]
+        if len(shared) > 1:
+            fits = within_multi(data, outcome, [designs[i] for i in shared], entity)
+            for i, fit in zip(shared, fits):
+                tables[group[i].name] = _table(spark, group[i].name, fit, base, band)
+        for i, sp in enumerate(group):
+            if sp.name not in tables:
+                fit = within(data, outcome, designs[i], entity)
+                tables[sp.name] = _table(spark, sp.name, fit, base, band)
+    ordered = [tables[sp.name] for sp in specs]
+    out = ordered[0]
+    for t in ordered[1:]:
         out = out.unionByName(t)
     if keep_rows:
         out = out.filter(F.col("term_order").between(*keep_rows))

@@ -192,6 +192,56 @@ def within(df: DataFrame, y: str, xs: list[str], entity: list[str] | str,
                [xs[i] for i in range(len(xs)) if i not in keep])
 
 
+def within_multi(df: DataFrame, y: str, designs: list[list[str]], entity: list[str] | str) -> list[Fit]:
+    """Several within fits (cluster on entity) that share their complete-case
+    rows, in two passes over the data instead of two per model: one demeaned
+    Gram over the union of regressors (each model's matrix is a sub-block,
+    since demeaning acts column by column), then one groupBy(entity) giving
+    every model's cluster scores.  Callers check that the designs' complete
+    cases coincide (``event_study.sweep`` does)."""
+    entity = [entity] if isinstance(entity, str) else list(entity)
+    cols: list[str] = []
+    for d in designs:
+        cols += [c for c in d if c not in cols]
+    data = df.select(*entity, y, *cols).dropna()
+    w = Window.partitionBy(*entity)
+    dname = {c: f"_d{i + 1}" for i, c in enumerate(cols)}
+    dm = data.withColumns({"_d0": F.col(y) - F.avg(F.col(y)).over(w),
+                           **{dname[c]: F.col(c) - F.avg(F.col(c)).over(w) for c in cols}}).cache()
+    g, row = gram(dm, [dname[c] for c in cols] + ["_d0"],
+                  [F.count(F.lit(1)).alias("_n"),
+                   *[F.sum(F.col(c) * F.col(c)).alias(f"_ss{i}") for i, c in enumerate(cols)]])
+    n = int(row["_n"])
+    raw_ss = np.array([float(row[f"_ss{i}"] or 0.0) for i in range(len(cols))])
+    solved = []
+    for d in designs:
+        idx = [cols.index(c) for c in d]
+        sub = np.zeros((len(idx) + 1, len(idx) + 1))
+        full = idx + [len(cols)]
+        sub[:, :] = g[np.ix_(full, full)]
+        keep = independent_columns(sub[:-1, :-1], d, scale=raw_ss[idx])
+        beta, inv = _solve(sub, keep, len(idx))
+        solved.append(([d[i] for i in keep], beta, inv, [d[i] for i in range(len(d)) if i not in keep]))
+    # every model's residual and scores in one pass
+    aggs = []
+    for m, (kept, beta, _inv, _drop) in enumerate(solved):
+        u = F.col("_d0") - sum((F.lit(float(b)) * F.col(dname[x]) for b, x in zip(beta, kept)),
+                               F.lit(0.0))
+        aggs += [F.sum(F.col(dname[x]) * u).alias(f"s{m}_{j}") for j, x in enumerate(kept)]
+    scores = dm.groupBy(*entity).agg(*aggs).cache()
+    fits = []
+    for m, (kept, beta, inv, dropped) in enumerate(solved):
+        meat, srow = gram(scores, [f"s{m}_{j}" for j in range(len(kept))],
+                          [F.count(F.lit(1)).alias("_g")])
+        g_n = int(srow["_g"])
+        factor = (g_n / max(g_n - 1, 1)) * ((n - 1) / max(n - len(kept), 1))
+        fits.append(Fit(kept, beta, factor * inv @ meat @ inv, n, g_n,
+                        n - g_n - len(kept), dropped))
+    scores.unpersist()
+    dm.unpersist()
+    return fits
+
+
 def _cluster_vcov(dm: DataFrame, y: str, xs: list[str], beta: np.ndarray, inv: np.ndarray,
                   cluster, n: int, k: int):
     """Sandwich with cluster scores s_g = sum_i x_i u_i.

@@ -140,3 +140,12 @@ def test_welch_matches_numpy(spark):
     half = t_quantile(0.975, dfw) * math.sqrt(va + vb)
     assert abs(r.diff - (a.mean() - b.mean())) < 1e-12 and abs(r.df - dfw) < 1e-9
     assert abs(r.ci_high - (a.mean() - b.mean() + half)) < 1e-9
+
+
+def test_within_multi_equals_separate_fits(spark):
+    _, df = _panel(spark)
+    fits = regress.within_multi(df, "y", [["x1"], ["x1", "x2"]], "e")
+    for f, xs in zip(fits, [["x1"], ["x1", "x2"]]):
+        one = regress.within(df, "y", xs, "e")
+        assert np.allclose(f.coef, one.coef, atol=1e-12)
+        assert np.allclose(f.vcov, one.vcov, atol=1e-12) and f.n_groups == one.n_groups
