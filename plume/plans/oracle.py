@@ -175,6 +175,33 @@ ORDER_DAYS = """
 """
 
 
+NATION_CASES = """
+  WITH k AS (SELECT n_nationkey, n_name, r_name,
+                    lpad(CAST(n_regionkey AS VARCHAR), 2, '0') || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS fips
+             FROM nation JOIN region ON n_regionkey = r_regionkey),
+  pn AS (SELECT c_nationkey, COUNT(*) AS nc, CAST(floor(sum(abs(c_acctbal))) AS BIGINT) AS pop,
+                {cells} FROM customer GROUP BY 1),
+  nk AS (SELECT * FROM k LEFT JOIN pn ON n_nationkey = c_nationkey),
+  dy AS (SELECT c_nationkey, CAST(o_orderdate AS DATE) AS date, COUNT(*) AS n,
+                COUNT(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) AS u
+         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+  cum AS (SELECT c_nationkey, date,
+                 sum(n) OVER (PARTITION BY c_nationkey ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cases,
+                 sum(u) OVER (PARTITION BY c_nationkey ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS deaths
+          FROM dy),
+  sp AS (SELECT fips AS county_fips, lower(r_name) AS state, lower(trim(n_name)) AS county,
+                coalesce(pop, 0) AS popestimate2019,
+                CASE WHEN nc IS NULL THEN NULL ELSE ({seniors}) / nullif(CAST(nc AS DOUBLE), 0) END AS share_over_65,
+                coalesce(nc, 0) * 10.0 * 2.58999 AS km_sq, n_nationkey, CAST(t.d AS DATE) AS date
+         FROM nk CROSS JOIN range(DATE '1998-01-26', DATE '1998-06-01', INTERVAL 1 DAY) t(d)),
+  cd AS (SELECT sp.county_fips, sp.date, state, county, popestimate2019,
+                coalesce(cum.cases, 0) AS cases, coalesce(cum.deaths, 0) AS deaths, share_over_65, km_sq
+         FROM sp LEFT JOIN cum ON sp.n_nationkey = cum.c_nationkey AND sp.date = cum.date)
+""".format(cells=", ".join(f"COUNT(CASE WHEN c_custkey % 12 = {k - 1} THEN 1 END) AS s{k}"
+                           for k in range(1, 13)),
+           seniors=" + ".join(f"s{k}" for k in range(1, 13)))
+
+
 def _event_time(src: str, flag: str, t: str) -> str:
     return EVENT_TIME.format(src=src, flag=flag, t=t)
 
@@ -521,6 +548,21 @@ def oracle_sql() -> dict[str, str]:
          CAST(CASE WHEN sum(CASE WHEN state_sip = 1 OR county_sip = 1 THEN 1 ELSE 0 END) > 0 THEN 1 ELSE 0 END AS BIGINT) AS weekly_sipo_binary
   FROM fl GROUP BY county_fips, state, county, date_trunc('week', date), state_sip_start_date,
            state_sip_end_date, county_sip_start_date, county_sip_end_date"""
+    q["cases_daily_pipeline"] = NATION_CASES + f"""
+  SELECT county_fips, date, state, county, popestimate2019, CAST(cases AS BIGINT) AS cases,
+         CAST(deaths AS BIGINT) AS deaths, {R6('share_over_65')} AS share_over_65, {R6('km_sq')} AS km_sq,
+         {R6('ln(1 + cases)')} AS log_cases, {R6('ln(1 + deaths)')} AS log_deaths,
+         {R6('ln(1 + popestimate2019 / nullif(km_sq, 0))')} AS log_pop_density
+  FROM cd"""
+    q["cases_weekly_pipeline"] = NATION_CASES + f"""
+  , wk AS (SELECT county_fips, state, county, CAST(date_trunc('week', date) AS DATE) AS week_start_date,
+                  share_over_65, ln(1 + popestimate2019 / nullif(km_sq, 0)) AS lpd,
+                  avg(cases) AS mc, avg(deaths) AS md
+           FROM cd GROUP BY 1, 2, 3, 4, 5, 6)
+  SELECT county_fips, state, county, week_start_date, {R6('share_over_65')} AS share_over_65,
+         {R6('lpd')} AS log_pop_density, {R6('mc')} AS mean_cases, {R6('md')} AS mean_deaths,
+         {R6('ln(1 + mc)')} AS log_cases, {R6('ln(1 + md)')} AS log_deaths
+  FROM wk"""
     q["snapshot_latest"] = """
       SELECT n_nationkey, n_name, n_regionkey, DATE '2024-01-31' AS snapshot_date FROM nation"""
     return q

@@ -65,6 +65,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "poi_daily_naics_pipeline": s.poi_daily_naics_pipeline,
     "orders_daily_pipeline": s.orders_daily_pipeline,
     "orders_weekly_pipeline": s.orders_weekly_pipeline,
+    "cases_daily_pipeline": s.cases_daily_pipeline,
+    "cases_weekly_pipeline": s.cases_weekly_pipeline,
     "snapshot_latest": s.snapshot_latest,
 }
 

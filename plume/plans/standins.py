@@ -817,6 +817,89 @@ def orders_weekly_pipeline(spark, d):
                     F.col("weekly_sipo_binary").cast("long"))
 
 
+# --- the cases pipeline (D5) itself, at nation grain (county = nation) -------------
+
+def _nation_keys(spark, d):
+    n = table(spark, d, "nation")
+    r = table(spark, d, "region")
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+        "n_nationkey", "n_name", "r_name",
+        F.concat(rsem.zpad("n_regionkey", 2), rsem.zpad("n_nationkey", 3)).alias("fips"))
+
+
+def nation_cases_inputs(spark, d) -> dict:
+    """Stand-in raw tables for the cases build: county = nation, state = region.
+
+    cases / deaths = cumulative orders / 1-URGENT orders of the nation's
+    customers by order date (whole orders table); population = summed
+    balances, land area = 10 x customers, ACS age cells s1..s12 = customers
+    by key residue, total = customers."""
+    keys = _nation_keys(spark, d)
+    cust = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    per_n = cust.groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("nc"), F.floor(F.sum(F.abs("c_acctbal"))).cast("long").alias("pop"),
+        *[F.count(F.when(F.col("c_custkey") % 12 == k - 1, 1)).alias(f"s{k}") for k in range(1, 13)])
+    nk = keys.join(per_n, keys.n_nationkey == per_n.c_nationkey, "left")
+    orders = nk.select(
+        F.substring("fips", 1, 2).alias("state_code"), F.substring("fips", 3, 3).alias("county_code"),
+        F.lit("XX").alias("state"), F.col("r_name").alias("state_name"),
+        F.concat("n_name", F.lit(" County")).alias("county_name"),
+        F.coalesce("pop", F.lit(0).cast("long")).alias("popestimate2019"),
+        *[F.lit(None).cast("string").alias(c) for c in
+          ["state_sip_start_date", "state_sip_end_date", "county_sip_start_date",
+           "county_sip_end_date", "citation1", "citation2", "citation3", "citation4", "citation5"]])
+    pop = orders.select(F.col("state_code").alias("STATE"), F.col("county_code").alias("COUNTY"),
+                        F.col("state_name").alias("STNAME"), F.col("county_name").alias("CTYNAME"),
+                        F.col("popestimate2019").alias("POPESTIMATE2019"))
+    o = table(spark, d, "orders").select("o_custkey", "o_orderpriority",
+                                         F.to_date("o_orderdate").alias("date"))
+    daily = o.join(cust.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey") \
+        .groupBy("c_nationkey", "date").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count(F.when(F.col("o_orderpriority") == "1-URGENT", 1)).alias("u"))
+    from pyspark.sql import Window
+    w = Window.partitionBy("c_nationkey").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    cum = daily.select("c_nationkey", "date", F.sum("n").over(w).alias("cases"),
+                       F.sum("u").over(w).alias("deaths"))
+    nyt = cum.join(keys, cum.c_nationkey == keys.n_nationkey).select(
+        "date", F.col("n_name").alias("county"), F.col("r_name").alias("state"), "fips",
+        "cases", "deaths")
+    area = nk.select(F.concat("n_name", F.lit(", XX")).alias("Areaname"), F.col("fips").alias("STCOU"),
+                     (F.coalesce("nc", F.lit(0)) * 10.0).alias("LND110200D"))
+    cells = F.array(F.struct(F.lit("total").alias("variable"), F.col("nc").cast("double").alias("estimate")),
+                    *[F.struct(F.lit(f"s{k}").alias("variable"),
+                              F.col(f"s{k}").cast("double").alias("estimate"))
+                      for k in range(1, 13)])
+    acs = nk.select(F.col("fips").alias("GEOID"),
+                    F.concat("n_name", F.lit(" County, "), "r_name").alias("NAME"),
+                    F.explode(cells).alias("c")).select(
+        "GEOID", "NAME", F.col("c.variable").alias("variable"), F.col("c.estimate").alias("estimate"),
+        F.lit(0.0).alias("moe"))
+    return {"nyt": nyt, "orders": orders, "pop": pop, "area": area, "acs": acs}
+
+
+def _cases(spark, d):
+    from plume.sources.health import cases
+    t = nation_cases_inputs(spark, d)
+    return cases(spark, t["nyt"], t["orders"], t["pop"], t["area"], t["acs"],
+                 start=ORDER_SPINE[0], end=ORDER_SPINE[1])
+
+
+def cases_daily_pipeline(spark, d):
+    x = _cases(spark, d)["daily"]
+    return x.select("county_fips", "date", "state", "county", "popestimate2019",
+                    F.col("cases").cast("long"), F.col("deaths").cast("long"),
+                    *[r6(c).alias(c) for c in ["share_over_65", "km_sq", "log_cases",
+                                               "log_deaths", "log_pop_density"]])
+
+
+def cases_weekly_pipeline(spark, d):
+    x = _cases(spark, d)["weekly"]
+    return x.select("county_fips", "state", "county", "week_start_date",
+                    *[r6(c).alias(c) for c in ["share_over_65", "log_pop_density", "mean_cases",
+                                               "mean_deaths", "log_cases", "log_deaths"]])
+
+
 def snapshot_latest(spark, d):
     from plume.sources.io import read_latest, write_snapshot
     from plume.session import scratch_path
