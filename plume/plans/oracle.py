@@ -202,6 +202,142 @@ NATION_CASES = """
            seniors=" + ".join(f"s{k}" for k in range(1, 13)))
 
 
+def _panel_sql() -> str:
+    cells = ", ".join(f"COUNT(CASE WHEN c_custkey % 12 = {k - 1} THEN 1 END) AS s{k}" for k in range(1, 13))
+    seniors = " + ".join(f"s{k}" for k in range(1, 13))
+    shares = ("asian / population AS share_asian, black / population AS share_black, "
+              "white / population AS share_white, bachelors / population AS share_bachelors, "
+              "current_undergrad / population AS share_undergrad, "
+              "hhinc_100k / population AS share_hhinc_100k, poverty / population AS share_poverty, "
+              "msta / nullif(tocc, 0) AS share_msta, services / nullif(tocc, 0) AS share_services, "
+              "sales / nullif(tocc, 0) AS share_sales, resources / nullif(tocc, 0) AS share_resources, "
+              "public_transit / nullif(tocc, 0) AS share_public_transit")
+    return f"""
+  WITH k AS (SELECT n_nationkey, n_name, r_name,
+                    lpad(CAST(n_regionkey AS VARCHAR), 2, '0') || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS fips
+             FROM nation JOIN region ON n_regionkey = r_regionkey),
+  cn AS (SELECT c.*, k.* FROM customer c JOIN k ON c.c_nationkey = k.n_nationkey),
+  pcd AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n FROM orders GROUP BY 1, 2),
+  dv0 AS (SELECT cn.fips AS county_fips, CAST(t.d AS DATE) AS date, cn.c_custkey, cn.c_acctbal
+          FROM cn CROSS JOIN range(DATE '1998-01-25', DATE '1998-06-01', INTERVAL 1 DAY) t(d)),
+  dv AS (SELECT county_fips, date, 50 + coalesce(n, 0) * 10 + c_custkey % 7 AS devices,
+                20 + c_custkey % 5 + dayofmonth(date) % 3 AS home,
+                abs(c_acctbal) / 10 + coalesce(n, 0) AS mh,
+                abs(c_acctbal) / 20 + (dayofweek(date) + 1) AS mn,
+                60 + coalesce(n, 0) * 10 + c_custkey % 7 AS cand
+         FROM dv0 LEFT JOIN pcd ON dv0.c_custkey = pcd.o_custkey AND dv0.date = pcd.day),
+  cov AS (SELECT county_fips FROM dv GROUP BY 1 HAVING count(DISTINCT date) = 127),
+  rw AS (SELECT dv.* FROM dv JOIN cov USING (county_fips) WHERE substr(county_fips, 1, 2) <> '02'),
+  ini AS (SELECT county_fips, avg(devices) AS init FROM rw
+          WHERE date BETWEEN DATE '1998-01-26' AND DATE '1998-02-01' GROUP BY 1),
+  r3 AS (SELECT rw.*, 1 - home / nullif(devices, 0) AS sod, 1 - home / nullif(cand, 0) AS socd,
+           1 - (CASE WHEN home + init - devices < 0 THEN 0 ELSE home + init - devices END) / nullif(init, 0) AS saa
+         FROM rw LEFT JOIN ini USING (county_fips)),
+  dd AS (SELECT county_fips, date, coalesce(sum(devices), 0) AS device_count,
+                coalesce(sum(home), 0) AS chdc, avg(sod) AS sod, avg(socd) AS socd, avg(saa) AS saa,
+                CASE WHEN count(devices * mh) = count(*) THEN sum(devices * mh) END / nullif(sum(devices), 0) AS mh,
+                CASE WHEN count(devices * mn) = count(*) THEN sum(devices * mn) END / nullif(sum(devices), 0) AS mn
+         FROM r3 GROUP BY 1, 2),
+  dist AS (SELECT county_fips, CAST(date_trunc('week', date) AS DATE) AS week_start_date,
+                  coalesce(sum(device_count), 0) AS device_count,
+                  coalesce(sum(chdc), 0) AS completely_home_device_count,
+                  avg(sod) AS share_of_devices, avg(socd) AS share_of_candidate_devices,
+                  avg(saa) AS share_adj_attrition,
+                  coalesce(sum(device_count * mh), 0) / nullif(sum(device_count), 0) AS median_home_dwell_time,
+                  coalesce(sum(device_count * mn), 0) / nullif(sum(device_count), 0) AS median_non_home_dwell_time
+           FROM dd WHERE date <= DATE '1998-05-31' GROUP BY 1, 2
+           HAVING CAST(date_trunc('week', date) AS DATE) >= DATE '1998-01-26'),
+  pc AS (SELECT fips, n_name, r_name, CAST(COUNT(*) AS DOUBLE) AS population,
+                count(CASE WHEN c_mktsegment = 'BUILDING' THEN 1 END) AS bachelors,
+                count(CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 1 END) AS white,
+                count(CASE WHEN c_mktsegment = 'FURNITURE' THEN 1 END) AS black,
+                count(CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 END) AS asian,
+                count(CASE WHEN c_mktsegment = 'MACHINERY' THEN 1 END) AS current_undergrad,
+                count(CASE WHEN c_acctbal < 0 THEN 1 END) AS poverty,
+                count(CASE WHEN c_acctbal > 9000 THEN 1 END) AS hhinc_100k,
+                count(CASE WHEN c_acctbal > 0 THEN 1 END) AS tocc,
+                count(CASE WHEN c_acctbal > 5000 THEN 1 END) AS msta,
+                count(CASE WHEN c_acctbal BETWEEN 0 AND 2000 THEN 1 END) AS services,
+                count(CASE WHEN c_acctbal BETWEEN 2000 AND 4000 THEN 1 END) AS sales,
+                count(CASE WHEN c_acctbal BETWEEN 4000 AND 5000 THEN 1 END) AS resources,
+                count(CASE WHEN c_custkey % 10 = 0 THEN 1 END) AS public_transit
+         FROM cn GROUP BY 1, 2, 3),
+  census AS (SELECT fips AS county_fips, lower(trim(n_name)) AS county, lower(trim(r_name)) AS state,
+                    {shares} FROM pc),
+  lw AS (SELECT k.fips, CAST(l_shipdate AS DATE) AS day, l_discount, l_tax, l_quantity
+         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+         JOIN k ON c_nationkey = n_nationkey
+         WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-01-25' AND DATE '1998-05-31'),
+  wd AS (SELECT fips, day, avg(l_discount) * 100 AS precip, min(l_tax) * 100 AS tmin,
+                max(l_quantity) AS tmax FROM lw GROUP BY 1, 2),
+  weather AS (SELECT fips AS county_fips, CAST(date_trunc('week', day) AS DATE) AS week_start_date,
+                     avg(precip) AS mean_precip, avg(tmin) AS mean_tmin, avg(tmax) AS mean_tmax
+              FROM wd WHERE CAST(date_trunc('week', day) AS DATE) >= DATE '1998-01-26' GROUP BY 1, 2),
+  ou AS (SELECT k.fips, k.r_name, CAST(o_orderdate AS DATE) AS od
+         FROM orders JOIN customer ON o_custkey = c_custkey JOIN k ON c_nationkey = n_nationkey
+         WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1998),
+  rg AS (SELECT r_name, min(CASE WHEN month(od) = 3 THEN od END) AS ss,
+                max(CASE WHEN month(od) = 4 THEN od END) AS se FROM ou GROUP BY 1),
+  nt AS (SELECT fips, min(CASE WHEN month(od) = 2 THEN od END) AS cs,
+                max(CASE WHEN month(od) = 5 THEN od END) AS ce FROM ou GROUP BY 1),
+  ko AS (SELECT k.fips, lower(k.r_name) AS state, lower(trim(k.n_name)) AS county, ss, se, cs, ce
+         FROM k LEFT JOIN rg USING (r_name) LEFT JOIN nt USING (fips)),
+  od AS (SELECT ko.*, CAST(t.d AS DATE) AS date
+         FROM ko CROSS JOIN range(DATE '1998-01-26', DATE '1998-06-01', INTERVAL 1 DAY) t(d)),
+  ofl AS (SELECT *, CASE WHEN ((ss IS NOT NULL AND ss <= date AND (se IS NULL OR se >= date))
+                          OR (ss IS NULL AND se IS NOT NULL AND se >= date))
+                      OR ((cs IS NOT NULL AND cs <= date AND (ce IS NULL OR ce >= date))
+                          OR (cs IS NULL AND ce IS NOT NULL AND ce >= date)) THEN 1 ELSE 0 END AS sip
+          FROM od),
+  ow AS (SELECT fips AS county_fips, state, county, CAST(date_trunc('week', date) AS DATE) AS week_start_date,
+                sum(sip) AS sip_days, CASE WHEN sum(sip) > 0 THEN 1 ELSE 0 END AS weekly_sipo_binary
+         FROM ofl GROUP BY fips, state, county, date_trunc('week', date), ss, se, cs, ce),
+  pn AS (SELECT c_nationkey, COUNT(*) AS nc, CAST(floor(sum(abs(c_acctbal))) AS BIGINT) AS pop,
+                {cells} FROM customer GROUP BY 1),
+  nk AS (SELECT * FROM k LEFT JOIN pn ON n_nationkey = c_nationkey),
+  dy AS (SELECT c_nationkey, CAST(o_orderdate AS DATE) AS date, COUNT(*) AS n,
+                COUNT(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) AS u
+         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+  cum AS (SELECT c_nationkey, date,
+                 sum(n) OVER (PARTITION BY c_nationkey ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cases,
+                 sum(u) OVER (PARTITION BY c_nationkey ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS deaths
+          FROM dy),
+  csp AS (SELECT fips AS county_fips, lower(r_name) AS state, lower(trim(n_name)) AS county,
+                 coalesce(pop, 0) AS pop, CASE WHEN nc IS NULL THEN NULL ELSE ({seniors}) / nullif(CAST(nc AS DOUBLE), 0) END AS share_over_65,
+                 coalesce(nc, 0) * 10.0 * 2.58999 AS km_sq, n_nationkey, CAST(t.d AS DATE) AS date
+          FROM nk CROSS JOIN range(DATE '1998-01-26', DATE '1998-06-01', INTERVAL 1 DAY) t(d)),
+  ccd AS (SELECT csp.*, coalesce(cum.cases, 0) AS cases, coalesce(cum.deaths, 0) AS deaths
+          FROM csp LEFT JOIN cum ON csp.n_nationkey = cum.c_nationkey AND csp.date = cum.date),
+  cw AS (SELECT county_fips, state, county, CAST(date_trunc('week', date) AS DATE) AS week_start_date,
+                share_over_65, ln(1 + pop / nullif(km_sq, 0)) AS log_pop_density,
+                ln(1 + avg(cases)) AS log_cases, ln(1 + avg(deaths)) AS log_deaths
+         FROM ccd GROUP BY 1, 2, 3, 4, 5, 6),
+  vt AS (SELECT fips AS county_fips, sum(CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY')
+                                            THEN floor(abs(c_acctbal)) END)
+                                     / sum(floor(abs(c_acctbal))) AS trump_vote_share
+         FROM cn GROUP BY 1),
+  pan AS (SELECT census.state, census.county, dist.county_fips, dist.week_start_date,
+                 dist.device_count, dist.completely_home_device_count,
+                 dist.device_count - dist.completely_home_device_count AS devices_leaving_home,
+                 ln(1 + dist.device_count - dist.completely_home_device_count) AS log_devices_leaving_home,
+                 median_home_dwell_time, ln(1 + median_home_dwell_time) AS log_median_home_dwell_time,
+                 median_non_home_dwell_time, ln(1 + median_non_home_dwell_time) AS log_median_non_home_dwell_time,
+                 share_of_devices, share_of_candidate_devices, share_adj_attrition,
+                 share_asian, share_black, share_white, share_bachelors, share_undergrad,
+                 share_hhinc_100k, share_poverty, share_msta, share_services, share_sales,
+                 share_resources, share_public_transit, mean_precip, mean_tmin, mean_tmax,
+                 ow.sip_days, ow.weekly_sipo_binary, cw.share_over_65, cw.log_pop_density,
+                 cw.log_cases, cw.log_deaths, vt.trump_vote_share
+          FROM dist LEFT JOIN census ON dist.county_fips = census.county_fips
+          LEFT JOIN weather ON dist.county_fips = weather.county_fips AND dist.week_start_date = weather.week_start_date
+          LEFT JOIN ow ON dist.county_fips = ow.county_fips AND dist.week_start_date = ow.week_start_date
+                      AND census.state = ow.state AND census.county = ow.county
+          LEFT JOIN cw ON dist.county_fips = cw.county_fips AND dist.week_start_date = cw.week_start_date
+                      AND census.state = cw.state AND census.county = cw.county
+          LEFT JOIN vt ON dist.county_fips = vt.county_fips)
+"""
+
+
 def _event_time(src: str, flag: str, t: str) -> str:
     return EVENT_TIME.format(src=src, flag=flag, t=t)
 
@@ -563,6 +699,26 @@ def oracle_sql() -> dict[str, str]:
          {R6('lpd')} AS log_pop_density, {R6('mc')} AS mean_cases, {R6('md')} AS mean_deaths,
          {R6('ln(1 + mc)')} AS log_cases, {R6('ln(1 + md)')} AS log_deaths
   FROM wk"""
+    pan_doubles = ["log_devices_leaving_home", "median_home_dwell_time",
+                   "log_median_home_dwell_time", "median_non_home_dwell_time",
+                   "log_median_non_home_dwell_time", "share_of_devices", "share_of_candidate_devices",
+                   "share_adj_attrition", "share_asian", "share_black", "share_white",
+                   "share_bachelors", "share_undergrad", "share_hhinc_100k", "share_poverty",
+                   "share_msta", "share_services", "share_sales", "share_resources",
+                   "share_public_transit", "mean_precip", "mean_tmin", "mean_tmax",
+                   "share_over_65", "log_pop_density", "log_cases", "log_deaths", "trump_vote_share"]
+    pan_ints = ["device_count", "completely_home_device_count", "devices_leaving_home", "sip_days",
+                "weekly_sipo_binary"]
+    q["panel_distancing_pipeline"] = _panel_sql() + f"""
+  , f AS (SELECT * FROM pan WHERE trump_vote_share IS NOT NULL),
+  r AS (SELECT county_fips, week_start_date,
+               ntile(100) OVER (ORDER BY trump_vote_share, county_fips, week_start_date) AS nt FROM f)
+  SELECT state, county, f.county_fips, f.week_start_date,
+         {", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in pan_ints)},
+         {", ".join(f"{R6(c)} AS {c}" for c in pan_doubles)},
+         CAST(CASE WHEN trump_vote_share >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS county_republican,
+         CAST(r.nt AS BIGINT) AS republican_vtsh_ntile
+  FROM f JOIN r ON f.county_fips = r.county_fips AND f.week_start_date = r.week_start_date"""
     q["snapshot_latest"] = """
       SELECT n_nationkey, n_name, n_regionkey, DATE '2024-01-31' AS snapshot_date FROM nation"""
     return q

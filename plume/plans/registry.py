@@ -67,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_weekly_pipeline": s.orders_weekly_pipeline,
     "cases_daily_pipeline": s.cases_daily_pipeline,
     "cases_weekly_pipeline": s.cases_weekly_pipeline,
+    "panel_distancing_pipeline": s.panel_distancing_pipeline,
     "snapshot_latest": s.snapshot_latest,
 }
 

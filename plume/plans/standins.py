@@ -900,6 +900,132 @@ def cases_weekly_pipeline(spark, d):
                                                "mean_deaths", "log_cases", "log_deaths"]])
 
 
+# --- the distancing panel build (D11) on one nation x 1998 world -------------------
+
+PANEL_DAYS = ("1998-01-25", "1998-05-31")   # 127 days; the first (a Sunday) is dropped weekly
+
+
+def nation_world(spark, d) -> dict:
+    """Raw tables of every source at nation grain (county = nation, state =
+    region), all derived from the driver tables, so the panel's joins line up."""
+    keys = _nation_keys(spark, d)
+    cust = table(spark, d, "customer")
+    cn = cust.join(keys, cust.c_nationkey == keys.n_nationkey)
+    o = table(spark, d, "orders").select("o_custkey", F.to_date("o_orderdate").alias("day"))
+    per_cd = o.groupBy("o_custkey", "day").agg(F.count(F.lit(1)).alias("n_orders"))
+    # devices: one block group per customer, every day of the window
+    spine = shape.date_spine(cn.select("c_custkey", "fips", "c_acctbal"), *PANEL_DAYS, "day")
+    dev = spine.join(per_cd.withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey", "day"], "left")
+    n_o = F.coalesce("n_orders", F.lit(0))
+    devices = dev.select(
+        F.concat("fips", F.lpad(F.col("c_custkey").cast("string"), 7, "0")).alias("origin_census_block_group"),
+        F.concat(F.col("day").cast("string"), F.lit("T00:00:00-05:00")).alias("date_range_start"),
+        (F.lit(50) + n_o * 10 + F.col("c_custkey") % 7).cast("long").alias("device_count"),
+        (F.lit(20) + F.col("c_custkey") % 5 + F.dayofmonth("day") % 3).cast("long")
+        .alias("completely_home_device_count"),
+        (F.abs("c_acctbal") / 10 + n_o).alias("median_home_dwell_time"),
+        (F.abs("c_acctbal") / 20 + F.dayofweek("day")).alias("median_non_home_dwell_time"),
+        (F.lit(60) + n_o * 10 + F.col("c_custkey") % 7).cast("long").alias("candidate_device_count"))
+    # weather: per nation and ship day from line items
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_discount", "l_tax", "l_quantity",
+                                            F.to_date("l_shipdate").alias("day"))
+    oc = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    lw = li.join(oc, "l_orderkey").join(
+        cust.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey") \
+        .join(keys, F.col("c_nationkey") == keys.n_nationkey) \
+        .filter(F.col("day").between(F.to_date(F.lit(PANEL_DAYS[0])), F.to_date(F.lit(PANEL_DAYS[1]))))
+    weather = lw.groupBy("fips", "day").agg(
+        (F.avg("l_discount") * 100).alias("precip"), (F.min("l_tax") * 100).alias("tmin"),
+        F.max("l_quantity").alias("tmax")).select(
+        F.col("fips").cast("int").cast("string").alias("county"),
+        F.col("day").cast("string").alias("date"), "precip", "tmin", "tmax")
+    # census: long ACS cells from customer counts by segment
+    seg = lambda v: F.count(F.when(F.col("c_mktsegment") == v, 1)).cast("double")
+    pc = cn.groupBy("fips", "n_name", "r_name").agg(
+        F.count(F.lit(1)).cast("double").alias("total"),
+        seg("BUILDING").alias("bachelors"), seg("AUTOMOBILE").alias("white"),
+        seg("FURNITURE").alias("black"), seg("HOUSEHOLD").alias("asian"),
+        seg("MACHINERY").alias("current_undergrad"),
+        F.count(F.when(F.col("c_acctbal") < 0, 1)).cast("double").alias("poverty"),
+        F.count(F.when(F.col("c_acctbal") > 9000, 1)).cast("double").alias("hhinc_100k"),
+        F.count(F.when(F.col("c_acctbal") > 0, 1)).cast("double").alias("total_occupations"),
+        F.count(F.when(F.col("c_acctbal") > 5000, 1)).cast("double").alias("msta"),
+        F.count(F.when(F.col("c_acctbal").between(0, 2000), 1)).cast("double").alias("services"),
+        F.count(F.when(F.col("c_acctbal").between(2000, 4000), 1)).cast("double").alias("sales"),
+        F.count(F.when(F.col("c_acctbal").between(4000, 5000), 1)).cast("double").alias("resources"),
+        F.count(F.when(F.col("c_custkey") % 10 == 0, 1)).cast("double").alias("public_transit"))
+    from plume.sources.context import ACS_OCC_VARS, ACS_REP_VARS
+    names = ACS_REP_VARS + [v for v in ACS_OCC_VARS]
+    cells = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).alias("estimate")) for v in names])
+    acs = pc.select(F.col("fips").alias("GEOID"),
+                    F.concat("n_name", F.lit(" County, "), "r_name").alias("NAME"),
+                    F.explode(cells).alias("c")).select(
+        "GEOID", "NAME", "c.variable", "c.estimate", F.lit(0.0).alias("moe"))
+    pop16 = pc.select(F.concat(F.lit("."), "n_name", F.lit(" County, "), "r_name").alias("county"),
+                      F.col("total").cast("long").alias("population"))
+    # votes: one precinct per customer
+    votes = cn.select(F.col("r_name").alias("state"), F.substring("fips", 1, 2).alias("state_fips"),
+                      F.lit("XX").alias("state_postal"), F.col("n_name").alias("county_name"),
+                      F.col("fips").alias("county_fips"), F.lit(0.0).alias("county_lat"),
+                      F.lit(0.0).alias("county_long"), F.lit("US President").alias("office"),
+                      F.lit("c").alias("candidate"), F.lit("p").alias("party"),
+                      F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "trump")
+                      .otherwise("other").alias("candidate_normalized"),
+                      F.floor(F.abs("c_acctbal")).cast("long").alias("votes"))
+    # orders at nation grain: region-wide and nation-wide 1-URGENT spells of 1998
+    ou = table(spark, d, "orders").filter((F.col("o_orderpriority") == "1-URGENT") &
+                                          (F.year("o_orderdate") == 1998)) \
+        .select("o_custkey", F.to_date("o_orderdate").alias("od")) \
+        .join(cust.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey") \
+        .join(keys, F.col("c_nationkey") == keys.n_nationkey)
+    reg = ou.groupBy("r_name").agg(
+        F.min(F.when(F.month("od") == 3, F.col("od"))).alias("ss"),
+        F.max(F.when(F.month("od") == 4, F.col("od"))).alias("se"))
+    nat = ou.groupBy("fips").agg(
+        F.min(F.when(F.month("od") == 2, F.col("od"))).alias("cs"),
+        F.max(F.when(F.month("od") == 5, F.col("od"))).alias("ce"))
+    fmt = lambda c: F.date_format(c, "M/d/yyyy")
+    ko = keys.join(reg, "r_name", "left").join(nat, "fips", "left")
+    none = F.lit(None).cast("string")
+    county_orders = ko.select(
+        F.substring("fips", 1, 2).alias("state_code"), F.substring("fips", 3, 3).alias("county_code"),
+        F.lit("XX").alias("state"), F.col("r_name").alias("state_name"),
+        F.concat("n_name", F.lit(" County")).alias("county_name"), F.lit(1000).cast("long")
+        .alias("popestimate2019"),
+        fmt("ss").alias("state_sip_start_date"), fmt("se").alias("state_sip_end_date"),
+        fmt("cs").alias("county_sip_start_date"), fmt("ce").alias("county_sip_end_date"),
+        *[none.alias(f"citation{i}") for i in range(1, 6)])
+    return {"devices": devices, "weather": weather, "acs": acs, "pop16": pop16, "votes": votes,
+            "county_orders": county_orders}
+
+
+def panel_distancing_pipeline(spark, d):
+    """Distancing-only county-week panel built from every source stage."""
+    from plume.plans.build import panel_distancing_weekly
+    from plume.sources import context, health, mobility
+    w = nation_world(spark, d)
+    dist = mobility.distancing(w["devices"], n_days=127, base=("1998-01-26", "1998-02-01"),
+                               last_day=PANEL_DAYS[1], first_week="1998-01-26")
+    census = context.census(w["acs"], w["pop16"])
+    weather = context.weather(w["weather"], first_week="1998-01-26")
+    pop = w["county_orders"].select(F.col("state_code").alias("STATE"),
+                                    F.col("county_code").alias("COUNTY"),
+                                    F.col("state_name").alias("STNAME"),
+                                    F.col("county_name").alias("CTYNAME"),
+                                    F.col("popestimate2019").alias("POPESTIMATE2019"))
+    orders = health.orders(w["county_orders"], pop, "1998-01-26", PANEL_DAYS[1])
+    cin = nation_cases_inputs(spark, d)
+    cases = health.cases(spark, cin["nyt"], cin["orders"], cin["pop"], cin["area"], cin["acs"],
+                         start="1998-01-26", end=PANEL_DAYS[1])
+    votes = context.votes(w["votes"])
+    panel = panel_distancing_weekly(dist["weekly"], census, weather["weekly"], orders["weekly"],
+                                    cases["weekly"], votes)
+    kinds = dict(panel.dtypes)
+    return panel.select(*[r6(c).alias(c) if kinds[c] == "double"
+                          else F.col(c).cast("long") if kinds[c] in ("int", "bigint")
+                          else F.col(c) for c in panel.columns])
+
+
 def snapshot_latest(spark, d):
     from plume.sources.io import read_latest, write_snapshot
     from plume.session import scratch_path
