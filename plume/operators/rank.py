@@ -88,13 +88,14 @@ def ntile(df: DataFrame, n: int, value_col: str, tiebreak: list[str],
     """
     group_cols = list(group_cols or [])
     base = df.withColumn("_ord", -F.col(value_col) if descending else F.col(value_col))
-    ranked = dist_rank(base.filter(F.col("_ord").isNotNull()), ["_ord", *tiebreak],
-                       group_cols, rank_col="_rk", size_col="_sz")
-    ranked = ranked.withColumn(out_col, ntile_from_rank(F.col("_rk"), F.col("_sz"), n)) \
-        .drop("_rk", "_sz", "_ord")
-    nulls = base.filter(F.col("_ord").isNull()).drop("_ord") \
-        .withColumn(out_col, F.lit(None).cast("int"))
-    return ranked.unionByName(nulls)
+    base = base.withColumn("_nul", F.col("_ord").isNull())
+    # one pass: null values form their own group (ranked but never bucketed),
+    # so the input plan runs once even though null rows are kept
+    ranked = dist_rank(base, ["_ord", *tiebreak], [*group_cols, "_nul"],
+                       rank_col="_rk", size_col="_sz")
+    ranked = ranked.withColumn(
+        out_col, F.when(~F.col("_nul"), ntile_from_rank(F.col("_rk"), F.col("_sz"), n)))
+    return ranked.drop("_rk", "_sz", "_ord", "_nul")
 
 
 def quantiles(df: DataFrame, value_col: str, probs: list[float],

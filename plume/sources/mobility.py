@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from plume.functions import calendar as cal
 from plume.functions import rsem
 from plume.functions import strings as st
-from plume.operators import aggregate as agg
 from plume.operators import joins, shape, spatial
 
 # Fixed values of the distancing build (must equal the reference's)
@@ -164,15 +163,21 @@ def distancing(devices: DataFrame, n_days: int = DISTANCING_DAYS, base=(BASE_STA
     """
     rows = _distancing_rows(devices)
     rows = rows.filter(F.substring("county_fips", 1, 2) != drop_state)
-    rows = agg.full_coverage(rows, ["county_fips"], "date", n_days)
+    # pass 1 (county grain): day coverage (M8) and the base-week mean device
+    # count (M1) in one aggregate; only covered counties are kept
+    in_base = F.col("date").between(F.to_date(F.lit(base[0])), F.to_date(F.lit(base[1])))
+    stats = rows.groupBy("county_fips").agg(
+        F.countDistinct("date").alias("_days"),
+        rsem.mean_skip(F.when(in_base, F.col("device_count"))).alias("initial_device_count"))
+    covered = stats.filter(F.col("_days") == n_days).drop("_days")
+    # pass 2: rows of covered counties with their base attached (county-grain
+    # right side: broadcast while it fits the size threshold)
+    rows = rows.join(covered, "county_fips", "inner")
     rows = rows.withColumns({
         "share_of_devices": 1 - rsem.safe_div("completely_home_device_count", "device_count"),
         "share_of_candidate_devices":
             1 - rsem.safe_div("completely_home_device_count", "candidate_device_count"),
     })
-    init = rows.filter(F.col("date").between(F.to_date(F.lit(base[0])), F.to_date(F.lit(base[1])))) \
-        .groupBy("county_fips").agg(rsem.mean_skip("device_count").alias("initial_device_count"))
-    rows = rows.join(init, "county_fips", "left")
     num = rsem.clip_low0(F.col("completely_home_device_count") + F.col("initial_device_count")
                          - F.col("device_count"))
     rows = rows.withColumn("share_adj_attrition",

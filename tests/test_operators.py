@@ -129,3 +129,11 @@ def test_point_in_polygon_matches_brute_force(spark):
     got = {r.id: r.county for r in out.collect()}
     # (2,2) lies on the hypotenuse and (7,6) on the square's edge: both inside
     assert got == {1: "tri", 2: None, 3: "tri", 4: "sq", 5: "sq", 6: None, 7: "tri"}
+
+
+def test_full_coverage_drops_partial_entities(spark):
+    from plume.operators.aggregate import coverage_keys, full_coverage
+    rows = [("a", d) for d in range(3)] + [("b", 0), ("b", 2)] + [("c", d) for d in range(3)]
+    df = spark.createDataFrame(rows, "e string, d int")
+    assert sorted({r.e for r in full_coverage(df, ["e"], "d", 3).collect()}) == ["a", "c"]
+    assert sorted(r.e for r in coverage_keys(df, ["e"], "d").collect()) == ["a", "c"]
