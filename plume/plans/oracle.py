@@ -197,13 +197,14 @@ NATION_CASES = """
   cd AS (SELECT sp.county_fips, sp.date, state, county, popestimate2019,
                 coalesce(cum.cases, 0) AS cases, coalesce(cum.deaths, 0) AS deaths, share_over_65, km_sq
          FROM sp LEFT JOIN cum ON sp.n_nationkey = cum.c_nationkey AND sp.date = cum.date)
-""".format(cells=", ".join(f"COUNT(CASE WHEN c_custkey % 12 = {k - 1} THEN 1 END) AS s{k}"
+""".format(cells=", ".join(f"COUNT(CASE WHEN floor((c_acctbal + 1000) / 917.5) = {k - 1} THEN 1 END) AS s{k}"
                            for k in range(1, 13)),
            seniors=" + ".join(f"s{k}" for k in range(1, 13)))
 
 
 def _panel_sql() -> str:
-    cells = ", ".join(f"COUNT(CASE WHEN c_custkey % 12 = {k - 1} THEN 1 END) AS s{k}" for k in range(1, 13))
+    cells = ", ".join(f"COUNT(CASE WHEN floor((c_acctbal + 1000) / 917.5) = {k - 1} THEN 1 END) AS s{k}"
+                      for k in range(1, 13))
     seniors = " + ".join(f"s{k}" for k in range(1, 13))
     shares = ("asian / population AS share_asian, black / population AS share_black, "
               "white / population AS share_white, bachelors / population AS share_bachelors, "
@@ -220,11 +221,11 @@ def _panel_sql() -> str:
   pcd AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n FROM orders GROUP BY 1, 2),
   dv0 AS (SELECT cn.fips AS county_fips, CAST(t.d AS DATE) AS date, cn.c_custkey, cn.c_acctbal
           FROM cn CROSS JOIN range(DATE '1998-01-25', DATE '1998-06-01', INTERVAL 1 DAY) t(d)),
-  dv AS (SELECT county_fips, date, 50 + coalesce(n, 0) * 10 + c_custkey % 7 AS devices,
-                20 + c_custkey % 5 + dayofmonth(date) % 3 AS home,
+  dv AS (SELECT county_fips, date, 50 + coalesce(n, 0) * 10 + (dayofweek(date) + 1) AS devices,
+                20 + floor(abs(c_acctbal) / 2000) + CASE WHEN dayofmonth(date) > 15 THEN 1 ELSE 0 END AS home,
                 abs(c_acctbal) / 10 + coalesce(n, 0) AS mh,
                 abs(c_acctbal) / 20 + (dayofweek(date) + 1) AS mn,
-                60 + coalesce(n, 0) * 10 + c_custkey % 7 AS cand
+                60 + coalesce(n, 0) * 10 + (dayofweek(date) + 1) AS cand
          FROM dv0 LEFT JOIN pcd ON dv0.c_custkey = pcd.o_custkey AND dv0.date = pcd.day),
   cov AS (SELECT county_fips FROM dv GROUP BY 1 HAVING count(DISTINCT date) = 127),
   rw AS (SELECT dv.* FROM dv JOIN cov USING (county_fips) WHERE substr(county_fips, 1, 2) <> '02'),
@@ -260,7 +261,7 @@ def _panel_sql() -> str:
                 count(CASE WHEN c_acctbal BETWEEN 0 AND 2000 THEN 1 END) AS services,
                 count(CASE WHEN c_acctbal BETWEEN 2000 AND 4000 THEN 1 END) AS sales,
                 count(CASE WHEN c_acctbal BETWEEN 4000 AND 5000 THEN 1 END) AS resources,
-                count(CASE WHEN c_custkey % 10 = 0 THEN 1 END) AS public_transit
+                count(CASE WHEN c_acctbal > 8000 THEN 1 END) AS public_transit
          FROM cn GROUP BY 1, 2, 3),
   census AS (SELECT fips AS county_fips, lower(trim(n_name)) AS county, lower(trim(r_name)) AS state,
                     {shares} FROM pc),
@@ -494,7 +495,7 @@ def oracle_sql() -> dict[str, str]:
              ("s2", "c3", 6000.0, 5000.0, 9000.0, 9000.0), ("s2", "c4", -1000.0, 2000.0, -100.0, 8000.0)]
     vals = ", ".join(f"('{s}', '{c}', {a}, {b}, {x}, {y})" for s, c, a, b, x, y in rects)
     q["point_in_rect"] = f"""
-      WITH p AS (SELECT c_custkey, c_acctbal AS x, CAST((c_custkey * 7919) % 10007 AS DOUBLE) AS y
+      WITH p AS (SELECT c_custkey, c_acctbal AS x, CAST(c_nationkey * 400 + c_custkey / 100 AS DOUBLE) AS y
                  FROM customer),
       r AS (SELECT * FROM (VALUES {vals}) t(state, county, x0, y0, x1, y1)),
       m AS (SELECT p.c_custkey, min(r.state || '|' || r.county) AS sc

@@ -359,7 +359,7 @@ def rect_vertices(spark):
 def point_in_rect(spark, d):
     c = table(spark, d, "customer")
     pts = c.select("c_custkey", F.col("c_acctbal").alias("x"),
-                   ((F.col("c_custkey") * 7919) % 10007).cast("double").alias("y"))
+                   (F.col("c_nationkey") * 400 + F.col("c_custkey") / 100).cast("double").alias("y"))
     out = spatial.points_to_polygons(pts, rect_vertices(spark), "x", "y", ["c_custkey"],
                                      cell=1000.0)
     return out.select("c_custkey", "x", "y", "state", "county")
@@ -833,12 +833,13 @@ def nation_cases_inputs(spark, d) -> dict:
     cases / deaths = cumulative orders / 1-URGENT orders of the nation's
     customers by order date (whole orders table); population = summed
     balances, land area = 10 x customers, ACS age cells s1..s12 = customers
-    by key residue, total = customers."""
+    in twelve balance bands, total = customers."""
     keys = _nation_keys(spark, d)
     cust = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     per_n = cust.groupBy("c_nationkey").agg(
         F.count(F.lit(1)).alias("nc"), F.floor(F.sum(F.abs("c_acctbal"))).cast("long").alias("pop"),
-        *[F.count(F.when(F.col("c_custkey") % 12 == k - 1, 1)).alias(f"s{k}") for k in range(1, 13)])
+        *[F.count(F.when(F.floor((F.col("c_acctbal") + 1000) / 917.5) == k - 1, 1)).alias(f"s{k}")
+          for k in range(1, 13)])
     nk = keys.join(per_n, keys.n_nationkey == per_n.c_nationkey, "left")
     orders = nk.select(
         F.substring("fips", 1, 2).alias("state_code"), F.substring("fips", 3, 3).alias("county_code"),
@@ -920,12 +921,13 @@ def nation_world(spark, d) -> dict:
     devices = dev.select(
         F.concat("fips", F.lpad(F.col("c_custkey").cast("string"), 7, "0")).alias("origin_census_block_group"),
         F.concat(F.col("day").cast("string"), F.lit("T00:00:00-05:00")).alias("date_range_start"),
-        (F.lit(50) + n_o * 10 + F.col("c_custkey") % 7).cast("long").alias("device_count"),
-        (F.lit(20) + F.col("c_custkey") % 5 + F.dayofmonth("day") % 3).cast("long")
+        (F.lit(50) + n_o * 10 + F.dayofweek("day")).cast("long").alias("device_count"),
+        (F.lit(20) + F.floor(F.abs("c_acctbal") / 2000)
+         + F.when(F.dayofmonth("day") > 15, 1).otherwise(0)).cast("long")
         .alias("completely_home_device_count"),
         (F.abs("c_acctbal") / 10 + n_o).alias("median_home_dwell_time"),
         (F.abs("c_acctbal") / 20 + F.dayofweek("day")).alias("median_non_home_dwell_time"),
-        (F.lit(60) + n_o * 10 + F.col("c_custkey") % 7).cast("long").alias("candidate_device_count"))
+        (F.lit(60) + n_o * 10 + F.dayofweek("day")).cast("long").alias("candidate_device_count"))
     # weather: per nation and ship day from line items
     li = table(spark, d, "lineitem").select("l_orderkey", "l_discount", "l_tax", "l_quantity",
                                             F.to_date("l_shipdate").alias("day"))
@@ -953,7 +955,7 @@ def nation_world(spark, d) -> dict:
         F.count(F.when(F.col("c_acctbal").between(0, 2000), 1)).cast("double").alias("services"),
         F.count(F.when(F.col("c_acctbal").between(2000, 4000), 1)).cast("double").alias("sales"),
         F.count(F.when(F.col("c_acctbal").between(4000, 5000), 1)).cast("double").alias("resources"),
-        F.count(F.when(F.col("c_custkey") % 10 == 0, 1)).cast("double").alias("public_transit"))
+        F.count(F.when(F.col("c_acctbal") > 8000, 1)).cast("double").alias("public_transit"))
     from plume.sources.context import ACS_OCC_VARS, ACS_REP_VARS
     names = ACS_REP_VARS + [v for v in ACS_OCC_VARS]
     cells = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).alias("estimate")) for v in names])
