@@ -502,6 +502,30 @@ def oracle_sql() -> dict[str, str]:
             FROM p JOIN r ON p.x BETWEEN r.x0 AND r.x1 AND p.y BETWEEN r.y0 AND r.y1 GROUP BY 1)
       SELECT p.c_custkey, p.x, p.y, split_part(m.sc, '|', 1) AS state, split_part(m.sc, '|', 2) AS county
       FROM p LEFT JOIN m ON p.c_custkey = m.c_custkey"""
+    polys = [("t1", "tri", [(0.0, 0.0), (3000.0, 0.0), (0.0, 3000.0)]),
+             ("t1", "pent", [(4000.0, 1000.0), (6000.0, 1000.0), (7000.0, 3000.0), (5000.0, 5000.0),
+                             (3500.0, 3000.0)]),
+             ("t2", "quad", [(6000.0, 5000.0), (9500.0, 6000.0), (9000.0, 9000.0), (6500.0, 8500.0)])]
+    edges = ", ".join(f"('{s_}', '{c}', {x1}, {y1}, {x2}, {y2})"
+                      for s_, c, pts in polys
+                      for (x1, y1), (x2, y2) in zip(pts, pts[1:] + pts[:1]))
+    q["point_in_polygon"] = f"""
+      WITH p AS (SELECT c_custkey, c_acctbal AS x, CAST(c_nationkey * 400 + c_custkey / 100 AS DOUBLE) AS y
+                 FROM customer),
+      e AS (SELECT * FROM (VALUES {edges}) t(state, county, x1, y1, x2, y2)),
+      pe AS (SELECT p.c_custkey, e.state, e.county,
+               CASE WHEN (x - x1) * (y2 - y1) = (y - y1) * (x2 - x1)
+                     AND x BETWEEN least(x1, x2) AND greatest(x1, x2)
+                     AND y BETWEEN least(y1, y2) AND greatest(y1, y2) THEN 1 ELSE 0 END AS on_edge,
+               CASE WHEN (y1 > y) <> (y2 > y)
+                     AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 THEN 1 ELSE 0 END AS crossing
+             FROM p CROSS JOIN e),
+      inside AS (SELECT c_custkey, min(state || '|' || county) AS sc FROM (
+                   SELECT c_custkey, state, county FROM pe GROUP BY 1, 2, 3
+                   HAVING max(on_edge) = 1 OR sum(crossing) % 2 = 1) z GROUP BY 1)
+      SELECT p.c_custkey, p.x, p.y, split_part(inside.sc, '|', 1) AS state,
+             split_part(inside.sc, '|', 2) AS county
+      FROM p LEFT JOIN inside ON p.c_custkey = inside.c_custkey"""
     lagcols = ", ".join(
         [f"{R6(f'lag(total_value, {k}) OVER w')} AS lag{k}" for k in (1, 2, 3)] +
         [f"{R6(f'lead(total_value, {k}) OVER w')} AS lead{k}" for k in (1, 2, 3)])

@@ -36,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_left_chain": s.star_left_chain,
     "renamed_key_inner": s.renamed_key_inner,
     "point_in_rect": s.point_in_rect,
+    "point_in_polygon": s.point_in_polygon,
     "lags_leads": s.lags_leads,
     "fill_down": s.fill_down,
     "fill_up": s.fill_up,

@@ -365,6 +365,27 @@ def point_in_rect(spark, d):
     return out.select("c_custkey", "x", "y", "state", "county")
 
 
+# Fixed polygons of the general point-in-polygon stand-in: (state, county, [(x, y), ...])
+POLYGONS = [
+    ("t1", "tri", [(0.0, 0.0), (3000.0, 0.0), (0.0, 3000.0)]),
+    ("t1", "pent", [(4000.0, 1000.0), (6000.0, 1000.0), (7000.0, 3000.0), (5000.0, 5000.0),
+                    (3500.0, 3000.0)]),
+    ("t2", "quad", [(6000.0, 5000.0), (9500.0, 6000.0), (9000.0, 9000.0), (6500.0, 8500.0)]),
+]
+
+
+def point_in_polygon(spark, d):
+    """J7 with non-rectangular polygons: ray casting, edges included."""
+    rows = [(s_, c, 1, i + 1, x, y) for s_, c, pts in POLYGONS for i, (x, y) in enumerate(pts)]
+    verts = spark.createDataFrame(rows, "state string, county string, ring int, seq int, "
+                                        "lon double, lat double")
+    c = table(spark, d, "customer")
+    pts = c.select("c_custkey", F.col("c_acctbal").alias("x"),
+                   (F.col("c_nationkey") * 400 + F.col("c_custkey") / 100).cast("double").alias("y"))
+    out = spatial.points_to_polygons(pts, verts, "x", "y", ["c_custkey"], cell=1000.0)
+    return out.select("c_custkey", "x", "y", "state", "county")
+
+
 # --- windows -----------------------------------------------------------------------------
 
 def lags_leads(spark, d):
