@@ -744,6 +744,19 @@ def oracle_sql() -> dict[str, str]:
          CAST(CASE WHEN trump_vote_share >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS county_republican,
          CAST(r.nt AS BIGINT) AS republican_vtsh_ntile
   FROM f JOIN r ON f.county_fips = r.county_fips AND f.week_start_date = r.week_start_date"""
+    q["streaming_device_rollup"] = f"""
+      WITH dv AS (
+        SELECT lpad(CAST(user_id AS VARCHAR), 5, '0') AS county_fips, CAST(ts AS DATE) AS date,
+               COUNT(*) AS devices, COUNT(CASE WHEN value < 10 THEN 1 END) AS home,
+               avg(value) AS mh, max(value) AS mn, COUNT(*) + 2 AS cand
+        FROM events GROUP BY user_id, event_type, CAST(ts AS DATE))
+      SELECT county_fips, date, CAST(coalesce(sum(devices), 0) AS BIGINT) AS device_count,
+             CAST(coalesce(sum(home), 0) AS BIGINT) AS completely_home_device_count,
+             {R6('avg(1 - home / nullif(devices, 0))')} AS share_of_devices,
+             {R6('avg(1 - home / nullif(cand, 0))')} AS share_of_candidate_devices,
+             {R6('CASE WHEN count(devices * mh) = count(*) THEN sum(devices * mh) END / nullif(sum(devices), 0)')} AS median_home_dwell_time,
+             {R6('CASE WHEN count(devices * mn) = count(*) THEN sum(devices * mn) END / nullif(sum(devices), 0)')} AS median_non_home_dwell_time
+      FROM dv GROUP BY 1, 2"""
     q["snapshot_latest"] = """
       SELECT n_nationkey, n_name, n_regionkey, DATE '2024-01-31' AS snapshot_date FROM nation"""
     return q

@@ -1049,6 +1049,35 @@ def panel_distancing_pipeline(spark, d):
                           else F.col(c) for c in panel.columns])
 
 
+# --- incremental roll-up (survey 2.14) over device files derived from events -------
+
+def streaming_device_rollup(spark, d):
+    """The events-derived device rows arrive as CSV files in a folder under the
+    shared checkpoint folder (first and second half of the month as separate
+    writes); the file-source stream rolls them up trigger by trigger
+    (``availableNow``, one file per trigger) and the silver table is read back."""
+    import uuid
+
+    from plume.session import scratch_path
+    from plume.streaming.incremental import _rollup_stream, _device_rollup, _device_rows
+    from plume.sources import schemas as sch
+
+    base = scratch_path(spark, "streams", f"devices-{uuid.uuid4().hex}")
+    dev = device_days(spark, d)
+    first = F.substring("date_range_start", 1, 10) < "2024-01-16"
+    dev.filter(first).write.option("header", True).csv(f"{base}/src")
+    dev.filter(~first).write.mode("append").option("header", True).csv(f"{base}/src")
+    q = _rollup_stream(spark, f"{base}/src", sch.DEVICE_DAILY, f"{base}/bronze", f"{base}/silver",
+                       "date", _device_rows, _device_rollup, f"{base}/ck", max_files=1)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/silver")
+    return out.select("county_fips", F.col("date").cast("date").alias("date"), "device_count",
+                      "completely_home_device_count",
+                      *[r6(c).alias(c) for c in ["share_of_devices", "share_of_candidate_devices",
+                                                 "median_home_dwell_time",
+                                                 "median_non_home_dwell_time"]])
+
+
 def snapshot_latest(spark, d):
     from plume.sources.io import read_latest, write_snapshot
     from plume.session import scratch_path
