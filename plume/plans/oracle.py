@@ -335,7 +335,46 @@ def _panel_sql() -> str:
                       AND census.state = ow.state AND census.county = ow.county
           LEFT JOIN cw ON dist.county_fips = cw.county_fips AND dist.week_start_date = cw.week_start_date
                       AND census.state = cw.state AND census.county = cw.county
-          LEFT JOIN vt ON dist.county_fips = vt.county_fips)
+          LEFT JOIN vt ON dist.county_fips = vt.county_fips),
+  sup AS (SELECT s_suppkey, lower(k.r_name) AS state, lower(k.n_name) AS county
+          FROM supplier JOIN k ON s_nationkey = n_nationkey),
+  ld AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS day,
+                CAST(date_trunc('week', CAST(l_shipdate AS DATE)) AS DATE) AS week, l_quantity
+         FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-01-26' AND DATE '1998-05-31'),
+  spw AS (SELECT l_suppkey, week, COUNT(*) AS visits, count(DISTINCT day) AS visitors,
+                 CAST(sum(l_quantity) AS BIGINT) AS sq FROM ld GROUP BY 1, 2),
+  sps AS (SELECT *, least(visitors, CASE WHEN sq % 5 = 0 THEN 0 WHEN sq % 2 = 0 THEN sq % 9
+                                         ELSE 0 END) AS same FROM spw),
+  poiw AS (SELECT state, county, week AS week_start_date, sum(visits) AS total_visits,
+                  sum(visitors) AS total_visitors, sum(same) AS tsame, sum(visitors - same) AS tdiff
+           FROM sps JOIN sup ON l_suppkey = s_suppkey GROUP BY 1, 2, 3),
+  poi AS (SELECT poiw.state, poiw.county, kf.fips AS county_fips, week_start_date,
+                 total_visits, ln(1 + total_visits) AS log_total_visits,
+                 total_visitors, ln(1 + total_visitors) AS log_total_visitors,
+                 tsame AS total_visitors_same_cbg, tsame / nullif(total_visitors, 0) AS share_visitors_same_cbg,
+                 tdiff AS total_visitors_diff_cbg, tdiff / nullif(total_visitors, 0) AS share_visitors_diff_cbg
+          FROM poiw LEFT JOIN (SELECT lower(r_name) AS state, lower(n_name) AS county, fips FROM k) kf
+               ON poiw.state = kf.state AND poiw.county = kf.county),
+  pan10 AS (SELECT poi.*, dist.device_count, dist.completely_home_device_count,
+                 dist.device_count - dist.completely_home_device_count AS devices_leaving_home,
+                 ln(1 + dist.device_count - dist.completely_home_device_count) AS log_devices_leaving_home,
+                 median_home_dwell_time, ln(1 + median_home_dwell_time) AS log_median_home_dwell_time,
+                 median_non_home_dwell_time, ln(1 + median_non_home_dwell_time) AS log_median_non_home_dwell_time,
+                 share_of_devices, share_of_candidate_devices, share_adj_attrition,
+                 share_asian, share_black, share_white, share_bachelors, share_undergrad,
+                 share_hhinc_100k, share_poverty, share_msta, share_services, share_sales,
+                 share_resources, share_public_transit, mean_precip, mean_tmin, mean_tmax,
+                 ow.sip_days, ow.weekly_sipo_binary, cw.share_over_65, cw.log_pop_density,
+                 cw.log_cases, cw.log_deaths, vt.trump_vote_share
+          FROM poi LEFT JOIN dist ON poi.county_fips = dist.county_fips AND poi.week_start_date = dist.week_start_date
+          LEFT JOIN census ON poi.county_fips = census.county_fips AND poi.state = census.state
+                          AND poi.county = census.county
+          LEFT JOIN weather ON poi.county_fips = weather.county_fips AND poi.week_start_date = weather.week_start_date
+          LEFT JOIN ow ON poi.county_fips = ow.county_fips AND poi.week_start_date = ow.week_start_date
+                      AND poi.state = ow.state AND poi.county = ow.county
+          LEFT JOIN cw ON poi.county_fips = cw.county_fips AND poi.week_start_date = cw.week_start_date
+                      AND poi.state = cw.state AND poi.county = cw.county
+          LEFT JOIN vt ON poi.county_fips = vt.county_fips)
 """
 
 
@@ -757,6 +796,19 @@ def oracle_sql() -> dict[str, str]:
              {R6('CASE WHEN count(devices * mh) = count(*) THEN sum(devices * mh) END / nullif(sum(devices), 0)')} AS median_home_dwell_time,
              {R6('CASE WHEN count(devices * mn) = count(*) THEN sum(devices * mn) END / nullif(sum(devices), 0)')} AS median_non_home_dwell_time
       FROM dv GROUP BY 1, 2"""
+    poi_doubles = ["log_total_visits", "log_total_visitors", "share_visitors_same_cbg",
+                   "share_visitors_diff_cbg"]
+    poi_ints = ["total_visits", "total_visitors", "total_visitors_same_cbg", "total_visitors_diff_cbg"]
+    q["panel_weekly_pipeline"] = _panel_sql() + f"""
+  , f AS (SELECT * FROM pan10 WHERE trump_vote_share IS NOT NULL),
+  r AS (SELECT county_fips, week_start_date,
+               ntile(100) OVER (ORDER BY trump_vote_share, county_fips, week_start_date) AS nt FROM f)
+  SELECT state, county, f.county_fips, f.week_start_date,
+         {", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in poi_ints + pan_ints)},
+         {", ".join(f"{R6(c)} AS {c}" for c in poi_doubles + pan_doubles)},
+         CAST(CASE WHEN trump_vote_share >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS county_republican,
+         CAST(r.nt AS BIGINT) AS republican_vtsh_ntile
+  FROM f JOIN r ON f.county_fips = r.county_fips AND f.week_start_date = r.week_start_date"""
     q["snapshot_latest"] = """
       SELECT n_nationkey, n_name, n_regionkey, DATE '2024-01-31' AS snapshot_date FROM nation"""
     return q

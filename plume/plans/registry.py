@@ -69,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cases_daily_pipeline": s.cases_daily_pipeline,
     "cases_weekly_pipeline": s.cases_weekly_pipeline,
     "panel_distancing_pipeline": s.panel_distancing_pipeline,
+    "panel_weekly_pipeline": s.panel_weekly_pipeline,
     "streaming_device_rollup": s.streaming_device_rollup,
     "snapshot_latest": s.snapshot_latest,
 }

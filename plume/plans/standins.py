@@ -1078,6 +1078,76 @@ def streaming_device_rollup(spark, d):
                                                  "median_non_home_dwell_time"]])
 
 
+# --- the full weekly panel (D10): POI outcomes + the D11 chain ----------------------
+
+def supplier_patterns(spark, d) -> dict:
+    """Stand-in POI inputs at nation grain: place = supplier, visits = line
+    items it ships per day (1998-01-26..05-31), visitors = active days, home
+    map by the rule of ``weekly_patterns`` on the shipped quantity; the place
+    lookup and the county-name -> FIPS table come from nation and region."""
+    keys = _nation_keys(spark, d)
+    sup = table(spark, d, "supplier").join(keys, F.col("s_nationkey") == keys.n_nationkey)
+    li = table(spark, d, "lineitem").select("l_suppkey", "l_quantity",
+                                            F.to_date("l_shipdate").alias("day")) \
+        .filter(F.col("day").between(F.to_date(F.lit("1998-01-26")), F.to_date(F.lit(PANEL_DAYS[1]))))
+    li = li.withColumn("week", cal.week_start("day"))
+    per_day = li.groupBy("l_suppkey", "week", "day").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))
+    pw = per_day.groupBy("l_suppkey", "week").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.datediff("day", "week"), "n"))).alias("m"),
+        F.sum("n").alias("raw_visit_counts"), F.count(F.lit(1)).alias("raw_visitor_counts"),
+        F.sum("q").cast("long").alias("sq"))
+    days = F.transform(F.sequence(F.lit(0), F.lit(6)),
+                       lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0)).cast("string"))
+    cbg = F.lpad(F.col("l_suppkey").cast("string"), 12, "0")
+    homes = F.when(F.col("sq") % 5 == 0, F.lit("{}")) \
+        .when(F.col("sq") % 2 == 0, F.concat(F.lit('{"'), cbg, F.lit('": '),
+                                             (F.col("sq") % 9).cast("string"),
+                                             F.lit(', "999999999999": 1}'))) \
+        .otherwise(F.concat(F.lit('{"888888888888": 3, "'), cbg, F.lit('": 2}')))
+    patterns = pw.select(
+        F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("safegraph_place_id"),
+        F.concat(F.col("week").cast("string"), F.lit("T00:00:00-05:00")).alias("date_range_start"),
+        F.concat(F.lit("["), F.array_join(days, ","), F.lit("]")).alias("visits_by_day"),
+        "raw_visit_counts", "raw_visitor_counts", cbg.alias("poi_cbg"),
+        homes.alias("visitor_home_cbgs"))
+    lookup = sup.select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("safegraph_place_id"),
+                        F.lit("441110").alias("naics_code"), F.lower("r_name").alias("state"),
+                        F.lower("n_name").alias("county"))
+    fips = keys.select(F.lower("r_name").alias("state"), F.lower("n_name").alias("county"),
+                       F.col("fips").alias("county_fips"))
+    return {"patterns": patterns, "lookup": lookup, "county_fips": fips}
+
+
+def panel_weekly_pipeline(spark, d):
+    """The 47-column county-week panel from every source stage."""
+    from plume.plans.build import panel_weekly
+    from plume.sources import context, health, mobility
+    sp = supplier_patterns(spark, d)
+    poi = mobility.poi_weekly_outcomes(
+        mobility.poi_patterns(sp["patterns"], sp["lookup"])["weekly"], sp["county_fips"])
+    w = nation_world(spark, d)
+    dist = mobility.distancing(w["devices"], n_days=127, base=("1998-01-26", "1998-02-01"),
+                               last_day=PANEL_DAYS[1], first_week="1998-01-26")
+    census = context.census(w["acs"], w["pop16"])
+    weather = context.weather(w["weather"], first_week="1998-01-26")
+    pop = w["county_orders"].select(F.col("state_code").alias("STATE"),
+                                    F.col("county_code").alias("COUNTY"),
+                                    F.col("state_name").alias("STNAME"),
+                                    F.col("county_name").alias("CTYNAME"),
+                                    F.col("popestimate2019").alias("POPESTIMATE2019"))
+    orders = health.orders(w["county_orders"], pop, "1998-01-26", PANEL_DAYS[1])
+    cin = nation_cases_inputs(spark, d)
+    cases = health.cases(spark, cin["nyt"], cin["orders"], cin["pop"], cin["area"], cin["acs"],
+                         start="1998-01-26", end=PANEL_DAYS[1])
+    panel = panel_weekly(poi, dist["weekly"], census, weather["weekly"], orders["weekly"],
+                         cases["weekly"], context.votes(w["votes"]))
+    kinds = dict(panel.dtypes)
+    return panel.select(*[r6(c).alias(c) if kinds[c] == "double"
+                          else F.col(c).cast("long") if kinds[c] in ("int", "bigint")
+                          else F.col(c) for c in panel.columns])
+
+
 def snapshot_latest(spark, d):
     from plume.sources.io import read_latest, write_snapshot
     from plume.session import scratch_path
