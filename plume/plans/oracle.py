@@ -197,13 +197,13 @@ NATION_CASES = """
   cd AS (SELECT sp.county_fips, sp.date, state, county, popestimate2019,
                 coalesce(cum.cases, 0) AS cases, coalesce(cum.deaths, 0) AS deaths, share_over_65, km_sq
          FROM sp LEFT JOIN cum ON sp.n_nationkey = cum.c_nationkey AND sp.date = cum.date)
-""".format(cells=", ".join(f"COUNT(CASE WHEN floor((c_acctbal + 1000) / 917.5) = {k - 1} THEN 1 END) AS s{k}"
+""".format(cells=", ".join(f"COUNT(CASE WHEN floor((c_acctbal - 5000) / 417.0) = {k - 1} THEN 1 END) AS s{k}"
                            for k in range(1, 13)),
            seniors=" + ".join(f"s{k}" for k in range(1, 13)))
 
 
 def _panel_sql() -> str:
-    cells = ", ".join(f"COUNT(CASE WHEN floor((c_acctbal + 1000) / 917.5) = {k - 1} THEN 1 END) AS s{k}"
+    cells = ", ".join(f"COUNT(CASE WHEN floor((c_acctbal - 5000) / 417.0) = {k - 1} THEN 1 END) AS s{k}"
                       for k in range(1, 13))
     seniors = " + ".join(f"s{k}" for k in range(1, 13))
     shares = ("asian / population AS share_asian, black / population AS share_black, "

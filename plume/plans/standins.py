@@ -854,12 +854,12 @@ def nation_cases_inputs(spark, d) -> dict:
     cases / deaths = cumulative orders / 1-URGENT orders of the nation's
     customers by order date (whole orders table); population = summed
     balances, land area = 10 x customers, ACS age cells s1..s12 = customers
-    in twelve balance bands, total = customers."""
+    in twelve balance bands from 5000 up, total = customers."""
     keys = _nation_keys(spark, d)
     cust = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     per_n = cust.groupBy("c_nationkey").agg(
         F.count(F.lit(1)).alias("nc"), F.floor(F.sum(F.abs("c_acctbal"))).cast("long").alias("pop"),
-        *[F.count(F.when(F.floor((F.col("c_acctbal") + 1000) / 917.5) == k - 1, 1)).alias(f"s{k}")
+        *[F.count(F.when(F.floor((F.col("c_acctbal") - 5000) / 417.0) == k - 1, 1)).alias(f"s{k}")
           for k in range(1, 13)])
     nk = keys.join(per_n, keys.n_nationkey == per_n.c_nationkey, "left")
     orders = nk.select(
