@@ -809,6 +809,42 @@ def oracle_sql() -> dict[str, str]:
          CAST(CASE WHEN trump_vote_share >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS county_republican,
          CAST(r.nt AS BIGINT) AS republican_vtsh_ntile
   FROM f JOIN r ON f.county_fips = r.county_fips AND f.week_start_date = r.week_start_date"""
+    f10 = _panel_sql() + "  , f AS (SELECT * FROM pan10 WHERE trump_vote_share IS NOT NULL)"
+    q["map_deciles_pipeline"] = f10 + f"""
+  , eb AS (SELECT *, ROW_NUMBER() OVER w AS rn,
+                  CASE WHEN weekly_sipo_binary = 1 AND lag(weekly_sipo_binary) OVER w = 0
+                       THEN ROW_NUMBER() OVER w END AS s
+           FROM f WINDOW w AS (PARTITION BY county_fips ORDER BY week_start_date)),
+  ef AS (SELECT *, rn - coalesce(
+            last_value(s IGNORE NULLS) OVER (PARTITION BY county_fips ORDER BY week_start_date
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+            first_value(s IGNORE NULLS) OVER (PARTITION BY county_fips ORDER BY week_start_date
+                                              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS wss
+         FROM eb),
+  eg AS (SELECT county_fips, state, week_start_date, wss, total_visits,
+                last_value(CASE WHEN wss = -8 THEN total_visits END IGNORE NULLS) OVER (
+                  PARTITION BY county_fips ORDER BY wss, week_start_date
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS base
+         FROM ef WHERE wss IS NOT NULL),
+  ex AS (SELECT *, total_visits / nullif(base, 0) AS adj FROM eg),
+  ed AS (SELECT county_fips, week_start_date,
+                ntile(10) OVER (ORDER BY adj, county_fips, week_start_date) AS decile
+         FROM ex WHERE adj IS NOT NULL)
+  SELECT ex.county_fips, ex.state, ex.week_start_date, CAST(wss AS BIGINT) AS weeks_since_start,
+         CAST(total_visits AS BIGINT) AS total_visits, {R6('adj')} AS adj_visits,
+         CAST(decile AS BIGINT) AS decile
+  FROM ex LEFT JOIN ed ON ex.county_fips = ed.county_fips AND ex.week_start_date = ed.week_start_date"""
+    outs = ["total_visits", "total_visitors_diff_cbg", "devices_leaving_home",
+            "median_non_home_dwell_time"]
+    q["partisan_trends_pipeline"] = f10 + """
+  , med AS (SELECT quantile_cont(trump_vote_share, 0.5) AS m FROM f),
+  g AS (SELECT CASE WHEN trump_vote_share > m THEN 1 WHEN trump_vote_share <= m THEN 0 END AS republican,
+               week_start_date, """ + ", ".join(f"avg({c}) AS {c}" for c in outs) + """
+        FROM f, med GROUP BY 1, 2)
+  SELECT CAST(republican AS BIGINT) AS republican, week_start_date, """ + ", ".join(
+        [f"{R6(c)} AS {c}" for c in outs] +
+        [f"{R6(f'{c} / nullif(max(CASE WHEN week_start_date = DATE {chr(39)}1998-01-26{chr(39)} THEN {c} END) OVER (PARTITION BY republican), 0)')} AS {c}_adj"
+         for c in outs]) + " FROM g"
     q["snapshot_latest"] = """
       SELECT n_nationkey, n_name, n_regionkey, DATE '2024-01-31' AS snapshot_date FROM nation"""
     return q

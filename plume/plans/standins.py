@@ -1121,6 +1121,40 @@ def supplier_patterns(spark, d) -> dict:
 
 def panel_weekly_pipeline(spark, d):
     """The 47-column county-week panel from every source stage."""
+    panel = _panel_weekly(spark, d)
+    kinds = dict(panel.dtypes)
+    return panel.select(*[r6(c).alias(c) if kinds[c] == "double"
+                          else F.col(c).cast("long") if kinds[c] in ("int", "bigint")
+                          else F.col(c) for c in panel.columns])
+
+
+def map_deciles_pipeline(spark, d):
+    """POI visits relative to event week -8 and their global decile."""
+    from plume.plans.report import map_deciles
+    dec = map_deciles(_panel_weekly(spark, d), "weeks_since_start", -8, "total_visits")
+    return dec.select("county_fips", "state", "week_start_date",
+                      F.col("weeks_since_start").cast("long"), F.col("total_visits").cast("long"),
+                      r6("adj_visits").alias("adj_visits"), F.col("decile").cast("long"))
+
+
+def partisan_trends_pipeline(spark, d):
+    """Outcome means by above/below-median vote share, relative to the
+    first week."""
+    from plume.plans.report import OUTCOMES, partisan_trends
+    tr = partisan_trends(_panel_weekly(spark, d), base="1998-01-26")
+    return tr.select(F.col("republican").cast("long"), "week_start_date",
+                     *[r6(c).alias(c) for c in OUTCOMES],
+                     *[r6(f"{c}_adj").alias(f"{c}_adj") for c in OUTCOMES])
+
+
+def event_study_pipeline(spark, d):
+    """The six-model event-study sweep on the full panel (rows-only:
+    a multi-regressor fit has no SQL form; estimators are unit-tested)."""
+    from plume.plans.report import event_study
+    return event_study(spark, _panel_weekly(spark, d))
+
+
+def _panel_weekly(spark, d):
     from plume.plans.build import panel_weekly
     from plume.sources import context, health, mobility
     sp = supplier_patterns(spark, d)
@@ -1140,12 +1174,8 @@ def panel_weekly_pipeline(spark, d):
     cin = nation_cases_inputs(spark, d)
     cases = health.cases(spark, cin["nyt"], cin["orders"], cin["pop"], cin["area"], cin["acs"],
                          start="1998-01-26", end=PANEL_DAYS[1])
-    panel = panel_weekly(poi, dist["weekly"], census, weather["weekly"], orders["weekly"],
-                         cases["weekly"], context.votes(w["votes"]))
-    kinds = dict(panel.dtypes)
-    return panel.select(*[r6(c).alias(c) if kinds[c] == "double"
-                          else F.col(c).cast("long") if kinds[c] in ("int", "bigint")
-                          else F.col(c) for c in panel.columns])
+    return panel_weekly(poi, dist["weekly"], census, weather["weekly"], orders["weekly"],
+                        cases["weekly"], context.votes(w["votes"]))
 
 
 def snapshot_latest(spark, d):
