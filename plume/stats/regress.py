@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from plume.stats.tdist import t_two_sided_p
 
-_AGG_MAX_K = 30  # beyond this many columns, partial Gram matrices per partition
+_AGG_MAX_K = 12  # beyond this many columns, partial Gram matrices per partition (numpy)
 
 
 @dataclass
