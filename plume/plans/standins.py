@@ -933,12 +933,17 @@ def nation_world(spark, d) -> dict:
     keys = _nation_keys(spark, d)
     cust = table(spark, d, "customer")
     cn = cust.join(keys, cust.c_nationkey == keys.n_nationkey)
-    o = table(spark, d, "orders").select("o_custkey", F.to_date("o_orderdate").alias("day"))
-    per_cd = o.groupBy("o_custkey", "day").agg(F.count(F.lit(1)).alias("n_orders"))
-    # devices: one block group per customer, every day of the window
-    spine = shape.date_spine(cn.select("c_custkey", "fips", "c_acctbal"), *PANEL_DAYS, "day")
-    dev = spine.join(per_cd.withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey", "day"], "left")
-    n_o = F.coalesce("n_orders", F.lit(0))
+    o = table(spark, d, "orders").select("o_custkey", F.to_date("o_orderdate").alias("day")) \
+        .filter(F.col("day").between(F.to_date(F.lit(PANEL_DAYS[0])), F.to_date(F.lit(PANEL_DAYS[1]))))
+    # each customer's orders per day of the window as one map (<= 127 entries),
+    # joined at customer grain; the day rows are generated after the join, so
+    # the expanded rows never cross a shuffle
+    per_c = o.groupBy("o_custkey", "day").agg(F.count(F.lit(1)).alias("n")) \
+        .groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+            F.map_from_entries(F.collect_list(F.struct("day", "n"))).alias("orders_by_day"))
+    base_rows = cn.select("c_custkey", "fips", "c_acctbal").join(per_c, "c_custkey", "left")
+    dev = shape.date_spine(base_rows, *PANEL_DAYS, "day", distinct=False)
+    n_o = F.coalesce(F.try_element_at("orders_by_day", F.col("day")), F.lit(0))
     devices = dev.select(
         F.concat("fips", F.lpad(F.col("c_custkey").cast("string"), 7, "0")).alias("origin_census_block_group"),
         F.concat(F.col("day").cast("string"), F.lit("T00:00:00-05:00")).alias("date_range_start"),
