@@ -3,6 +3,10 @@ event_type = NAICS / block group, ts date = day, value = measure)."""
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +49,27 @@ def user_weekly(daily: DataFrame) -> DataFrame:
         sum_skip("total_value").alias("total_value"),
         F.avg("mean_value").alias("mean_daily_mean"),
     )
+
+
+def materialized(spark: SparkSession, name: str, inputs: dict[str, DataFrame],
+                 build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
+    """Build a table once per application and read it back afterwards.
+
+    This mirrors the reference, whose analysis notebooks read the written
+    panel instead of rebuilding it.  The table lives in the shared checkpoint
+    folder under a key of the application id and the inputs' row counts
+    (parquet footers, no scan), so it is never reused across applications or
+    after the inputs change.
+    """
+    from plume.session import scratch_path
+    counts = sorted((k, v.count()) for k, v in inputs.items())
+    key = hashlib.sha1(repr((name, spark.sparkContext.applicationId, counts)).encode())
+    path = scratch_path(spark, "tables", f"{name}-{key.hexdigest()[:16]}")
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        w = build().write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        return spark.read.parquet(path)

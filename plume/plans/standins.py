@@ -1160,6 +1160,14 @@ def event_study_pipeline(spark, d):
 
 
 def _panel_weekly(spark, d):
+    """The D10 panel, written once per application (see ``common.materialized``)."""
+    from plume.plans.common import materialized
+    inputs = {t: table(spark, d, t) for t in
+              ("region", "nation", "customer", "supplier", "orders", "lineitem")}
+    return materialized(spark, "panel_weekly", inputs, lambda: _build_panel_weekly(spark, d))
+
+
+def _build_panel_weekly(spark, d):
     from plume.plans.build import panel_weekly
     from plume.sources import context, health, mobility
     sp = supplier_patterns(spark, d)
