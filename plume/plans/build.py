@@ -64,7 +64,7 @@ def panel_distancing_weekly(distancing_weekly: DataFrame, census: DataFrame,
 
 def panel_daily(distancing_daily: DataFrame, census: DataFrame, weather_daily: DataFrame,
                 orders_daily: DataFrame, cases_daily: DataFrame, votes: DataFrame,
-                check_unique: bool = False) -> dict[str, DataFrame]:
+                check_unique: bool = False, state: str = "illinois") -> dict[str, DataFrame]:
     """County-day panel and its one-state subset."""
     dy = ["county_fips", "date"]
     merged = joins.chain(distancing_daily, [
@@ -75,7 +75,7 @@ def panel_daily(distancing_daily: DataFrame, census: DataFrame, weather_daily: D
         (votes.select("county_fips", "trump_vote_share"), ["county_fips"]),
     ], check_unique=check_unique, null_keys=True)
     out = _finish(merged, ["state", "county", "county_fips", "date"], dy, _DROP_WEEKLY[:4])
-    return {"daily": out, "one_state": one_state(out, "illinois")}
+    return {"daily": out, "one_state": one_state(out, state)}
 
 
 def one_state(panel_daily_df: DataFrame, state: str) -> DataFrame:

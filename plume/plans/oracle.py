@@ -845,6 +845,51 @@ def oracle_sql() -> dict[str, str]:
         [f"{R6(c)} AS {c}" for c in outs] +
         [f"{R6(f'{c} / nullif(max(CASE WHEN week_start_date = DATE {chr(39)}1998-01-26{chr(39)} THEN {c} END) OVER (PARTITION BY republican), 0)')} AS {c}_adj"
          for c in outs]) + " FROM g"
+    flag = ("CASE WHEN ({a} IS NOT NULL AND {a} <= od.date AND ({b} IS NULL OR {b} >= od.date)) "
+            "OR ({a} IS NULL AND {b} IS NOT NULL AND {b} >= od.date) THEN 1 ELSE 0 END")
+    d_doubles = ["log_devices_leaving_home", "median_home_dwell_time", "log_median_home_dwell_time",
+                 "median_non_home_dwell_time", "log_median_non_home_dwell_time", "share_of_devices",
+                 "share_of_candidate_devices", "share_adj_attrition", "share_asian", "share_black",
+                 "share_white", "share_bachelors", "share_undergrad", "share_hhinc_100k",
+                 "share_poverty", "share_msta", "share_services", "share_sales", "share_resources",
+                 "share_public_transit", "precip", "tmin", "tmax", "share_over_65", "km_sq",
+                 "log_cases", "log_deaths", "log_pop_density", "trump_vote_share"]
+    d_ints = ["device_count", "completely_home_device_count", "devices_leaving_home", "state_sip",
+              "county_sip", "sip_binary", "popestimate2019", "cases", "deaths"]
+    q["panel_daily_pipeline"] = _panel_sql() + f"""
+  , pd AS (SELECT census.state, census.county, dd.county_fips, dd.date, dd.device_count,
+                  dd.chdc AS completely_home_device_count, dd.device_count - dd.chdc AS devices_leaving_home,
+                  ln(1 + dd.device_count - dd.chdc) AS log_devices_leaving_home,
+                  dd.mh AS median_home_dwell_time, ln(1 + dd.mh) AS log_median_home_dwell_time,
+                  dd.mn AS median_non_home_dwell_time, ln(1 + dd.mn) AS log_median_non_home_dwell_time,
+                  dd.sod AS share_of_devices, dd.socd AS share_of_candidate_devices,
+                  dd.saa AS share_adj_attrition,
+                  share_asian, share_black, share_white, share_bachelors, share_undergrad,
+                  share_hhinc_100k, share_poverty, share_msta, share_services, share_sales,
+                  share_resources, share_public_transit, wd.precip, wd.tmin, wd.tmax,
+                  {flag.format(a='od.ss', b='od.se')} * (CASE WHEN od.fips IS NULL THEN NULL ELSE 1 END) AS state_sip,
+                  {flag.format(a='od.cs', b='od.ce')} * (CASE WHEN od.fips IS NULL THEN NULL ELSE 1 END) AS county_sip,
+                  ccd.pop AS popestimate2019, ccd.cases, ccd.deaths, ccd.share_over_65, ccd.km_sq,
+                  ln(1 + ccd.cases) AS log_cases, ln(1 + ccd.deaths) AS log_deaths,
+                  ln(1 + ccd.pop / nullif(ccd.km_sq, 0)) AS log_pop_density, vt.trump_vote_share
+           FROM dd LEFT JOIN census ON dd.county_fips = census.county_fips
+           LEFT JOIN wd ON dd.county_fips = wd.fips AND dd.date = wd.day
+           LEFT JOIN od ON dd.county_fips = od.fips AND dd.date = od.date
+                       AND census.state = od.state AND census.county = od.county
+           LEFT JOIN ccd ON dd.county_fips = ccd.county_fips AND dd.date = ccd.date
+                        AND census.state = ccd.state AND census.county = ccd.county
+           LEFT JOIN vt ON dd.county_fips = vt.county_fips),
+  pd2 AS (SELECT *, CASE WHEN state_sip = 1 OR county_sip = 1 THEN 1
+                         WHEN state_sip IS NULL THEN NULL ELSE 0 END AS sip_binary FROM pd),
+  f AS (SELECT * FROM pd2 WHERE trump_vote_share IS NOT NULL),
+  r AS (SELECT county_fips, date,
+               ntile(100) OVER (ORDER BY trump_vote_share, county_fips, date) AS nt FROM f)
+  SELECT state, county, f.county_fips, f.date,
+         {", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in d_ints)},
+         {", ".join(f"{R6(c)} AS {c}" for c in d_doubles)},
+         CAST(CASE WHEN trump_vote_share >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS county_republican,
+         CAST(r.nt AS BIGINT) AS republican_vtsh_ntile
+  FROM f JOIN r ON f.county_fips = r.county_fips AND f.date = r.date"""
     q["snapshot_latest"] = """
       SELECT n_nationkey, n_name, n_regionkey, DATE '2024-01-31' AS snapshot_date FROM nation"""
     return q

@@ -70,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cases_weekly_pipeline": s.cases_weekly_pipeline,
     "panel_distancing_pipeline": s.panel_distancing_pipeline,
     "panel_weekly_pipeline": s.panel_weekly_pipeline,
+    "panel_daily_pipeline": s.panel_daily_pipeline,
     "map_deciles_pipeline": s.map_deciles_pipeline,
     "partisan_trends_pipeline": s.partisan_trends_pipeline,
     "event_study_pipeline": s.event_study_pipeline,

@@ -1191,6 +1191,32 @@ def _build_panel_weekly(spark, d):
                         cases["weekly"], context.votes(w["votes"]))
 
 
+def panel_daily_pipeline(spark, d):
+    """The county-day panel from every daily source stage."""
+    from plume.plans.build import panel_daily
+    from plume.sources import context, health, mobility
+    w = nation_world(spark, d)
+    dist = mobility.distancing(w["devices"], n_days=127, base=("1998-01-26", "1998-02-01"),
+                               last_day=PANEL_DAYS[1], first_week="1998-01-26")
+    pop = w["county_orders"].select(F.col("state_code").alias("STATE"),
+                                    F.col("county_code").alias("COUNTY"),
+                                    F.col("state_name").alias("STNAME"),
+                                    F.col("county_name").alias("CTYNAME"),
+                                    F.col("popestimate2019").alias("POPESTIMATE2019"))
+    orders = health.orders(w["county_orders"], pop, "1998-01-26", PANEL_DAYS[1])
+    cin = nation_cases_inputs(spark, d)
+    cases = health.cases(spark, cin["nyt"], cin["orders"], cin["pop"], cin["area"], cin["acs"],
+                         start="1998-01-26", end=PANEL_DAYS[1])
+    panel = panel_daily(dist["daily"], context.census(w["acs"], w["pop16"]),
+                        context.weather(w["weather"], first_week="1998-01-26")["daily"],
+                        orders["daily"], cases["daily"], context.votes(w["votes"]),
+                        state="america")["daily"]
+    kinds = dict(panel.dtypes)
+    return panel.select(*[r6(c).alias(c) if kinds[c] == "double"
+                          else F.col(c).cast("long") if kinds[c] in ("int", "bigint")
+                          else F.col(c) for c in panel.columns])
+
+
 def snapshot_latest(spark, d):
     from plume.sources.io import read_latest, write_snapshot
     from plume.session import scratch_path
