@@ -890,6 +890,19 @@ def oracle_sql() -> dict[str, str]:
          CAST(CASE WHEN trump_vote_share >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS county_republican,
          CAST(r.nt AS BIGINT) AS republican_vtsh_ntile
   FROM f JOIN r ON f.county_fips = r.county_fips AND f.date = r.date"""
+    q["votes_attributes_pipeline"] = f"""
+      WITH k AS (SELECT n_nationkey, n_name, r_name,
+                        lpad(CAST(n_regionkey AS VARCHAR), 2, '0') || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS fips
+                 FROM nation JOIN region ON n_regionkey = r_regionkey)
+      SELECT k.fips AS county_fips, k.r_name AS state, substr(k.fips, 1, 2) AS state_fips,
+             k.n_name AS county_name, substr(k.fips, 1, 2) AS STATEFP10,
+             {R6("sum(CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN floor(abs(c_acctbal)) END) / sum(floor(abs(c_acctbal)))")} AS trump_vote_share
+      FROM customer JOIN k ON c_nationkey = n_nationkey
+      WHERE substr(k.fips, 1, 2) <> '02'
+      GROUP BY k.fips, k.r_name, k.n_name"""
+    q["state_order_dates_pipeline"] = ORDER_DAYS + """
+      SELECT DISTINCT county_fips, state_sip_start_date, state_sip_end_date, county_sip_start_date,
+             county_sip_end_date FROM fl WHERE state = 'nation_3'"""
     q["snapshot_latest"] = """
       SELECT n_nationkey, n_name, n_regionkey, DATE '2024-01-31' AS snapshot_date FROM nation"""
     return q

@@ -75,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partisan_trends_pipeline": s.partisan_trends_pipeline,
     "event_study_pipeline": s.event_study_pipeline,
     "streaming_device_rollup": s.streaming_device_rollup,
+    "votes_attributes_pipeline": s.votes_attributes_pipeline,
+    "state_order_dates_pipeline": s.state_order_dates_pipeline,
     "snapshot_latest": s.snapshot_latest,
 }
 

@@ -1217,6 +1217,27 @@ def panel_daily_pipeline(spark, d):
                           else F.col(c) for c in panel.columns])
 
 
+def votes_attributes_pipeline(spark, d):
+    """County vote shares joined to the county attribute table (J3),
+    both at nation grain, state "02" dropped on both sides."""
+    from plume.plans.build import votes_with_attributes
+    from plume.sources import context
+    votes = context.votes(nation_world(spark, d)["votes"])
+    keys = _nation_keys(spark, d)
+    attrs = keys.select(F.col("fips").alias("GEOID10"),
+                        F.substring("fips", 1, 2).alias("STATEFP10"))
+    out = votes_with_attributes(votes, attrs)
+    return out.select("county_fips", "state", "state_fips", "county_name", "STATEFP10",
+                      r6("trump_vote_share").alias("trump_vote_share"))
+
+
+def state_order_dates_pipeline(spark, d):
+    """The distinct order dates of one state's counties (state = nation 3)."""
+    from plume.sources.health import state_order_dates
+    x = state_order_dates(_orders_pipeline(spark, d)["daily"], "nation_3")
+    return x
+
+
 def snapshot_latest(spark, d):
     from plume.sources.io import read_latest, write_snapshot
     from plume.session import scratch_path
