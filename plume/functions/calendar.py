@@ -59,12 +59,6 @@ def shifted_week_key(d: ColLike, shift_days: int = 2) -> Column:
     return F.year(ahead) * 100 + r_week(ahead)
 
 
-def add_days(d: ColLike, n: ColLike | int) -> Column:
-    """T4: date arithmetic."""
-    n_c = F.lit(n) if isinstance(n, int) else _c(n)
-    return F.date_add(_c(d), n_c)
-
-
 def as_of_label(as_of: str) -> Column:
     """T5: 'MM-DD' label of an explicit as-of date (never the wall clock)."""
     return F.date_format(F.to_date(F.lit(as_of)), "MM-dd")

@@ -49,11 +49,6 @@ def pmin(a: ColLike, b: ColLike) -> Column:
     return F.when(a.isNotNull() & b.isNotNull(), F.least(a, b))
 
 
-def pmax(a: ColLike, b: ColLike) -> Column:
-    a, b = _c(a), _c(b)
-    return F.when(a.isNotNull() & b.isNotNull(), F.greatest(a, b))
-
-
 # H5: clip below at zero, null stays null (not greatest(), which skips nulls)
 def clip_low0(x: ColLike) -> Column:
     c = _c(x)
@@ -121,8 +116,3 @@ def left_join_na(left: DataFrame, right: DataFrame, on: list[str],
                   [left[k].eqNullSafe(r[renamed[k]]) for k in on])
     joined = left.join(r, cond, how)
     return joined.drop(*renamed.values())
-
-
-def ntile_mask(x: ColLike) -> Column:
-    """N12 helper: rows that take part in an ntile (non-null values)."""
-    return _c(x).isNotNull()

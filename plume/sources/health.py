@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plume.functions import calendar as cal
 from plume.functions import rsem
 from plume.functions import strings as st
-from plume.operators import policy, shape
+from plume.operators import joins, policy, shape
 
 # Fixed values (must equal the reference's) ---------------------------------------
 SPINE_START, SPINE_END = "2020-01-27", "2020-05-31"
@@ -34,9 +34,10 @@ SENIOR_VARS = [f"s{i}" for i in range(1, 13)]   # ACS age cells 65+ (men s1-s6,
 
 def nyc_population(pop: DataFrame) -> DataFrame:
     """One-row total of the five borough populations, keyed by state."""
-    return pop.filter((F.col("STNAME") == NYC_STATE) & F.col("CTYNAME").isin(NYC_BOROUGH_NAMES)) \
-        .groupBy(F.col("STNAME").alias("state")).agg(
-            rsem.sum_strict("POPESTIMATE2019").alias("nyc_pop"))
+    boroughs = pop.filter((F.col("STNAME") == NYC_STATE) & F.col("CTYNAME").isin(NYC_BOROUGH_NAMES))
+    # select first: column names resolve case-insensitively (STATE vs state)
+    return joins.scalar_by_key(boroughs.select(F.col("STNAME").alias("state"), "POPESTIMATE2019"),
+                               ["state"], rsem.sum_strict("POPESTIMATE2019"), "nyc_pop")
 
 
 def _orders_fixed(orders: DataFrame, pop: DataFrame, keep_dates: bool) -> DataFrame:

@@ -188,3 +188,5 @@ def test_d14_to_d16_reports(spark, stages):
     assert report.partisan_cases_long(panel).select("measure").distinct().count() == 2
     dec = report.map_deciles(panel)
     assert dec.filter(F.col("decile").isNotNull()).count() > 0
+    one_map = report.map_week(dec, "weeks_since_start", 0)
+    assert one_map.columns == ["region", "value"] and one_map.count() > 0

@@ -108,3 +108,15 @@ def test_preview_pages_columns(spark):
     df = spark.range(50).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(20)])
     p = shape.preview(df, 14, 20)
     assert p.columns == [f"c{i}" for i in range(13, 20)] and p.count() == 10
+
+
+def test_join_back_total_and_tables(spark):
+    from plume.operators import joins
+    lit = io.literal_table(spark, [("a", 1.0), ("a", 3.0), ("b", 2.0)], "g string, x double")
+    out = {(r.g, r.x): r.tot for r in joins.join_back_total(lit, ["g"], "x", "tot").collect()}
+    assert out == {("a", 1.0): 4.0, ("a", 3.0): 4.0, ("b", 2.0): 2.0}
+    base = tempfile.mkdtemp(prefix="plume-tbl-")
+    io.to_parquet(lit, f"{base}/t")
+    assert io.read_table(spark, f"{base}/t").count() == 3
+    io.to_csv(lit, f"{base}/c")
+    assert io.read_table(spark, f"{base}/c", fmt="csv", schema="g string, x double").count() == 3
