@@ -46,7 +46,8 @@ def week_start(d: ColLike) -> Column:
     first day of each such week) whenever the year starts on a Wednesday, as
     2020 does; see ``shifted_week_key`` for other years.
     """
-    return F.to_date(F.date_trunc("week", _c(d).cast("timestamp")))
+    # timestamp_ntz: no session time zone takes part in the truncation
+    return F.to_date(F.date_trunc("week", _c(d).cast("timestamp_ntz")))
 
 
 def shifted_week_key(d: ColLike, shift_days: int = 2) -> Column:
