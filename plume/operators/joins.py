@@ -20,6 +20,15 @@ class FanOutError(ValueError):
     """A right-hand table of a left join is not unique on its keys."""
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint behind a measured bound: counts at most ``max_rows + 1``
+    rows (a small job on a dimension-like table) and hints broadcast only if
+    the table is within the bound; otherwise the planner's shuffled join is
+    kept."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def assert_unique(df: DataFrame, keys: list[str], name: str = "table") -> None:
     """Fail loudly if ``keys`` do not identify rows (one aggregate job)."""
     dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()

@@ -59,11 +59,24 @@ _INSIDE = """
 
 def points_to_polygons(points: DataFrame, vertices: DataFrame, x: str, y: str,
                        point_key: list[str], cell: float,
-                       keys=("state", "county")) -> DataFrame:
-    """Left lookup: every point row plus the containing polygon's keys (or null)."""
+                       keys=("state", "county"), max_broadcast_cells: int = 2_000_000,
+                       max_broadcast_vertices: int = 1_000_000) -> DataFrame:
+    """Left lookup: every point row plus the containing polygon's keys (or null).
+
+    The polygon side is bounded by the polygon set, not by the points: the cell
+    table and the edge arrays are broadcast when their measured size is within
+    the bounds (a cap of 2M cells and 1M vertices, each ~tens of MB), and
+    shuffle-joined on (cell) / (polygon) beyond them.
+    """
+    from plume.operators.joins import broadcast_if_small
+
     keys = list(keys)
-    polys = polygon_edges(vertices, keys)
-    cells = polygon_cells(polys, cell, keys)
+    # one row per polygon: cached so the size checks and the join share it
+    polys = polygon_edges(vertices, keys).cache()
+    n_vertices = polys.select(F.sum(F.size("edges"))).first()[0] or 0
+    cells = broadcast_if_small(polygon_cells(polys, cell, keys), max_broadcast_cells)
+    if n_vertices <= max_broadcast_vertices:
+        polys = F.broadcast(polys)
     pts = points.withColumns({
         "px": F.col(x).cast("double"), "py": F.col(y).cast("double"),
         "cx": F.floor(F.col(x) / F.lit(cell)), "cy": F.floor(F.col(y) / F.lit(cell)),
