@@ -656,18 +656,12 @@ def event_study_table(spark, d):
 
 # --- the distancing pipeline (D4) itself, on a device table derived from events ---
 
-EVENT_TYPE_CODE = {t: i + 1 for i, t in enumerate(EVENT_TYPES)}
-
-
 def device_days(spark, d):
     """Stand-in ``device_daily`` rows: block group = user x event type (the
     user's 5-digit code is the county), one row per day; devices = events,
     at home = events with value < 10, dwell medians = mean and max value."""
     ev = _events(spark, d)
-    code = F.when(F.col("event_type") == "click", 1).when(F.col("event_type") == "error", 2) \
-        .when(F.col("event_type") == "purchase", 3).when(F.col("event_type") == "signup", 4) \
-        .when(F.col("event_type") == "view", 5).otherwise(0)
-    g = ev.groupBy("user_id", code.alias("bg"), F.to_date("ts").alias("day")).agg(
+    g = ev.groupBy("user_id", _type_code().alias("bg"), F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).alias("device_count"),
         F.count(F.when(F.col("value") < 10, 1)).alias("completely_home_device_count"),
         F.avg("value").alias("median_home_dwell_time"),
