@@ -709,8 +709,8 @@ def oracle_sql() -> dict[str, str]:
              {R6('total_value')} AS total_value,
              {R6("total_value / nullif(last_value(CASE WHEN week_start = DATE '2024-01-01' THEN total_value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY week_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)")} AS value_index
       FROM et""")
-    q["distancing_daily_pipeline"] = DEVICE_ROWS + _dist_out("date") + " FROM daily"
-    q["distancing_weekly_pipeline"] = DEVICE_ROWS + """,
+    q["distancing_daily_build"] = DEVICE_ROWS + _dist_out("date") + " FROM daily"
+    q["distancing_weekly_build"] = DEVICE_ROWS + """,
   wk AS (
     SELECT county_fips, CAST(date_trunc('week', date) AS DATE) AS week_start_date,
            CAST(coalesce(sum(device_count), 0) AS BIGINT) AS device_count,
@@ -722,39 +722,39 @@ def oracle_sql() -> dict[str, str]:
            coalesce(sum(device_count * median_non_home_dwell_time), 0) / nullif(sum(device_count), 0) AS median_non_home_dwell_time
     FROM daily WHERE date <= DATE '2024-01-30' GROUP BY 1, 2)
 """ + _dist_out("week_start_date") + " FROM wk WHERE week_start_date >= DATE '2024-01-01'"
-    q["poi_weekly_pipeline"] = PLACE_WEEKS + """
+    q["poi_weekly_build"] = PLACE_WEEKS + """
   SELECT state, county, week AS date_week_start, CAST(sum(visits) AS BIGINT) AS total_visits,
          CAST(sum(visitors) AS BIGINT) AS total_visitors,
          CAST(sum(same) AS BIGINT) AS total_visitors_same_cbg,
          CAST(sum(visitors - same) AS BIGINT) AS total_visitors_diff_cbg
   FROM sp JOIN lk USING (user_id, code) GROUP BY 1, 2, 3"""
-    q["poi_daily_naics_pipeline"] = PLACE_WEEKS + """,
+    q["poi_daily_naics_build"] = PLACE_WEEKS + """,
   pd AS (SELECT pw.user_id, pw.code, CAST(pw.week + INTERVAL (r.i) DAY AS DATE) AS date
          FROM pw CROSS JOIN range(0, 7) r(i)),
   dn AS (SELECT user_id, code, day AS date, COUNT(*) AS n FROM ev GROUP BY 1, 2, 3)
   SELECT state, county, naics, pd.date, CAST(sum(coalesce(dn.n, 0)) AS BIGINT) AS total_visits
   FROM pd LEFT JOIN dn USING (user_id, code, date) JOIN lk USING (user_id, code)
   GROUP BY 1, 2, 3, 4"""
-    q["orders_daily_pipeline"] = ORDER_DAYS + """
+    q["orders_daily_build"] = ORDER_DAYS + """
   SELECT county_fips, state, county, date, state_sip_start_date, state_sip_end_date,
          county_sip_start_date, county_sip_end_date, CAST(state_sip AS BIGINT) AS state_sip,
          CAST(county_sip AS BIGINT) AS county_sip,
          CAST(CASE WHEN state_sip = 1 OR county_sip = 1 THEN 1 ELSE 0 END AS BIGINT) AS sip_binary
   FROM fl"""
-    q["orders_weekly_pipeline"] = ORDER_DAYS + """
+    q["orders_weekly_build"] = ORDER_DAYS + """
   SELECT county_fips, state, county, CAST(date_trunc('week', date) AS DATE) AS week_start_date,
          state_sip_start_date, county_sip_end_date,
          CAST(sum(CASE WHEN state_sip = 1 OR county_sip = 1 THEN 1 ELSE 0 END) AS BIGINT) AS sip_days,
          CAST(CASE WHEN sum(CASE WHEN state_sip = 1 OR county_sip = 1 THEN 1 ELSE 0 END) > 0 THEN 1 ELSE 0 END AS BIGINT) AS weekly_sipo_binary
   FROM fl GROUP BY county_fips, state, county, date_trunc('week', date), state_sip_start_date,
            state_sip_end_date, county_sip_start_date, county_sip_end_date"""
-    q["cases_daily_pipeline"] = NATION_CASES + f"""
+    q["cases_daily_build"] = NATION_CASES + f"""
   SELECT county_fips, date, state, county, popestimate2019, CAST(cases AS BIGINT) AS cases,
          CAST(deaths AS BIGINT) AS deaths, {R6('share_over_65')} AS share_over_65, {R6('km_sq')} AS km_sq,
          {R6('ln(1 + cases)')} AS log_cases, {R6('ln(1 + deaths)')} AS log_deaths,
          {R6('ln(1 + popestimate2019 / nullif(km_sq, 0))')} AS log_pop_density
   FROM cd"""
-    q["cases_weekly_pipeline"] = NATION_CASES + f"""
+    q["cases_weekly_build"] = NATION_CASES + f"""
   , wk AS (SELECT county_fips, state, county, CAST(date_trunc('week', date) AS DATE) AS week_start_date,
                   share_over_65, ln(1 + popestimate2019 / nullif(km_sq, 0)) AS lpd,
                   avg(cases) AS mc, avg(deaths) AS md
@@ -773,7 +773,7 @@ def oracle_sql() -> dict[str, str]:
                    "share_over_65", "log_pop_density", "log_cases", "log_deaths", "trump_vote_share"]
     pan_ints = ["device_count", "completely_home_device_count", "devices_leaving_home", "sip_days",
                 "weekly_sipo_binary"]
-    q["panel_distancing_pipeline"] = _panel_sql() + f"""
+    q["panel_distancing_build"] = _panel_sql() + f"""
   , f AS (SELECT * FROM pan WHERE trump_vote_share IS NOT NULL),
   r AS (SELECT county_fips, week_start_date,
                ntile(100) OVER (ORDER BY trump_vote_share, county_fips, week_start_date) AS nt FROM f)
@@ -799,7 +799,7 @@ def oracle_sql() -> dict[str, str]:
     poi_doubles = ["log_total_visits", "log_total_visitors", "share_visitors_same_cbg",
                    "share_visitors_diff_cbg"]
     poi_ints = ["total_visits", "total_visitors", "total_visitors_same_cbg", "total_visitors_diff_cbg"]
-    q["panel_weekly_pipeline"] = _panel_sql() + f"""
+    q["panel_weekly_build"] = _panel_sql() + f"""
   , f AS (SELECT * FROM pan10 WHERE trump_vote_share IS NOT NULL),
   r AS (SELECT county_fips, week_start_date,
                ntile(100) OVER (ORDER BY trump_vote_share, county_fips, week_start_date) AS nt FROM f)
@@ -810,7 +810,7 @@ def oracle_sql() -> dict[str, str]:
          CAST(r.nt AS BIGINT) AS republican_vtsh_ntile
   FROM f JOIN r ON f.county_fips = r.county_fips AND f.week_start_date = r.week_start_date"""
     f10 = _panel_sql() + "  , f AS (SELECT * FROM pan10 WHERE trump_vote_share IS NOT NULL)"
-    q["map_deciles_pipeline"] = f10 + f"""
+    q["map_deciles_report"] = f10 + f"""
   , eb AS (SELECT *, ROW_NUMBER() OVER w AS rn,
                   CASE WHEN weekly_sipo_binary = 1 AND lag(weekly_sipo_binary) OVER w = 0
                        THEN ROW_NUMBER() OVER w END AS s
@@ -836,7 +836,7 @@ def oracle_sql() -> dict[str, str]:
   FROM ex LEFT JOIN ed ON ex.county_fips = ed.county_fips AND ex.week_start_date = ed.week_start_date"""
     outs = ["total_visits", "total_visitors_diff_cbg", "devices_leaving_home",
             "median_non_home_dwell_time"]
-    q["partisan_trends_pipeline"] = f10 + """
+    q["partisan_trends_report"] = f10 + """
   , med AS (SELECT quantile_cont(trump_vote_share, 0.5) AS m FROM f),
   g AS (SELECT CASE WHEN trump_vote_share > m THEN 1 WHEN trump_vote_share <= m THEN 0 END AS republican,
                week_start_date, """ + ", ".join(f"avg({c}) AS {c}" for c in outs) + """
@@ -856,7 +856,7 @@ def oracle_sql() -> dict[str, str]:
                  "log_cases", "log_deaths", "log_pop_density", "trump_vote_share"]
     d_ints = ["device_count", "completely_home_device_count", "devices_leaving_home", "state_sip",
               "county_sip", "sip_binary", "popestimate2019", "cases", "deaths"]
-    q["panel_daily_pipeline"] = _panel_sql() + f"""
+    q["panel_daily_build"] = _panel_sql() + f"""
   , pd AS (SELECT census.state, census.county, dd.county_fips, dd.date, dd.device_count,
                   dd.chdc AS completely_home_device_count, dd.device_count - dd.chdc AS devices_leaving_home,
                   ln(1 + dd.device_count - dd.chdc) AS log_devices_leaving_home,
@@ -890,7 +890,7 @@ def oracle_sql() -> dict[str, str]:
          CAST(CASE WHEN trump_vote_share >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS county_republican,
          CAST(r.nt AS BIGINT) AS republican_vtsh_ntile
   FROM f JOIN r ON f.county_fips = r.county_fips AND f.date = r.date"""
-    q["votes_attributes_pipeline"] = f"""
+    q["votes_attributes_build"] = f"""
       WITH k AS (SELECT n_nationkey, n_name, r_name,
                         lpad(CAST(n_regionkey AS VARCHAR), 2, '0') || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS fips
                  FROM nation JOIN region ON n_regionkey = r_regionkey)
@@ -900,7 +900,7 @@ def oracle_sql() -> dict[str, str]:
       FROM customer JOIN k ON c_nationkey = n_nationkey
       WHERE substr(k.fips, 1, 2) <> '02'
       GROUP BY k.fips, k.r_name, k.n_name"""
-    q["state_order_dates_pipeline"] = ORDER_DAYS + """
+    q["state_order_dates_report"] = ORDER_DAYS + """
       SELECT DISTINCT county_fips, state_sip_start_date, state_sip_end_date, county_sip_start_date,
              county_sip_end_date FROM fl WHERE state = 'nation_3'"""
     q["snapshot_latest"] = """

@@ -60,23 +60,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "welch_ci": s.welch_ci,
     "welch_ci_bounds": s.welch_ci_bounds,
     "event_study_table": s.event_study_table,
-    "distancing_daily_pipeline": s.distancing_daily_pipeline,
-    "distancing_weekly_pipeline": s.distancing_weekly_pipeline,
-    "poi_weekly_pipeline": s.poi_weekly_pipeline,
-    "poi_daily_naics_pipeline": s.poi_daily_naics_pipeline,
-    "orders_daily_pipeline": s.orders_daily_pipeline,
-    "orders_weekly_pipeline": s.orders_weekly_pipeline,
-    "cases_daily_pipeline": s.cases_daily_pipeline,
-    "cases_weekly_pipeline": s.cases_weekly_pipeline,
-    "panel_distancing_pipeline": s.panel_distancing_pipeline,
-    "panel_weekly_pipeline": s.panel_weekly_pipeline,
-    "panel_daily_pipeline": s.panel_daily_pipeline,
-    "map_deciles_pipeline": s.map_deciles_pipeline,
-    "partisan_trends_pipeline": s.partisan_trends_pipeline,
-    "event_study_pipeline": s.event_study_pipeline,
+    "distancing_daily_build": s.distancing_daily_build,
+    "distancing_weekly_build": s.distancing_weekly_build,
+    "poi_weekly_build": s.poi_weekly_build,
+    "poi_daily_naics_build": s.poi_daily_naics_build,
+    "orders_daily_build": s.orders_daily_build,
+    "orders_weekly_build": s.orders_weekly_build,
+    "cases_daily_build": s.cases_daily_build,
+    "cases_weekly_build": s.cases_weekly_build,
+    "panel_distancing_build": s.panel_distancing_build,
+    "panel_weekly_build": s.panel_weekly_build,
+    "panel_daily_build": s.panel_daily_build,
+    "map_deciles_report": s.map_deciles_report,
+    "partisan_trends_report": s.partisan_trends_report,
+    "event_study_report": s.event_study_report,
     "streaming_device_rollup": s.streaming_device_rollup,
-    "votes_attributes_pipeline": s.votes_attributes_pipeline,
-    "state_order_dates_pipeline": s.state_order_dates_pipeline,
+    "votes_attributes_build": s.votes_attributes_build,
+    "state_order_dates_report": s.state_order_dates_report,
     "snapshot_latest": s.snapshot_latest,
 }
 

@@ -687,13 +687,13 @@ _DIST_MEASURES = ["log_devices_leaving_home", "median_home_dwell_time",
                   "share_of_candidate_devices", "share_adj_attrition"]
 
 
-def distancing_daily_pipeline(spark, d):
+def distancing_daily_build(spark, d):
     x = _distancing(spark, d)["daily"]
     return x.select("county_fips", "date", "device_count", "completely_home_device_count",
                     "devices_leaving_home", *[r6(c).alias(c) for c in _DIST_MEASURES])
 
 
-def distancing_weekly_pipeline(spark, d):
+def distancing_weekly_build(spark, d):
     x = _distancing(spark, d)["weekly"]
     return x.select("county_fips", "week_start_date", "device_count",
                     "completely_home_device_count", "devices_leaving_home",
@@ -757,13 +757,13 @@ def _patterns(spark, d):
     return poi_patterns(weekly_patterns(spark, d), poi_lookup(spark, d))
 
 
-def poi_weekly_pipeline(spark, d):
+def poi_weekly_build(spark, d):
     return _patterns(spark, d)["weekly"].select(
         "state", "county", "date_week_start", "total_visits", "total_visitors",
         "total_visitors_same_cbg", "total_visitors_diff_cbg")
 
 
-def poi_daily_naics_pipeline(spark, d):
+def poi_daily_naics_build(spark, d):
     return _patterns(spark, d)["daily_naics"].select(
         "state", "county", "naics", "date", F.col("total_visits").cast("long"))
 
@@ -808,7 +808,7 @@ def county_orders(spark, d):
         *[none.alias(f"citation{i}") for i in range(1, 6)])
 
 
-def _orders_pipeline(spark, d):
+def _orders_build(spark, d):
     from plume.sources.health import orders
     co = county_orders(spark, d)
     pop = co.select(F.col("state_code").alias("STATE"), F.col("county_code").alias("COUNTY"),
@@ -817,16 +817,16 @@ def _orders_pipeline(spark, d):
     return orders(co, pop, *ORDER_SPINE)
 
 
-def orders_daily_pipeline(spark, d):
-    x = _orders_pipeline(spark, d)["daily"]
+def orders_daily_build(spark, d):
+    x = _orders_build(spark, d)["daily"]
     return x.select("county_fips", "state", "county", "date", "state_sip_start_date",
                     "state_sip_end_date", "county_sip_start_date", "county_sip_end_date",
                     F.col("state_sip").cast("long"), F.col("county_sip").cast("long"),
                     F.col("sip_binary").cast("long"))
 
 
-def orders_weekly_pipeline(spark, d):
-    x = _orders_pipeline(spark, d)["weekly"]
+def orders_weekly_build(spark, d):
+    x = _orders_build(spark, d)["weekly"]
     return x.select("county_fips", "state", "county", "week_start_date", "state_sip_start_date",
                     "county_sip_end_date", F.col("sip_days").cast("long"),
                     F.col("weekly_sipo_binary").cast("long"))
@@ -901,7 +901,7 @@ def _cases(spark, d):
                  start=ORDER_SPINE[0], end=ORDER_SPINE[1])
 
 
-def cases_daily_pipeline(spark, d):
+def cases_daily_build(spark, d):
     x = _cases(spark, d)["daily"]
     return x.select("county_fips", "date", "state", "county", "popestimate2019",
                     F.col("cases").cast("long"), F.col("deaths").cast("long"),
@@ -909,7 +909,7 @@ def cases_daily_pipeline(spark, d):
                                                "log_deaths", "log_pop_density"]])
 
 
-def cases_weekly_pipeline(spark, d):
+def cases_weekly_build(spark, d):
     x = _cases(spark, d)["weekly"]
     return x.select("county_fips", "state", "county", "week_start_date",
                     *[r6(c).alias(c) for c in ["share_over_65", "log_pop_density", "mean_cases",
@@ -1021,7 +1021,7 @@ def nation_world(spark, d) -> dict:
             "county_orders": county_orders}
 
 
-def panel_distancing_pipeline(spark, d):
+def panel_distancing_build(spark, d):
     """Distancing-only county-week panel built from every source stage."""
     from plume.plans.build import panel_distancing_weekly
     from plume.sources import context, health, mobility
@@ -1118,7 +1118,7 @@ def supplier_patterns(spark, d) -> dict:
     return {"patterns": patterns, "lookup": lookup, "county_fips": fips}
 
 
-def panel_weekly_pipeline(spark, d):
+def panel_weekly_build(spark, d):
     """The 47-column county-week panel from every source stage."""
     panel = _panel_weekly(spark, d)
     kinds = dict(panel.dtypes)
@@ -1127,7 +1127,7 @@ def panel_weekly_pipeline(spark, d):
                           else F.col(c) for c in panel.columns])
 
 
-def map_deciles_pipeline(spark, d):
+def map_deciles_report(spark, d):
     """POI visits relative to event week -8 and their global decile."""
     from plume.plans.report import map_deciles
     dec = map_deciles(_panel_weekly(spark, d), "weeks_since_start", -8, "total_visits")
@@ -1136,7 +1136,7 @@ def map_deciles_pipeline(spark, d):
                       r6("adj_visits").alias("adj_visits"), F.col("decile").cast("long"))
 
 
-def partisan_trends_pipeline(spark, d):
+def partisan_trends_report(spark, d):
     """Outcome means by above/below-median vote share, relative to the
     first week."""
     from plume.plans.report import OUTCOMES, partisan_trends
@@ -1146,7 +1146,7 @@ def partisan_trends_pipeline(spark, d):
                      *[r6(f"{c}_adj").alias(f"{c}_adj") for c in OUTCOMES])
 
 
-def event_study_pipeline(spark, d):
+def event_study_report(spark, d):
     """The six-model event-study sweep on the full panel (rows-only:
     a multi-regressor fit has no SQL form; estimators are unit-tested)."""
     from plume.plans.report import event_study
@@ -1185,7 +1185,7 @@ def _build_panel_weekly(spark, d):
                         cases["weekly"], context.votes(w["votes"]))
 
 
-def panel_daily_pipeline(spark, d):
+def panel_daily_build(spark, d):
     """The county-day panel from every daily source stage."""
     from plume.plans.build import panel_daily
     from plume.sources import context, health, mobility
@@ -1211,7 +1211,7 @@ def panel_daily_pipeline(spark, d):
                           else F.col(c) for c in panel.columns])
 
 
-def votes_attributes_pipeline(spark, d):
+def votes_attributes_build(spark, d):
     """County vote shares joined to the county attribute table (J3),
     both at nation grain, state "02" dropped on both sides."""
     from plume.plans.build import votes_with_attributes
@@ -1225,10 +1225,10 @@ def votes_attributes_pipeline(spark, d):
                       r6("trump_vote_share").alias("trump_vote_share"))
 
 
-def state_order_dates_pipeline(spark, d):
+def state_order_dates_report(spark, d):
     """The distinct order dates of one state's counties (state = nation 3)."""
     from plume.sources.health import state_order_dates
-    x = state_order_dates(_orders_pipeline(spark, d)["daily"], "nation_3")
+    x = state_order_dates(_orders_build(spark, d)["daily"], "nation_3")
     return x
 
 
