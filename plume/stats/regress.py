@@ -173,13 +173,23 @@ def within(df: DataFrame, y: str, xs: list[str], entity: list[str] | str,
     dm = data.withColumns(dmc).cache()
     dy, dxs = "_d0", [f"_d{i + 1}" for i in range(len(xs))]
     cl = entity if cluster == "entity" else ([cluster] if cluster else None)
-    extra = [F.count(F.lit(1)).alias("_n"),
-             *[F.sum(F.col(x) * F.col(x)).alias(f"_ss{i}") for i, x in enumerate(xs)]]
-    if cl != entity:
-        extra.append(F.countDistinct(*entity).alias("_g"))
-    g, row = gram(dm, [*dxs, dy], extra)
-    n = int(row["_n"])
-    raw_ss = np.array([float(row[f"_ss{i}"] or 0.0) for i in range(len(xs))])
+    k = len(xs)
+    if k + 1 > _AGG_MAX_K and cl == entity:
+        # wide design: one numpy pass also yields n (constant column) and the
+        # raw sums of squares (raw columns on the diagonal)
+        gg = gram(dm.withColumn("_one", F.lit(1.0)), [*dxs, dy, *xs, "_one"])
+        g = gg[:k + 1, :k + 1]
+        raw_ss = np.diag(gg)[k + 1:2 * k + 1].copy()
+        n = int(round(gg[-1, -1]))
+        row = {}
+    else:
+        extra = [F.count(F.lit(1)).alias("_n"),
+                 *[F.sum(F.col(x) * F.col(x)).alias(f"_ss{i}") for i, x in enumerate(xs)]]
+        if cl != entity:
+            extra.append(F.countDistinct(*entity).alias("_g"))
+        g, row = gram(dm, [*dxs, dy], extra)
+        n = int(row["_n"])
+        raw_ss = np.array([float(row[f"_ss{i}"] or 0.0) for i in range(len(xs))])
     keep = independent_columns(g[:-1, :-1], xs, scale=raw_ss)
     beta, inv = _solve(g, keep, len(xs))
     kept = [xs[i] for i in keep]
@@ -255,8 +265,12 @@ def _cluster_vcov(dm: DataFrame, y: str, xs: list[str], beta: np.ndarray, inv: n
     scores = res.groupBy(*cl).agg(*[F.sum(F.col(x) * F.col("_u")).alias(f"s{i}")
                                     for i, x in enumerate(xs)])
     sc = [f"s{i}" for i in range(len(xs))]
-    meat, row = gram(scores, sc, [F.count(F.lit(1)).alias("_g")])
-    n_cl = int(row["_g"])
+    if len(sc) + 1 > _AGG_MAX_K:
+        gg = gram(scores.withColumn("_one", F.lit(1.0)), [*sc, "_one"])
+        meat, n_cl = gg[:-1, :-1], int(round(gg[-1, -1]))
+    else:
+        meat, row = gram(scores, sc, [F.count(F.lit(1)).alias("_g")])
+        n_cl = int(row["_g"])
     factor = (n_cl / max(n_cl - 1, 1)) * ((n - 1) / max(n - k, 1))
     return factor * inv @ meat @ inv, n_cl
 

@@ -149,3 +149,32 @@ def test_within_multi_equals_separate_fits(spark):
         one = regress.within(df, "y", xs, "e")
         assert np.allclose(f.coef, one.coef, atol=1e-12)
         assert np.allclose(f.vcov, one.vcov, atol=1e-12) and f.n_groups == one.n_groups
+
+
+def test_wide_design_matches_numpy(spark):
+    """k above the agg threshold: numpy partial Gram path, n and raw sums of
+    squares from the same pass."""
+    rng = np.random.default_rng(11)
+    k, rows = 15, []
+    for e in range(25):
+        fe = rng.normal()
+        for t in range(10):
+            x = rng.normal(size=k)
+            rows.append((e, *x.tolist(), float(fe + x @ np.linspace(-1, 1, k) + rng.normal())))
+    names = [f"x{i}" for i in range(k)]
+    df = spark.createDataFrame(rows, ["e", *names, "y"])
+    fit = regress.within(df, "y", names, "e")
+    arr = np.array(rows, dtype=float)
+    e, X, y = arr[:, 0].astype(int), arr[:, 1:k + 1], arr[:, -1]
+    Xd, yd = X.copy(), y.copy()
+    for g in np.unique(e):
+        Xd[e == g] -= X[e == g].mean(0)
+        yd[e == g] -= y[e == g].mean()
+    b = np.linalg.solve(Xd.T @ Xd, Xd.T @ yd)
+    u = yd - Xd @ b
+    meat = sum(np.outer(Xd[e == g].T @ u[e == g], Xd[e == g].T @ u[e == g]) for g in np.unique(e))
+    inv = np.linalg.inv(Xd.T @ Xd)
+    G, N = 25, len(y)
+    V = (G / (G - 1)) * ((N - 1) / (N - k)) * inv @ meat @ inv
+    assert fit.n_obs == N and fit.n_groups == G
+    assert np.allclose(fit.coef, b, atol=1e-9) and np.allclose(fit.vcov, V, atol=1e-9)
