@@ -23,11 +23,6 @@ from plume.session import ensure_checkpoint_dir
 _LOCAL_BITS = 33  # monotonically_increasing_id = (partition id << 33) + position
 
 
-def _partitions(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(n, 1)
-
-
 def dist_rank(df: DataFrame, order_cols: list[str], group_cols: list[str] | None = None,
               rank_col: str = "row_rank", size_col: str | None = "group_rows",
               num_partitions: int | None = None) -> DataFrame:
@@ -36,9 +31,12 @@ def dist_rank(df: DataFrame, order_cols: list[str], group_cols: list[str] | None
     group_cols = list(group_cols or [])
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = num_partitions or _partitions(df)
     keys = group_cols + order_cols
-    sliced = (df.repartitionByRange(parts, *keys)
+    # without an explicit count AQE sizes the slices from the data (coalescing
+    # contiguous ranges); positions are taken after that read, so they stay exact
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions \
+        else df.repartitionByRange(*keys)
+    sliced = (ranged
               .sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
