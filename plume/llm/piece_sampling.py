@@ -121,7 +121,6 @@ class PieceModel:
         alpha = np.zeros(n + len(units))
         new = np.flatnonzero(np.r_[True, dst_node[1:] != dst_node[:-1]]) if len(dst_node) else np.empty(0, np.int64)
         group = np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(dst_node)]))
-        weight = np.empty(len(logp))
         share = np.empty(len(logp))
         # forward filtering, one byte place of all units at a time
         cuts = np.flatnonzero(np.r_[True, rel[1:] != rel[:-1]]) if len(rel) else np.empty(0, np.int64)
@@ -136,13 +135,11 @@ class PieceModel:
             alpha[dst_node[a + heads]] = top + np.log(total)
             run = np.cumsum(w / total[g])
             share[a:b] = run - np.r_[0.0, run][heads][g]
-        # group number + running share is one increasing key for all nodes
-        key = group + np.minimum(share, 1.0)
-        last = np.r_[new[1:], len(logp)] - 1 if len(new) else new
-        key[last] = np.arange(len(new)) + 1.0
+        if len(new):
+            share[np.r_[new[1:], len(logp)] - 1] = 1.0  # the last edge of a node takes the rest
         group_of = np.full(n + len(units), -1, np.int64)
         group_of[dst_node[new]] = np.arange(len(new))
-        return {"key": key, "src": src_node, "ids": ids, "group_of": group_of, "first": new, "last": last,
+        return {"share": share, "src": src_node, "ids": ids, "group_of": group_of, "first": new,
                 "start": first + np.arange(len(units)), "size": size}
 
     def sample(self, texts: list[bytes], row_key: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -176,8 +173,11 @@ class PieceModel:
                                 * np.uint64(0xD1B54A32D192ED03))
             u = (bits >> np.uint64(11)).astype(np.float64) / 2.0 ** 53
             g = lat["group_of"][node]
-            e = np.searchsorted(lat["key"], g + u, side="right")
-            e = np.minimum(np.maximum(e, lat["first"][g]), lat["last"][g])
+            e = lat["first"][g]
+            more = np.flatnonzero(lat["share"][e] <= u)  # few edges enter a node: step to the drawn one
+            while len(more):
+                e[more] += 1
+                more = more[lat["share"][e[more]] <= u[more]]
             steps.append((live, lat["ids"][e]))
             pieces[live] += 1
             node = lat["src"][e]
@@ -216,7 +216,7 @@ def encode(docs: DataFrame, model_path: str, seed: int = 0, sharpness: float = 1
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(*shared.value, sharpness)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", 2 << 20):  # a lattice takes about a hundred times its text
             ids, many = model.sample(texts_of(b, "text"), ints_of(b, "doc_id", 0), seed)
             offsets = pa.array(np.r_[0, np.cumsum(many)], pa.int32())
             yield pa.RecordBatch.from_arrays(
