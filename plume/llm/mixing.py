@@ -114,7 +114,7 @@ def _taken_in(pass_no: int) -> Column:
 
 
 def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0,
-        per_range: int = 20_000) -> DataFrame:
+        per_range: int = 5_000) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken and the
     training positions of its first and second copy (null if not taken), range
     sorted by first position.  ``cap`` is at most 2: two passes are laid out."""
@@ -134,7 +134,7 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0,
 
 
 def mix_documents(docs: DataFrame, share: float = 1.5, cap: float = 2.0,
-                  per_range: int = 20_000) -> DataFrame:
+                  per_range: int = 5_000) -> DataFrame:
     """The mixed corpus: each taken copy of a document is a row with the input's
     columns, whole texts, range-sorted by training position.
 
