@@ -87,12 +87,13 @@ class PieceModel:
         flat = np.frombuffer(b"".join(units), np.uint8)
         first = np.cumsum(size) - size
         n = len(flat)
-        unit = np.repeat(np.arange(len(units)), size)
-        room = (first + size)[unit] - np.arange(n)  # bytes left in the unit
+        unit = np.repeat(np.arange(len(units), dtype=np.int32), size)
+        every = np.arange(n, dtype=np.int32)  # a slice has far fewer than 2^31 bytes
+        room = (first + size).astype(np.int32)[unit] - every  # bytes left in the unit
         lead = (flat & 0xC0) != 0x80
         width = np.where(flat < 0x80, 1, np.where(flat < 0xE0, 2, np.where(flat < 0xF0, 3, 4)))
         known = np.zeros(n, bool)  # the character that starts here is a piece
-        at, state, depth = np.arange(n), np.zeros(n, np.int32), 0
+        at, state, depth = every, np.zeros(n, np.int32), 0
         src, dst, piece = [], [], []
         while len(at):
             depth += 1
@@ -107,20 +108,21 @@ class PieceModel:
             known[at[hit & (width[at] == depth)]] = True
             go = room[at] > depth
             at, state = at[go], state[go]
-        place = np.where(lead, np.arange(n), 0)
-        bare = np.flatnonzero(~known[np.maximum.accumulate(place)]) if n else np.empty(0, np.int64)
+        place = np.where(lead, every, 0)
+        bare = np.flatnonzero(~known[np.maximum.accumulate(place)] if n else known).astype(np.int32)
         src.append(bare)
         dst.append(bare + 1)
         src, dst, piece = np.concatenate(src), np.concatenate(dst), np.concatenate(piece)
         ids = np.r_[self.ids[piece], self.of_byte[flat[bare]]]
         logp = np.r_[self.logp[piece], np.full(len(bare), self.byte_logp)]
         src_node, dst_node = src + unit[src], dst + unit[src]
-        rel = dst - first[unit[src]]
+        rel = dst - first.astype(np.int32)[unit[src]]
+        del room, place, known, src, dst, piece
         order = np.lexsort((dst_node, rel))
         src_node, dst_node, ids, logp, rel = (x[order] for x in (src_node, dst_node, ids, logp, rel))
         alpha = np.zeros(n + len(units))
         new = np.flatnonzero(np.r_[True, dst_node[1:] != dst_node[:-1]]) if len(dst_node) else np.empty(0, np.int64)
-        group = np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(dst_node)]))
+        group = np.repeat(np.arange(len(new), dtype=np.int32), np.diff(np.r_[new, len(dst_node)]))
         share = np.empty(len(logp))
         # forward filtering, one byte place of all units at a time
         cuts = np.flatnonzero(np.r_[True, rel[1:] != rel[:-1]]) if len(rel) else np.empty(0, np.int64)
@@ -137,7 +139,7 @@ class PieceModel:
             share[a:b] = run - np.r_[0.0, run][heads][g]
         if len(new):
             share[np.r_[new[1:], len(logp)] - 1] = 1.0  # the last edge of a node takes the rest
-        group_of = np.full(n + len(units), -1, np.int64)
+        group_of = np.full(n + len(units), -1, np.int32)
         group_of[dst_node[new]] = np.arange(len(new))
         return {"share": share, "src": src_node, "ids": ids, "group_of": group_of, "first": new,
                 "start": first + np.arange(len(units)), "size": size}
@@ -199,7 +201,7 @@ class PieceModel:
         return [data[a + 1:b] if b > a else b"" for a, b in zip(cut.tolist(), cut[1:].tolist())]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _model(pieces: tuple, of_byte: tuple, sharpness: float) -> PieceModel:
     return PieceModel(list(pieces), list(of_byte), sharpness)
 
@@ -216,7 +218,7 @@ def encode(docs: DataFrame, model_path: str, seed: int = 0, sharpness: float = 1
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(*shared.value, sharpness)
-        for b in slices(batches, "text", 2 << 20):  # a lattice takes about a hundred times its text
+        for b in slices(batches, "text", 1 << 20):  # a lattice takes about a hundred times its text
             ids, many = model.sample(texts_of(b, "text"), ints_of(b, "doc_id", 0), seed)
             offsets = pa.array(np.r_[0, np.cumsum(many)], pa.int32())
             yield pa.RecordBatch.from_arrays(

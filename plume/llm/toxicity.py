@@ -122,7 +122,7 @@ class FuzzyLexicon:
         return term, e
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _matcher(terms: tuple[str, ...]) -> tuple[FuzzyLexicon, dict[str, tuple[int, int]]]:
     """The automaton of a lexicon and the words matched so far, per worker."""
     return FuzzyLexicon(list(terms)), {}
@@ -140,7 +140,7 @@ class ToxicModel:
     def hits(self, words: list[str]) -> list[tuple[int, int, int]]:
         """(place, term, edits) of each hit among a text's words."""
         lexicon, seen = _matcher(tuple(self.terms))
-        if len(seen) > 400_000:  # a memory bound only: matches are found again
+        if len(seen) > 100_000:  # a memory bound only: matches are found again
             seen.clear()
         out = []
         for i, w in enumerate(words):
