@@ -281,12 +281,14 @@ def keep_one(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS,
     prints, named = _grouped(docs, width, radius, shard_rows)
     first = F.min(F.struct(F.col("least").isNull().alias("no_id"), "least", "fp"))
     stay = cut(named.groupBy("root").agg(first.alias("s")).select("s.least", "s.fp"))
-    often = prints.groupBy("doc_id").count().filter("doc_id is null or count > 1").select("doc_id")
+    often = cut(prints.groupBy("doc_id").count().filter("doc_id is null or count > 1").select("doc_id"))
     names = docs.columns
     rows = docs.select(F.col("doc_id").cast("bigint").alias("id_"), F.col("text").cast("string").alias("text_"),
                        whole_row(docs).alias("row_"))
     once = stay.join(often, F.col("least") == F.col("doc_id"), "left_anti").filter("least is not null")
     plain = rows.join(once.select(F.col("least").alias("id_")), "id_", "left_semi").select("row_")
+    if often.isEmpty():  # every id stands on one row
+        return plain.select(*columns_of("row_", names))
     unsure = rows.join(often, F.col("id_").eqNullSafe(F.col("doc_id")), "left_semi")
 
     def with_print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
