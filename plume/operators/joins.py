@@ -50,6 +50,13 @@ def left_join(left: DataFrame, right: DataFrame, on: list[str], null_keys: bool
     return left.join(right, on=on, how="left")
 
 
+def inner_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join on equal or both-null keys; the left keys are kept."""
+    other = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
+    return left.join(other, cond).drop(*[f"_r_{c}" for c in on])
+
+
 def join_renamed(left: DataFrame, right: DataFrame, pairs: dict[str, str],
                  how: str = "inner") -> DataFrame:
     """``inner_join(x, y, by = c(a = "b"))``; the right key is dropped."""

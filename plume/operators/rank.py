@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plume.operators.joins import inner_null_safe
 from plume.session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = (partition id << 33) + position
@@ -59,7 +60,7 @@ def dist_rank(df: DataFrame, order_cols: list[str], group_cols: list[str] | None
     slices = slices.drop("_n")
     # the slice table has at most (partitions + groups) rows; the planner's
     # size check decides between broadcast and shuffle join
-    out = sliced.join(slices, on=[*group_cols, "_pid"], how="inner")
+    out = inner_null_safe(sliced, slices, [*group_cols, "_pid"])  # a null group is a group
     out = out.withColumn(rank_col, F.col("_off") + F.col("_pos") - F.col("_first") + 1)
     return out.drop("_pid", "_pos", "_first", "_off")
 
@@ -123,7 +124,7 @@ def quantiles(df: DataFrame, value_col: str, probs: list[float],
         .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_sz")))
     lo = ranked.select(*group_cols, F.col("_rk").alias("_lo"), F.col(value_col).alias("_xlo"))
     hi = ranked.select(*group_cols, F.col("_rk").alias("_hi"), F.col(value_col).alias("_xhi"))
-    got = need.join(lo, [*group_cols, "_lo"]).join(hi, [*group_cols, "_hi"])
+    got = inner_null_safe(inner_null_safe(need, lo, [*group_cols, "_lo"]), hi, [*group_cols, "_hi"])
     got = got.withColumn("_q", F.col("_xlo") + F.col("_frac") * (F.col("_xhi") - F.col("_xlo")))
     wide = got.groupBy(*group_cols).pivot("qname", names).agg(F.first("_q")) if group_cols \
         else got.groupBy().pivot("qname", names).agg(F.first("_q"))

@@ -42,7 +42,7 @@ def control_names(df: DataFrame) -> list[str]:
         [f"deaths_decile_{i}" for i in range(1, 11)]
 
 
-LAGS = ["lag1", "lag2", "lag3", "lead1", "lead2", "lead3"]
+LAGS = ["lag1", "lag2", "lead1", "lead2"]
 
 
 def event_study(spark: SparkSession, panel: DataFrame, outcome: str = "log_total_visits",

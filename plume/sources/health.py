@@ -76,7 +76,8 @@ def county_area(spark: SparkSession, area: DataFrame, compat: bool = False) -> D
         .groupBy(F.lit(NYC_FIPS).alias("county_fips")).agg(rsem.sum_strict("km_sq").alias("km_sq"))
     missing = spark.createDataFrame(MISSING_AREAS, "county_fips string, km_sq double")
     kept = size.filter(~F.col("county_fips").isin(boroughs + AREA_DROP_EXTRA))
-    return shape.union_all([kept, nyc, missing])
+    # a patched county may be in the table already (36115 by default): one row each
+    return shape.replace_rows(shape.union_all([kept, nyc]), missing, ["county_fips"])
 
 
 def senior_share(acs: DataFrame, compat: bool = False) -> DataFrame:

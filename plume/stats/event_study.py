@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 
 from plume.operators.shape import one_hot
 from plume.stats.regress import within
-from plume.stats.tdist import Z95, stars, t_quantile
+from plume.stats.tdist import stars, t_quantile
+
+BAND = 1.96  # fixed value: half-width of the reported interval in standard errors
 
 TABLE_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
@@ -71,7 +73,7 @@ def _table(spark: SparkSession, name: str, fit, base: str, band: float) -> DataF
 
 
 def fit_table(spark: SparkSession, panel: DataFrame, spec: Spec, entity: str,
-              band: float = Z95) -> DataFrame:
+              band: float = BAND) -> DataFrame:
     """E1+E4+E5+E10+M9 for one spec: coefficient table with the omitted base
     row re-added first (term_order 0), percent difference = -estimate and a
     +-band * se interval."""
@@ -82,7 +84,7 @@ def fit_table(spark: SparkSession, panel: DataFrame, spec: Spec, entity: str,
 
 
 def sweep(spark: SparkSession, panel: DataFrame, specs: list[Spec], entity: str,
-          keep_rows: tuple[int, int] | None = None, band: float = Z95) -> DataFrame:
+          keep_rows: tuple[int, int] | None = None, band: float = BAND) -> DataFrame:
     """E7 (+F6): fit every spec on one cached panel and stack the tables;
     ``keep_rows`` keeps term_order in [a, b] (the reference's row filter).
 

@@ -275,42 +275,44 @@ def _cluster_vcov(dm: DataFrame, y: str, xs: list[str], beta: np.ndarray, inv: n
     return factor * inv @ meat @ inv, n_cl
 
 
-def two_way_within(df: DataFrame, y: str, xs: list[str], entity: str, time: str,
-                   max_iter: int = 50, tol: float = 1e-10) -> Fit:
-    """Entity + time effects by alternating demeaning.
-
-    One round (entity sweep, then time sweep) is exact on a balanced panel,
-    which is detected from the counts; unbalanced panels iterate until the
-    entity means vanish.  Each sweep is an aggregate (map-side combined, so a
-    time period holding every entity is not one task) joined back; lineage
-    is cut by a checkpoint in the shared folder every few rounds.
+def two_way_within(df: DataFrame, y: str, xs: list[str], entity: str, time: str) -> Fit:
+    """Entity + time effects, exact for balanced and unbalanced panels.
+
+    Entity means are swept out by one aggregate joined back.  On a balanced
+    panel (detected from the counts) time means are swept the same way.
+    Otherwise time dummies are carried as regressors, swept by entity too and
+    solved with the rest in one Gram matrix; their number is bounded by the
+    calendar.  Columns that the sweeps reduce to rounding noise are measured
+    against their raw sums of squares and dropped.
     """
-    cols = [y, *xs]
-    cur = df.select(entity, time, *cols).dropna()
+    cur = df.select(entity, time, y, *xs).dropna()
     st = cur.agg(F.countDistinct(entity).alias("e"), F.countDistinct(time).alias("t"),
                  F.count(F.lit(1)).alias("n"),
                  F.countDistinct(entity, time).alias("cells")).collect()[0]
     n_ent, n_t = int(st["e"]), int(st["t"])
     balanced = st["n"] == st["cells"] == n_ent * n_t
-    for it in range(1 if balanced else max_iter):
-        for key in (entity, time):
-            means = cur.groupBy(key).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
-            cur = cur.join(means, on=key, how="inner") \
-                .withColumns({c: F.col(c) - F.col(f"_m_{c}") for c in cols}) \
-                .drop(*[f"_m_{c}" for c in cols])
-        if balanced:
-            break
-        cur = cur.checkpoint(eager=True) if it % 3 == 2 else cur
-        dev = cur.groupBy(entity).agg(*[F.avg(c).alias(c) for c in cols]) \
-            .agg(F.max(F.greatest(*[F.abs(c) for c in cols])).alias("d")).collect()[0]["d"]
-        if dev is None or dev < tol:
-            break
+    dums: list[str] = []
+    if not balanced:
+        levels = sorted(r[0] for r in cur.select(time).distinct().collect())[1:]
+        dums = [f"_t{i}" for i in range(len(levels))]
+        cur = cur.select("*", *[(F.col(time) == F.lit(v)).cast("double").alias(d)
+                                for d, v in zip(dums, levels)])
+    every = [*xs, *dums]
+    raw = cur.agg(*[F.sum(F.col(c) * F.col(c)).alias(c) for c in every]).collect()[0]
+    for key in (entity, time) if balanced else (entity,):
+        means = cur.groupBy(key).agg(*[F.avg(c).alias(f"_m_{c}") for c in [y, *every]])
+        cur = cur.join(means, on=key, how="inner") \
+            .withColumns({c: F.col(c) - F.col(f"_m_{c}") for c in [y, *every]}) \
+            .drop(*[f"_m_{c}" for c in [y, *every]])
     cur = cur.cache()
-    g, row = gram(cur, [*xs, y], [F.count(F.lit(1)).alias("_n")])
+    g, row = gram(cur, [*every, y], [F.count(F.lit(1)).alias("_n")])
     n = int(row["_n"])
-    keep = independent_columns(g[:-1, :-1], xs)
-    beta, inv = _solve(g, keep, len(xs))
-    kept = [xs[i] for i in keep]
-    vc, _ = _cluster_vcov(cur, y, kept, beta, inv, [entity], n, len(keep))
+    keep = independent_columns(g[:-1, :-1], every,
+                               scale=np.array([float(raw[c] or 0.0) for c in every]))
+    beta, inv = _solve(g, keep, len(every))
+    kept = [every[i] for i in keep]
+    nx = sum(i < len(xs) for i in keep)
+    vc, _ = _cluster_vcov(cur, y, kept, beta, inv, [entity], n, nx)
     cur.unpersist()
-    return Fit(kept, beta, vc, n, n_ent, n - n_ent - n_t + 1 - len(keep))
+    df_time = n_t - 1 if balanced else len(keep) - nx
+    return Fit(kept[:nx], beta[:nx], vc[:nx, :nx], n, n_ent, n - n_ent - df_time - nx)

@@ -47,7 +47,10 @@ def _rollup_stream(spark: SparkSession, source_dir: str, schema: StructType, bro
         (rows.write.mode("overwrite").partitionBy(date_col)
          .parquet(f"{bronze_dir}/batch_id={batch_id}"))
         touched = [r[0] for r in rows.select(date_col).distinct().collect()]  # dates: bounded
-        bronze = spark.read.parquet(bronze_dir).filter(F.col(date_col).isin(touched))
+        mine = F.col(date_col).isin([d for d in touched if d is not None])
+        if None in touched:  # rows with an unreadable date are a group of their own
+            mine = mine | F.col(date_col).isNull()
+        bronze = spark.read.parquet(bronze_dir).filter(mine)
         (rollup(bronze).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(date_col).parquet(silver_dir))
 
