@@ -77,17 +77,18 @@ def points_to_polygons(points: DataFrame, vertices: DataFrame, x: str, y: str,
     cells = broadcast_if_small(polygon_cells(polys, cell, keys), max_broadcast_cells)
     if n_vertices <= max_broadcast_vertices:
         polys = F.broadcast(polys)
-    # the lookup runs on distinct coordinates, so rows with repeated or null keys
-    # all stay and each gets its own coordinates' polygon
-    pts = points.select(F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py")) \
-        .dropna().distinct().withColumns({
-            "cx": F.floor(F.col("px") / F.lit(cell)), "cy": F.floor(F.col("py") / F.lit(cell))})
-    cand = pts.join(cells, on=["cx", "cy"], how="left") \
-        .join(polys.select(*keys, "edges"), on=keys, how="left")
-    cand = cand.withColumn("_in", F.coalesce(F.expr(_INSIDE), F.lit(False)))
-    hit = F.min(F.when(F.col("_in"), F.struct(*[F.col(k) for k in keys]))).alias("_hit")
+    # one row per cell with its candidate polygons, so every point row is looked up
+    # by itself: rows with repeated or null keys or coordinates all stay
+    per_cell = cells.join(polys.select(*keys, "edges"), on=keys).groupBy("cx", "cy").agg(
+        F.collect_list(F.struct(*keys, "edges")).alias("_cands"))
+    per_cell = broadcast_if_small(per_cell, max_broadcast_cells)
+    pts = points.withColumns({
+        "px": F.col(x).cast("double"), "py": F.col(y).cast("double"),
+        "cx": F.floor(F.col(x) / F.lit(cell)), "cy": F.floor(F.col(y) / F.lit(cell)),
+    }).join(per_cell, on=["cx", "cy"], how="left")
+    inside = _INSIDE.replace("edges", "c.edges")
+    names = ", ".join(f"'{k}', c.{k}" for k in keys)
+    pts = pts.withColumn("_hit", F.expr(
+        f"array_min(transform(filter(_cands, c -> coalesce({inside}, false)), c -> named_struct({names})))"))
     other = [c for c in points.columns if c not in point_key]
-    found = cand.groupBy("px", "py").agg(hit)
-    rows = points.withColumns({"px": F.col(x).cast("double"), "py": F.col(y).cast("double")}) \
-        .join(found, ["px", "py"], "left")
-    return rows.select(*point_key, *other, *[F.col(f"_hit.{k}").alias(k) for k in keys])
+    return pts.select(*point_key, *other, *[F.col(f"_hit.{k}").alias(k) for k in keys])
