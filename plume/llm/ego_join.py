@@ -6,11 +6,13 @@ coordinates on the leading principal dimensions; any orthonormal projection
 shortens distances, so it is enough to fit those on a bounded sample.  The
 sequence is cut into blocks, blocks are joined into intervals of four, and
 pairs of intervals are refined level by level from the whole sequence down,
-dropping every pair whose bounding boxes lie more than eps apart.  A surviving
-pair of blocks is joined in one task, again by halves of intervals that may be
-skipped, with exact double-precision products at the end.
+dropping every pair whose bounding boxes lie more than eps apart.  The leaves of
+that refinement are tiles: runs of blocks of one vector length and at most
+``tile_bytes``, so that small blocks do not each travel to every other one.  A
+surviving pair of tiles is joined in one task, again by halves of intervals that
+may be skipped, with exact double-precision products at the end.
 
-Identical vectors are one row, so exact copies meet once.  A block pair returns
+Identical vectors are one row, so exact copies meet once.  A tile pair returns
 link counts and one component label per row, never the pairs themselves.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite
@@ -208,26 +210,33 @@ def join_blocks(xa: np.ndarray, wa: np.ndarray, xb: np.ndarray | None, wb: np.nd
     return links, parent
 
 
-def _leaf_join(batches: Iterator[pa.RecordBatch], cosine: float, axes: dict) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for r in range(batch.num_rows):
-            row = {c: batch.column(i)[r].as_py() for i, c in enumerate(batch.schema.names)}
-            if row["dim_a"] != row["dim_b"]:
-                continue
-            same = row["a"] == row["b"]
-            (na, wa, xa), (nb, wb, xb) = (
-                (np.frombuffer(row[f"nodes_{s}"], np.int64), np.frombuffer(row[f"weights_{s}"], np.int64),
-                 np.frombuffer(row[f"vecs_{s}"], np.float64).reshape(-1, row["dim_a"])) for s in "ab")
-            links, parent = join_blocks(xa, wa, None if same else xb, None if same else wb, cosine, axes)
-            nodes = na if same else np.r_[na, nb]
-            at = np.flatnonzero(links)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes[at]), pa.array(links[at]), pa.array(nodes[parent[at]])],
-                ["node", "links", "root"])
+def _tile_join(table: pa.Table, cosine: float, axes: dict) -> pa.Table:
+    """Links between the blocks of one pair of tiles (or inside one tile)."""
+    table = table.sort_by([("tile", "ascending"), ("seq", "ascending")])
+    at = np.asarray(table["tile"])
+    low, high = at[0], at[-1]
+    dim = table["dim"][0].as_py()
+
+    def side(tile: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = table.filter(pa.array(at == tile))
+        nodes, weights, vecs = (b"".join(rows[c].to_pylist()) for c in ("nodes", "weights", "vecs"))
+        return (np.frombuffer(nodes, np.int64), np.frombuffer(weights, np.int64),
+                np.frombuffer(vecs, np.float64).reshape(-1, dim))
+
+    nodes, wa, xa = side(low)
+    if low == high:
+        links, parent = join_blocks(xa, wa, None, None, cosine, axes)
+    else:
+        nb, wb, xb = side(high)
+        nodes = np.r_[nodes, nb]
+        links, parent = join_blocks(xa, wa, xb, wb, cosine, axes)
+    hit = np.flatnonzero(links)
+    return pa.table({"node": nodes[hit], "links": links[hit], "root": nodes[parent[hit]]})
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
-                    cosine: float = 0.9, block_bytes: int = 2 << 20, max_fit: int = 5_000) -> DataFrame:
+                    cosine: float = 0.9, block_bytes: int = 2 << 20, max_fit: int = 5_000,
+                    tile_bytes: int = 8 << 20) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row."""
     eps = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("vec"))
@@ -245,21 +254,27 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
         lambda b: _pack(b, axes, block_bytes),
         "dim int, nodes binary, weights binary, vecs binary, low array<double>, high array<double>")
         .withColumn("block", F.monotonically_increasing_id()))
-    n_blocks = blocks.count()
-    if n_blocks:
-        # a row per block: the numbering and the interval boxes are small
-        boxes = blocks.select((F.row_number().over(Window.orderBy("block")) - 1).cast("bigint").alias("seq"),
-                              "block", "dim", "low", "high")
-        boxes = cut(boxes)
-        pairs = interval_pairs(boxes, n_blocks, eps)
-        filed = blocks.drop("low", "high").join(boxes.select("seq", "block"), "block").drop("block")
-
-        def side(s: str, key: str) -> DataFrame:
-            return filed.select(F.col("seq").alias(key), *[F.col(c).alias(f"{c}_{s}")
-                                                           for c in ("dim", "nodes", "weights", "vecs")])
-
-        found = cut(pairs.join(side("a", "a"), "a").join(side("b", "b"), "b")
-                    .mapInArrow(lambda b: _leaf_join(b, cosine, axes), "node bigint, links bigint, root bigint"))
+    if not blocks.isEmpty():
+        # a row per block: the numbering and the tiles' boxes are small
+        upto = Window.partitionBy("dim").orderBy("block")
+        order = Window.orderBy("dim", "part")
+        numbered = blocks.select(
+            "block", "dim", "low", "high",
+            F.floor((F.sum(F.length("vecs")).over(upto) - 1) / tile_bytes).alias("part"))
+        tiles = numbered.groupBy("dim", "part").agg(
+            F.array(*[F.min(F.col("low")[k]) for k in range(LEAD)]).alias("low"),
+            F.array(*[F.max(F.col("high")[k]) for k in range(LEAD)]).alias("high")) \
+            .withColumn("seq", (F.row_number().over(order) - 1).cast("bigint"))
+        tiles = cut(tiles)
+        pairs = interval_pairs(tiles.select("seq", "dim", "low", "high"), tiles.count(), eps)
+        # a tile's blocks meet the pairs it takes part in
+        sides = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"))
+        places = numbered.select("block", "dim", "part").join(
+            tiles.select("dim", "part", F.col("seq").alias("tile")), ["dim", "part"])
+        filed = blocks.drop("low", "high", "dim").join(places.drop("part"), "block") \
+            .withColumnRenamed("block", "seq")
+        found = cut(sides.join(filed, "tile").groupBy("a", "b").applyInArrow(
+            lambda t: _tile_join(t, cosine, axes), "node bigint, links bigint, root bigint"))
         counts = found.groupBy("node").agg(F.sum("links").alias("links"))
         roots = connected_components(found, "node", "root")
         named = reps.select("node", "weight", "least", "vec").join(counts, "node", "left") \
