@@ -98,34 +98,44 @@ def ntile(df: DataFrame, n: int, value_col: str, tiebreak: list[str],
 
 
 def quantiles(df: DataFrame, value_col: str, probs: list[float],
-              group_cols: list[str] | None = None, tiebreak: list[str] | None = None,
-              names: list[str] | None = None) -> DataFrame:
+              group_cols: list[str] | None = None, names: list[str] | None = None) -> DataFrame:
     """Exact type-7 quantiles (linear interpolation), per group.
 
     h = (n - 1) p + 1; q = x[floor h] + (h - floor h)(x[floor h + 1] - x[floor h]).
-    Only the at most 2 * len(probs) rows at the needed ranks leave the ranked
-    table, so no task ever holds a whole group.
+    Equal values are counted first (combined map-side), so a value held by most
+    rows is one row; running totals over slices of the sorted distinct values
+    then tell which values stand at the needed ranks.
     """
     group_cols = list(group_cols or [])
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
-    vals = df.filter(F.col(value_col).isNotNull())
-    tiebreak = list(tiebreak or [])  # equal values are interchangeable here
-    ranked = dist_rank(vals.select(*group_cols, value_col, *tiebreak), [value_col, *tiebreak],
-                       group_cols, rank_col="_rk", size_col="_sz")
-    # needed ranks per (group, prob): lo = floor(h), hi = lo + 1 (capped at n)
-    probs_arr = F.array(*[F.struct(F.lit(nm).alias("qname"), F.lit(float(p)).alias("p"))
-                          for nm, p in zip(names, probs)])
-    sizes = ranked.select(*group_cols, "_sz").distinct()
-    need = sizes.select("*", F.explode(probs_arr).alias("_q")) \
-        .select(*group_cols, "_sz", "_q.qname", "_q.p") \
-        .withColumn("_h", (F.col("_sz") - 1) * F.col("p") + 1) \
-        .withColumn("_lo", F.floor("_h").cast("long")) \
-        .withColumn("_frac", F.col("_h") - F.col("_lo")) \
-        .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_sz")))
-    lo = ranked.select(*group_cols, F.col("_rk").alias("_lo"), F.col(value_col).alias("_xlo"))
-    hi = ranked.select(*group_cols, F.col("_rk").alias("_hi"), F.col(value_col).alias("_xhi"))
-    got = inner_null_safe(inner_null_safe(need, lo, [*group_cols, "_lo"]), hi, [*group_cols, "_hi"])
-    got = got.withColumn("_q", F.col("_xlo") + F.col("_frac") * (F.col("_xhi") - F.col("_xlo")))
-    wide = got.groupBy(*group_cols).pivot("qname", names).agg(F.first("_q")) if group_cols \
-        else got.groupBy().pivot("qname", names).agg(F.first("_q"))
-    return wide
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = df.filter(F.col(value_col).isNotNull()).groupBy(*group_cols, value_col) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    sliced = counts.repartitionByRange(*group_cols, value_col) \
+        .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    within = Window.partitionBy(*group_cols, "_pid").orderBy(value_col)
+    slices = sliced.groupBy(*group_cols, "_pid").agg(F.sum("_n").alias("_m"))
+    before = Window.partitionBy(*group_cols).orderBy("_pid") if group_cols else Window.orderBy("_pid")
+    slices = slices.select(
+        *group_cols, "_pid",
+        (F.sum("_m").over(before) - F.col("_m")).alias("_off"),
+        F.sum("_m").over(Window.partitionBy(*group_cols)).alias("_sz"))
+    placed = inner_null_safe(sliced.withColumn("_upto", F.sum("_n").over(within)), slices,
+                             [*group_cols, "_pid"]) \
+        .withColumn("_last", F.col("_off") + F.col("_upto"))
+
+    def rank_of(p: float) -> Column:
+        return (F.col("_sz") - 1) * F.lit(float(p)) + 1
+
+    def at(rank: Column) -> Column:
+        here = (rank > F.col("_last") - F.col("_n")) & (rank <= F.col("_last"))
+        return F.max(F.when(here, F.col(value_col)))
+
+    found = placed.groupBy(*group_cols).agg(
+        F.max("_sz").alias("_sz"),
+        *[at(F.floor(rank_of(p))).alias(f"_lo{i}") for i, p in enumerate(probs)],
+        *[at(F.least(F.floor(rank_of(p)) + 1, F.col("_sz"))).alias(f"_hi{i}")
+          for i, p in enumerate(probs)])
+    return found.select(*group_cols, *[
+        (F.col(f"_lo{i}") + (rank_of(p) - F.floor(rank_of(p))) * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
+        .alias(nm) for i, (nm, p) in enumerate(zip(names, probs))])

@@ -5,8 +5,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,25 +51,41 @@ def user_weekly(daily: DataFrame) -> DataFrame:
     )
 
 
+def _files_key(spark: SparkSession, inputs: dict[str, DataFrame]) -> str:
+    """Names, sizes and times of the files behind some tables; no content is read."""
+    paths = sorted({unquote(f) for df in inputs.values() for f in df.inputFiles()})
+    if not paths:
+        return "none"
+    files = spark.read.format("binaryFile").load(paths)
+    one = F.pmod(F.xxhash64("path", "length", "modificationTime"), F.lit(1 << 40))
+    return repr(tuple(files.agg(F.count(F.lit(1)), F.sum(one)).collect()[0]))
+
+
+def _written(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has ended: its success marker is there."""
+    sc = spark.sparkContext
+    marker = sc._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(sc._jsc.hadoopConfiguration()).exists(marker)
+
+
 def materialized(spark: SparkSession, name: str, inputs: dict[str, DataFrame],
                  build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
     """Build a table once per application and read it back afterwards.
 
     This mirrors the reference, whose analysis notebooks read the written
     panel instead of rebuilding it.  The table lives in the shared checkpoint
-    folder under a key of the application id and the inputs' row counts
-    (parquet footers, no scan), so it is never reused across applications or
-    after the inputs change.
+    folder under a key of the application id and of the input files' names,
+    sizes and times, so it is never reused across applications, for other
+    folders or after the inputs change.  A folder without a success marker is
+    written anew.
     """
     from plume.session import scratch_path
-    counts = sorted((k, v.count()) for k, v in inputs.items())
-    key = hashlib.sha1(repr((name, spark.sparkContext.applicationId, counts)).encode())
+    key = hashlib.sha1(repr((name, spark.sparkContext.applicationId,
+                             _files_key(spark, inputs))).encode())
     path = scratch_path(spark, "tables", f"{name}-{key.hexdigest()[:16]}")
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    if not _written(spark, path):
         w = build().write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        return spark.read.parquet(path)
+    return spark.read.parquet(path)

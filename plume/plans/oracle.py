@@ -147,13 +147,14 @@ PLACE_WEEKS = """
 
 
 ORDER_DAYS = """
-  WITH o AS (SELECT o_custkey, o_orderpriority, CAST(o_orderdate AS DATE) AS od FROM orders
-             WHERE year(o_orderdate) = 1998),
+  WITH o AS (SELECT o_custkey, o_orderpriority, o_totalprice,
+                    CAST(DATE '1998-01-26' + CAST(((datediff('day', DATE '1998-01-26', CAST(o_orderdate AS DATE)) % 126) + 126) % 126 AS INTEGER) AS DATE) AS od
+             FROM orders),
   pc AS (SELECT o_custkey, min(CASE WHEN o_orderpriority = '2-HIGH' THEN od END) AS cs,
                 max(CASE WHEN o_orderpriority = '5-LOW' THEN od END) AS ce FROM o GROUP BY 1),
   pn AS (SELECT c_nationkey,
-                min(CASE WHEN o_orderpriority = '1-URGENT' AND month(od) = 3 THEN od END) AS ss,
-                max(CASE WHEN o_orderpriority = '1-URGENT' AND month(od) = 4 THEN od END) AS se
+                arg_max(od, CASE WHEN o_orderpriority = '1-URGENT' AND month(od) = 3 THEN o_totalprice END) AS ss,
+                arg_max(od, CASE WHEN o_orderpriority = '1-URGENT' AND month(od) = 4 THEN o_totalprice END) AS se
          FROM o JOIN customer ON o_custkey = c_custkey GROUP BY 1),
   co AS (SELECT c_custkey, c_nationkey,
                 CASE WHEN length(CAST(c_nationkey AS VARCHAR)) < 2 THEN lpad(CAST(c_nationkey AS VARCHAR), 2, '0')
@@ -218,7 +219,7 @@ def _panel_sql() -> str:
                     lpad(CAST(n_regionkey AS VARCHAR), 2, '0') || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS fips
              FROM nation JOIN region ON n_regionkey = r_regionkey),
   cn AS (SELECT c.*, k.* FROM customer c JOIN k ON c.c_nationkey = k.n_nationkey),
-  pcd AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n FROM orders GROUP BY 1, 2),
+  pcd AS (SELECT o_custkey, CAST(DATE '1998-01-26' + CAST(((datediff('day', DATE '1998-01-26', CAST(o_orderdate AS DATE)) % 126) + 126) % 126 AS INTEGER) AS DATE) AS day, COUNT(*) AS n FROM orders GROUP BY 1, 2),
   dv0 AS (SELECT cn.fips AS county_fips, CAST(t.d AS DATE) AS date, cn.c_custkey, cn.c_acctbal
           FROM cn CROSS JOIN range(DATE '1998-01-25', DATE '1998-06-01', INTERVAL 1 DAY) t(d)),
   dv AS (SELECT county_fips, date, 50 + coalesce(n, 0) * 10 + (dayofweek(date) + 1) AS devices,
@@ -265,22 +266,20 @@ def _panel_sql() -> str:
          FROM cn GROUP BY 1, 2, 3),
   census AS (SELECT fips AS county_fips, lower(trim(n_name)) AS county, lower(trim(r_name)) AS state,
                     {shares} FROM pc),
-  lw AS (SELECT k.fips, CAST(l_shipdate AS DATE) AS day, l_discount, l_tax, l_quantity
+  lw AS (SELECT k.fips, CAST(DATE '1998-01-26' + CAST(((datediff('day', DATE '1998-01-26', CAST(l_shipdate AS DATE)) % 126) + 126) % 126 AS INTEGER) AS DATE) AS day, l_discount, l_tax, l_quantity
          FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-         JOIN k ON c_nationkey = n_nationkey
-         WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-01-25' AND DATE '1998-05-31'),
+         JOIN k ON c_nationkey = n_nationkey),
   wd AS (SELECT fips, day, avg(l_discount) * 100 AS precip, min(l_tax) * 100 AS tmin,
                 max(l_quantity) AS tmax FROM lw GROUP BY 1, 2),
   weather AS (SELECT fips AS county_fips, CAST(date_trunc('week', day) AS DATE) AS week_start_date,
                      avg(precip) AS mean_precip, avg(tmin) AS mean_tmin, avg(tmax) AS mean_tmax
               FROM wd WHERE CAST(date_trunc('week', day) AS DATE) >= DATE '1998-01-26' GROUP BY 1, 2),
-  ou AS (SELECT k.fips, k.r_name, CAST(o_orderdate AS DATE) AS od
-         FROM orders JOIN customer ON o_custkey = c_custkey JOIN k ON c_nationkey = n_nationkey
-         WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1998),
-  rg AS (SELECT r_name, min(CASE WHEN month(od) = 3 THEN od END) AS ss,
-                max(CASE WHEN month(od) = 4 THEN od END) AS se FROM ou GROUP BY 1),
-  nt AS (SELECT fips, min(CASE WHEN month(od) = 2 THEN od END) AS cs,
-                max(CASE WHEN month(od) = 5 THEN od END) AS ce FROM ou GROUP BY 1),
+  ou AS (SELECT k.fips, k.r_name, o_orderpriority, o_totalprice, CAST(DATE '1998-01-26' + CAST(((datediff('day', DATE '1998-01-26', CAST(o_orderdate AS DATE)) % 126) + 126) % 126 AS INTEGER) AS DATE) AS od
+         FROM orders JOIN customer ON o_custkey = c_custkey JOIN k ON c_nationkey = n_nationkey),
+  rg AS (SELECT r_name, arg_max(od, CASE WHEN o_orderpriority = '1-URGENT' AND month(od) = 3 THEN o_totalprice END) AS ss,
+                arg_max(od, CASE WHEN o_orderpriority = '1-URGENT' AND month(od) = 4 THEN o_totalprice END) AS se FROM ou GROUP BY 1),
+  nt AS (SELECT fips, arg_max(od, CASE WHEN o_orderpriority = '1-URGENT' AND month(od) = 2 THEN o_totalprice END) AS cs,
+                arg_max(od, CASE WHEN o_orderpriority = '1-URGENT' AND month(od) = 5 THEN o_totalprice END) AS ce FROM ou GROUP BY 1),
   ko AS (SELECT k.fips, lower(k.r_name) AS state, lower(trim(k.n_name)) AS county, ss, se, cs, ce
          FROM k LEFT JOIN rg USING (r_name) LEFT JOIN nt USING (fips)),
   od AS (SELECT ko.*, CAST(t.d AS DATE) AS date
@@ -338,9 +337,8 @@ def _panel_sql() -> str:
           LEFT JOIN vt ON dist.county_fips = vt.county_fips),
   sup AS (SELECT s_suppkey, lower(k.r_name) AS state, lower(k.n_name) AS county
           FROM supplier JOIN k ON s_nationkey = n_nationkey),
-  ld AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS day,
-                CAST(date_trunc('week', CAST(l_shipdate AS DATE)) AS DATE) AS week, l_quantity
-         FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-01-26' AND DATE '1998-05-31'),
+  ld AS (SELECT l_suppkey, day, CAST(date_trunc('week', day) AS DATE) AS week, l_quantity
+         FROM (SELECT l_suppkey, l_quantity, CAST(DATE '1998-01-26' + CAST(((datediff('day', DATE '1998-01-26', CAST(l_shipdate AS DATE)) % 126) + 126) % 126 AS INTEGER) AS DATE) AS day FROM lineitem)),
   spw AS (SELECT l_suppkey, week, COUNT(*) AS visits, count(DISTINCT day) AS visitors,
                  CAST(sum(l_quantity) AS BIGINT) AS sq FROM ld GROUP BY 1, 2),
   sps AS (SELECT *, least(visitors, CASE WHEN sq % 5 = 0 THEN 0 WHEN sq % 2 = 0 THEN sq % 9

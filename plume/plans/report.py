@@ -53,7 +53,7 @@ def event_study(spark: SparkSession, panel: DataFrame, outcome: str = "log_total
     county effects (E11), as in the reference; its coefficient is reported
     dropped, and the partisan contrast is read off the event-week terms.
     """
-    x = with_controls(weeks_since(panel), outcome).cache()
+    x = with_controls(weeks_since(panel), outcome)
     ctl = ["trump_vote_share", *control_names(x)]
     specs = []
     for ev in ("weeks_since_start", "weeks_since_end"):

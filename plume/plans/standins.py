@@ -773,26 +773,35 @@ def poi_daily_naics_build(spark, d):
 ORDER_SPINE = ("1998-01-26", "1998-05-31")   # 126 days from a Monday, as the reference's
 
 
+def fold_day(day):
+    """A day of the spine for any calendar day, 126 days apart: every row of a
+    table has its place in the spine, whatever its year."""
+    start = F.to_date(F.lit(ORDER_SPINE[0]))
+    return F.date_add(start, F.pmod(F.datediff(day, start), F.lit(126)))
+
+
+def _dearest_in(month):
+    """Day of the dearest 1-URGENT order among those of one month."""
+    return F.max_by("od", F.when((F.col("o_orderpriority") == "1-URGENT") & (F.month("od") == month),
+                                 F.col("o_totalprice")))
+
+
 def county_orders(spark, d):
     """Stand-in ``county_orders``: state = nation, county = customer; the local
-    order starts at the customer's first 2-HIGH order of the spine year and
-    ends at its last 5-LOW order, the state order starts at the nation's first
-    1-URGENT order of 1998-03 and ends at its last 1-URGENT order of 1998-04
-    (``M/d/yyyy`` text, null when there is none)."""
+    order starts at the customer's first 2-HIGH order (order days folded into
+    the spine) and ends at its last 5-LOW order, the state order starts at the
+    nation's dearest 1-URGENT order of March and ends at its dearest 1-URGENT
+    order of April (``M/d/yyyy`` text, null when there is none)."""
     cust = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_name", "c_acctbal")
     nat = table(spark, d, "nation").select("n_nationkey", "n_name")
     o = table(spark, d, "orders").select(
-        "o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("od")) \
-        .filter(F.year("od") == 1998)
+        "o_custkey", "o_orderpriority", "o_totalprice", fold_day(F.to_date("o_orderdate")).alias("od"))
     per_c = o.groupBy("o_custkey").agg(
         F.min(F.when(F.col("o_orderpriority") == "2-HIGH", F.col("od"))).alias("cs"),
         F.max(F.when(F.col("o_orderpriority") == "5-LOW", F.col("od"))).alias("ce"))
     per_n = o.join(cust.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey") \
         .groupBy("c_nationkey").agg(
-            F.min(F.when((F.col("o_orderpriority") == "1-URGENT") & (F.month("od") == 3),
-                         F.col("od"))).alias("ss"),
-            F.max(F.when((F.col("o_orderpriority") == "1-URGENT") & (F.month("od") == 4),
-                         F.col("od"))).alias("se"))
+            _dearest_in(3).alias("ss"), _dearest_in(4).alias("se"))
     fmt = lambda c: F.date_format(c, "M/d/yyyy")
     x = cust.join(nat, cust.c_nationkey == nat.n_nationkey) \
         .join(per_c, cust.c_custkey == per_c.o_custkey, "left") \
@@ -927,9 +936,8 @@ def nation_world(spark, d) -> dict:
     keys = _nation_keys(spark, d)
     cust = table(spark, d, "customer")
     cn = cust.join(keys, cust.c_nationkey == keys.n_nationkey)
-    o = table(spark, d, "orders").select("o_custkey", F.to_date("o_orderdate").alias("day")) \
-        .filter(F.col("day").between(F.to_date(F.lit(PANEL_DAYS[0])), F.to_date(F.lit(PANEL_DAYS[1]))))
-    # each customer's orders per day of the window as one map (<= 127 entries),
+    o = table(spark, d, "orders").select("o_custkey", fold_day(F.to_date("o_orderdate")).alias("day"))
+    # each customer's orders per day of the spine as one map (<= 126 entries),
     # joined at customer grain; the day rows are generated after the join, so
     # the expanded rows never cross a shuffle
     per_c = o.groupBy("o_custkey", "day").agg(F.count(F.lit(1)).alias("n")) \
@@ -950,12 +958,11 @@ def nation_world(spark, d) -> dict:
         (F.lit(60) + n_o * 10 + F.dayofweek("day")).cast("long").alias("candidate_device_count"))
     # weather: per nation and ship day from line items
     li = table(spark, d, "lineitem").select("l_orderkey", "l_discount", "l_tax", "l_quantity",
-                                            F.to_date("l_shipdate").alias("day"))
+                                            fold_day(F.to_date("l_shipdate")).alias("day"))
     oc = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     lw = li.join(oc, "l_orderkey").join(
         cust.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey") \
-        .join(keys, F.col("c_nationkey") == keys.n_nationkey) \
-        .filter(F.col("day").between(F.to_date(F.lit(PANEL_DAYS[0])), F.to_date(F.lit(PANEL_DAYS[1]))))
+        .join(keys, F.col("c_nationkey") == keys.n_nationkey)
     weather = lw.groupBy("fips", "day").agg(
         (F.avg("l_discount") * 100).alias("precip"), (F.min("l_tax") * 100).alias("tmin"),
         F.max("l_quantity").alias("tmax")).select(
@@ -994,18 +1001,14 @@ def nation_world(spark, d) -> dict:
                       F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "trump")
                       .otherwise("other").alias("candidate_normalized"),
                       F.floor(F.abs("c_acctbal")).cast("long").alias("votes"))
-    # orders at nation grain: region-wide and nation-wide 1-URGENT spells of 1998
-    ou = table(spark, d, "orders").filter((F.col("o_orderpriority") == "1-URGENT") &
-                                          (F.year("o_orderdate") == 1998)) \
-        .select("o_custkey", F.to_date("o_orderdate").alias("od")) \
+    # orders at nation grain: region-wide and nation-wide 1-URGENT spells
+    ou = table(spark, d, "orders") \
+        .select("o_custkey", "o_orderpriority", "o_totalprice", fold_day(F.to_date("o_orderdate")).alias("od")) \
         .join(cust.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey") \
         .join(keys, F.col("c_nationkey") == keys.n_nationkey)
     reg = ou.groupBy("r_name").agg(
-        F.min(F.when(F.month("od") == 3, F.col("od"))).alias("ss"),
-        F.max(F.when(F.month("od") == 4, F.col("od"))).alias("se"))
-    nat = ou.groupBy("fips").agg(
-        F.min(F.when(F.month("od") == 2, F.col("od"))).alias("cs"),
-        F.max(F.when(F.month("od") == 5, F.col("od"))).alias("ce"))
+        _dearest_in(3).alias("ss"), _dearest_in(4).alias("se"))
+    nat = ou.groupBy("fips").agg(_dearest_in(2).alias("cs"), _dearest_in(5).alias("ce"))
     fmt = lambda c: F.date_format(c, "M/d/yyyy")
     ko = keys.join(reg, "r_name", "left").join(nat, "fips", "left")
     none = F.lit(None).cast("string")
@@ -1081,14 +1084,13 @@ def streaming_device_rollup(spark, d):
 
 def supplier_patterns(spark, d) -> dict:
     """Stand-in POI inputs at nation grain: place = supplier, visits = line
-    items it ships per day (1998-01-26..05-31), visitors = active days, home
+    items it ships per day (folded into the spine), visitors = active days, home
     map by the rule of ``weekly_patterns`` on the shipped quantity; the place
     lookup and the county-name -> FIPS table come from nation and region."""
     keys = _nation_keys(spark, d)
     sup = table(spark, d, "supplier").join(keys, F.col("s_nationkey") == keys.n_nationkey)
     li = table(spark, d, "lineitem").select("l_suppkey", "l_quantity",
-                                            F.to_date("l_shipdate").alias("day")) \
-        .filter(F.col("day").between(F.to_date(F.lit("1998-01-26")), F.to_date(F.lit(PANEL_DAYS[1]))))
+                                            fold_day(F.to_date("l_shipdate")).alias("day"))
     li = li.withColumn("week", cal.week_start("day"))
     per_day = li.groupBy("l_suppkey", "week", "day").agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))

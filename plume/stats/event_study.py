@@ -1,7 +1,7 @@
 """Event-study tables and the per-period tests.
 
-The panel stays a DataFrame; only the distinct event-time levels (bounded by
-the calendar length) and the k x k fit results come to the driver.  Output
+The panel stays a DataFrame; only the event-time levels (bounded by the
+calendar length) and the k x k fit results come to the driver.  Output
 tables are tiny (one row per coefficient) and go back out as DataFrames.
 """
 
@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -45,12 +47,26 @@ class Spec:
     controls: list[str] = field(default_factory=list)
 
 
-def event_dummies(df: DataFrame, event_col: str) -> tuple[DataFrame, list[str], str]:
+def event_levels(df: DataFrame, event_col: str, designs: list[list[str]]) -> list[tuple[int, list]]:
+    """Per design (its outcome and controls): how many rows are complete, and
+    the event levels among those rows, all in one pass."""
+    aggs = []
+    for i, cols in enumerate(designs):
+        complete = reduce(and_, [F.col(c).isNotNull() for c in (event_col, *cols)])
+        aggs += [F.count(F.when(complete, 1)).alias(f"n{i}"),
+                 F.collect_set(F.when(complete, F.col(event_col))).alias(f"levels{i}")]
+    row = df.agg(*aggs).collect()[0]
+    return [(row[f"n{i}"], sorted(row[f"levels{i}"])) for i in range(len(designs))]
+
+
+def event_dummies(df: DataFrame, event_col: str, levels: list) -> tuple[DataFrame, list[str], str]:
     """Factor expansion of event time; the lowest level is the omitted base.
 
-    Rows with null event time keep null dummies and so leave the fit (K19).
+    ``levels`` are those of the design's complete rows: lags and leads empty
+    the lowest ones, and a base without rows would make the dummies add up to
+    a constant.  Rows with null event time keep null dummies and so leave the
+    fit (K19).
     """
-    levels = sorted(r[0] for r in df.select(event_col).distinct().dropna().collect())
     if not levels:
         return df, [], ""
     name = event_col + "{level}"
@@ -66,7 +82,7 @@ def _table(spark: SparkSession, name: str, fit, base: str, band: float) -> DataF
         se = r["std_error"]
         pdiff = -r["estimate"]
         out.append((name, i, r["term"], r["estimate"], se, r["statistic"], r["p_value"],
-                    stars(r["p_value"]) if i else "", pdiff,
+                    stars(r["statistic"]) if i else "", pdiff,
                     pdiff - band * se if se == se else None,
                     pdiff + band * se if se == se else None))
     return spark.createDataFrame(out, TABLE_SCHEMA)
@@ -77,7 +93,8 @@ def fit_table(spark: SparkSession, panel: DataFrame, spec: Spec, entity: str,
     """E1+E4+E5+E10+M9 for one spec: coefficient table with the omitted base
     row re-added first (term_order 0), percent difference = -estimate and a
     +-band * se interval."""
-    data, dummies, base = event_dummies(panel, spec.event_col)
+    (_, levels), = event_levels(panel, spec.event_col, [[spec.outcome, *spec.controls]])
+    data, dummies, base = event_dummies(panel, spec.event_col, levels)
     xs = [*dummies, *spec.controls]
     fit = within(data.dropna(subset=[spec.event_col]), spec.outcome, xs, entity)
     return _table(spark, spec.name, fit, base, band)
@@ -100,28 +117,18 @@ def sweep(spark: SparkSession, panel: DataFrame, specs: list[Spec], entity: str,
         groups.setdefault((sp.outcome, sp.event_col), []).append(sp)
     tables = {}
     for (outcome, ev), group in groups.items():
-        data, dummies, base = event_dummies(panel, ev)
-        data = data.dropna(subset=[ev])
-        designs = [[*dummies, *sp.controls] for sp in group]
+        designs = [[outcome, *sp.controls] for sp in group]
         union = list(dict.fromkeys(c for d in designs for c in d))
-
-        def complete(cols):
-            cond = F.col(outcome).isNotNull()
-            for c in cols:
-                cond = cond & F.col(c).isNotNull()
-            return F.count(F.when(cond, 1))
-        counts = data.agg(complete(union).alias("u"),
-                          *[complete(d).alias(f"c{i}") for i, d in enumerate(designs)]
-                          ).collect()[0]
-        shared = [i for i in range(len(group)) if counts[f"c{i}"] == counts["u"]]
-        if len(shared) > 1:
-            fits = within_multi(data, outcome, [designs[i] for i in shared], entity)
-            for i, fit in zip(shared, fits):
+        *found, (n_all, _) = event_levels(panel, ev, [*designs, union])
+        together = [i for i, (n, _) in enumerate(found) if n == n_all]
+        alone = [[i] for i in range(len(group)) if i not in together]
+        for part in [together, *alone] if together else alone:
+            data, dummies, base = event_dummies(panel, ev, found[part[0]][1])
+            data = data.dropna(subset=[ev])
+            fits = within_multi(data, outcome, [[*dummies, *group[i].controls] for i in part], entity)
+            for i, fit in zip(part, fits):
                 tables[group[i].name] = _table(spark, group[i].name, fit, base, band)
-        for i, sp in enumerate(group):
-            if sp.name not in tables:
-                fit = within(data, outcome, designs[i], entity)
-                tables[sp.name] = _table(spark, sp.name, fit, base, band)
+    panel.unpersist()
     ordered = [tables[sp.name] for sp in specs]
     out = ordered[0]
     for t in ordered[1:]:

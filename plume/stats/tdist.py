@@ -82,8 +82,9 @@ def t_quantile(p: float, df: float) -> float:
     return 0.5 * (lo + hi)
 
 
-def stars(p: float | None) -> str:
-    """E10: '***' p < .01, '**' p < .05, '*' p < .1."""
-    if p is None or math.isnan(p):
+def stars(statistic: float | None) -> str:
+    """|estimate / se| against the normal quantiles of 1%, 5% and 10%."""
+    if statistic is None or math.isnan(statistic):
         return ""
-    return "***" if p < 0.01 else "**" if p < 0.05 else "*" if p < 0.1 else ""
+    z = abs(statistic)
+    return "***" if z > Z99 else "**" if z > Z95 else "*" if z > Z90 else ""
