@@ -607,6 +607,13 @@ def oracle_sql() -> dict[str, str]:
             FROM o WHERE price IS NOT NULL)
       SELECT o.o_orderkey, o.o_orderpriority, CAST(r.decile AS BIGINT) AS decile
       FROM o LEFT JOIN r ON o.o_orderkey = r.o_orderkey"""
+    q["ntile_null_group"] = """
+      WITH o AS (SELECT o_orderkey, o_totalprice,
+                        CASE WHEN o_orderpriority <> '3-MEDIUM' THEN o_orderpriority END AS grp FROM orders),
+      r AS (SELECT o_orderkey, ntile(10) OVER (PARTITION BY grp ORDER BY o_totalprice, o_orderkey) AS decile
+            FROM o WHERE o_totalprice IS NOT NULL)
+      SELECT o.o_orderkey, o.grp, CAST(r.decile AS BIGINT) AS decile
+      FROM o LEFT JOIN r ON o.o_orderkey = r.o_orderkey"""
     q["ntile_global"] = """
       SELECT c_custkey, CAST(ntile(100) OVER (ORDER BY c_acctbal, c_custkey) AS BIGINT) AS pct
       FROM customer WHERE c_acctbal IS NOT NULL
@@ -726,6 +733,14 @@ def oracle_sql() -> dict[str, str]:
          CAST(sum(same) AS BIGINT) AS total_visitors_same_cbg,
          CAST(sum(visitors - same) AS BIGINT) AS total_visitors_diff_cbg
   FROM sp JOIN lk USING (user_id, code) GROUP BY 1, 2, 3"""
+    q["poi_weekly_naics_build"] = PLACE_WEEKS + """,
+  own AS (SELECT *, least(visitors, CASE WHEN sk % 5 = 0 THEN 0 WHEN sk % 2 = 0 THEN sk % 9
+                                         ELSE 2 END) AS found FROM pw)
+  SELECT state, county, naics, week AS date_week_start, CAST(sum(visits) AS BIGINT) AS total_visits,
+         CAST(sum(visitors) AS BIGINT) AS total_visitors,
+         CAST(sum(found) AS BIGINT) AS total_visitors_same_cbg,
+         CAST(sum(visitors - found) AS BIGINT) AS total_visitors_diff_cbg
+  FROM own JOIN lk USING (user_id, code) GROUP BY 1, 2, 3, 4"""
     q["poi_daily_naics_build"] = PLACE_WEEKS + """,
   pd AS (SELECT pw.user_id, pw.code, CAST(pw.week + INTERVAL (r.i) DAY AS DATE) AS date
          FROM pw CROSS JOIN range(0, 7) r(i)),
@@ -733,6 +748,9 @@ def oracle_sql() -> dict[str, str]:
   SELECT state, county, naics, pd.date, CAST(sum(coalesce(dn.n, 0)) AS BIGINT) AS total_visits
   FROM pd LEFT JOIN dn USING (user_id, code, date) JOIN lk USING (user_id, code)
   GROUP BY 1, 2, 3, 4"""
+    q["poi_daily_build"] = f"""
+      SELECT state, county, date, CAST(sum(total_visits) AS BIGINT) AS total_visits
+      FROM ({q['poi_daily_naics_build']}) n GROUP BY 1, 2, 3"""
     q["orders_daily_build"] = ORDER_DAYS + """
   SELECT county_fips, state, county, date, state_sip_start_date, state_sip_end_date,
          county_sip_start_date, county_sip_end_date, CAST(state_sip AS BIGINT) AS state_sip,
@@ -834,6 +852,9 @@ def oracle_sql() -> dict[str, str]:
   FROM ex LEFT JOIN ed ON ex.county_fips = ed.county_fips AND ex.week_start_date = ed.week_start_date"""
     outs = ["total_visits", "total_visitors_diff_cbg", "devices_leaving_home",
             "median_non_home_dwell_time"]
+    q["map_week_report"] = f"""
+      SELECT county_fips AS region, decile AS value
+      FROM ({q['map_deciles_report']}) m WHERE weeks_since_start = 0"""
     q["partisan_trends_report"] = f10 + """
   , med AS (SELECT quantile_cont(trump_vote_share, 0.5) AS m FROM f),
   g AS (SELECT CASE WHEN trump_vote_share > m THEN 1 WHEN trump_vote_share <= m THEN 0 END AS republican,

@@ -45,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "base_week_index": s.base_week_index,
     "event_base_index": s.event_base_index,
     "ntile_partitioned": s.ntile_partitioned,
+    "ntile_null_group": s.ntile_null_group,
     "ntile_global": s.ntile_global,
     "decile_one_hot": s.decile_one_hot,
     "quantile_gap": s.quantile_gap,
@@ -63,6 +64,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distancing_daily_build": s.distancing_daily_build,
     "distancing_weekly_build": s.distancing_weekly_build,
     "poi_weekly_build": s.poi_weekly_build,
+    "poi_weekly_naics_build": s.poi_weekly_naics_build,
+    "poi_daily_build": s.poi_daily_build,
     "poi_daily_naics_build": s.poi_daily_naics_build,
     "orders_daily_build": s.orders_daily_build,
     "orders_weekly_build": s.orders_weekly_build,
@@ -72,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "panel_weekly_build": s.panel_weekly_build,
     "panel_daily_build": s.panel_daily_build,
     "map_deciles_report": s.map_deciles_report,
+    "map_week_report": s.map_week_report,
     "partisan_trends_report": s.partisan_trends_report,
     "event_study_report": s.event_study_report,
     "streaming_device_rollup": s.streaming_device_rollup,

@@ -454,6 +454,15 @@ def ntile_partitioned(spark, d):
     return out.select("o_orderkey", "o_orderpriority", F.col("decile").cast("long"))
 
 
+def ntile_null_group(spark, d):
+    """W10 where the group is null for one priority: its rows are a group too."""
+    o = table(spark, d, "orders").select(
+        "o_orderkey", "o_totalprice",
+        F.when(F.col("o_orderpriority") != "3-MEDIUM", F.col("o_orderpriority")).alias("grp"))
+    out = rank.ntile(o, 10, "o_totalprice", ["o_orderkey"], ["grp"], out_col="decile")
+    return out.select("o_orderkey", "grp", F.col("decile").cast("long"))
+
+
 def ntile_global(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_acctbal")
     out = rank.ntile(c, 100, "c_acctbal", ["c_custkey"], out_col="pct")
@@ -752,9 +761,9 @@ def poi_lookup(spark, d):
         F.concat(F.lit("co"), F.floor(F.col("user_id") / 5).cast("string")).alias("county"))
 
 
-def _patterns(spark, d):
+def _patterns(spark, d, mode="first"):
     from plume.sources.mobility import poi_patterns
-    return poi_patterns(weekly_patterns(spark, d), poi_lookup(spark, d))
+    return poi_patterns(weekly_patterns(spark, d), poi_lookup(spark, d), mode)
 
 
 def poi_weekly_build(spark, d):
@@ -763,6 +772,18 @@ def poi_weekly_build(spark, d):
         "total_visitors_same_cbg", "total_visitors_diff_cbg")
 
 
+def poi_weekly_naics_build(spark, d):
+    """The NAICS grain, with the home map looked up by the place's own key (M4)."""
+    return _patterns(spark, d, mode="lookup")["weekly_naics"].select(
+        "state", "county", "naics", "date_week_start", "total_visits", "total_visitors",
+        "total_visitors_same_cbg", "total_visitors_diff_cbg")
+
+
+def poi_daily_build(spark, d):
+    return _patterns(spark, d)["daily"].select(
+        "state", "county", "date", F.col("total_visits").cast("long"))
+
+
 def poi_daily_naics_build(spark, d):
     return _patterns(spark, d)["daily_naics"].select(
         "state", "county", "naics", "date", F.col("total_visits").cast("long"))
@@ -1138,6 +1159,14 @@ def map_deciles_report(spark, d):
                       r6("adj_visits").alias("adj_visits"), F.col("decile").cast("long"))
 
 
+def map_week_report(spark, d):
+    """The map of one event week."""
+    from plume.plans.report import map_deciles, map_week
+    dec = map_deciles(_panel_weekly(spark, d), "weeks_since_start", -8, "total_visits")
+    out = map_week(dec, "weeks_since_start", 0)
+    return out.select("region", F.col("value").cast("long"))
+
+
 def partisan_trends_report(spark, d):
     """Outcome means by above/below-median vote share, relative to the
     first week."""

@@ -84,7 +84,9 @@ def poi_patterns(patterns: DataFrame, poi: DataFrame, mode: str = "first") -> di
     """Weekly and daily visits at county and county-NAICS grain.
 
     The NAICS grain is aggregated from the rows once; the county grain is
-    rolled up from it (sums are additive), so the raw file is read once.
+    rolled up from it (sums are additive).  Rows meet the lookup before their
+    seven days are exploded, so weekly and daily outputs share one join of the
+    raw rows and the exploded days go straight into partial sums.
     """
     lookup = poi.select("safegraph_place_id", "naics_code", "state", "county")
     w = patterns.withColumn("date_week_start", cal.iso_prefix_date("date_range_start"))
@@ -96,11 +98,8 @@ def poi_patterns(patterns: DataFrame, poi: DataFrame, mode: str = "first") -> di
         *[F.sum(c).alias(c) for c in _WEEKLY_SUMS])
 
     d = shape.explode_daily_array(
-        patterns.select("safegraph_place_id", "visits_by_day",
-                        cal.iso_prefix_date("date_range_start").alias("week_start_date")),
-        "visits_by_day", "week_start_date", "date", "visits")
-    d = d.join(lookup, "safegraph_place_id", "left").withColumn(
-        "naics", F.substring("naics_code", 1, 2))
+        w.select("state", "county", "naics", "visits_by_day", "date_week_start"),
+        "visits_by_day", "date_week_start", "date", "visits")
     daily_naics = d.groupBy("state", "county", "naics", "date").agg(
         rsem.sum_skip("visits").alias("total_visits"))
     daily = daily_naics.groupBy("state", "county", "date").agg(
