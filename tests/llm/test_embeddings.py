@@ -59,15 +59,15 @@ def test_links_of_edge_rows(spark):
     assert ego_join.near_duplicates(df.filter("vec_id = 8")).count() == 1
 
 
-@pytest.mark.parametrize("block_bytes", [2_000, 1 << 20])
-def test_links_in_many_blocks_with_a_hot_group(spark, block_bytes):
+@pytest.mark.parametrize("block_bytes, tile_bytes", [(2_000, 6_000), (2_000, 8 << 20), (1 << 20, 8 << 20)])
+def test_links_in_many_blocks_with_a_hot_group(spark, block_bytes, tile_bytes):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(6, 12))
     x = np.concatenate([rng.normal(size=(150, 12)), np.repeat(centres[:1], 120, 0) + 0.01 * rng.normal(size=(120, 12)),
                         np.repeat(centres, 10, 0) + 0.3 * rng.normal(size=(60, 12)), np.repeat(centres[1:2], 30, 0)])
     rows = [(i, v) for i, v in enumerate(x.tolist())]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
-    assert _got(ego_join.near_duplicates(df, block_bytes=block_bytes)) == _brute_links(rows)
+    assert _got(ego_join.near_duplicates(df, block_bytes=block_bytes, tile_bytes=tile_bytes)) == _brute_links(rows)
 
 
 def test_distant_blocks_are_skipped(spark):
