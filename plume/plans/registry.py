@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plume.plans import standins as s
 from plume.plans.oracle import oracle_sql as _oracle
+from plume.plans.oracle_fits import fit_oracles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_event_panel": s.flagship_event_panel,
@@ -57,10 +58,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "within_fe": s.within_fe,
     "cluster_se": s.cluster_se,
     "two_way_fe": s.two_way_fe,
+    "two_way_fe_unbalanced": s.two_way_fe_unbalanced,
     "weekly_slope_sweep": s.weekly_slope_sweep,
     "welch_ci": s.welch_ci,
     "welch_ci_bounds": s.welch_ci_bounds,
     "event_study_table": s.event_study_table,
+    "event_study_lags": s.event_study_lags,
     "distancing_daily_build": s.distancing_daily_build,
     "distancing_weekly_build": s.distancing_weekly_build,
     "poi_weekly_build": s.poi_weekly_build,
@@ -86,5 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = _oracle()
+    sql = {**_oracle(), **fit_oracles()}
     return {k: v for k, v in sql.items() if k in QUERIES}

@@ -603,6 +603,18 @@ def two_way_fe(spark, d):
         .select("term", r6("estimate").alias("estimate"))
 
 
+def two_way_fe_unbalanced(spark, d):
+    """Users and the days they have events on; ``z`` is constant within a user
+    and must be found swept out."""
+    panel = _daily(spark, d).select(
+        "user_id", "day", F.col("total_value").alias("y"), F.col("n_events").cast("double").alias("x"),
+        F.sqrt(F.col("user_id") + F.lit(0.5)).alias("z"))
+    fit = regress.two_way_within(panel, "y", ["x", "z"], "user_id", "day")
+    return spark.createDataFrame([(t, float(b), fit.n_obs, fit.n_groups) for t, b in zip(fit.terms, fit.coef)],
+                                 "term string, estimate double, n_obs long, n_groups long") \
+        .withColumn("estimate", r6("estimate"))
+
+
 def weekly_slope_sweep(spark, d):
     daily = _daily(spark, d).withColumn("week_start", cal.week_start("day")) \
         .withColumn("x", F.col("n_events").cast("double"))
@@ -660,7 +672,23 @@ def event_study_table(spark, d):
              es.Spec("start_controls", "log_total_value", "weeks_since_start", ["n_days"]),
              es.Spec("end_plain", "log_total_value", "weeks_since_end"),
              es.Spec("end_controls", "log_total_value", "weeks_since_end", ["n_days"])]
-    return es.sweep(spark, panel, specs, "user_id")
+    return _rounded_table(es.sweep(spark, panel, specs, "user_id"))
+
+
+def event_study_lags(spark, d):
+    """Designs with a lag and a lead: each user's first and last week leave the
+    complete rows, and with them the lowest event levels."""
+    panel = _weekly_event_panel(spark, d).withColumn("n_days", F.col("n_days").cast("double"))
+    panel = window.lags_leads(panel, "log_total_value", "user_id", "week_start")
+    specs = [es.Spec(f"{side}_lags", "log_total_value", f"weeks_since_{side}", ["n_days", "lag1", "lead1"])
+             for side in ("start", "end")]
+    return _rounded_table(es.sweep(spark, panel, specs, "user_id"))
+
+
+def _rounded_table(t):
+    return t.select("model", "term_order", "term", "stars", *[
+        r6(c).alias(c) for c in ["estimate", "std_error", "statistic", "p_value",
+                                 "percent_difference", "low", "high"]])
 
 
 # --- the distancing pipeline (D4) itself, on a device table derived from events ---

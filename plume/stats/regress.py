@@ -17,7 +17,7 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,10 +96,16 @@ def _gram_partials(df: DataFrame, cols: list[str]) -> np.ndarray:
     return g
 
 
-def demean(df: DataFrame, cols: list[str], entity: list[str]) -> DataFrame:
-    """Within transform: x - mean(x) over the entity (entity-period grain)."""
-    w = Window.partitionBy(*entity)
-    return df.withColumns({c: F.col(c) - F.avg(F.col(c)).over(w) for c in cols})
+def demean(df: DataFrame, cols: list[str], by: list[str], into: list[str] | None = None) -> DataFrame:
+    """Sweep: x - mean(x) over the rows of one ``by`` key, as columns ``into``
+    (default: in place).  The means are a map-side combined aggregate joined
+    back, not a window, so a key holding most rows is not one task (AQE
+    broadcasts small means and splits a skewed join)."""
+    into = into or cols
+    means = df.groupBy(*by).agg(*[F.avg(F.col(c)).alias(f"_m{i}") for i, c in enumerate(cols)])
+    return df.join(means, by).withColumns({
+        to: F.col(c) - F.col(f"_m{i}") for i, (c, to) in enumerate(zip(cols, into))}) \
+        .drop(*[f"_m{i}" for i in range(len(cols))])
 
 
 def independent_columns(g: np.ndarray, names: list[str], tol: float = 1e-9,
@@ -168,9 +174,7 @@ def within(df: DataFrame, y: str, xs: list[str], entity: list[str] | str,
     """
     entity = [entity] if isinstance(entity, str) else list(entity)
     data = df.select(*entity, y, *xs).dropna()
-    w = Window.partitionBy(*entity)
-    dmc = {f"_d{i}": F.col(c) - F.avg(F.col(c)).over(w) for i, c in enumerate([y, *xs])}
-    dm = data.withColumns(dmc).cache()
+    dm = demean(data, [y, *xs], entity, [f"_d{i}" for i in range(len(xs) + 1)]).cache()
     dy, dxs = "_d0", [f"_d{i + 1}" for i in range(len(xs))]
     cl = entity if cluster == "entity" else ([cluster] if cluster else None)
     k = len(xs)
@@ -214,10 +218,8 @@ def within_multi(df: DataFrame, y: str, designs: list[list[str]], entity: list[s
     for d in designs:
         cols += [c for c in d if c not in cols]
     data = df.select(*entity, y, *cols).dropna()
-    w = Window.partitionBy(*entity)
     dname = {c: f"_d{i + 1}" for i, c in enumerate(cols)}
-    dm = data.withColumns({"_d0": F.col(y) - F.avg(F.col(y)).over(w),
-                           **{dname[c]: F.col(c) - F.avg(F.col(c)).over(w) for c in cols}}).cache()
+    dm = demean(data, [y, *cols], entity, ["_d0", *dname.values()]).cache()
     g, row = gram(dm, [dname[c] for c in cols] + ["_d0"],
                   [F.count(F.lit(1)).alias("_n"),
                    *[F.sum(F.col(c) * F.col(c)).alias(f"_ss{i}") for i, c in enumerate(cols)]])
@@ -300,10 +302,7 @@ def two_way_within(df: DataFrame, y: str, xs: list[str], entity: str, time: str)
     every = [*xs, *dums]
     raw = cur.agg(*[F.sum(F.col(c) * F.col(c)).alias(c) for c in every]).collect()[0]
     for key in (entity, time) if balanced else (entity,):
-        means = cur.groupBy(key).agg(*[F.avg(c).alias(f"_m_{c}") for c in [y, *every]])
-        cur = cur.join(means, on=key, how="inner") \
-            .withColumns({c: F.col(c) - F.col(f"_m_{c}") for c in [y, *every]}) \
-            .drop(*[f"_m_{c}" for c in [y, *every]])
+        cur = demean(cur, [y, *every], [key])
     cur = cur.cache()
     g, row = gram(cur, [*every, y], [F.count(F.lit(1)).alias("_n")])
     n = int(row["_n"])
