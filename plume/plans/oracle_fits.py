@@ -8,7 +8,7 @@ and skipped on the way, and the swept block ends as the inverse.
 
 from __future__ import annotations
 
-from plume.plans.oracle import DAILY, R6, WEEKLY_PANEL, _event_time
+from plume.plans.oracle import DAILY, R6, WEEKLY_PANEL, _event_time, _panel_sql
 
 
 def two_sided_p(t: str, df: str, steps: int = 2000) -> str:
@@ -56,17 +56,18 @@ WITH RECURSIVE panel AS ({panel}),
     SELECT model, 1::BIGINT AS q, m, raw, w, []::BIGINT[] AS kept FROM mat JOIN raw USING (model)
     UNION ALL
     SELECT model, q + 1,
-           CASE WHEN m[q][q] > 1e-9 * raw[q] THEN
-             [[CASE WHEN i = q AND j = q THEN 1 / m[q][q] WHEN i = q THEN m[q][j] / m[q][q]
-                    WHEN j = q THEN -m[i][q] / m[q][q] ELSE m[i][j] - m[i][q] * m[q][j] / m[q][q] END
-               FOR j IN range(1, w + 1)] FOR i IN range(1, w + 1)] ELSE m END,
-           raw, w, CASE WHEN m[q][q] > 1e-9 * raw[q] THEN list_append(kept, q) ELSE kept END
-    FROM sweep WHERE q < w),
+           CASE WHEN pr[q] > 1e-9 * raw[q] THEN
+             [[CASE WHEN i = q AND j = q THEN 1 / pr[q] WHEN i = q THEN x / pr[q]
+                    WHEN j = q THEN -x / pr[q] ELSE x - line[q] * pr[j] / pr[q] END
+               FOR x, j IN line] FOR line, i IN m] ELSE m END,
+           raw, w, CASE WHEN pr[q] > 1e-9 * raw[q] THEN list_append(kept, q) ELSE kept END
+    FROM (SELECT *, m[q] AS pr FROM sweep WHERE q < w)),
   fit AS (SELECT * FROM sweep WHERE q = w),
-  coef AS (SELECT model, unnest(kept) AS j, unnest(range(1, len(kept) + 1)) AS term_order,
-                  unnest([m[k][w] FOR k IN kept]) AS beta, len(kept) AS k FROM fit),
-  inv AS (SELECT c.model, c.j AS i, a.j, f.m[c.j][a.j] AS v
-          FROM coef c JOIN coef a ON c.model = a.model JOIN fit f ON f.model = c.model),
+  swept AS (SELECT model, kept, w, unnest(range(1, w + 1)) AS j, unnest(m) AS line FROM fit),
+  coef AS (SELECT model, j, list_position(kept, j) AS term_order, line[w] AS beta, len(kept) AS k
+           FROM swept WHERE list_contains(kept, j)),
+  inv AS (SELECT model, j AS i, unnest(kept) AS j, unnest([line[a] FOR a IN kept]) AS v
+          FROM swept WHERE list_contains(kept, j)),
   u AS (SELECT dm.model, r, g, sum(CASE WHEN dm.j = w THEN d ELSE -coalesce(beta, 0) * d END) AS u
         FROM dm JOIN fit ON fit.model = dm.model LEFT JOIN coef c ON c.model = dm.model AND c.j = dm.j
         GROUP BY ALL),
@@ -100,6 +101,48 @@ _DAYS = f"""
          sqrt(user_id + 0.5) AS z FROM ({DAILY}) d"""
 
 
+_CONTROLS = ["share_asian", "share_black", "share_white", "share_bachelors", "share_undergrad",
+             "share_hhinc_100k", "share_poverty", "share_msta", "share_services", "share_sales",
+             "share_resources", "share_public_transit", "mean_precip", "mean_tmin", "mean_tmax",
+             "weekly_sipo_binary", "share_over_65", "log_pop_density"]
+
+
+def _report_sql() -> str:
+    """The six event-study models on the weekly panel."""
+    def since(mark: str) -> str:
+        return f"""rn - coalesce(
+            last_value({mark} IGNORE NULLS) OVER (PARTITION BY county_fips ORDER BY week_start_date
+                                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+            first_value({mark} IGNORE NULLS) OVER (PARTITION BY county_fips ORDER BY week_start_date
+                                                   ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
+
+    def decile(col: str) -> str:
+        return f"""CASE WHEN {col} IS NOT NULL THEN ntile(10) OVER (
+            PARTITION BY week_start_date, {col} IS NULL ORDER BY {col}, county_fips) END"""
+
+    flag = "weekly_sipo_binary"
+    hots = [f"{c}_decile_{i}" for c in ("cases", "deaths") for i in range(1, 11)]
+    panel = _panel_sql() + f"""
+  , f AS (SELECT * FROM pan10 WHERE trump_vote_share IS NOT NULL AND county_fips IS NOT NULL
+                                AND week_start_date IS NOT NULL),
+  eb AS (SELECT *, row_number() OVER w AS rn,
+                CASE WHEN {flag} = 1 AND lag({flag}) OVER w = 0 THEN row_number() OVER w END AS s,
+                CASE WHEN {flag} = 1 AND lead({flag}) OVER w = 0 THEN row_number() OVER w END AS e,
+                lag(log_total_visits) OVER w AS lag1, lag(log_total_visits, 2) OVER w AS lag2,
+                lead(log_total_visits) OVER w AS lead1, lead(log_total_visits, 2) OVER w AS lead2
+         FROM f WINDOW w AS (PARTITION BY county_fips ORDER BY week_start_date)),
+  ef AS (SELECT *, {since('s')} AS weeks_since_start, {since('e')} AS weeks_since_end,
+                {decile('log_cases')} AS cases_decile, {decile('log_deaths')} AS deaths_decile FROM eb)
+  SELECT *, {', '.join(f"CAST({c}_decile = {i} AS DOUBLE) AS {c}_decile_{i}"
+                       for c in ('cases', 'deaths') for i in range(1, 11))} FROM ef"""
+    ctl = ["trump_vote_share", *_CONTROLS, *hots]
+    return within_sql(panel, [
+        (f"{side}_{kind}", f"weeks_since_{side}", "log_total_visits", cols) for side in ("start", "end")
+        for kind, cols in (("plain", ctl[:1]), ("controls", ctl),
+                           ("lags", [*ctl, "lag1", "lag2", "lead1", "lead2"]))],
+        "county_fips", "week_start_date")
+
+
 def fit_oracles() -> dict[str, str]:
     y = "log_total_value"
     plain = [(f"{side}_{kind}", f"weeks_since_{side}", y, ctl)

@@ -1206,10 +1206,9 @@ def partisan_trends_report(spark, d):
 
 
 def event_study_report(spark, d):
-    """The six-model event-study sweep on the full panel (rows-only:
-    a multi-regressor fit has no SQL form; estimators are unit-tested)."""
+    """The six-model event-study sweep on the full panel."""
     from plume.plans.report import event_study
-    return event_study(spark, _panel_weekly(spark, d))
+    return _rounded_table(event_study(spark, _panel_weekly(spark, d)))
 
 
 def _panel_weekly(spark, d):
