@@ -45,17 +45,3 @@ def test_quantiles_exact_under_skew(spark):
         F.percentile("x", [0.1, 0.5, 0.9]).alias("q")).collect()}
     assert got.keys() == ref.keys()
     assert all(max(abs(a - b) for a, b in zip(got[g], ref[g])) < 1e-9 for g in got)
-
-
-def test_within_sweeps_without_a_window(spark):
-    """One entity holding most rows: its mean is a combined aggregate joined
-    back, never one window task, and the slope is that of plain demeaning."""
-    from plume.stats import regress
-    df = spark.range(0, 20_000, numPartitions=8).select(
-        F.when(F.col("id") % 10 < 7, 0).otherwise(F.col("id") % 10).alias("g"),
-        (F.col("id") % 101).cast("double").alias("x")) \
-        .withColumn("y", F.col("x") * 2 + F.col("g") * 100)
-    plan = regress.demean(df, ["x", "y"], ["g"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "Window" not in plan and "Join" in plan
-    fit = regress.within(df, "y", ["x"], "g")
-    assert abs(fit.coef[0] - 2.0) < 1e-9 and fit.n_obs == 20_000 and fit.n_groups == 4
