@@ -7,11 +7,12 @@ not, the template has rewritten history and the turn is marked.  A turn's text
 is located inside its span by rendering the prefix once more with a private-use
 marker for the text.  The loss mask covers the text of assistant turns.
 
-A prefix starts at the first turn while a conversation has at most ``window``
-turns.  Beyond that rendering goes on from the last ``overlap`` turns, whose
-spans must come out as before (the window's own first turn excepted); otherwise
-the turn is marked ``append_only = false`` as well.  So a conversation of any
-length streams through a task in bounded memory and linear time.
+Every prefix starts at the first turn, however long the conversation.  A
+turn's row depends on the turns up to it alone, so the prefixes of a
+conversation of more than ``block`` turns are dealt over tasks, ``block`` turns
+each; every such task gets the turns before its own as well.  Rendering a
+conversation of n turns is n renderings of up to n turns, and a task holds one
+conversation's texts.
 
 Edge cases: null texts and roles are empty; turns are ordered by (turn, role,
 text), nulls first, so ties and repeated rows have one order and are all kept;
@@ -25,9 +26,10 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 Messages = list[tuple[str, str]]
@@ -47,9 +49,14 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL)
 
 
+@lru_cache(maxsize=64)
+def _escaped_role(role: str) -> str:
+    return escape(json.dumps(role))
+
+
 def render_marked(messages: Messages) -> str:
     """The library's template: every turn is marked with its role."""
-    return "".join(f"<s>[ROLE {escape(json.dumps(r))}]{escape(t)}[/ROLE]</s>" for r, t in messages)
+    return "".join(f"<s>[ROLE {_escaped_role(r)}]{escape(t)}[/ROLE]</s>" for r, t in messages)
 
 
 def read_marked(output: str) -> Messages:
@@ -65,10 +72,24 @@ def read_marked(output: str) -> Messages:
     return turns
 
 
+def _common(a: str, b: str) -> int:
+    """Length of the longest common prefix."""
+    lo, hi = 0, min(len(a), len(b))
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        lo, hi = (mid, hi) if a[lo:mid] == b[lo:mid] else (lo, mid - 1)
+    return lo
+
+
 class Incremental:
-    """Spans of one conversation's turns, message by message."""
+    """Spans of one conversation's turns, message by message.
 
-    def __init__(self, render: Callable[[Messages], str], window: int = 32, overlap: int = 8):
+    Only a caller that sets ``window`` gives up whole prefixes: beyond so many
+    turns rendering then goes on from the last ``overlap`` turns, whose spans
+    must come out as before.
+    """
+
+    def __init__(self, render: Callable[[Messages], str], window: int | None = None, overlap: int = 8):
         self.render, self.window, self.overlap = render, window, overlap
         self.messages: Messages = []
         self.pieces: list[str] = []
@@ -76,6 +97,12 @@ class Incremental:
         self.length = 0
         self.sound = True
 
+    def begin(self, messages: Messages) -> None:
+        """Go on after ``messages``, whose own spans are not asked for."""
+        self.messages = list(messages)
+        self.out = self.render(self.messages) if messages else ""
+        self.length = len(self.out)
+
     def _rebase(self) -> None:
         """Go on from the last turns; their spans must stay what they were."""
         self.messages, old = self.messages[-self.overlap:], self.pieces[-self.overlap:]
@@ -84,44 +111,51 @@ class Incremental:
         self.sound = new[1:] == old[1:]
         self.out, self.pieces = outs[-1], new
 
-    def add(self, role: str, text: str) -> tuple[str, int, int, int, int, bool]:
+    def add(self, role: str, text: str, locate: bool = True) -> tuple[str, int, int, int, int, bool]:
         """(piece, start, end, text start, text end, append only); offsets are
         code points of the whole output.  A rewritten turn's piece starts at the
-        first code point that changed, and its text is not located (-1)."""
+        first code point that changed, and its text is not located (-1), nor is
+        it without ``locate``."""
         if len(self.messages) == self.window:
             self._rebase()
         self.messages.append((role, text))
         out = self.render(self.messages)
         same = out.startswith(self.out)
-        cut = len(self.out) if same else next(
-            (i for i, (a, b) in enumerate(zip(out, self.out)) if a != b), min(len(out), len(self.out)))
+        cut = len(self.out) if same else _common(out, self.out)
         piece = out[cut:]
         start = self.length - len(self.out) + cut
-        probe = self.render([*self.messages[:-1], (role, _PROBE)])[cut:] if same else ""
+        probe = self.render([*self.messages[:-1], (role, _PROBE)])[cut:] if same and locate else ""
         lo = hi = -1
         if probe.count(_PROBE) == 1:
             head = probe.index(_PROBE)
             lo, hi = start + head, start + len(piece) - (len(probe) - head - 1)
         self.out, self.length = out, start + len(piece)
-        self.pieces.append(piece)
+        if self.window is not None:
+            self.pieces.append(piece)
         return piece, start, start + len(piece), lo, hi, same and self.sound
 
 
-def _turns(batches: Iterator[pa.RecordBatch], render: Callable[[Messages], str], window: int,
-           overlap: int, learn: str) -> Iterator[pa.RecordBatch]:
-    now, state, place = object(), None, 0
+def _turns(batches: Iterator[pa.RecordBatch], render: Callable[[Messages], str], block: int,
+           learn: str) -> Iterator[pa.RecordBatch]:
+    """Rows of the turns of each (conv_id, block_) from the turns up to them."""
+    now, state, before = None, None, []
     for batch in batches:
         rows: dict[str, list] = {c: [] for c in _TURNS.names}
-        for conv, role, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if state is None or conv != now:
-                now, state, place = conv, Incremental(render, window, overlap), 0
+        for conv, part, place, role, text in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if now != (conv, part):
+                now, state, before = (conv, part), None, []
             role, text = role or "", text or ""
-            piece, start, end, lo, hi, sound = state.add(role, text)
+            if place < part * block:
+                before.append((role, text))
+                continue
+            if state is None:
+                state = Incremental(render)
+                state.begin(before)
+                before = []
             lossy = role == learn
-            for c, v in zip(_TURNS.names, (conv, place, role, piece, start, end,
-                                           lo if lossy else -1, hi if lossy else -1, sound)):
+            piece, start, end, lo, hi, sound = state.add(role, text, lossy)
+            for c, v in zip(_TURNS.names, (conv, place, role, piece, start, end, lo, hi, sound)):
                 rows[c].append(v)
-            place += 1
         if rows["conv_id"]:
             yield pa.RecordBatch.from_pydict(rows, schema=_TURNS)
 
@@ -132,19 +166,34 @@ _TURNS = pa.schema([("conv_id", pa.int64()), ("place", pa.int64()), ("role", pa.
 
 
 def format_turns(conversations: DataFrame, render: Callable[[Messages], str] = render_marked,
-                 window: int = 32, overlap: int = 8, learn: str = "assistant") -> DataFrame:
+                 block: int = 256, learn: str = "assistant") -> DataFrame:
     """One row per turn: its piece of the formatted conversation, its span, and
     the span of its text if the loss covers it (role ``learn``; else -1).
 
     Rows of a conversation stay together and in order in one partition, so a
-    consumer in the same stage can stream over them.
+    consumer in the same stage can stream over them.  ``block`` deals work over
+    tasks and does not change a row.
     """
-    rows = conversations.select(F.col("conv_id").cast("bigint").alias("conv_id"), "role", "text", "turn")
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text") \
-        .select("conv_id", "role", "text").mapInArrow(
-            lambda b: _turns(b, render, window, overlap, learn),
-            "conv_id bigint, place bigint, role string, piece string, start bigint, end bigint, "
-            "loss_start bigint, loss_end bigint, append_only boolean")
+    own = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    rows = conversations.select(F.col("conv_id").cast("bigint").alias("conv_id"), "role", "text", "turn") \
+        .withColumn("place", F.row_number().over(own) - 1) \
+        .withColumn("last_", F.floor((F.count(F.lit(1)).over(
+            own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) - 1) / block))
+
+    def rendered(part: DataFrame) -> DataFrame:
+        return part.sortWithinPartitions("conv_id", "block_", "place") \
+            .select("conv_id", "block_", "place", "role", "text").mapInArrow(
+                lambda b: _turns(b, render, block, learn),
+                "conv_id bigint, place bigint, role string, piece string, start bigint, end bigint, "
+                "loss_start bigint, loss_end bigint, append_only boolean")
+
+    # a given number of tasks is kept: a block's work is not in its bytes
+    tasks = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    short = rendered(rows.filter("last_ = 0").withColumn("block_", F.lit(0)))
+    long = rendered(rows.filter("last_ > 0")
+                    .withColumn("block_", F.explode(F.sequence(F.floor(F.col("place") / block), "last_")))
+                    .repartition(tasks, "conv_id", "block_"))
+    return short.union(long.repartition("conv_id").sortWithinPartitions("conv_id", "place"))
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

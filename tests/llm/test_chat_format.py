@@ -86,3 +86,44 @@ def test_edge_rows(spark):
     turns = cf.format_turns(df)
     assert turns.count() == len(rows) and turns.filter("not append_only").count() == 0
     assert cf.digests(cf.format_turns(df.filter("false"))).count() == 0
+
+
+def _templates():
+    """Local functions, so that workers get them by value: one says how far back
+    the history goes, one keeps the last 40 messages only."""
+    return (lambda messages: "".join(f"<{i}:{r}:{t}>" for i, (r, t) in enumerate(messages)),
+            lambda messages: "".join(f"<{r}:{t}>" for r, t in messages[-40:]))
+
+
+def test_prefixes_are_whole_beyond_any_length():
+    assert cf._common("abcde", "abxde") == 2 and cf._common("ab", "abc") == 2 and cf._common("", "a") == 0
+    by_depth, last_forty = _templates()
+    state = cf.Incremental(by_depth)
+    assert all(state.add("user", "x")[-1] for _ in range(100))
+    state = cf.Incremental(last_forty)
+    assert [state.add("user", str(i))[-1] for i in range(60)] == [True] * 40 + [False] * 20
+
+
+def test_long_conversations_over_tasks_against_whole_prefixes(spark):
+    convs = {c: [("user" if i % 2 == 0 else "assistant", f"t{c}.{i}") for i in range(n)]
+             for c, n in ((None, 50), (1, 7), (2, 16), (3, 17), (4, 300))}
+    df = spark.createDataFrame([(c, i, *m) for c, ms in convs.items() for i, m in enumerate(ms)],
+                               "conv_id bigint, turn bigint, role string, text string")
+    for render in (*_templates(), cf.render_marked):
+        expected = []
+        for c, ms in convs.items():
+            outs = ["", *(render(ms[:i + 1]) for i in range(len(ms)))]
+            for i, (a, b) in enumerate(zip(outs, outs[1:])):
+                cut = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+                lo = hi = -1
+                if ms[i][0] == "assistant" and b.startswith(a):
+                    lo = b.index(ms[i][1], cut)
+                    hi = lo + len(ms[i][1])
+                expected.append((c, i, ms[i][0], b[cut:], cut, len(b), lo, hi, b.startswith(a)))
+        for block in (16, 256):
+            got = [tuple(r) for r in cf.format_turns(df, render, block=block).collect()]
+            assert sorted(got, key=str) == sorted(expected, key=str)
+            for c, ms in convs.items():  # together and in order
+                assert [r[1] for r in got if r[0] == c] == list(range(len(ms)))
+    whole, dealt = (cf.digests(cf.format_turns(df, block=b)).collect() for b in (256, 16))
+    assert sorted(map(str, whole)) == sorted(map(str, dealt)) and len(whole) == len(convs)
