@@ -8,12 +8,14 @@
    caught without comparing the word with every term.
 3. Every hit has a window of ``WINDOW`` words on each side.  Cue weights of the
    window's words, learned from hits in toxic and in other rows, and quotation
-   marks tell a quotation from abuse.
+   marks tell a quotation from abuse.  Cues are the words whose rates among
+   toxic and other texts with a hit differ beyond chance, however many.
 4. A logistic regression over the document's hit and window figures gives the
    score.
 
-The fit uses at most ``max_train`` labelled rows (documented bound).  Counts
-are taken on executors; the driver sees the top terms and the figures only.
+The fit uses at most ``max_train`` labelled rows (documented bound), equal texts
+with the same label once.  Counts are taken on executors; the driver sees the
+terms, the cues and the figures only.
 
 Edge cases: a null text is empty and gets the score of a text without hits;
 null labels and ids take no part in the fit; without labels of both kinds every
@@ -35,6 +37,7 @@ from plume.llm.common import cut, slices, texts_of
 from plume.llm.quality_gam import labelled, scored
 
 WINDOW = 4
+LEAST_CUE = 10.83  # log-likelihood ratio of a chance of one in a thousand
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’¿¡…"
 _QUOTES = set("\"'«»“”„‘’")
 
@@ -220,9 +223,10 @@ def _ratio(a, b, n1: float, n0: float):
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: int = 20_000,
-          max_terms: int = 1_000, max_cues: int = 500, least_ratio: float = 30.0) -> ToxicModel:
+          least_ratio: float = 30.0, least_cue_ratio: float = LEAST_CUE) -> ToxicModel:
     """Learn lexicon, cues and weights from labelled rows (see module text)."""
-    rows = cut(labelled(docs, labels, label, max_train))  # read three times, bounded by max_train
+    # read four times, bounded by max_train; a group of copies counts as one text
+    rows = cut(labelled(docs, labels, label, max_train).select("text", "label").distinct())
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     base = np.log((n1 + 0.5) / (n0 + 0.5))
@@ -234,24 +238,28 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: i
 
     terms = _counts(rows, words_of) \
         .filter(2 * F.col("toxic") * n0 > 3 * F.col("other") * n1) \
-        .withColumn("ratio", _ratio(F.col("toxic"), F.col("other"), n1, n0)).filter(F.col("ratio") >= least_ratio) \
-        .orderBy(F.col("ratio").desc(), "word").limit(max_terms).collect()
+        .withColumn("ratio", _ratio(F.col("toxic"), F.col("other"), n1, n0)).filter(F.col("ratio") >= least_ratio).collect()
     model = ToxicModel([r["word"] for r in terms], [])
     weight = {r["word"]: float(np.log((r["toxic"] + 0.5) / n1 / ((r["other"] + 0.5) / n0))) for r in terms}
     model.terms = sorted(weight)
     model.weights = [weight[t] for t in model.terms]
 
     def cues_of(t: bytes, m: ToxicModel = model) -> set[str]:
+        """Words around the hits, and "" for a text with a hit."""
         words = t.decode("utf-8", "replace").lower().split()
-        return {bare(x) for i, _, _ in m.hits(words)
-                for x in words[max(0, i - WINDOW):i] + words[i + 1:i + 1 + WINDOW]} - {""}
-
-    cues = _counts(rows, cues_of).withColumn("seen", F.col("toxic") + F.col("other")) \
-        .orderBy(F.col("seen").desc(), "word").limit(max_cues).collect()
-    hit1, hit0 = sum(r["toxic"] for r in cues) + 1, sum(r["other"] for r in cues) + 1
-    model.cues = {r["word"]: float(np.log((r["toxic"] + 5 * hit1 / (hit1 + hit0)) / hit1
-                                          / ((r["other"] + 5 * hit0 / (hit1 + hit0)) / hit0)))
-                  for r in cues}
+        hits = m.hits(words)
+        return {bare(x) for i, _, _ in hits
+                for x in words[max(0, i - WINDOW):i] + words[i + 1:i + 1 + WINDOW]} | ({""} if hits else set())
+
+    near = cut(_counts(rows, cues_of))
+    hit1, hit0 = next(((r["toxic"], r["other"]) for r in near.filter("word = ''").collect()), (0, 0))
+    if hit1 and hit0:
+        share1, share0 = hit1 / (hit1 + hit0), hit0 / (hit1 + hit0)
+        cues = near.filter("word != ''") \
+            .withColumn("ratio", _ratio(F.col("toxic"), F.col("other"), hit1, hit0)) \
+            .filter(F.col("ratio") >= least_cue_ratio).collect()
+        model.cues = {r["word"]: float(np.log((r["toxic"] + 5 * share1) / hit1 / ((r["other"] + 5 * share0) / hit0)))
+                      for r in sorted(cues, key=lambda r: r["word"])}
 
     def figures(batches: Iterator[pa.RecordBatch], m: ToxicModel = model) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):

@@ -96,3 +96,38 @@ def test_edge_tables(spark, edge_docs, no_docs, clashing, mod, label):
         assert len(got) == edge_docs.count() and all(0 <= r["score"] <= 1 for r in got)
         assert mod.score(no_docs, model).count() == 0
     assert mod.score(edge_docs, mod.train(no_docs, labels)).count() == edge_docs.count()
+
+
+def _trained(spark, rows, **kw):
+    d = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id bigint, text string")
+    return toxicity.train(d, spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)],
+                                                   "doc_id bigint, toxic int"), **kw)
+
+
+def test_rare_telling_cues_and_all_terms_are_kept(spark):
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(840):  # 560 common words around the hits, two telling ones in few quotations
+        words = [f"w{k}" for k in rng.permutation(560)[:300]]
+        if i < 240:
+            words = [x for k in range(0, 300, 8) for x in (*words[k:k + 4], "moron", *words[k + 4:k + 8])]
+        if 120 <= i < 150:
+            words = ["cites", "example", "moron", *words]
+        rows.append((" ".join(words), int(i < 120)))
+    model = _trained(spark, rows)
+    assert model.terms == ["moron"]
+    assert model.cues.get("cites", 0) < -0.5 and model.cues.get("example", 0) < -0.5
+
+    terms = sorted({"".join(x) for x in rng.choice(list("bcdfghjklm"), (1500, 4))})
+    assert len(terms) > 1000
+    rows = [(" ".join([f"a{i}", *terms]) if i % 2 else f"a{i} plain words", i % 2) for i in range(60)]
+    assert set(terms) <= set(_trained(spark, rows).terms)
+
+
+def test_copies_of_a_text_count_once(spark):
+    rows = [(f"you moron n{i}" if i % 3 == 0 else f"you there n{i}", int(i % 3 == 0)) for i in range(150)]
+    copies = [("some unrelated sentence", 1)] * 100
+    model = _trained(spark, rows + copies)
+    assert model.terms == ["moron"]
+    once = _trained(spark, rows + copies[:1])
+    assert model.weights == once.weights and np.allclose(model.beta, once.beta)
