@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plume.llm import (chat_format, ego_join, hnsw, mixing, packing, piece_sampling, quality_gam,
-                       simhash_bk, token_counts, toxicity)
+from plume.llm import (alignment, chat_format, ego_join, hnsw, importance, mixing, packing,
+                       piece_sampling, quality_gam, sharding, simhash_bk, token_counts, toxicity)
 from plume.llm.common import crc_fold, read
 
 TOKENIZERS = "/opt/tokenizers"
@@ -84,6 +84,22 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json",
+                           f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read(spark, sf_dir, "documents"), n_shards=24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -95,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_token_packing": op9_token_packing,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
+    "op13_sharding": op13_sharding,
 }
 
 _OP7 = r"""
@@ -145,4 +164,53 @@ SELECT doc_id, size, source_size, target, (t1 + t2)::BIGINT AS taken,
 FROM cut
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_mixing": _OP7}
+_OP11 = r"""
+WITH crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY i) AS t
+  FROM range(256) r(i)),
+docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+aims AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+placed AS (
+  SELECT row_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs
+  UNION ALL SELECT -1, w, unnest(range(1, len(w) + 1)) FROM aims),
+runs AS (
+  SELECT row_id, w[i] AS f FROM placed
+  UNION ALL SELECT row_id, w[i] || ' ' || w[i + 1] FROM placed WHERE i + 1 <= len(w)
+  UNION ALL SELECT row_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM placed WHERE i + 2 <= len(w)),
+many AS (SELECT row_id, f, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(range(octet_length(encode(f))),
+                            lambda i: ('0x' || substr(hex(encode(f)), (2 * i + 1)::BIGINT, 2))::BIGINT)),
+             lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM many), crc_table),
+found AS (SELECT row_id, bucket, sum(n) AS n FROM many JOIN hashed USING (f) GROUP BY ALL),
+sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE row_id >= 0), 0)::DOUBLE AS s,
+         coalesce(sum(n) FILTER (WHERE row_id < 0), 0)::DOUBLE AS t FROM found GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain
+  FROM sums),
+weights AS (SELECT row_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+            FROM found JOIN gains USING (bucket) WHERE row_id >= 0 GROUP BY row_id),
+scored AS (
+  SELECT doc_id, len(w) >= 20 AS able, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln(
+           (('0x' || substr(sha256(concat('42:', doc_id)), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM docs LEFT JOIN weights USING (row_id)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id NULLS LAST, n_features DESC) AS place,
+         count(*) FILTER (WHERE able) OVER () AS n
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 5 * n // 100 THEN place END AS rank
+FROM ranked
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_mixing": _OP7, "op11_importance_resampling": _OP11}
