@@ -7,10 +7,10 @@
    table, the value of its bits names a shard, and each fingerprint goes to its
    shard of every table.
 4. In a shard a BK-tree (children keyed by integer Hamming distance to the
-   parent) is built and searched level by level for all shards of a batch at
-   once; from a node at distance d only edges d - radius .. d + radius are
+   parent) is built once and searched level by level for all shards of a batch
+   at once; from a node at distance d only edges d - radius .. d + radius are
    followed.  What a search finds leaves the tree, so a dense group of m
-   fingerprints gives at most m links that span it, not m * m pairs.
+   fingerprints gives some m links that span it, not m * m pairs.
 5. Shards above ``shard_rows`` are split into sub-shards, every two of which
    are searched together, so no task holds a hot shard and no link is lost.
 6. Link ends are contracted to components on the executors.
@@ -89,49 +89,74 @@ def block_masks(radius: int = RADIUS) -> list[int]:
 
 
 class Forest:
-    """BK-trees of many shards in flat arrays; rows sorted by shard."""
+    """BK-trees of many shards in flat arrays; rows sorted by shard.
+
+    A tree is built once.  A row that leaves it stays as a dead node whose edges
+    are still followed while rows below it are alive (``below`` counts them).
+    """
 
     def __init__(self, shard: np.ndarray, fp: np.ndarray):
         n = len(fp)
         self.fp = fp
         first = np.r_[True, shard[1:] != shard[:-1]] if n else np.empty(0, bool)
         self.root_of_shard = np.flatnonzero(first)
-        self.shards = shard[self.root_of_shard]
-        root = np.repeat(self.root_of_shard, np.diff(np.r_[self.root_of_shard, n]))
-        items, at = np.flatnonzero(~first), root[~first]
-        keys, kids = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        size = np.diff(np.r_[self.root_of_shard, n])
+        self.size = np.repeat(size, size)
+        self.root = np.repeat(self.root_of_shard, size)
+        self.parent = np.full(n, -1, np.int64)
+        items, at = np.flatnonzero(~first), self.root[~first]
+        keys, kids, levels = [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
         while len(items):
             # an edge is the parent and the integer distance to it
             key = at * 128 + np.bitwise_count(fp[items] ^ fp[at]).astype(np.int64)
             edge, lead, where = np.unique(key, return_index=True, return_inverse=True)
             child = items[lead]
+            self.parent[child] = at[lead]
             keys.append(edge)
             kids.append(child)
+            levels.append(child)
             rest = np.ones(len(items), bool)
             rest[lead] = False
             items, at = items[rest], child[where[rest]]
         key, kid = np.concatenate(keys), np.concatenate(kids)
-        order = np.argsort(key, kind="stable")
-        self.edge, self.kid = key[order], kid[order]
-
-    def search(self, shard: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, row) of every row within ``radius`` of a query in its shard."""
-        place = np.searchsorted(self.shards, shard)
-        ok = place < len(self.shards)
-        ok[ok] = self.shards[place[ok]] == shard[ok]
-        query, node = np.flatnonzero(ok), self.root_of_shard[place[ok]]
+        order = np.argsort(key)
+        self.kid = kid[order].astype(np.int32)
+        # the first child of a node at a distance or more: distances 0..65 side by side
+        at = key[order] // 128 * 66 + key[order] % 128
+        self.first = np.zeros(66 * n + 1, np.int32)
+        self.first[1:] = np.cumsum(np.bincount(at, minlength=66 * n))
+        self.alive = np.ones(n, bool)
+        self.below = np.ones(n, np.int64)  # living rows at and below a node
+        for child in reversed(levels):  # the deepest first
+            np.add.at(self.below, self.parent[child], self.below[child])
+
+    def remove(self, rows: np.ndarray) -> None:
+        """Rows (each once, alive) leave the tree."""
+        self.alive[rows] = False
+        while len(rows):
+            np.subtract.at(self.below, rows, 1)
+            rows = self.parent[rows]
+            rows = rows[rows >= 0]
+
+    def search(self, row: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query place, row) of every other living row within ``radius`` of the
+        given rows, in their shards."""
+        query, node = np.arange(len(row)), self.root[row]
+        on = self.below[node] > 0
+        query, node = query[on], node[on]
         found_q, found_n = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         while len(query):
-            d = np.bitwise_count(self.fp[node] ^ fp[query]).astype(np.int64)
-            hit = d <= radius
+            d = np.bitwise_count(self.fp[node] ^ self.fp[row[query]]).astype(np.int64)
+            hit = (d <= radius) & self.alive[node] & (node != row[query])
             found_q.append(query[hit])
             found_n.append(node[hit])
-            lo = np.searchsorted(self.edge, node * 128 + np.maximum(d - radius, 0))
-            hi = np.searchsorted(self.edge, node * 128 + d + radius, side="right")
-            many = hi - lo
+            lo = self.first[node * 66 + np.maximum(d - radius, 0)]
+            many = self.first[node * 66 + np.minimum(d + radius, 64) + 1] - lo
             query = np.repeat(query, many)
             step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             node = self.kid[np.repeat(lo, many) + step]
+            on = self.below[node] > 0
+            query, node = query[on], node[on]
         return np.concatenate(found_q), np.concatenate(found_n)
 
 
@@ -143,63 +168,62 @@ def _first_per_run(sorted_keys: np.ndarray, at_most: int) -> np.ndarray:
     return place < at_most
 
 
+#: nodes that the queries of one search may stand on together (memory, not results)
+_FRONTIER = 1 << 21
+#: a query that finds more rows starts a group that its shard closes first
+_HEAVY = 64
+
+
 def spanning_links(shard: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Links (row numbers) that span the components of every shard.
 
-    One group per shard grows at a time: queries are rows already in the group
-    (``w*``); rows still in the tree are in no finished group, so whatever a
-    query finds joins the group and leaves the tree.  Where no group is open,
-    some rows are tried as seeds: those without any neighbour leave.
+    Every row asks the tree once and then leaves it, many rows of a shard at a
+    time: of two linked rows the one that asks first finds the other, and so does
+    each if they ask together.  That alone would give all pairs of a dense group.
+    So a row that finds more than ``_HEAVY`` others has its shard to itself: what
+    it finds leaves the tree at once and asks next, what that finds likewise,
+    until the group finds nothing more; a group of m rows then gives some m
+    links.  No row outside the group asks meanwhile, so no link to it is lost.
     """
-    row = np.argsort(shard, kind="stable")
-    shard, fp = shard[row], fp[row]
-    wait_s, wait_r, wait_seed = (np.empty(0, np.int64) for _ in range(3))
-    all_fp = np.empty_like(fp)
-    all_fp[row] = fp
+    order = np.argsort(shard, kind="stable")
+    shard = shard[order]
+    tree = Forest(shard, fp[order])
+    n_rows = len(order)
     out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    while len(row):
-        live, many = np.unique(shard, return_counts=True)
-        open_ = np.isin(wait_s, live)  # a waiting row without tree left has nothing to find
-        wait_s, wait_r, wait_seed = wait_s[open_], wait_r[open_], wait_seed[open_]
-        alone = np.isin(shard, live[many == 1]) & ~np.isin(shard, wait_s)
-        row, shard, fp = row[~alone], shard[~alone], fp[~alone]
-        if not len(row):
+    queue = np.empty(0, np.int64)  # found by the group that has its shard, sorted
+    fresh = np.arange(n_rows)
+    at_once = _AT_ONCE
+    while True:
+        queue = queue[tree.below[tree.root[queue]] > 0]  # nothing left to find
+        fresh = fresh[tree.alive[fresh]]
+        if not len(queue) and not len(fresh):
             break
-        forest = Forest(shard, fp)
-        asks = _first_per_run(wait_s, _AT_ONCE)
-        seeds = np.flatnonzero(~np.isin(shard, wait_s))
-        seeds = seeds[_first_per_run(shard[seeds], _AT_ONCE)]
-        gone = np.zeros(len(row), bool)
-        # rows of open groups
-        q, n = forest.search(wait_s[asks], all_fp[wait_r[asks]], radius)
-        n, lead = np.unique(n, return_index=True)
-        grown = [(shard[n], row[n], wait_seed[asks][q[lead]])]
-        gone[n] = True
-        # seeds of new groups
-        q, n = forest.search(shard[seeds], fp[seeds], radius)
-        other = seeds[q] != n
-        q, n = q[other], n[other]
-        linked = np.zeros(len(seeds), bool)
-        linked[q] = True
-        gone[seeds[~linked]] = True
-        first = np.flatnonzero(linked)
-        first = first[_first_per_run(shard[seeds[first]], 1)]
-        chosen = np.zeros(len(seeds), bool)
-        chosen[first] = True
-        gone[seeds[first]] = True
-        mine = chosen[q]
-        q, n = q[mine], n[mine]
-        grown.append((shard[n], row[n], row[seeds[q]]))
-        gone[n] = True
-        for _, b, a in grown:
-            out_a.append(a)
-            out_b.append(b)
-        wait_s, wait_r, wait_seed = (np.concatenate([x[~asks], *y]) for x, y in zip(
-            (wait_s, wait_r, wait_seed), zip(*grown)))
-        order = np.argsort(wait_s, kind="stable")
-        wait_s, wait_r, wait_seed = wait_s[order], wait_r[order], wait_seed[order]
-        row, shard, fp = row[~gone], shard[~gone], fp[~gone]
-    return np.concatenate(out_a), np.concatenate(out_b)
+        held = np.zeros(n_rows, bool)
+        held[tree.root[queue]] = True
+        seeds = fresh[~held[tree.root[fresh]]]
+        row = np.sort(np.r_[queue[_first_per_run(shard[queue], at_once)],
+                            seeds[_first_per_run(shard[seeds], at_once)]])
+        row = row[:max(1, int(np.searchsorted(np.cumsum(tree.size[row]), _FRONTIER)))]
+        seed = ~held[tree.root[row]]
+        q, n = tree.search(row, radius)
+        many = np.bincount(q, minlength=len(row))
+        heavy = np.flatnonzero(seed & (many > _HEAVY))
+        first = np.zeros(len(row), bool)
+        first[heavy[_first_per_run(shard[row[heavy]], 1)]] = True
+        later = seed & (many > _HEAVY) & ~first  # these stay in the tree and ask again
+        told = ~later[q]
+        q, n = q[told], n[told]
+        out_a.append(row[q])
+        out_b.append(n)
+        done = np.zeros(n_rows, bool)
+        done[row[~later]] = True
+        mine = np.zeros(n_rows, bool)
+        mine[n[(first | ~seed)[q]]] = True  # found by a group that has its shard
+        gone = (done | mine) & tree.alive
+        tree.remove(np.flatnonzero(gone))
+        queue = np.sort(np.r_[queue[~done[queue]], np.flatnonzero(mine & ~done)])
+        at_once = min(2 * at_once, 1 << 16) if len(n) <= 4 * len(row) and not later.any() else _AT_ONCE
+    return order[np.concatenate(out_a)], order[np.concatenate(out_b)]
 
 
 def _shard_links(batches: Iterator[pa.RecordBatch], radius: int, at_least: int) -> Iterator[pa.RecordBatch]:
