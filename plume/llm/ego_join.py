@@ -1,16 +1,18 @@
 """Embedding near-duplicates by an epsilon grid order join.
 
 On unit vectors a cosine of at least c is a distance of at most
-eps = sqrt(2 - 2 c).  Vectors are sorted by the grid cells (width eps) of their
-coordinates on the leading principal dimensions; any orthonormal projection
+eps = sqrt(2 - 2 c).  Vectors are sorted by the grid cells (a quarter of eps wide)
+of their coordinates on the 16 leading principal dimensions; any orthonormal projection
 shortens distances, so it is enough to fit those on a bounded sample.  The
 sequence is cut into blocks, blocks are joined into intervals of four, and
 pairs of intervals are refined level by level from the whole sequence down,
 dropping every pair whose bounding boxes lie more than eps apart.  The leaves of
 that refinement are tiles: runs of blocks of one vector length and at most
 ``tile_bytes``, so that small blocks do not each travel to every other one.  A
-surviving pair of tiles is joined in one task, again by halves of intervals that
-may be skipped, with exact double-precision products at the end.
+surviving pair of tiles is joined in one task, again level by level over
+intervals of 256 rows and more that boxes may prove distant.  Rows of the
+intervals left are compared on the leading dimensions first, and only pairs
+within eps there meet in exact double-precision products of whole vectors.
 
 Identical vectors are one row, so exact copies meet once.  A tile pair returns
 link counts and one component label per row, never the pairs themselves.
@@ -36,8 +38,11 @@ from pyspark.sql import types as T
 from plume.llm.common import cut
 from plume.llm.components import connected_components
 
-LEAD = 8
+LEAD = 16
 FAN = 4
+#: cells of the order are a quarter of eps wide: two rows of one interval differ by
+#: little on the first axes, so boxes lie apart once enough rows fill the cells
+CELLS = 4
 
 
 def is_usable(vec: Column) -> Column:
@@ -86,7 +91,7 @@ def _grid(batches: Iterator[pa.RecordBatch], axes: dict, eps: float) -> Iterator
         for d in np.unique(sizes):
             at = np.flatnonzero(sizes == d)
             y = _project(unit(matrix_of(vec.take(pa.array(at)))), axes)
-            cells[at] = np.column_stack([np.full(len(at), d), np.floor(y / eps)])
+            cells[at] = np.column_stack([np.full(len(at), d), np.floor(y * (CELLS / eps))])
         offsets = pa.array(np.arange(b.num_rows + 1) * (LEAD + 1), pa.int32())
         yield pa.RecordBatch.from_arrays(
             [*b.columns, pa.ListArray.from_arrays(offsets, pa.array(cells.ravel()))],
@@ -172,41 +177,88 @@ def _merge(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             parent = up
 
 
+def _pyramid(y: np.ndarray, leaf: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Bounding boxes (low, high) of the intervals of ``leaf`` rows, then of
+    every two of the intervals below, up to one."""
+    at = np.arange(0, len(y), leaf)
+    boxes = [(np.minimum.reduceat(y, at), np.maximum.reduceat(y, at))]
+    while len(boxes[-1][0]) > 1:
+        low, high = boxes[-1]
+        at = np.arange(0, len(low), 2)
+        boxes.append((np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)))
+    return boxes
+
+
+def _close_leaves(a: list, b: list, same: bool, eps2: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of leaves that no box on any level proves distant: the intervals of
+    two sequences joined recursively, all pairs of a level at once."""
+    top = max(len(a), len(b)) - 1
+    i = j = np.zeros(1, np.int64)
+    for level in range(top, -1, -1):
+        (al, ah), (bl, bh) = a[min(level, len(a) - 1)], b[min(level, len(b) - 1)]
+        if level < top:
+            na, nb = level < len(a) - 1, level < len(b) - 1  # a short sequence keeps its root
+            i, j = ((i * 2 if na else i)[:, None, None] + np.arange(2 if na else 1)[None, :, None],
+                    (j * 2 if nb else j)[:, None, None] + np.arange(2 if nb else 1)[None, None, :])
+            i, j = (v.ravel() for v in np.broadcast_arrays(i, j))
+            ok = (i < len(al)) & (j < len(bl))
+            ok &= (i <= j) if same else True
+            i, j = i[ok], j[ok]
+        gap = np.maximum(np.maximum(al[i] - bh[j], bl[j] - ah[i]), 0.0)
+        near = (gap * gap).sum(1) <= eps2
+        i, j = i[near], j[near]
+    return i, j
+
+
 def join_blocks(xa: np.ndarray, wa: np.ndarray, xb: np.ndarray | None, wb: np.ndarray | None,
-                cosine: float, axes: dict, leaf: int = 512) -> tuple[np.ndarray, np.ndarray]:
+                cosine: float, axes: dict, leaf: int = 256,
+                stats: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Links of two blocks (or inside one: ``xb`` None): per row the summed
-    weight of its partners and the least row of its component."""
+    weight of its partners and the least row of its component.
+
+    Leaves that boxes cannot prove distant are compared on the leading axes;
+    only the row pairs within eps there meet in whole vectors.  ``stats`` counts
+    row pairs: all, in compared leaves, compared whole.
+    """
     eps2 = 2 - 2 * cosine + 1e-9
     x = unit(xa) if xb is None else np.vstack([unit(xa), unit(xb)])
     w = wa if wb is None else np.r_[wa, wb]
     y = _project(x, axes)
     n, na = len(x), len(xa)
+    # one product gives squared distances on the leading axes; single precision,
+    # whose rounding the margin covers many times over
+    half, one = (y * y).sum(1)[:, None], np.ones((n, 1))
+    left, right = (np.hstack(v).astype(np.float32) for v in ((y, half, one), (-2 * y, one, half)))
+    margin = np.float32(eps2 + 1e-4)
     links, parent = np.zeros(n, np.int64), np.arange(n)
-    # stack of interval pairs of the sequence; halves are joined recursively
-    todo = [(0, na, 0, na)] if xb is None else [(0, na, na, n)]
-    while todo:
-        a, b, c, d = todo.pop()
-        if a >= b or c >= d:
-            continue
-        low = np.maximum(y[a:b].min(0) - y[c:d].max(0), y[c:d].min(0) - y[a:b].max(0))
-        if (np.maximum(low, 0) ** 2).sum() > eps2:
-            continue
-        if max(b - a, d - c) > leaf:
-            m, k = (a + b + 1) // 2, (c + d + 1) // 2
-            todo += [(a, m, c, k), (a, m, k, d), (m, b, k, d)]
-            if (a, b) != (c, d):
-                todo.append((m, b, c, k))
-            continue
-        near = x[a:b] @ x[c:d].T >= cosine
-        if (a, b) == (c, d):
-            np.fill_diagonal(near, False)
-            links[a:b] += near @ w[a:b]
+    boxes = _pyramid(y[:na], leaf)
+    others, shift = (boxes, 0) if xb is None else (_pyramid(y[na:], leaf), na)
+    count = {"all": na * (na - 1) // 2 if xb is None else na * (n - na), "leaves": 0, "whole": 0}
+    for p, q in zip(*(v.tolist() for v in _close_leaves(boxes, others, xb is None, eps2))):
+        a, b = p * leaf, min(na, (p + 1) * leaf)
+        c = q * leaf + shift
+        d = min(na if xb is None else n, c + leaf)
+        inside = a == c and xb is None
+        close = left[a:b] @ right[c:d].T <= margin
+        if inside:
+            close = np.triu(close, 1)
+        i, j = np.divmod(np.flatnonzero(close), d - c)
+        if 8 * len(i) > close.size:  # a dense pair is one product
+            near = (x[a:b] @ x[c:d].T >= cosine) & close
+            i, j = np.nonzero(near)
+            count["whole"] += close.size
         else:
-            links[a:b] += near @ w[c:d]
-            links[c:d] += w[a:b] @ near
-        i, j = np.nonzero(near)
+            count["whole"] += len(i)
+            near = (x[a + i] * x[c + j]).sum(1) >= cosine
+            i, j = i[near], j[near]
+        count["leaves"] += (b - a) * (b - a - 1) // 2 if inside else close.size
         if len(i):
-            parent = _merge(parent, i + a, j + c)
+            i, j = i + a, j + c
+            links += np.bincount(i, w[j], n).astype(np.int64) + np.bincount(j, w[i], n).astype(np.int64)
+            parent = _merge(parent, i, j)
+    if stats is not None:
+        for k, v in count.items():
+            stats[k] = stats.get(k, 0) + v
     return links, parent
 
 
@@ -234,6 +286,30 @@ def _tile_join(table: pa.Table, cosine: float, axes: dict) -> pa.Table:
     return pa.table({"node": nodes[hit], "links": links[hit], "root": nodes[parent[hit]]})
 
 
+def _numbered(blocks: DataFrame, tile_bytes: int) -> DataFrame:
+    """(block, dim, low, high, part, seq): the tile of every block.
+
+    A tile holds the next ``tile_bytes`` of the blocks of one vector length.  The
+    running bytes are sums of whole slices (a row each) plus those inside a slice,
+    so no task numbers all blocks; ``seq`` counts tiles over all lengths.
+    """
+    # the upper bits of a block's number are the partition that wrote it
+    sized = blocks.select("block", "dim", "low", "high", F.length("vecs").alias("bytes"),
+                          F.shiftright("block", 33).alias("slice"))
+    slices = sized.groupBy("dim", "slice").agg(F.sum("bytes").alias("all"))
+    before = Window.partitionBy("dim").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.select("dim", "slice", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("before"))
+    upto = Window.partitionBy("dim", "slice").orderBy("block")
+    placed = sized.withColumn("upto", F.sum("bytes").over(upto)).join(slices, ["dim", "slice"]) \
+        .withColumn("part", F.floor((F.col("before") + F.col("upto") - 1) / F.lit(tile_bytes)))
+    # a row per vector length
+    lengths = placed.groupBy("dim").agg((F.max("part") + 1).alias("parts"))
+    lower = Window.orderBy("dim").rowsBetween(Window.unboundedPreceding, -1)
+    lengths = lengths.select("dim", F.coalesce(F.sum("parts").over(lower), F.lit(0)).alias("base"))
+    return placed.join(lengths, "dim").select(
+        "block", "dim", "low", "high", "part", (F.col("base") + F.col("part")).alias("seq"))
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                     cosine: float = 0.9, block_bytes: int = 2 << 20, max_fit: int = 5_000,
                     tile_bytes: int = 8 << 20) -> DataFrame:
@@ -255,18 +331,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
         "dim int, nodes binary, weights binary, vecs binary, low array<double>, high array<double>")
         .withColumn("block", F.monotonically_increasing_id()))
     if not blocks.isEmpty():
-        # a row per block: the numbering and the tiles' boxes are small
-        upto = Window.partitionBy("dim").orderBy("block")
-        order = Window.orderBy("dim", "part")
-        numbered = blocks.select(
-            "block", "dim", "low", "high",
-            F.floor((F.sum(F.length("vecs")).over(upto) - 1) / tile_bytes).alias("part"))
-        tiles = numbered.groupBy("dim", "part").agg(
+        numbered = _numbered(blocks, tile_bytes)
+        tiles = cut(numbered.groupBy("seq", "dim", "part").agg(
             F.array(*[F.min(F.col("low")[k]) for k in range(LEAD)]).alias("low"),
-            F.array(*[F.max(F.col("high")[k]) for k in range(LEAD)]).alias("high")) \
-            .withColumn("seq", (F.row_number().over(order) - 1).cast("bigint"))
-        tiles = cut(tiles)
-        pairs = interval_pairs(tiles.select("seq", "dim", "low", "high"), tiles.count(), eps)
+            F.array(*[F.max(F.col("high")[k]) for k in range(LEAD)]).alias("high")))
+        n_tiles = tiles.agg(F.max("seq")).first()[0] + 1
+        pairs = interval_pairs(tiles.select("seq", "dim", "low", "high"), n_tiles, eps)
         # a tile's blocks meet the pairs it takes part in
         sides = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"))
         places = numbered.select("block", "dim", "part").join(
