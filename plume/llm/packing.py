@@ -9,12 +9,13 @@ and chunks follow the order of a partition, so a re-run task packs alike.
 
 A packed row is one row of the id matrix (little-endian 32-bit ids, padded),
 with cumulative segment lengths (starting at 0, ending at the tokens used),
-position ids that restart at every segment, and each segment's document and
-offset in it, from which every document can be put together again.
+position ids that restart at every segment, and each segment's row key, document
+and offset in it.  The key tells input rows apart whatever their ids, so every
+row's tokens can be put together again.
 
 Edge cases: null and empty texts have no tokens and are in no row; a null doc_id
-is kept as null; ties in length are broken by doc_id and offset; repeated rows
-are packed each; an empty table gives an empty result; other columns are
+is kept as null; ties in length are broken by doc_id, row key and offset;
+repeated and null ids are rows of their own; an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plume.llm.common import slices, texts_of, with_types
+from plume.llm.common import ints_of, slices, texts_of, with_types
 
 #: the split pattern of byte-level vocabularies of this family (fixed value)
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -129,11 +130,15 @@ def encode_texts(texts: list[bytes], encoder) -> tuple[np.ndarray, np.ndarray]:
 
 _PACKED = pa.schema([("pack", pa.int64()), ("n_tokens", pa.int32()), ("ids", pa.binary()),
                      ("cu_seqlens", pa.list_(pa.int32())), ("position_ids", pa.binary()),
-                     ("doc_ids", pa.list_(pa.int64())), ("doc_offsets", pa.list_(pa.int64()))])
+                     ("doc_ids", pa.list_(pa.int64())), ("doc_offsets", pa.list_(pa.int64())),
+                     ("row_keys", pa.list_(pa.int64()))])
 
 
-def pack_chunk(doc_ids: list, ids: np.ndarray, many: np.ndarray, length: int, pad: int) -> pa.RecordBatch:
-    """Packed rows of one chunk of documents."""
+def pack_chunk(doc_ids: list, ids: np.ndarray, many: np.ndarray, length: int, pad: int,
+               row_keys: np.ndarray | None = None) -> pa.RecordBatch:
+    """Packed rows of one chunk of documents (``row_keys``: their places, if None)."""
+    if row_keys is None:
+        row_keys = np.arange(len(many))
     first = np.cumsum(many) - many
     pieces = -(-many // length)
     doc = np.repeat(np.arange(len(many)), pieces)
@@ -141,11 +146,11 @@ def pack_chunk(doc_ids: list, ids: np.ndarray, many: np.ndarray, length: int, pa
     offset = k * length
     size = np.minimum(length, many[doc] - offset)
     key = np.array([-1 if d is None else d for d in doc_ids], np.int64)[doc]
-    order = np.lexsort((offset, key))
+    order = np.lexsort((offset, row_keys[doc], key))
     row = np.empty(len(size), np.int64)
     row[order] = best_fit_decreasing(size[order], length)
     n_rows = int(row.max(initial=-1)) + 1
-    order = np.lexsort((offset, key, -size, row))
+    order = np.lexsort((offset, row_keys[doc], key, -size, row))
     r, s, o, d = row[order], size[order], offset[order], doc[order]
     begin = np.cumsum(s) - s
     head = np.searchsorted(r, np.arange(n_rows))
@@ -161,7 +166,8 @@ def pack_chunk(doc_ids: list, ids: np.ndarray, many: np.ndarray, length: int, pa
     for i, (a, b) in enumerate(zip(head.tolist(), tail.tolist())):
         cu = [0, *np.cumsum(s[a:b]).tolist()]
         for c, v in zip(_PACKED.names, (i, cu[-1], matrix[i].tobytes(), cu, places[i].tobytes(),
-                                        [doc_ids[x] for x in d[a:b]], o[a:b].tolist())):
+                                        [doc_ids[x] for x in d[a:b]], o[a:b].tolist(),
+                                        row_keys[d[a:b]].tolist())):
             out[c].append(v)
     return pa.RecordBatch.from_pydict(out, schema=_PACKED)
 
@@ -177,29 +183,31 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 2048, pad: int = 50256,
 
         def flush() -> pa.RecordBatch:
             return pack_chunk([x for h in held for x in h[0]], np.concatenate([h[1] for h in held]),
-                              np.concatenate([h[2] for h in held]), length, pad)
+                              np.concatenate([h[2] for h in held]), length, pad,
+                              np.concatenate([h[3] for h in held]))
 
         for b in slices(batches, "text"):
-            held.append((b.column(0).to_pylist(), *encode_texts(texts_of(b, "text"), encoder)))
+            held.append((b.column(0).to_pylist(), *encode_texts(texts_of(b, "text"), encoder), ints_of(b, "row_key")))
             if sum(len(h[1]) for h in held) >= chunk_tokens:
                 yield flush()
                 held = []
         if held:
             yield flush()
 
-    slim = with_types(docs.select("doc_id", "text"), doc_id="bigint", text="string")
+    slim = with_types(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row_key")),
+                      doc_id="bigint", text="string")
     packed = slim.mapInArrow(
         rows, "pack bigint, n_tokens int, ids binary, cu_seqlens array<int>, position_ids binary, "
-              "doc_ids array<bigint>, doc_offsets array<bigint>")
+              "doc_ids array<bigint>, doc_offsets array<bigint>, row_keys array<bigint>")
     return packed.withColumn("pack", F.monotonically_increasing_id())
 
 
 def unpack(packed: DataFrame) -> DataFrame:
-    """(doc_id, doc_offset, ids binary) of every segment: the split undone but
-    for joining a document's segments in order of ``doc_offset``."""
-    segs = packed.select("ids", F.posexplode("doc_ids").alias("k", "doc_id"), "doc_offsets", "cu_seqlens")
+    """(row_key, doc_id, doc_offset, ids binary) of every segment: the split
+    undone but for joining a row's segments in order of ``doc_offset``."""
+    segs = packed.select("ids", F.posexplode("doc_ids").alias("k", "doc_id"), "doc_offsets", "cu_seqlens", "row_keys")
     begin, end = F.get("cu_seqlens", F.col("k")), F.get("cu_seqlens", F.col("k") + 1)
-    return segs.select("doc_id", F.get("doc_offsets", F.col("k")).alias("doc_offset"),
+    return segs.select(F.get("row_keys", F.col("k")).alias("row_key"), "doc_id", F.get("doc_offsets", F.col("k")).alias("doc_offset"),
                        F.substring("ids", begin * 4 + 1, (end - begin) * 4).alias("ids"))
 
 
