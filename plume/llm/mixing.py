@@ -8,13 +8,16 @@ training time whose integral is one, so the tokens of the source demanded by
 time t are ``target * (t + s * (t * t - t))``; solving that for t gives each
 taken copy its training position, and documents are range-sorted by position.
 
-Prefix sums over a source are taken in two levels (sums of scrambled key
-ranges, then rows inside one range), so a source that holds a third of all rows
-is spread over many tasks.
+Prefix sums over a source are taken in two levels (sums of slices of the sorted
+rows, then rows inside one slice), so a source or an id that holds a third of
+all rows is spread over many tasks.  Ties in the scrambled order are broken by
+doc_id, size, a hash of the text and a hash of all columns, so equal tables give
+equal mixes however their rows are dealt out.
 
 Edge cases: a null text has size 0 and is never taken; a null source is a
 source of its own, after all others; a null doc_id sorts by key 0; repeated
-rows are separate documents and lie side by side; an empty table gives an empty
+rows are separate documents and lie side by side, and equal ids with unlike
+texts stay apart; an empty table gives an empty
 result; other columns are passed through by ``mix_documents`` only.
 """
 
@@ -23,7 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plume.llm.common import WORD, columns_of, whole_row
+from plume.llm.common import WORD, columns_of, cut, whole_row
+from plume.operators.joins import inner_null_safe
 
 #: weights of the sources in code-point order, repeating
 WEIGHTS = (3, 1, 2)
@@ -83,29 +87,43 @@ def _position(words: Column, target: Column, slope: Column) -> Column:
 
 
 def _laid_out(docs: DataFrame, cap: float, share: float, per_range: int) -> DataFrame:
-    """Each row with its size, target and the start of its interval."""
+    """(doc_id, _hash, _rest, _size, source_size, target, rank, _start) of every
+    row: its place on the token line of its source.
+
+    Texts are read once, for their size and hash; the slim rows are range-sorted
+    by (source, order) in slices of about ``per_range`` rows.  A source, and any
+    id that stands on many rows, spreads over as many slices as it fills.
+    """
     key = F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)).cast("decimal(38,0)") * F.lit(SCRAMBLE),
                  F.lit(MODULUS).cast("decimal(38,0)")).cast("bigint")
-    rows = docs.withColumn("_size", word_count(F.col("text"))).withColumn("_key", key) \
-        .withColumn("_src", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
-    # number of key ranges follows the row count, so a range stays small at any size
-    ranges = max(1, docs.count() // per_range + 1)
-    rows = rows.withColumn("_range", F.floor(F.col("_key") * F.lit(ranges) / F.lit(MODULUS)))
-    sums = rows.groupBy("_src", "source", "_range").agg(F.sum("_size").alias("_words"))
-    start = Window.partitionBy("_src").orderBy("_range") \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    slim = cut(docs.select(
+        "doc_id", "source", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("_src"),
+        word_count(F.col("text")).alias("_size"), key.alias("_key"), *_content(docs)))
+    # rows alike in all columns are the same to the mix; their number only spreads them
+    order = ["_key", "doc_id", "_size", "_hash", "_rest", "_row"]
+    slim = slim.withColumn("_row", F.monotonically_increasing_id())
+    slices = slim.count() // per_range + 1
+    rows = cut(slim.repartitionByRange(slices, "_src", *order).withColumn("_slice", F.spark_partition_id()))
+    sums = rows.groupBy("_src", "source", "_slice").agg(F.sum("_size").alias("_words"))
+    # a row per slice of a source
+    start = Window.partitionBy("_src").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_before", F.coalesce(F.sum("_words").over(start), F.lit(0)))
     sizes = sums.groupBy("_src", "source").agg(F.sum("_words").alias("source_size"))
     targets = source_targets(sizes, share, cap)
     sums = sums.drop("_words", "source").join(targets.drop("source"), "_src")
-    # the window and the join use one partitioning of the rows
-    inside = Window.partitionBy("_src", "_range").orderBy("_key", "doc_id", "_size") \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_src", "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-    return rows.join(sums, ["_src", "_range"]) \
+    return rows.join(sums, ["_src", "_slice"]) \
         .withColumn("_start", F.col("_before") + F.col("_inside"))
 
 
+def _content(docs: DataFrame) -> list[Column]:
+    """Hashes of a row's text and of all its columns, which break ties of equal
+    ids and sizes and find the row again."""
+    every = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+    return [F.xxhash64("text").alias("_hash"), F.xxhash64(*every).alias("_rest")]
+
+
 def _taken_in(pass_no: int) -> Column:
     """Words of a row that lie below the target in one pass over its source."""
     first = F.col("_start") + F.col("source_size") * F.lit(pass_no)
@@ -118,8 +136,7 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0,
     """One row per document: doc_id, size, source_size, target, taken and the
     training positions of its first and second copy (null if not taken), range
     sorted by first position.  ``cap`` is at most 2: two passes are laid out."""
-    slim = docs.select("doc_id", "text", "source")
-    rows = _laid_out(slim, cap, share, per_range)
+    rows = _laid_out(docs.select("doc_id", "text", "source"), cap, share, per_range)
     slope = _pick(SLOPES, F.col("rank"))
     for p in (0, 1):
         first = F.col("_start") + F.col("source_size") * F.lit(p)
@@ -136,16 +153,15 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0,
 def mix_documents(docs: DataFrame, share: float = 1.5, cap: float = 2.0,
                   per_range: int = 5_000) -> DataFrame:
     """The mixed corpus: each taken copy of a document is a row with the input's
-    columns, whole texts, range-sorted by training position.
+    columns and ``mix_position``, its training position (0 to 1), by which the
+    rows are range-sorted.  The texts are joined to their positions once and
+    sorted once; the order outlives any storage as it is a column.
 
     A copy is in the mix if at least half its words lie below the target, so a
     source's words differ from its target by at most half a document.  A
     document without words is kept where its place lies below the target.
     """
-    names = docs.columns
-    base = docs.select(F.col("doc_id"), F.col("text"), F.col("source"),
-                       whole_row(docs).alias("_row"))
-    rows = _laid_out(base, cap, share, per_range)
+    rows = _laid_out(docs, cap, share, per_range)
     slope = _pick(SLOPES, F.col("rank"))
 
     def copy(p: int) -> Column:
@@ -157,8 +173,27 @@ def mix_documents(docs: DataFrame, share: float = 1.5, cap: float = 2.0,
             .otherwise(F.lit(0.0))
         return F.when(kept, place)
 
-    rows = rows.withColumn("_places", F.filter(F.array(copy(0), copy(1)), lambda x: x.isNotNull()))
-    rows = rows.select("_row", F.explode("_places").alias("_place"))
-    rows = rows.repartitionByRange("_place", F.col("_row.doc_id")) \
-        .sortWithinPartitions("_place", F.col("_row.doc_id"))
-    return rows.select(*columns_of("_row", names))
+    same = ["_id", "_hash", "_rest"]
+    places = rows.select(F.col("doc_id").alias("_id"), "_hash", "_rest",
+                         F.filter(F.array(copy(0), copy(1)), lambda x: x.isNotNull()).alias("_places"))
+    texts = docs.select(whole_row(docs).alias("_whole"), F.col("doc_id").alias("_id"), *_content(docs))
+    often = cut(places.groupBy(*same).count().filter("count > 1").select(*same))
+    if often.isEmpty():
+        mixed = inner_null_safe(texts, places, same)
+    else:  # of rows alike in all columns one meets all their places
+        many = inner_null_safe(texts, often, same).groupBy(*same).agg(F.first("_whole").alias("_whole"))
+        few = texts.join(often.withColumnRenamed("_id", "_often"), (F.col("_id").eqNullSafe(F.col("_often")))
+                         & (texts["_hash"] == often["_hash"]) & (texts["_rest"] == often["_rest"]), "left_anti")
+        mixed = inner_null_safe(few.unionByName(many.select(*few.columns)), places, same)
+    mixed = mixed.select("_whole", "_id", "_hash", "_rest", F.explode("_places").alias("_place"))
+    order = ["_place", "_id", "_hash", "_rest"]
+    mixed = mixed.repartitionByRange(*order).sortWithinPartitions(*order)
+    return mixed.select(*columns_of("_whole", docs.columns), F.col("_place").alias(position_name(docs.columns)))
+
+
+def position_name(names: list[str]) -> str:
+    """``mix_position``, with underscores added while that name is taken."""
+    name = "mix_position"
+    while name in names:
+        name += "_"
+    return name

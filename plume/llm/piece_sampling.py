@@ -34,6 +34,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plume.llm.common import ints_of, slices, splitmix, texts_of, with_types
@@ -212,21 +213,31 @@ def _shared(spark, path: str):
     return spark.sparkContext.broadcast((tuple(pieces), tuple(of_byte)))
 
 
-def encode(docs: DataFrame, model_path: str, seed: int = 0, sharpness: float = 1.0) -> DataFrame:
-    """(doc_id, n_pieces, ids array<int>) for every row."""
+def encode(docs: DataFrame, model_path: str, seed: int = 0, sharpness: float = 1.0,
+           keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_pieces, ids array<int>, lossless) and the ``keep`` columns for
+    every row.  Each batch's ids are decoded again: ``lossless`` says whether
+    they gave back the text, byte for byte."""
     shared = _shared(docs.sparkSession, model_path)
+    slim = with_types(docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), *keep),
+                      _id="bigint", _text="string")
+    fields = T.StructType().add("doc_id", T.LongType()).add("n_pieces", T.LongType()) \
+        .add("ids", T.ArrayType(T.IntegerType())).add("lossless", T.BooleanType())
+    schema = T.StructType([*fields, *slim.drop("_id", "_text").schema])
+    names = schema.names
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(*shared.value, sharpness)
-        for b in slices(batches, "text", 1 << 20):  # a lattice takes about a hundred times its text
-            ids, many = model.sample(texts_of(b, "text"), ints_of(b, "doc_id", 0), seed)
+        for b in slices(batches, "_text", 1 << 20):  # a lattice takes about a hundred times its text
+            texts = texts_of(b, "_text")
+            ids, many = model.sample(texts, ints_of(b, "_id", 0), seed)
+            same = [x == y for x, y in zip(model.decode(ids.astype(np.int64), many), texts)]
             offsets = pa.array(np.r_[0, np.cumsum(many)], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(many), pa.ListArray.from_arrays(offsets, pa.array(ids))],
-                ["doc_id", "n_pieces", "ids"])
+                [b.column(0), pa.array(many), pa.ListArray.from_arrays(offsets, pa.array(ids)),
+                 pa.array(same, pa.bool_()), *b.columns[2:]], names)
 
-    slim = with_types(docs.select("doc_id", "text"), doc_id="bigint", text="string")
-    return slim.mapInArrow(rows, "doc_id bigint, n_pieces bigint, ids array<int>")
+    return slim.mapInArrow(rows, schema)
 
 
 def decode(encoded: DataFrame, model_path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
