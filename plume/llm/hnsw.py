@@ -7,22 +7,23 @@ bounded), links go both ways, and long neighbour lists are pruned by the same
 diversity rule.  The graph is one row: the vectors and, per layer, flat arrays of
 nodes and neighbours.  Blocks of queries meet every shard's graph; a search
 descends the layers greedily and ends with a beam of ``ef`` on the lowest, for
-all queries of a block at once.  Shard results are merged per query.
+all queries of a block at once.  A shard is searched by groups of query blocks, a
+task each, whatever the number of queries.  Shard results are merged per query.
 
 Every row is indexed.  Identical vectors are one node that carries the ``k + 1``
 smallest ids, the only ones that can be in a result of ``k``.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite
 components, and rows without an id, take no part; only vectors of one length
-are compared; a query never finds rows with its own id; repeated query rows are
-answered once; fewer candidates than ``k`` are all returned; an empty table
+are compared; a query never finds rows with its own id; a query id with several
+vectors is answered for each (``query_key``, a hash of the vector, tells the
+answers apart), equal query rows once; a repeated candidate row counts as often
+as it stands in the table; fewer candidates than ``k`` are all returned; an empty table
 gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,15 +42,19 @@ def _square_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                       - 2 * a @ np.swapaxes(b, -1, -2), 0)
 
 
-def _diverse(x: np.ndarray, cand: np.ndarray, dist: np.ndarray, most: int) -> np.ndarray:
-    """Of each row's candidates (sorted by distance, inf: none) take one only
-    if it is nearer to the node than to all taken ones; fill up by distance."""
+def _diverse(x: np.ndarray, cand: np.ndarray, dist: np.ndarray, most: int,
+             fixed: np.ndarray | None = None) -> np.ndarray:
+    """Of each row's candidates (sorted by distance, inf: none) take the
+    ``fixed`` ones (fewer than ``most``, sorted first), and others only if
+    nearer to the node than to all taken ones; fill up by distance."""
+    if fixed is None:
+        fixed = np.zeros(cand.shape, bool)
     pts = x[cand]
     between = _square_distances(pts, pts)
     taken = np.zeros(cand.shape, bool)
     nearest = np.full(cand.shape, np.inf)
     for k in range(cand.shape[1]):
-        ok = np.isfinite(dist[:, k]) & (dist[:, k] <= nearest[:, k]) & (taken.sum(1) < most)
+        ok = np.isfinite(dist[:, k]) & (dist[:, k] <= nearest[:, k]) & (taken.sum(1) < most) | fixed[:, k]
         taken[:, k] = ok
         nearest = np.where(ok[:, None], np.minimum(nearest, between[:, k]), nearest)
     order = np.argsort(np.where(taken, 0, np.where(np.isfinite(dist), 1, 2)), axis=1, kind="stable")[:, :most]
@@ -72,29 +77,49 @@ def link_layer(x: np.ndarray, links: int, step: int = 256) -> np.ndarray:
         dist = np.take_along_axis(d, cand, 1)
         order = np.argsort(dist, axis=1, kind="stable")
         own[a:b] = _diverse(x, np.take_along_axis(cand, order, 1), np.take_along_axis(dist, order, 1), links)
+    stem = _stems(own, links)
     i, j = np.nonzero(own >= 0)
-    near = own[i, j]
+    i, near = np.r_[i, np.arange(1, n)], np.r_[own[i, j], stem[1:]]
     src, dst = np.r_[i, near], np.r_[near, i]
+    # a stem stays in both lists, so every node can be reached from every other
+    fixed = (stem[src] == dst) | (stem[dst] == src)
+    pair, lead = np.unique(src * n + dst, return_index=True)
+    src, dst, fixed = pair // n, pair % n, fixed[lead]
     d = ((x[src] - x[dst]) ** 2).sum(1)
-    # a node's first link stays in both lists, so every node can be reached
-    first = np.r_[j == 0, j == 0]
-    order = np.lexsort((dst, d, ~first, src))
-    src, dst, d = src[order], dst[order], d[order]
-    start = np.searchsorted(src, np.arange(n))
-    place = np.arange(len(src)) - start[src]
+    order = np.lexsort((dst, d, ~fixed, src))
+    src, dst, d, fixed = src[order], dst[order], d[order], fixed[order]
+    place = np.arange(len(src)) - np.searchsorted(src, src)
     width = int(min(3 * BUILD, place.max(initial=0) + 1))
-    cand, dist = np.zeros((n, width), np.int64), np.full((n, width), np.inf)
+    cand, dist, keep = np.zeros((n, width), np.int64), np.full((n, width), np.inf), np.zeros((n, width), bool)
     ok = place < width
-    cand[src[ok], place[ok]], dist[src[ok], place[ok]] = dst[ok], d[ok]
+    cand[src[ok], place[ok]], dist[src[ok], place[ok]], keep[src[ok], place[ok]] = dst[ok], d[ok], fixed[ok]
     out = np.empty((n, 2 * links), np.int64)
     for a in range(0, n, step):
         b = min(n, a + step)
-        order = np.argsort(dist[a:b], axis=1, kind="stable")
-        out[a:b] = _diverse(x, np.take_along_axis(cand[a:b], order, 1),
-                            np.take_along_axis(dist[a:b], order, 1), 2 * links)
+        out[a:b] = _diverse(x, cand[a:b], dist[a:b], 2 * links, keep[a:b])
     return out
 
 
+def _stems(own: np.ndarray, links: int) -> np.ndarray:
+    """One earlier node per node (-1 for the first) that at most ``links`` nodes
+    share: its nearest linked node with room, else one below the nearest.
+
+    Stems are a tree over all nodes; a list of ``2 * links`` holds all of a
+    node's, so pruning can keep them whatever else it drops.
+    """
+    n = len(own)
+    stem, kids = np.full(n, -1, np.int64), [[] for _ in range(n)]
+    for i in range(1, n):
+        todo = [int(v) for v in own[i] if v >= 0]
+        at = next((v for v in todo if len(kids[v]) < links), -1)
+        while at < 0:  # the nearest nodes are full: look below them
+            todo = [k for v in todo for k in kids[v]]
+            at = next((v for v in todo if len(kids[v]) < links), -1)
+        stem[i] = at
+        kids[at].append(i)
+    return stem
+
+
 def build_graph(x: np.ndarray, links: int = LINKS) -> list[tuple[np.ndarray, np.ndarray]]:
     """Layers from the lowest up: (node rows, neighbour rows) as flat arrays."""
     u = (splitmix(np.arange(len(x), dtype=np.uint64)) >> np.uint64(11)).astype(np.float64) / 2.0 ** 53
@@ -198,44 +223,52 @@ def _query_block(table: pa.Table) -> pa.Table:
     """One block of queries (bounded rows) as one row."""
     vec = table["vec"].combine_chunks()
     return pa.Table.from_pylist(
-        [{"dim": table["dim"][0].as_py(), "queries": matrix_of(vec).tobytes(),
-          "query_ids": np.asarray(table["vec_id"]).astype(np.int64).tobytes()}],
-        schema=pa.schema([("dim", pa.int32()), ("query_ids", pa.binary()), ("queries", pa.binary())]))
-
-
-def _search(batches: Iterator[pa.RecordBatch], k: int, ef: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for r in range(batch.num_rows):
-            row = {c: batch.column(i)[r].as_py() for i, c in enumerate(batch.schema.names)}
-            x = np.frombuffer(row["vecs"], np.float64).reshape(-1, row["dim"])
-            queries = np.frombuffer(row["queries"], np.float64).reshape(-1, row["dim"])
-            qid = np.frombuffer(row["query_ids"], np.int64)
-            layers = [(np.frombuffer(a, np.int32).astype(np.int64), np.frombuffer(b, np.int32).astype(np.int64)
-                       .reshape(-1, 2 * LINKS)) for a, b in zip(row["nodes"], row["near"])]
-            found, dist = search_graph(x, layers, queries, min(ef, max(len(x), k + 1)))
-            many = np.frombuffer(row["many"], np.int32).astype(np.int64)
-            ids = np.frombuffer(row["ids"], np.int64)
-            start = np.cumsum(many) - many
-            # every copy of a found node, then the k best rows of each query
-            q, c = np.nonzero(found >= 0)
-            node = found[q, c]
-            at = np.repeat(start[node], many[node]) + np.arange(many[node].sum()) \
-                - np.repeat(np.cumsum(many[node]) - many[node], many[node])
-            q, score, vid = np.repeat(q, many[node]), np.sqrt(np.repeat(dist[q, c], many[node])), ids[at]
-            other = vid != qid[q]
-            q, score, vid = q[other], score[other], vid[other]
-            order = np.lexsort((vid, score, q))
-            q, score, vid = q[order], score[order], vid[order]
-            place = np.arange(len(q)) - np.searchsorted(q, q)
-            q, score, vid = q[place < k], score[place < k], vid[place < k]
-            yield pa.RecordBatch.from_arrays([pa.array(qid[q]), pa.array(vid), pa.array(score)],
-                                             ["query_id", "vec_id", "score"])
+        [{"dim": table["dim"][0].as_py(), "block": table["block"][0].as_py(), "queries": matrix_of(vec).tobytes(),
+          "query_ids": np.asarray(table["vec_id"]).astype(np.int64).tobytes(),
+          "query_keys": np.asarray(table["query_key"]).astype(np.int64).tobytes()}],
+        schema=pa.schema([("dim", pa.int32()), ("block", pa.int64()), ("query_ids", pa.binary()),
+                          ("query_keys", pa.binary()), ("queries", pa.binary())]))
+
+
+_FOUND = pa.schema([("query_id", pa.int64()), ("query_key", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+
+def _search(asked: pa.Table, graph: pa.Table, k: int, ef: int) -> pa.Table:
+    """The ``k`` best rows of one shard for a group of query blocks."""
+    if not asked.num_rows or not graph.num_rows:
+        return _FOUND.empty_table()
+    g = graph.to_pylist()[0]
+    x = np.frombuffer(g["vecs"], np.float64).reshape(-1, g["dim"])
+    layers = [(np.frombuffer(a, np.int32).astype(np.int64), np.frombuffer(b, np.int32).astype(np.int64)
+               .reshape(-1, 2 * LINKS)) for a, b in zip(g["nodes"], g["near"])]
+    many, ids = np.frombuffer(g["many"], np.int32).astype(np.int64), np.frombuffer(g["ids"], np.int64)
+    start = np.cumsum(many) - many
+    out = []
+    for row in asked.to_pylist():
+        queries = np.frombuffer(row["queries"], np.float64).reshape(-1, g["dim"])
+        qid, key = np.frombuffer(row["query_ids"], np.int64), np.frombuffer(row["query_keys"], np.int64)
+        found, dist = search_graph(x, layers, queries, min(ef, max(len(x), k + 1)))
+        # every copy of a found node, then the k best rows of each query
+        q, c = np.nonzero(found >= 0)
+        node = found[q, c]
+        at = np.repeat(start[node], many[node]) + np.arange(many[node].sum()) \
+            - np.repeat(np.cumsum(many[node]) - many[node], many[node])
+        q, score, vid = np.repeat(q, many[node]), np.sqrt(np.repeat(dist[q, c], many[node])), ids[at]
+        other = vid != qid[q]
+        q, score, vid = q[other], score[other], vid[other]
+        order = np.lexsort((vid, score, q))
+        q, score, vid = q[order], score[order], vid[order]
+        near = np.arange(len(q)) - np.searchsorted(q, q) < k
+        q, score, vid = q[near], score[near], vid[near]
+        out.append(pa.table([qid[q], key[q], vid, score], schema=_FOUND))
+    return pa.concat_tables(out)
 
 
 def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding",
-            k: int = 10, ef: int = 96, shard_rows: int = 5_000, block: int = 512) -> DataFrame:
-    """(query_id, rank, vec_id, score): up to ``k`` nearest rows per query by
-    Euclidean distance, ties to the smaller id."""
+            k: int = 10, ef: int = 96, shard_rows: int = 5_000, block: int = 512,
+            group: int = 8) -> DataFrame:
+    """(query_id, rank, vec_id, score, query_key): up to ``k`` nearest rows per
+    query by Euclidean distance, ties to the smaller id."""
     rows = vectors.withColumn("_asks", F.coalesce(is_query, F.lit(False))) \
         .select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vec_col).alias("vec"), "_asks") \
         .filter(F.col("vec_id").isNotNull() & is_usable(F.col("vec")))
@@ -243,11 +276,18 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_co
     asks = rows.filter("_asks")
     blocks = max(1, -(-asks.count() // block))
     asked = asks.select("vec_id", "vec").distinct().select(
-        F.size("vec").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"), "vec_id", "vec") \
-        .groupBy("dim", "block").applyInArrow(_query_block, "dim int, query_ids binary, queries binary")
-    meet = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))))
-    found = meet.join(graphs, ["dim", "shard"]).mapInArrow(
-        lambda b: _search(b, k, ef), "query_id bigint, vec_id bigint, score double")
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        F.size("vec").alias("dim"), F.pmod(F.xxhash64("vec_id", "vec"), F.lit(blocks)).alias("block"), "vec_id", "vec",
+        F.xxhash64("vec").alias("query_key")).groupBy("dim", "block").applyInArrow(
+        _query_block, "dim int, block bigint, query_ids binary, query_keys binary, queries binary")
+
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+
+    # a group of blocks meets each shard's graph in a task of its own
+    meet = asked.withColumn("shard", each(shards)).withColumn("part", F.floor(F.col("block") / F.lit(group)))
+    held = graphs.withColumn("part", each(-(-blocks // group)))
+    found = meet.groupBy("dim", "shard", "part").cogroup(held.groupBy("dim", "shard", "part")).applyInArrow(
+        lambda a, g: _search(a, g, k, ef), "query_id bigint, query_key bigint, vec_id bigint, score double")
+    best = Window.partitionBy("query_id", "query_key").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k) \
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", "vec_id", "score", "query_key")
