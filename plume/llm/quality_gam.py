@@ -6,11 +6,12 @@ lookup table per feature and one per chosen pair.  A score is the logistic of
 the sum of table entries, so scoring is a few vectorised gathers per batch.
 
 Features are computed on executors over whole texts.  The fit runs on the
-driver over at most ``max_train`` labelled rows (a documented bound; rows are
-chosen by a hash of their id), i.e. ``max_train`` x 16 numbers.
+driver over at most ``max_train`` distinct labelled texts (a documented bound;
+see ``labelled``), i.e. ``max_train`` x 17 numbers; a text under several ids
+weighs as many.
 
 Edge cases: a null text counts as empty and gets a score like any other; a
-null label or id takes no part in the fit; repeated labels count repeatedly;
+null label or id takes no part in the fit; repeated labels and rows count once;
 without labels of both kinds the model is the constant base rate (0.5 without
 any label); an empty table gives an empty result.
 """
@@ -103,17 +104,20 @@ def _best_split(grad: np.ndarray, hess: np.ndarray, ridge: float) -> tuple[int,
     return k, g[k] / (h[k] + ridge), (g[-1] - g[k]) / (h[-1] - h[k] + ridge)
 
 
-def fit_gam(x: np.ndarray, y: np.ndarray, bins: int = 48, rounds: int = 150, rate: float = 0.15,
+def fit_gam(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, bins: int = 48, rounds: int = 150, rate: float = 0.15,
             n_pairs: int = 8, pair_bins: int = 8, pair_rounds: int = 60,
             ridge: float = 5.0) -> Gam:
     """Cyclic boosting: round after round, every feature in turn gets one small
-    tree on the current residual; then the strongest pairs do the same."""
+    tree on the current residual; then the strongest pairs do the same.  A row
+    of weight w counts like w rows."""
     n = len(y)
-    rate0 = (y.sum() + 0.5) / (n + 1)
+    w = np.ones(n) if weight is None else weight
+    rate0 = ((w * y).sum() + 0.5) / (w.sum() + 1)
     k = x.shape[1]
     if n == 0 or y.min() == y.max():
         return Gam(float(np.log(rate0 / (1 - rate0))), [np.empty(0)] * k, [np.zeros(1)] * k)
-    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(k)]
+    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1], weights=w, method="inverted_cdf"))
+             for j in range(k)]
     at = [np.searchsorted(e, x[:, j], side="right") for j, e in enumerate(edges)]
     tables = [np.zeros(len(e) + 1) for e in edges]
     model = Gam(float(np.log(rate0 / (1 - rate0))), edges, tables)
@@ -123,8 +127,8 @@ def fit_gam(x: np.ndarray, y: np.ndarray, bins: int = 48, rounds: int = 150, rat
             if len(tables[j]) < 2:
                 continue
             p = 1 / (1 + np.exp(-f))
-            cut, lo, hi = _best_split(np.bincount(at[j], y - p, len(tables[j])),
-                                      np.bincount(at[j], p * (1 - p), len(tables[j])), ridge)
+            cut, lo, hi = _best_split(np.bincount(at[j], w * (y - p), len(tables[j])),
+                                      np.bincount(at[j], w * p * (1 - p), len(tables[j])), ridge)
             step = np.where(np.arange(len(tables[j])) <= cut, lo, hi) * rate
             tables[j] += step
             f += step[at[j]]
@@ -136,14 +140,14 @@ def fit_gam(x: np.ndarray, y: np.ndarray, bins: int = 48, rounds: int = 150, rat
             .reshape(pair_bins, pair_bins)
 
     p = 1 / (1 + np.exp(-f))
-    gain = {(i, j): float((sums(i, j, y - p) ** 2 / (sums(i, j, p * (1 - p)) + ridge)).sum())
+    gain = {(i, j): float((sums(i, j, w * (y - p)) ** 2 / (sums(i, j, w * p * (1 - p)) + ridge)).sum())
             for i in range(k) for j in range(i + 1, k)}
     model.pairs = sorted(sorted(gain, key=gain.get)[::-1][:n_pairs])
     model.pair_tables = [np.zeros((pair_bins, pair_bins)) for _ in model.pairs]
     for _ in range(pair_rounds):
         for (i, j), table in zip(model.pairs, model.pair_tables):
             p = 1 / (1 + np.exp(-f))
-            g, h = sums(i, j, y - p), sums(i, j, p * (1 - p))
+            g, h = sums(i, j, w * (y - p)), sums(i, j, w * p * (1 - p))
             a, b = _best_split(g.sum(1), h.sum(1), ridge)[0], _best_split(g.sum(0), h.sum(0), ridge)[0]
             step = np.zeros_like(table)
             for rows in (slice(0, a + 1), slice(a + 1, None)):
@@ -155,11 +159,21 @@ def fit_gam(x: np.ndarray, y: np.ndarray, bins: int = 48, rounds: int = 150, rat
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, max_train: int) -> DataFrame:
-    """Documents with a label: at most ``max_train``, chosen by a hash of the id."""
+    """(text, label, copies): distinct labelled texts, at most ``max_train``.
+
+    Labels are bounded first, chosen by a hash of the id, then the texts they
+    bring, by a hash of the text: an id that stands on many rows cannot add more.
+    ``copies`` counts the ids a text stands under, each once however often its
+    row is repeated.
+    """
     chosen = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()) \
         .select("doc_id", F.col(label).cast("int").alias("label")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_train)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # max_train rows
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")) \
+        .join(F.broadcast(chosen), "doc_id")  # max_train rows
+    ids = found.groupBy("text", "label", "doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    return ids.groupBy("text", "label").agg(F.count(F.lit(1)).alias("copies")) \
+        .orderBy(F.xxhash64("text"), "text", "label").limit(max_train)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality",
@@ -169,16 +183,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality",
         for b in slices(batches, "text"):
             m = feature_matrix(texts_of(b, "text"))
             yield pa.RecordBatch.from_arrays(
-                [b.column(b.schema.get_field_index("label")), *[pa.array(c) for c in m.T]],
-                ["label", *FEATURES])
+                [*[b.column(b.schema.get_field_index(c)) for c in ("label", "copies")],
+                 *[pa.array(c) for c in m.T]], ["label", "copies", *FEATURES])
 
     names = ", ".join(f"{c} double" for c in FEATURES)
-    got = labelled(docs, labels, label, max_train).select("text", "label") \
-        .mapInArrow(rows, f"label int, {names}").toArrow()
+    got = labelled(docs, labels, label, max_train).mapInArrow(
+        rows, f"label int, copies bigint, {names}").toArrow()
     x = np.column_stack([np.asarray(got[c]) for c in FEATURES]).reshape(-1, len(FEATURES))
     y = np.asarray(got["label"]).astype(float)
-    order = np.lexsort((*x.T, y))  # the fit does not depend on the order of arrival
-    return fit_gam(x[order], y[order])
+    weight = np.asarray(got["copies"]).astype(float)
+    order = np.lexsort((weight, *x.T, y))  # the fit does not depend on the order of arrival
+    return fit_gam(x[order], y[order], weight[order])
 
 
 def score(docs: DataFrame, model: Gam, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

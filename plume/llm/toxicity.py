@@ -5,7 +5,10 @@
 2. Levenshtein automata of all terms are run as one automaton on the lexicon
    trie: a state is a set of (trie node, edits); states are made on demand and
    kept.  A text word is matched by following it, so a misspelled term is
-   caught without comparing the word with every term.
+   caught without comparing the word with every term.  Words are also split at
+   punctuation inside, signs that look like letters are read as these, and the
+   labelled rows say what the misspelt forms of each term are worth: forms as
+   common in other texts count nothing.
 3. Every hit has a window of ``WINDOW`` words on each side.  Cue weights of the
    window's words, learned from hits in toxic and in other rows, and quotation
    marks tell a quotation from abuse.  Cues are the words whose rates among
@@ -13,7 +16,7 @@
 4. A logistic regression over the document's hit and window figures gives the
    score.
 
-The fit uses at most ``max_train`` labelled rows (documented bound), equal texts
+The fit uses at most ``max_train`` labelled texts (documented bound), equal texts
 with the same label once.  Counts are taken on executors; the driver sees the
 terms, the cues and the figures only.
 
@@ -24,9 +27,9 @@ score is the base rate; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,19 +43,40 @@ WINDOW = 4
 LEAST_CUE = 10.83  # log-likelihood ratio of a chance of one in a thousand
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’¿¡…"
 _QUOTES = set("\"'«»“”„‘’")
+_INNER = re.compile(r"[^\w\s]+|_+")
+#: signs read as letters (fixed values)
+_LETTER = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"})
+_ALIKE = set("013457@$")
+RARE = 3.0        # documents' worth of belief in the term's own weight
+LEAST_FORM = 0.3  # a misspelt form of less weight is no hit
 
 
 def bare(word: str) -> str:
     return word.strip(_EDGE)
 
 
+def words_of(text: bytes) -> list[str]:
+    """The lower-case words of a text; a word with punctuation inside, and no
+    letter or digit missing there, is followed by its parts."""
+    out = []
+    for w in text.decode("utf-8", "replace").lower().split():
+        out.append(w)
+        parts = _INNER.split(bare(w))
+        if len(parts) > 1:
+            out += [p for p in parts if p]
+    return out
+
+
 def edits_allowed(term: str) -> int:
-    """One edit from five letters on, two from nine on; shorter terms exactly."""
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    """One edit from four letters on, two from nine on; shorter terms exactly."""
+    return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
 
 
 class FuzzyLexicon:
-    """Levenshtein automata of all terms, intersected with their trie."""
+    """Levenshtein automata of all terms, intersected with their trie.
+
+    An edit is a letter more, less or other, or two neighbours swapped.
+    """
 
     def __init__(self, terms: list[str]):
         self.terms = sorted(set(terms))
@@ -72,21 +96,25 @@ class FuzzyLexicon:
                 self.most[node] = max(self.most[node], budget)
             self.term[node] = i
         self._ids: dict[tuple, int] = {}
-        self._sets: list[dict[int, int]] = []
+        self._sets: list[dict[tuple[int, str], int]] = []
         self._next: list[dict[str, int]] = []
         self._hit: list[tuple[int, int]] = []
-        self.start = self._state({0: 0})
+        self.start = self._state({(0, ""): 0})
 
-    def _state(self, raw: dict[int, int]) -> int:
-        """State id of the closure under skipped term letters; -1 if empty."""
+    def _state(self, raw: dict[tuple[int, str], int]) -> int:
+        """State id of the closure under skipped term letters; -1 if empty.
+
+        A place is (trie node, ""), or (node, letter) after the first half of a
+        swap: only that letter leads on, to the node.
+        """
         least = dict(raw)
-        todo = list(raw)
+        todo = [node for node, due in raw if not due]
         while todo:
             node = todo.pop()
-            e = least[node] + 1
+            e = least[node, ""] + 1
             for kid in self.child[node].values():
-                if e <= self.most[kid] and e < least.get(kid, 99):
-                    least[kid] = e
+                if e <= self.most[kid] and e < least.get((kid, ""), 99):
+                    least[kid, ""] = e
                     todo.append(kid)
         if not least:
             return -1
@@ -95,20 +123,28 @@ class FuzzyLexicon:
             self._ids[key] = len(self._sets)
             self._sets.append(least)
             self._next.append({})
-            hits = [(e, self.term[n]) for n, e in least.items()
-                    if self.term[n] >= 0 and e <= edits_allowed(self.terms[self.term[n]])]
+            hits = [(e, self.term[n]) for (n, due), e in least.items() if not due
+                    and self.term[n] >= 0 and e <= edits_allowed(self.terms[self.term[n]])]
             self._hit.append(min(hits, default=(-1, -1)))
         return self._ids[key]
 
     def _step(self, state: int, c: str) -> int:
-        raw: dict[int, int] = {}
-        for node, e in self._sets[state].items():
-            if e + 1 <= self.most[node] and e + 1 < raw.get(node, 99):  # c is an extra letter
-                raw[node] = e + 1
+        raw: dict[tuple[int, str], int] = {}
+
+        def reach(node: int, due: str, e: int) -> None:
+            if e <= self.most[node] and e < raw.get((node, due), 99):
+                raw[node, due] = e
+
+        for (node, due), e in self._sets[state].items():
+            if due:
+                if c == due:
+                    reach(node, "", e)
+                continue
+            reach(node, "", e + 1)  # c is an extra letter
             for x, kid in self.child[node].items():
-                d = e + (x != c)
-                if d <= self.most[kid] and d < raw.get(kid, 99):
-                    raw[kid] = d
+                reach(kid, "", e + (x != c))
+                if x != c and c in self.child[kid]:
+                    reach(self.child[kid][c], x, e + 1)  # x is due after c
         self._next[state][c] = out = self._state(raw)
         return out
 
@@ -124,45 +160,62 @@ class FuzzyLexicon:
         e, term = self._hit[state]
         return term, e
 
-
-@lru_cache(maxsize=1)
-def _matcher(terms: tuple[str, ...]) -> tuple[FuzzyLexicon, dict[str, tuple[int, int]]]:
-    """The automaton of a lexicon and the words matched so far, per worker."""
-    return FuzzyLexicon(list(terms)), {}
+    def find(self, word: str) -> tuple[int, int]:
+        """``match`` of a word as it stands in a text; a word that mixes letters
+        and look-alike signs is read as letters, which counts as one edit."""
+        word = bare(word)
+        term, e = self.match(word)
+        if term < 0 and any(c in _ALIKE for c in word) and any(c.isalpha() for c in word):
+            term, e = self.match(word.translate(_LETTER))
+            e = max(e, 1) if term >= 0 else e
+        return term, e
 
 
 @dataclass
 class ToxicModel:
+    """``weights``: log rate ratio of each term; ``misspelt``: the same for its
+    forms at one edit, two edits, where the sample says more than chance."""
+
     terms: list[str]
     weights: list[float]
+    misspelt: dict[tuple[int, int], float] = field(default_factory=dict)
     cues: dict[str, float] = field(default_factory=dict)
     beta: np.ndarray = field(default_factory=lambda: np.zeros(9))
     mean: np.ndarray = field(default_factory=lambda: np.zeros(8))
     scale: np.ndarray = field(default_factory=lambda: np.ones(8))
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_matcher"}
+
+    def weight(self, term: int, edits: int) -> float:
+        return self.misspelt.get((term, edits), self.weights[term] / (1 + edits)) if edits else self.weights[term]
+
     def hits(self, words: list[str]) -> list[tuple[int, int, int]]:
-        """(place, term, edits) of each hit among a text's words."""
-        lexicon, seen = _matcher(tuple(self.terms))
+        """(place, term, edits) of each hit among a text's words; misspelt forms
+        that the sample gives no weight are none."""
+        if "_matcher" not in self.__dict__:  # made once in a worker
+            self._matcher = FuzzyLexicon(self.terms), {}
+        lexicon, seen = self._matcher
         if len(seen) > 100_000:  # a memory bound only: matches are found again
             seen.clear()
         out = []
         for i, w in enumerate(words):
             got = seen.get(w)
             if got is None:
-                got = seen[w] = lexicon.match(bare(w))
-            if got[0] >= 0:
+                got = seen[w] = lexicon.find(w)
+            if got[0] >= 0 and (not got[1] or self.misspelt.get(got, 1.0) > 0):
                 out.append((i, *got))
         return out
 
     def figures(self, text: bytes) -> list[float]:
         """Hit and window figures of one whole text."""
-        words = text.decode("utf-8", "replace").lower().split()
+        words = words_of(text)
         exact = fuzzy = quoted = near = 0
         weight = best = context = 0.0
         last = -10 ** 9
         for i, t, e in self.hits(words):
             exact, fuzzy = exact + (e == 0), fuzzy + (e > 0)
-            w = self.weights[t] / (1 + e)
+            w = self.weight(t, e)
             around = [bare(x) for x in words[max(0, i - WINDOW):i] + words[i + 1:i + 1 + WINDOW]]
             c = sum(self.cues.get(x, 0.0) for x in around)
             quoted += words[i][0] in _QUOTES or words[i][-1] in _QUOTES
@@ -226,17 +279,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: i
           least_ratio: float = 30.0, least_cue_ratio: float = LEAST_CUE) -> ToxicModel:
     """Learn lexicon, cues and weights from labelled rows (see module text)."""
     # read four times, bounded by max_train; a group of copies counts as one text
-    rows = cut(labelled(docs, labels, label, max_train).select("text", "label").distinct())
+    rows = cut(labelled(docs, labels, label, max_train).select("text", "label"))
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     base = np.log((n1 + 0.5) / (n0 + 0.5))
     if not n1 or not n0:
         return ToxicModel([], [], beta=np.r_[base, np.zeros(8)])
 
-    def words_of(t: bytes) -> set[str]:
-        return {bare(w) for w in t.decode("utf-8", "replace").lower().split()} - {""}
-
-    terms = _counts(rows, words_of) \
+    terms = _counts(rows, lambda t: {bare(w) for w in words_of(t)} - {""}) \
         .filter(2 * F.col("toxic") * n0 > 3 * F.col("other") * n1) \
         .withColumn("ratio", _ratio(F.col("toxic"), F.col("other"), n1, n0)).filter(F.col("ratio") >= least_ratio).collect()
     model = ToxicModel([r["word"] for r in terms], [])
@@ -244,9 +294,24 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: i
     model.terms = sorted(weight)
     model.weights = [weight[t] for t in model.terms]
 
+    def forms_of(t: bytes, m: ToxicModel = model) -> set[str]:
+        """The misspelt terms of a text, as ``term number, edits``."""
+        return {f"{term} {e}" for _, term, e in m.hits(words_of(t)) if e}
+
+    # a form's own rates, drawn to a share of its term's weight while it is rare
+    misspelt = {}
+    for r in cut(_counts(rows, forms_of)).collect():  # two rows a term at most
+        term, e = map(int, r["word"].split())
+        seen = r["toxic"] + r["other"]
+        own = np.log((r["toxic"] + 0.5) / n1 / ((r["other"] + 0.5) / n0))
+        got = (seen * own + RARE * model.weights[term] / (1 + e)) / (seen + RARE)
+        misspelt[term, e] = float(got) if got > LEAST_FORM else 0.0
+    model.misspelt = dict(sorted(misspelt.items()))
+    model.__dict__.pop("_matcher", None)
+
     def cues_of(t: bytes, m: ToxicModel = model) -> set[str]:
         """Words around the hits, and "" for a text with a hit."""
-        words = t.decode("utf-8", "replace").lower().split()
+        words = words_of(t)
         hits = m.hits(words)
         return {bare(x) for i, _, _ in hits
                 for x in words[max(0, i - WINDOW):i] + words[i + 1:i + 1 + WINDOW]} | ({""} if hits else set())
