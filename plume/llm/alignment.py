@@ -14,8 +14,8 @@ over blocks, so a pair that is linked everywhere is one row a block, joined to
 the totals, and brought back to their block, where each document reads its
 links.  The links themselves are never joined.
 
-Texts are encoded by distinct units of a batch (a space and the visible
-characters up to the next single space); between a visible character and a
+Texts are encoded by distinct units (a space and the visible characters up to
+the next single space), which a worker remembers up to a bound; between a visible character and a
 single space followed by a visible one neither tokenizer has a token.
 
 Edge cases: null and empty texts, and texts that either tokenizer does not give
@@ -28,6 +28,7 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,6 +42,8 @@ from pyspark.sql import functions as F
 from plume.llm.common import cut, slices, texts_of, with_types
 
 SPACE = "▁"
+#: the split pattern of byte-level vocabularies of this family (fixed value)
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _UNIT = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -64,7 +67,12 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 def byte_side(definition: str) -> Side:
-    """A byte-level tokenizer from the text of its JSON file."""
+    """A byte-level tokenizer from the text of its JSON file.
+
+    Where its merges stand in order of the ids they make, the vocabulary is a
+    table of merge ranks, which is encoded several times faster.
+    """
+    import tiktoken
     import tokenizers
 
     t = tokenizers.Tokenizer.from_str(definition)
@@ -72,6 +80,14 @@ def byte_side(definition: str) -> Side:
     of = _byte_alphabet()
     special = set(t.get_added_tokens_decoder())
     table = {i: bytes(of[c] for c in s) for s, i in t.get_vocab().items() if i not in special}
+    parsed = json.loads(definition)
+    merges = [m.split(" ") if isinstance(m, str) else m for m in parsed["model"]["merges"]]
+    made = [parsed["model"]["vocab"].get(a + b, -1) for a, b in merges]
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    if parsed["pre_tokenizer"] == plain and not parsed["normalizer"] and made == list(range(256, 256 + len(made))):
+        ranked = tiktoken.Encoding("aligned", pat_str=PATTERN, special_tokens={},
+                                   mergeable_ranks={b: i for i, b in table.items()})
+        return Side(lambda units: [ranked.encode_ordinary(u) for u in units], table)
     return Side(lambda units: [e.ids for e in t.encode_batch(units, add_special_tokens=False)], table)
 
 
@@ -89,24 +105,57 @@ def piece_side(model: bytes) -> Side:
     return Side(lambda units: sp.encode([u[1:] for u in units], num_threads=1), table)
 
 
+class Units:
+    """Distinct units and their tokens on both sides, kept over batches.
+
+    A worker forgets all of them when there are ``most``: that bounds its memory
+    and changes no result.
+    """
+
+    def __init__(self, sides: tuple[Side, Side], most: int = 300_000):
+        self.sides, self.most = sides, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.code: dict[str, int] = {}
+        self.exact = np.empty(0, bool)
+        self.flat = [np.empty(0, np.int32) for _ in self.sides]
+        self.start = [np.zeros(1, np.int64) for _ in self.sides]
+
+    def codes(self, units: list[str]) -> np.ndarray:
+        """The numbers of some units; new ones are encoded."""
+        if len(self.code) > self.most:
+            self.clear()
+        known = len(self.code)
+        code = self.code
+        out = np.fromiter((code.setdefault(u, len(code)) for u in units), np.int64, len(units))
+        if len(code) > known:
+            new = list(code)[known:]
+            raw = [u.encode() for u in new]
+            exact = np.ones(len(new), bool)
+            for k, side in enumerate(self.sides):
+                ids = side.encode(new)
+                of = side.bytes_of
+                # does the unit come back byte for byte?
+                exact &= np.array([b"".join([of[t] for t in x]) == r for x, r in zip(ids, raw)], bool)
+                size = np.array([len(x) for x in ids], np.int64)
+                self.flat[k] = np.concatenate([self.flat[k], np.array([t for x in ids for t in x], np.int32)])
+                self.start[k] = np.concatenate([self.start[k], self.start[k][-1] + np.cumsum(size)])
+            self.exact = np.concatenate([self.exact, exact])
+        return out
+
+
 class Tokens:
-    """The tokens of a batch of documents: document, byte range (on one line
-    over all documents of the batch) and id, in order."""
-
-    def __init__(self, side: Side, distinct: list[str], code: np.ndarray, many: np.ndarray, base: np.ndarray):
-        ids = side.encode(distinct)
-        size = np.fromiter((len(x) for x in ids), np.int64, len(ids))
-        flat = np.fromiter((t for x in ids for t in x), np.int32, int(size.sum()))
-        #: units the tokens give back byte for byte
-        self.exact = np.fromiter((b"".join([side.bytes_of[t] for t in x]) == u.encode()
-                                  for x, u in zip(ids, distinct)), bool, len(ids))
-        of = size[code]
+    """The tokens of one side for a batch of documents: document, byte range (on
+    one line over all documents of the batch) and id, in order."""
+
+    def __init__(self, units: Units, k: int, code: np.ndarray, many: np.ndarray):
+        start, of = units.start[k][code], np.diff(units.start[k])[code]
         end = np.cumsum(of)
-        start = np.cumsum(size) - size
-        at = np.repeat(start[code] - (end - of), of) + np.arange(end[-1] if len(end) else 0)
-        self.id = flat[at]
+        at = np.repeat(start - (end - of), of) + np.arange(end[-1] if len(end) else 0)
+        self.id = units.flat[k][at]
         self.doc = np.repeat(np.repeat(np.arange(len(many)), many), of)
-        length = side.length[self.id]
+        length = units.sides[k].length[self.id]
         self.end = np.cumsum(length)
         self.start = self.end - length
 
@@ -125,26 +174,24 @@ class Tokens:
         return pd.DataFrame({"start": self.start, "doc": self.doc, name: np.arange(len(self.id))})
 
 
-def encode_both(texts: list[bytes], a: Side, b: Side) -> tuple[Tokens, Tokens]:
+def encode_both(texts: list[bytes], units: Units) -> tuple[Tokens, Tokens]:
     """The tokens of both sides for the texts that both give back exactly."""
-    units: list[str] = []
+    own: list[str] = []
     many = np.zeros(len(texts), np.int64)
     for i, raw in enumerate(texts):
         if raw:
-            own = _UNIT.split(" " + raw.decode("utf-8", "replace"))
-            many[i] = len(own)
-            units += own
-    code, distinct = pd.factorize(np.array(units, dtype=object)) if units else (np.empty(0, np.int64), [])
-    distinct = list(distinct)
-    base = np.cumsum([len(t) + 1 for t in texts]) if texts else np.empty(0, np.int64)
-    ta, tb = (Tokens(s, distinct, code, many, base) for s in (a, b))
+            parts = _UNIT.split(" " + raw.decode("utf-8", "replace"))
+            many[i] = len(parts)
+            own += parts
+    code = units.codes(own)
+    base = np.cumsum([0, *[len(t) + 1 for t in texts]])
     good = many > 0
-    bad = ~(ta.exact & tb.exact)[code] if len(code) else np.empty(0, bool)
-    good[np.repeat(np.arange(len(texts)), many)[bad]] = False
-    for t in (ta, tb):
+    good[np.repeat(np.arange(len(texts)), many)[~units.exact[code]]] = False
+    sides = tuple(Tokens(units, k, code, many) for k in range(2))
+    for t in sides:
         t.keep(good)
-        t.move(np.r_[0, base])
-    return ta, tb
+        t.move(base)
+    return sides
 
 
 def overlaps(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
@@ -184,10 +231,11 @@ def _digests(a: Tokens, b: Tokens, ends_a: np.ndarray, ends_b: np.ndarray, n_doc
 
 
 @lru_cache(maxsize=1)
-def _sides(definition: str, model: bytes) -> tuple[Side, Side, tuple[list[str], list[str], list[str]]]:
-    a, b = byte_side(definition), piece_side(model)
-    ids = [str(i) for i in range(max(len(a.length), len(b.length)))]
-    return a, b, tuple([i + s for i in ids] for s in ",|;")
+def _worker(definition: str, model: bytes) -> tuple[Units, tuple[list[str], list[str], list[str]]]:
+    """The tokenizers of a worker and all ids as text, with their separators."""
+    sides = byte_side(definition), piece_side(model)
+    ids = [str(i) for i in range(max(len(s.length) for s in sides))]
+    return Units(sides), tuple([i + s for i in ids] for s in ",|;")
 
 
 _DOCS = ("block bigint, part int, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, "
@@ -197,12 +245,12 @@ _SCHEMA = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("doc_id", pa.
                      ("links", pa.binary()), ("pairs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
 
 
-def _align(batch: pa.RecordBatch, sides) -> Iterator[pa.RecordBatch]:
+def _align(batch: pa.RecordBatch, worker) -> Iterator[pa.RecordBatch]:
     """The rows of one block: its distinct id pairs (part 0), then its documents
     (part 1) with their links as numbers of those pairs."""
-    a, b, words = sides
+    units, words = worker
     n = batch.num_rows
-    ta, tb = encode_both(texts_of(batch, "text"), a, b)
+    ta, tb = encode_both(texts_of(batch, "text"), units)
     x, y = overlaps(ta, tb)
     close = ta.end[x] == tb.end[y]
     x, y = x[close], y[close]
@@ -232,10 +280,10 @@ def aligned(docs: DataFrame, byte_file: str, piece_file: str, block_bytes: int =
     shared = docs.sparkSession.sparkContext.broadcast((definition, model))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = None
+        worker = None
         for batch in slices(batches, "text", block_bytes):
-            sides = sides or _sides(*shared.value)
-            yield from _align(batch, sides)
+            worker = worker or _worker(*shared.value)
+            yield from _align(batch, worker)
 
     slim = with_types(docs.select(F.monotonically_increasing_id().alias("block"), "doc_id", "text"),
                       doc_id="bigint", text="string")
