@@ -26,21 +26,55 @@ def r_ifelse(cond: Column, yes, no) -> Column:
     return F.when(cond, yes_c).when(~cond, no_c)
 
 
-# sum(x, na.rm=TRUE); all-NA group gives 0
-def sum_skip(x: ColLike) -> Column:
-    return F.coalesce(F.sum(_c(x)), F.lit(0))
+# one billionth: the unit in which real-valued columns are added up
+_UNIT = 1e9
+
+
+def _fixed(x: Column) -> Column:
+    """A finite double as a whole number of billionths (decimal, so sums can't
+    overflow); values from 9e9 on, beyond a long in that unit, are cast."""
+    scaled = x * F.lit(_UNIT)
+    return F.when(F.abs(x) < F.lit(9e9), F.floor(scaled + F.lit(0.5)).cast("decimal(38,0)")) \
+        .otherwise(F.round(scaled).try_cast("decimal(38,0)"))
+
+
+def exact_sum(x: ColLike) -> Column:
+    """Sum of a real-valued column that does not depend on the order of rows.
+
+    Double additions round, so their total changes with partitioning and
+    retries.  Here every value becomes a whole number of billionths, these are
+    added as decimals (exactly) and the total is divided once.  Infinite and
+    NaN values give infinity or NaN, as in a plain sum; nulls are skipped and
+    a group without values gives null.
+    """
+    c = _c(x).cast("double")
+    finite = F.abs(c) < F.lit(float("inf"))
+    total = F.sum(F.when(finite, _fixed(c))).cast("double") / F.lit(_UNIT)
+    return F.coalesce(F.sum(F.when(~finite, c)), total)
+
+
+def exact_mean(x: ColLike) -> Column:
+    """Mean of a real-valued column by ``exact_sum``; null for no values."""
+    c = _c(x)
+    return F.try_divide(exact_sum(c), F.count(c))
+
+
+# sum(x, na.rm=TRUE); all-NA group gives 0.  ``real`` for real-valued
+# columns (whole numbers add exactly anyway)
+def sum_skip(x: ColLike, real: bool = False) -> Column:
+    return F.coalesce(exact_sum(x), F.lit(0.0)) if real else F.coalesce(F.sum(_c(x)), F.lit(0))
 
 
 # sum(x) without na.rm; any NA gives NA
-def sum_strict(x: ColLike) -> Column:
+def sum_strict(x: ColLike, real: bool = False) -> Column:
     c = _c(x)
-    return F.when(F.count(c) == F.count(F.lit(1)), F.sum(c))
+    return F.when(F.count(c) == F.count(F.lit(1)), exact_sum(c) if real else F.sum(c))
 
 
 # mean(x, na.rm=TRUE); NaN is dropped like NA, all-missing stays null
 def mean_skip(x: ColLike) -> Column:
     c = _c(x)
-    return F.avg(F.when(~F.isnan(c), c))
+    return exact_mean(F.when(~F.isnan(c), c))
 
 
 # pmin(a, b) is NA if either is NA
@@ -99,7 +133,7 @@ def weighted_mean(n: ColLike, x: ColLike, strict: bool = True) -> Column:
     """
     n, x = _c(n), _c(x)
     prod = n * x
-    num = sum_strict(prod) if strict else sum_skip(prod)
+    num = sum_strict(prod, real=True) if strict else sum_skip(prod, real=True)
     return F.try_divide(num, F.sum(n))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plume.functions.rsem import null_share
+from plume.functions.rsem import exact_mean, null_share
 from plume.operators.shape import union_all
 
 
@@ -56,7 +56,7 @@ def column_profile(df: DataFrame, cols: list[str]) -> DataFrame:
 
     long = unpivot_long(df, [], cols, "column", "value", cast="double")
     stats = long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.avg("value").alias("mean"),
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), exact_mean("value").alias("mean"),
         F.max("value").alias("max"), F.sum(F.col("value").isNull().cast("long")).alias("nulls"),
         null_share("value").alias("null_share"))
     qs = quantiles(long, "value", [0.25, 0.5, 0.75], ["column"], names=["q1", "median", "q3"])

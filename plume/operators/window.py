@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plume.functions.rsem import exact_mean
+
 
 def _w(entity: list[str] | str, order: list[str] | str) -> Window:
     entity = [entity] if isinstance(entity, str) else list(entity)
@@ -104,7 +106,7 @@ def group_base_index(df: DataFrame, x_cols: list[str], group: list[str], t: str,
     Partitioned by the group, not by row order (K15); rows before the base
     period keep the base (the base period is the first one in the reference).
     """
-    means = df.groupBy(*group, t).agg(*[F.avg(F.col(c)).alias(c) for c in x_cols])
+    means = df.groupBy(*group, t).agg(*[exact_mean(c).alias(c) for c in x_cols])
     w = Window.partitionBy(*group)
     return means.withColumns({
         f"{c}{suffix}": F.try_divide(

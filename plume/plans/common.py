@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plume.functions.calendar import week_start
-from plume.functions.rsem import sum_skip
+from plume.functions.rsem import exact_mean, sum_skip
 
 # Fixed study window of the stand-in panel (2024 starts on a Monday)
 STUDY_START = "2024-01-01"
@@ -34,8 +34,8 @@ def user_daily(events: DataFrame) -> DataFrame:
     """Entity-day grain: the block-group -> county-day roll-up (A1, A3, A5)."""
     return events.groupBy("user_id", F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).alias("n_events"),
-        sum_skip("value").alias("total_value"),
-        F.avg("value").alias("mean_value"),
+        sum_skip("value", real=True).alias("total_value"),
+        exact_mean("value").alias("mean_value"),
         F.max(F.when(F.col("event_type") == "error", 1).otherwise(0)).alias("error_flag"),
     )
 
@@ -46,8 +46,8 @@ def user_weekly(daily: DataFrame) -> DataFrame:
     return daily.groupBy("user_id", week_start("day").alias("week_start")).agg(
         F.count(F.lit(1)).alias("n_days"),
         F.sum("n_events").alias("n_events"),
-        sum_skip("total_value").alias("total_value"),
-        F.avg("mean_value").alias("mean_daily_mean"),
+        sum_skip("total_value", real=True).alias("total_value"),
+        exact_mean("mean_value").alias("mean_daily_mean"),
     )
 
 

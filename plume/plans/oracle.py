@@ -2,6 +2,11 @@
 
 ``R6(x)`` = ``floor(x * 1e6 + 0.5) / 1e6``, the same arithmetic as
 ``plume.plans.common.r6``.
+
+Sums and means of double columns add whole billionths (``floor(x * 1e9 + 0.5)``
+as HUGEINT) and divide once at the end, as ``plume.functions.rsem.exact_sum``
+does: integers add up to the same total in any order and on any number of
+threads, so neither side depends on how its rows arrive.
 """
 
 from __future__ import annotations
@@ -11,17 +16,22 @@ def R6(x: str) -> str:
     return f"floor(({x}) * 1e6 + 0.5) / 1e6"
 
 
+def XA(x: str) -> str:
+    """Mean of a double column by the sum described above."""
+    return f"(CAST(sum(CAST(floor(({x}) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count({x}))"
+
+
 DAILY = """
   SELECT user_id, CAST(ts AS DATE) AS day, COUNT(*) AS n_events,
-         coalesce(sum(value), 0) AS total_value, avg(value) AS mean_value,
+         coalesce((CAST(sum(CAST(floor((value) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9), 0) AS total_value, (CAST(sum(CAST(floor((value) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(value)) AS mean_value,
          max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS error_flag
   FROM events GROUP BY 1, 2
 """
 
 WEEKLY = f"""
   SELECT user_id, CAST(date_trunc('week', day) AS DATE) AS week_start, COUNT(*) AS n_days,
-         CAST(sum(n_events) AS BIGINT) AS n_events, coalesce(sum(total_value), 0) AS total_value,
-         avg(mean_value) AS mean_daily_mean
+         CAST(sum(n_events) AS BIGINT) AS n_events, coalesce((CAST(sum(CAST(floor((total_value) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9), 0) AS total_value,
+         (CAST(sum(CAST(floor((mean_value) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(mean_value)) AS mean_daily_mean
   FROM ({DAILY}) d GROUP BY 1, 2
 """
 
@@ -92,7 +102,7 @@ DEVICE_ROWS = """
   WITH dv AS (
     SELECT lpad(CAST(user_id AS VARCHAR), 5, '0') AS county_fips, CAST(ts AS DATE) AS date,
            COUNT(*) AS devices, COUNT(CASE WHEN value < 10 THEN 1 END) AS home,
-           avg(value) AS mh, max(value) AS mn, COUNT(*) + 2 AS cand
+           (CAST(sum(CAST(floor((value) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(value)) AS mh, max(value) AS mn, COUNT(*) + 2 AS cand
     FROM events GROUP BY user_id, event_type, CAST(ts AS DATE)),
   cov AS (SELECT county_fips FROM dv GROUP BY 1 HAVING count(DISTINCT date) = 30),
   rw AS (SELECT dv.* FROM dv JOIN cov USING (county_fips) WHERE substr(county_fips, 1, 2) <> '02'),
@@ -105,10 +115,10 @@ DEVICE_ROWS = """
   daily AS (
     SELECT county_fips, date, CAST(coalesce(sum(devices), 0) AS BIGINT) AS device_count,
            CAST(coalesce(sum(home), 0) AS BIGINT) AS completely_home_device_count,
-           avg(sod) AS share_of_devices, avg(socd) AS share_of_candidate_devices,
-           avg(saa) AS share_adj_attrition,
-           CASE WHEN count(devices * mh) = count(*) THEN sum(devices * mh) END / nullif(sum(devices), 0) AS median_home_dwell_time,
-           CASE WHEN count(devices * mn) = count(*) THEN sum(devices * mn) END / nullif(sum(devices), 0) AS median_non_home_dwell_time
+           (CAST(sum(CAST(floor((sod) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(sod)) AS share_of_devices, (CAST(sum(CAST(floor((socd) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(socd)) AS share_of_candidate_devices,
+           (CAST(sum(CAST(floor((saa) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(saa)) AS share_adj_attrition,
+           CASE WHEN count(devices * mh) = count(*) THEN (CAST(sum(CAST(floor((devices * mh) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9) END / nullif(sum(devices), 0) AS median_home_dwell_time,
+           CASE WHEN count(devices * mn) = count(*) THEN (CAST(sum(CAST(floor((devices * mn) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9) END / nullif(sum(devices), 0) AS median_non_home_dwell_time
     FROM r3 GROUP BY 1, 2)
 """
 
@@ -180,7 +190,7 @@ NATION_CASES = """
   WITH k AS (SELECT n_nationkey, n_name, r_name,
                     lpad(CAST(n_regionkey AS VARCHAR), 2, '0') || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS fips
              FROM nation JOIN region ON n_regionkey = r_regionkey),
-  pn AS (SELECT c_nationkey, COUNT(*) AS nc, CAST(floor(sum(abs(c_acctbal))) AS BIGINT) AS pop,
+  pn AS (SELECT c_nationkey, COUNT(*) AS nc, CAST(floor((CAST(sum(CAST(floor((abs(c_acctbal)) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9)) AS BIGINT) AS pop,
                 {cells} FROM customer GROUP BY 1),
   nk AS (SELECT * FROM k LEFT JOIN pn ON n_nationkey = c_nationkey),
   dy AS (SELECT c_nationkey, CAST(o_orderdate AS DATE) AS date, COUNT(*) AS n,
@@ -236,17 +246,17 @@ def _panel_sql() -> str:
            1 - (CASE WHEN home + init - devices < 0 THEN 0 ELSE home + init - devices END) / nullif(init, 0) AS saa
          FROM rw LEFT JOIN ini USING (county_fips)),
   dd AS (SELECT county_fips, date, coalesce(sum(devices), 0) AS device_count,
-                coalesce(sum(home), 0) AS chdc, avg(sod) AS sod, avg(socd) AS socd, avg(saa) AS saa,
-                CASE WHEN count(devices * mh) = count(*) THEN sum(devices * mh) END / nullif(sum(devices), 0) AS mh,
-                CASE WHEN count(devices * mn) = count(*) THEN sum(devices * mn) END / nullif(sum(devices), 0) AS mn
+                coalesce(sum(home), 0) AS chdc, (CAST(sum(CAST(floor((sod) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(sod)) AS sod, (CAST(sum(CAST(floor((socd) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(socd)) AS socd, (CAST(sum(CAST(floor((saa) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(saa)) AS saa,
+                CASE WHEN count(devices * mh) = count(*) THEN (CAST(sum(CAST(floor((devices * mh) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9) END / nullif(sum(devices), 0) AS mh,
+                CASE WHEN count(devices * mn) = count(*) THEN (CAST(sum(CAST(floor((devices * mn) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9) END / nullif(sum(devices), 0) AS mn
          FROM r3 GROUP BY 1, 2),
   dist AS (SELECT county_fips, CAST(date_trunc('week', date) AS DATE) AS week_start_date,
                   coalesce(sum(device_count), 0) AS device_count,
                   coalesce(sum(chdc), 0) AS completely_home_device_count,
-                  avg(sod) AS share_of_devices, avg(socd) AS share_of_candidate_devices,
-                  avg(saa) AS share_adj_attrition,
-                  coalesce(sum(device_count * mh), 0) / nullif(sum(device_count), 0) AS median_home_dwell_time,
-                  coalesce(sum(device_count * mn), 0) / nullif(sum(device_count), 0) AS median_non_home_dwell_time
+                  (CAST(sum(CAST(floor((sod) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(sod)) AS share_of_devices, (CAST(sum(CAST(floor((socd) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(socd)) AS share_of_candidate_devices,
+                  (CAST(sum(CAST(floor((saa) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(saa)) AS share_adj_attrition,
+                  coalesce((CAST(sum(CAST(floor((device_count * mh) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9), 0) / nullif(sum(device_count), 0) AS median_home_dwell_time,
+                  coalesce((CAST(sum(CAST(floor((device_count * mn) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9), 0) / nullif(sum(device_count), 0) AS median_non_home_dwell_time
            FROM dd WHERE date <= DATE '1998-05-31' GROUP BY 1, 2
            HAVING CAST(date_trunc('week', date) AS DATE) >= DATE '1998-01-26'),
   pc AS (SELECT fips, n_name, r_name, CAST(COUNT(*) AS DOUBLE) AS population,
@@ -269,10 +279,10 @@ def _panel_sql() -> str:
   lw AS (SELECT k.fips, CAST(DATE '1998-01-26' + CAST(((datediff('day', DATE '1998-01-26', CAST(l_shipdate AS DATE)) % 126) + 126) % 126 AS INTEGER) AS DATE) AS day, l_discount, l_tax, l_quantity
          FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
          JOIN k ON c_nationkey = n_nationkey),
-  wd AS (SELECT fips, day, avg(l_discount) * 100 AS precip, min(l_tax) * 100 AS tmin,
+  wd AS (SELECT fips, day, (CAST(sum(CAST(floor((l_discount) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(l_discount)) * 100 AS precip, min(l_tax) * 100 AS tmin,
                 max(l_quantity) AS tmax FROM lw GROUP BY 1, 2),
   weather AS (SELECT fips AS county_fips, CAST(date_trunc('week', day) AS DATE) AS week_start_date,
-                     avg(precip) AS mean_precip, avg(tmin) AS mean_tmin, avg(tmax) AS mean_tmax
+                     (CAST(sum(CAST(floor((precip) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(precip)) AS mean_precip, (CAST(sum(CAST(floor((tmin) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(tmin)) AS mean_tmin, (CAST(sum(CAST(floor((tmax) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(tmax)) AS mean_tmax
               FROM wd WHERE CAST(date_trunc('week', day) AS DATE) >= DATE '1998-01-26' GROUP BY 1, 2),
   ou AS (SELECT k.fips, k.r_name, o_orderpriority, o_totalprice, CAST(DATE '1998-01-26' + CAST(((datediff('day', DATE '1998-01-26', CAST(o_orderdate AS DATE)) % 126) + 126) % 126 AS INTEGER) AS DATE) AS od
          FROM orders JOIN customer ON o_custkey = c_custkey JOIN k ON c_nationkey = n_nationkey),
@@ -292,7 +302,7 @@ def _panel_sql() -> str:
   ow AS (SELECT fips AS county_fips, state, county, CAST(date_trunc('week', date) AS DATE) AS week_start_date,
                 sum(sip) AS sip_days, CASE WHEN sum(sip) > 0 THEN 1 ELSE 0 END AS weekly_sipo_binary
          FROM ofl GROUP BY fips, state, county, date_trunc('week', date), ss, se, cs, ce),
-  pn AS (SELECT c_nationkey, COUNT(*) AS nc, CAST(floor(sum(abs(c_acctbal))) AS BIGINT) AS pop,
+  pn AS (SELECT c_nationkey, COUNT(*) AS nc, CAST(floor((CAST(sum(CAST(floor((abs(c_acctbal)) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9)) AS BIGINT) AS pop,
                 {cells} FROM customer GROUP BY 1),
   nk AS (SELECT * FROM k LEFT JOIN pn ON n_nationkey = c_nationkey),
   dy AS (SELECT c_nationkey, CAST(o_orderdate AS DATE) AS date, COUNT(*) AS n,
@@ -384,7 +394,7 @@ def _profile_one(col: str) -> str:
     return f"""
   SELECT '{col}' AS "column", COUNT(*) AS n, {R6(f'min({col})')} AS min,
          {R6(f'quantile_cont({col}, 0.25)')} AS q1, {R6(f'quantile_cont({col}, 0.5)')} AS median,
-         {R6(f'avg({col})')} AS mean, {R6(f'quantile_cont({col}, 0.75)')} AS q3,
+         {R6(f'(CAST(sum(CAST(floor(({col}) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count({col}))')} AS mean, {R6(f'quantile_cont({col}, 0.75)')} AS q3,
          {R6(f'max({col})')} AS max, CAST(sum(CASE WHEN {col} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS nulls,
          {R6(f'avg(CASE WHEN {col} IS NULL THEN 1.0 ELSE 0.0 END)')} AS null_share
   FROM po"""
@@ -410,10 +420,10 @@ def oracle_sql() -> dict[str, str]:
     q["two_grain_counts"] = f"""
       WITH e AS (SELECT *, CAST(date_trunc('week', CAST(ts AS DATE)) AS DATE) AS week_start FROM events)
       SELECT user_id, event_type, week_start, COUNT(*) AS n_events,
-             {R6('coalesce(sum(value), 0)')} AS total_value FROM e GROUP BY 1, 2, 3
+             {R6('coalesce((CAST(sum(CAST(floor((value) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9), 0)')} AS total_value FROM e GROUP BY 1, 2, 3
       UNION ALL
       SELECT user_id, CAST(NULL AS VARCHAR), week_start, COUNT(*) AS n_events,
-             {R6('coalesce(sum(value), 0)')} AS total_value FROM e GROUP BY 1, 3"""
+             {R6('coalesce((CAST(sum(CAST(floor((value) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9), 0)')} AS total_value FROM e GROUP BY 1, 3"""
     q["weighted_mean_joinback"] = f"""
       WITH li AS (SELECT l_orderkey, l_quantity,
                          floor(l_quantity * l_discount * 100 + 0.5) AS cd,
@@ -426,23 +436,23 @@ def oracle_sql() -> dict[str, str]:
              {R6('CAST(coalesce(sum(ct), 0) AS DOUBLE) / nullif(sum(l_quantity) * 100, 0)')} AS wmean_tax_skip
       FROM li JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2"""
     q["mean_of_ratios_vs_ratio_of_sums"] = f"""
-      SELECT l_suppkey, {R6('avg(l_tax / nullif(l_discount, 0))')} AS mean_of_ratios,
-             {R6('sum(l_tax) / nullif(sum(l_discount), 0)')} AS ratio_of_sums,
+      SELECT l_suppkey, {R6('(CAST(sum(CAST(floor((l_tax / nullif(l_discount, 0)) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(l_tax / nullif(l_discount, 0)))')} AS mean_of_ratios,
+             {R6('(CAST(sum(CAST(floor((l_tax) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9) / nullif((CAST(sum(CAST(floor((l_discount) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9), 0)')} AS ratio_of_sums,
              {R6("sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) / nullif(sum(l_quantity), 0)")} AS share_returned
       FROM lineitem GROUP BY 1"""
     nv = "CASE WHEN event_type <> 'error' THEN value END"
     q["strict_sum_nulls"] = f"""
       SELECT user_id, CAST(ts AS DATE) AS day,
-             {R6(f'CASE WHEN count({nv}) = count(*) THEN sum({nv}) END')} AS strict_sum,
+             {R6(f'CASE WHEN count({nv}) = count(*) THEN (CAST(sum(CAST(floor(({nv}) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9) END')} AS strict_sum,
              COUNT(*) - COUNT({nv}) AS n_missing
       FROM events GROUP BY 1, 2"""
     q["skip_sum_nulls"] = f"""
-      SELECT user_id, CAST(ts AS DATE) AS day, {R6(f'coalesce(sum({nv}), 0)')} AS skip_sum,
-             {R6(f'avg({nv})')} AS mean_skip
+      SELECT user_id, CAST(ts AS DATE) AS day, {R6(f'coalesce((CAST(sum(CAST(floor(({nv}) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9), 0)')} AS skip_sum,
+             {R6(f'(CAST(sum(CAST(floor(({nv}) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count({nv}))')} AS mean_skip
       FROM events GROUP BY 1, 2"""
     kk = "CASE WHEN event_type <> 'error' THEN event_type END"
     q["null_group"] = f"""
-      SELECT {kk} AS k, COUNT(*) AS n_events, {R6('coalesce(sum(value), 0)')} AS total_value
+      SELECT {kk} AS k, COUNT(*) AS n_events, {R6('coalesce((CAST(sum(CAST(floor((value) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9), 0)')} AS total_value
       FROM events GROUP BY 1"""
     q["null_safe_left_join"] = f"""
       WITH e AS (SELECT event_id, {kk} AS k FROM events),
@@ -469,7 +479,7 @@ def oracle_sql() -> dict[str, str]:
         f"CAST(count(*) FILTER (WHERE event_type = '{t}') AS BIGINT) AS n_{t}" for t in ets) + \
         " FROM events GROUP BY 1"
     q["unpivot_wide_to_long"] = f"""
-      WITH u AS (SELECT user_id, CAST(COUNT(*) AS DOUBLE) AS n_events, sum(value) AS total_value,
+      WITH u AS (SELECT user_id, CAST(COUNT(*) AS DOUBLE) AS n_events, (CAST(sum(CAST(floor((value) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9) AS total_value,
                         max(value) AS max_value FROM events GROUP BY 1)
       SELECT user_id, 'n_events' AS measure, {R6('n_events')} AS value FROM u
       UNION ALL SELECT user_id, 'total_value', {R6('total_value')} FROM u
@@ -505,7 +515,7 @@ def oracle_sql() -> dict[str, str]:
       SELECT c_custkey, c_nationkey, c_mktsegment, {R6('c_acctbal')} AS c_acctbal FROM customer
       WHERE NOT (c_nationkey = 3 AND c_mktsegment = 'BUILDING')
       UNION ALL
-      SELECT -1, 3, 'BUILDING', {R6('sum(c_acctbal)')} FROM customer
+      SELECT -1, 3, 'BUILDING', {R6('(CAST(sum(CAST(floor((c_acctbal) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9)')} FROM customer
       WHERE c_nationkey = 3 AND c_mktsegment = 'BUILDING'
       HAVING count(*) > 0"""
     q["policy_interval_flag"] = POLICY_DAILY
@@ -516,7 +526,7 @@ def oracle_sql() -> dict[str, str]:
       FROM ({POLICY_DAILY}) p GROUP BY 1, 2"""
     q["star_left_chain"] = f"""
       WITH li AS (SELECT l_orderkey, COUNT(*) AS n_lines,
-                         sum(l_extendedprice * (1 - l_discount)) AS revenue
+                         (CAST(sum(CAST(floor((l_extendedprice * (1 - l_discount)) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9) AS revenue
                   FROM lineitem GROUP BY 1)
       SELECT o.o_orderkey, c.c_name AS customer_name, n.n_name AS nation, r.r_name AS region,
              CAST(o.o_orderdate AS DATE) AS order_date, CAST(coalesce(li.n_lines, 0) AS BIGINT) AS n_lines,
@@ -632,7 +642,7 @@ def oracle_sql() -> dict[str, str]:
       WITH med AS (SELECT quantile_cont(c_acctbal, 0.5) AS m FROM customer),
       cs AS (SELECT c_custkey, CAST(CASE WHEN c_acctbal > m THEN 1 ELSE 0 END AS BIGINT) AS above_median
              FROM customer, med),
-      g AS (SELECT above_median, CAST(year(o_orderdate) AS BIGINT) AS order_year, avg(o_totalprice) AS mt
+      g AS (SELECT above_median, CAST(year(o_orderdate) AS BIGINT) AS order_year, (CAST(sum(CAST(floor((o_totalprice) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(o_totalprice)) AS mt
             FROM orders JOIN cs ON o_custkey = c_custkey GROUP BY 1, 2)
       SELECT above_median, order_year, {R6('mt')} AS mean_total,
         {R6('mt / nullif(max(CASE WHEN order_year = 1995 THEN mt END) OVER (PARTITION BY above_median), 0)')} AS mean_total_index
@@ -646,7 +656,7 @@ def oracle_sql() -> dict[str, str]:
               1 - (CASE WHEN home + init - devices < 0 THEN 0 ELSE home + init - devices END) / nullif(init, 0) AS sa,
               1 - home / nullif(devices, 0) AS sd
             FROM r LEFT JOIN i USING (user_id))
-      SELECT user_id, day, {R6('avg(sa)')} AS share_adj_attrition, {R6('avg(sd)')} AS share_of_devices,
+      SELECT user_id, day, {R6('(CAST(sum(CAST(floor((sa) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(sa))')} AS share_adj_attrition, {R6('(CAST(sum(CAST(floor((sd) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(sd))')} AS share_of_devices,
              CAST(sum(devices) - sum(home) AS BIGINT) AS devices_leaving_home
       FROM x GROUP BY 1, 2"""
     po = ("WITH po AS (SELECT o_totalprice, CAST(o_custkey AS DOUBLE) AS o_custkey, "
@@ -654,10 +664,10 @@ def oracle_sql() -> dict[str, str]:
     q["column_profile"] = po + " UNION ALL ".join(
         _profile_one(c) for c in ["o_totalprice", "o_custkey", "open_price"])
     q["log_transforms"] = f"""
-      SELECT o_custkey, COUNT(*) AS n_orders, {R6('avg(o_totalprice)')} AS mean_total,
-             {R6('ln(1 + avg(o_totalprice))')} AS log_mean_total,
-             {R6('avg(ln(1 + o_totalprice))')} AS mean_log_total,
-             {R6('exp(avg(ln(1 + o_totalprice))) - 1')} AS geo_mean_total
+      SELECT o_custkey, COUNT(*) AS n_orders, {R6('(CAST(sum(CAST(floor((o_totalprice) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(o_totalprice))')} AS mean_total,
+             {R6('ln(1 + (CAST(sum(CAST(floor((o_totalprice) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(o_totalprice)))')} AS log_mean_total,
+             {R6('(CAST(sum(CAST(floor((ln(1 + o_totalprice)) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(ln(1 + o_totalprice)))')} AS mean_log_total,
+             {R6('exp((CAST(sum(CAST(floor((ln(1 + o_totalprice)) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(ln(1 + o_totalprice)))) - 1')} AS geo_mean_total
       FROM orders GROUP BY 1"""
     q["ols_pooled"] = f"""
       SELECT 'with_intercept' AS model, '(Intercept)' AS term,
@@ -720,11 +730,11 @@ def oracle_sql() -> dict[str, str]:
     SELECT county_fips, CAST(date_trunc('week', date) AS DATE) AS week_start_date,
            CAST(coalesce(sum(device_count), 0) AS BIGINT) AS device_count,
            CAST(coalesce(sum(completely_home_device_count), 0) AS BIGINT) AS completely_home_device_count,
-           avg(share_of_devices) AS share_of_devices,
-           avg(share_of_candidate_devices) AS share_of_candidate_devices,
-           avg(share_adj_attrition) AS share_adj_attrition,
-           coalesce(sum(device_count * median_home_dwell_time), 0) / nullif(sum(device_count), 0) AS median_home_dwell_time,
-           coalesce(sum(device_count * median_non_home_dwell_time), 0) / nullif(sum(device_count), 0) AS median_non_home_dwell_time
+           (CAST(sum(CAST(floor((share_of_devices) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(share_of_devices)) AS share_of_devices,
+           (CAST(sum(CAST(floor((share_of_candidate_devices) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(share_of_candidate_devices)) AS share_of_candidate_devices,
+           (CAST(sum(CAST(floor((share_adj_attrition) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(share_adj_attrition)) AS share_adj_attrition,
+           coalesce((CAST(sum(CAST(floor((device_count * median_home_dwell_time) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9), 0) / nullif(sum(device_count), 0) AS median_home_dwell_time,
+           coalesce((CAST(sum(CAST(floor((device_count * median_non_home_dwell_time) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9), 0) / nullif(sum(device_count), 0) AS median_non_home_dwell_time
     FROM daily WHERE date <= DATE '2024-01-30' GROUP BY 1, 2)
 """ + _dist_out("week_start_date") + " FROM wk WHERE week_start_date >= DATE '2024-01-01'"
     q["poi_weekly_build"] = PLACE_WEEKS + """
@@ -803,14 +813,14 @@ def oracle_sql() -> dict[str, str]:
       WITH dv AS (
         SELECT lpad(CAST(user_id AS VARCHAR), 5, '0') AS county_fips, CAST(ts AS DATE) AS date,
                COUNT(*) AS devices, COUNT(CASE WHEN value < 10 THEN 1 END) AS home,
-               avg(value) AS mh, max(value) AS mn, COUNT(*) + 2 AS cand
+               (CAST(sum(CAST(floor((value) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(value)) AS mh, max(value) AS mn, COUNT(*) + 2 AS cand
         FROM events GROUP BY user_id, event_type, CAST(ts AS DATE))
       SELECT county_fips, date, CAST(coalesce(sum(devices), 0) AS BIGINT) AS device_count,
              CAST(coalesce(sum(home), 0) AS BIGINT) AS completely_home_device_count,
-             {R6('avg(1 - home / nullif(devices, 0))')} AS share_of_devices,
-             {R6('avg(1 - home / nullif(cand, 0))')} AS share_of_candidate_devices,
-             {R6('CASE WHEN count(devices * mh) = count(*) THEN sum(devices * mh) END / nullif(sum(devices), 0)')} AS median_home_dwell_time,
-             {R6('CASE WHEN count(devices * mn) = count(*) THEN sum(devices * mn) END / nullif(sum(devices), 0)')} AS median_non_home_dwell_time
+             {R6('(CAST(sum(CAST(floor((1 - home / nullif(devices, 0)) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(1 - home / nullif(devices, 0)))')} AS share_of_devices,
+             {R6('(CAST(sum(CAST(floor((1 - home / nullif(cand, 0)) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9 / count(1 - home / nullif(cand, 0)))')} AS share_of_candidate_devices,
+             {R6('CASE WHEN count(devices * mh) = count(*) THEN (CAST(sum(CAST(floor((devices * mh) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9) END / nullif(sum(devices), 0)')} AS median_home_dwell_time,
+             {R6('CASE WHEN count(devices * mn) = count(*) THEN (CAST(sum(CAST(floor((devices * mn) * 1e9 + 5e-1) AS HUGEINT)) AS DOUBLE) / 1e9) END / nullif(sum(devices), 0)')} AS median_non_home_dwell_time
       FROM dv GROUP BY 1, 2"""
     poi_doubles = ["log_total_visits", "log_total_visitors", "share_visitors_same_cbg",
                    "share_visitors_diff_cbg"]
@@ -858,7 +868,7 @@ def oracle_sql() -> dict[str, str]:
     q["partisan_trends_report"] = f10 + """
   , med AS (SELECT quantile_cont(trump_vote_share, 0.5) AS m FROM f),
   g AS (SELECT CASE WHEN trump_vote_share > m THEN 1 WHEN trump_vote_share <= m THEN 0 END AS republican,
-               week_start_date, """ + ", ".join(f"avg({c}) AS {c}" for c in outs) + """
+               week_start_date, """ + ", ".join(f"{XA(c)} AS {c}" for c in outs) + """
         FROM f, med GROUP BY 1, 2)
   SELECT CAST(republican AS BIGINT) AS republican, week_start_date, """ + ", ".join(
         [f"{R6(c)} AS {c}" for c in outs] +

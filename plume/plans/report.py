@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plume.functions.rsem import sum_skip
 from plume.operators import rank, shape, window
 from plume.stats import event_study as es
 
@@ -84,8 +85,8 @@ def partisan_cases_long(panel: DataFrame) -> DataFrame:
         .when(F.col("trump_vote_share") <= F.lit(med), 0),
         "cases": F.expm1("log_cases"), "deaths": F.expm1("log_deaths")})
     g = x.groupBy("republican", "week_start_date").agg(
-        F.coalesce(F.sum("cases"), F.lit(0.0)).alias("total_cases"),
-        F.coalesce(F.sum("deaths"), F.lit(0.0)).alias("total_deaths"))
+        sum_skip("cases", real=True).alias("total_cases"),
+        sum_skip("deaths", real=True).alias("total_deaths"))
     return shape.unpivot_long(g, ["republican", "week_start_date"], ["total_cases", "total_deaths"],
                               "measure", "count")
 

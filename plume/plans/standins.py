@@ -67,8 +67,8 @@ def two_grain_counts(spark, d):
     ev = _events(spark, d).withColumn("week_start", cal.week_start(F.to_date("ts")))
     out = agg.two_grain(
         ev, ["user_id", "week_start"], ["event_type"],
-        {"n_events": F.count(F.lit(1)), "total_value": rsem.sum_skip("value")},
-        {"n_events": F.sum("n_events"), "total_value": F.sum("total_value")})
+        {"n_events": F.count(F.lit(1)), "total_value": rsem.sum_skip("value", real=True)},
+        {"n_events": F.sum("n_events"), "total_value": rsem.exact_sum("total_value")})
     return out.select("user_id", "event_type", "week_start", F.col("n_events").cast("long"),
                       r6("total_value").alias("total_value"))
 
@@ -117,8 +117,8 @@ def weighted_mean_joinback(spark, d):
 def mean_of_ratios_vs_ratio_of_sums(spark, d):
     li = table(spark, d, "lineitem")
     return li.groupBy("l_suppkey").agg(
-        r6(F.avg(rsem.safe_div("l_tax", "l_discount"))).alias("mean_of_ratios"),
-        r6(rsem.safe_div(F.sum("l_tax"), F.sum("l_discount"))).alias("ratio_of_sums"),
+        r6(rsem.exact_mean(rsem.safe_div("l_tax", "l_discount"))).alias("mean_of_ratios"),
+        r6(rsem.safe_div(rsem.exact_sum("l_tax"), rsem.exact_sum("l_discount"))).alias("ratio_of_sums"),
         r6(rsem.safe_div(F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))
                                .otherwise(0.0)), F.sum("l_quantity"))).alias("share_returned"))
 
@@ -130,14 +130,14 @@ def _nullable_value():
 def strict_sum_nulls(spark, d):
     ev = _events(spark, d).withColumn("v", _nullable_value())
     return ev.groupBy("user_id", F.to_date("ts").alias("day")).agg(
-        r6(rsem.sum_strict("v")).alias("strict_sum"),
+        r6(rsem.sum_strict("v", real=True)).alias("strict_sum"),
         (F.count(F.lit(1)) - F.count("v")).alias("n_missing"))
 
 
 def skip_sum_nulls(spark, d):
     ev = _events(spark, d).withColumn("v", _nullable_value())
     return ev.groupBy("user_id", F.to_date("ts").alias("day")).agg(
-        r6(rsem.sum_skip("v")).alias("skip_sum"),
+        r6(rsem.sum_skip("v", real=True)).alias("skip_sum"),
         r6(rsem.mean_skip("v")).alias("mean_skip"))
 
 
@@ -145,7 +145,7 @@ def null_group(spark, d):
     ev = _events(spark, d).withColumn("k", F.when(F.col("event_type") != "error",
                                                   F.col("event_type")))
     return ev.groupBy("k").agg(F.count(F.lit(1)).alias("n_events"),
-                               r6(rsem.sum_skip("value")).alias("total_value"))
+                               r6(rsem.sum_skip("value", real=True)).alias("total_value"))
 
 
 def null_safe_left_join(spark, d):
@@ -200,7 +200,7 @@ def pivot_long_to_wide(spark, d):
 
 def unpivot_wide_to_long(spark, d):
     per_user = _events(spark, d).groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value"),
+        F.count(F.lit(1)).alias("n_events"), rsem.exact_sum("value").alias("total_value"),
         F.max("value").alias("max_value"))
     long = shape.unpivot_long(per_user, ["user_id"], ["n_events", "total_value", "max_value"],
                               "measure", "value")
@@ -264,7 +264,7 @@ def scalar_override(spark, d):
                                            "c_acctbal")
     part = (F.col("c_nationkey") == 3) & (F.col("c_mktsegment") == "BUILDING")
     merged = c.filter(part).groupBy("c_nationkey", "c_mktsegment").agg(
-        F.sum("c_acctbal").alias("c_acctbal")).withColumn("c_custkey", F.lit(-1).cast("long"))
+        rsem.exact_sum("c_acctbal").alias("c_acctbal")).withColumn("c_custkey", F.lit(-1).cast("long"))
     kept = c.filter(~part)
     out = shape.append_rows(kept, merged)
     return out.select("c_custkey", "c_nationkey", "c_mktsegment", r6("c_acctbal").alias("c_acctbal"))
@@ -310,7 +310,7 @@ def star_left_chain(spark, d, check_unique: bool = False):
     """Orders <- line totals <- customer <- nation <- region."""
     li = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")) \
+        rsem.exact_sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")) \
         .withColumnsRenamed({"l_orderkey": "o_orderkey"})
     orders = table(spark, d, "orders").drop("o_orderstatus", "o_orderpriority")
     cust = table(spark, d, "customer").select(
@@ -543,8 +543,8 @@ def column_profile(spark, d):
 def log_transforms(spark, d):
     o = table(spark, d, "orders")
     g = o.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n_orders"), F.avg("o_totalprice").alias("mean_total"),
-        F.avg(rsem.log1p("o_totalprice")).alias("mean_log_total"))
+        F.count(F.lit(1)).alias("n_orders"), rsem.exact_mean("o_totalprice").alias("mean_total"),
+        rsem.exact_mean(rsem.log1p("o_totalprice")).alias("mean_log_total"))
     return g.select("o_custkey", "n_orders", r6("mean_total").alias("mean_total"),
                     r6(rsem.log1p("mean_total")).alias("log_mean_total"),
                     r6("mean_log_total").alias("mean_log_total"),
@@ -701,7 +701,7 @@ def device_days(spark, d):
     g = ev.groupBy("user_id", _type_code().alias("bg"), F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).alias("device_count"),
         F.count(F.when(F.col("value") < 10, 1)).alias("completely_home_device_count"),
-        F.avg("value").alias("median_home_dwell_time"),
+        rsem.exact_mean("value").alias("median_home_dwell_time"),
         F.max("value").alias("median_non_home_dwell_time"))
     # numeric block-group ids lose their leading zeros, as when read by fread
     return g.select(
@@ -910,7 +910,7 @@ def nation_cases_inputs(spark, d) -> dict:
     keys = _nation_keys(spark, d)
     cust = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     per_n = cust.groupBy("c_nationkey").agg(
-        F.count(F.lit(1)).alias("nc"), F.floor(F.sum(F.abs("c_acctbal"))).cast("long").alias("pop"),
+        F.count(F.lit(1)).alias("nc"), F.floor(rsem.exact_sum(F.abs("c_acctbal"))).cast("long").alias("pop"),
         *[F.count(F.when(F.floor((F.col("c_acctbal") - 5000) / 417.0) == k - 1, 1)).alias(f"s{k}")
           for k in range(1, 13)])
     nk = keys.join(per_n, keys.n_nationkey == per_n.c_nationkey, "left")
@@ -1013,7 +1013,7 @@ def nation_world(spark, d) -> dict:
         cust.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey") \
         .join(keys, F.col("c_nationkey") == keys.n_nationkey)
     weather = lw.groupBy("fips", "day").agg(
-        (F.avg("l_discount") * 100).alias("precip"), (F.min("l_tax") * 100).alias("tmin"),
+        (rsem.exact_mean("l_discount") * 100).alias("precip"), (F.min("l_tax") * 100).alias("tmin"),
         F.max("l_quantity").alias("tmax")).select(
         F.col("fips").cast("int").cast("string").alias("county"),
         F.col("day").cast("string").alias("date"), "precip", "tmin", "tmax")
