@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 every stage's result as Parquet to the shared folder and reads it back as the
 next stage's input.
+
+Edge cases: null and empty texts are scored like any other, are near-duplicates
+of each other, and where they stay are mixed with size 0 and encoded to no
+pieces; a null doc_id never names a component but its row can stay; of rows
+alike in all columns the near-duplicate stage keeps one; rows with one id and
+unlike texts are separate documents throughout; an empty table passes every
+stage; extra columns are kept up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -48,13 +55,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The copies of documents the mix takes, in training order."""
+    """The copies of documents the mix takes, in training order, which the
+    column ``mix_position`` keeps."""
     return mixing.mix_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled pieces of every copy."""
-    return piece_sampling.encode(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
+    """Sampled pieces of every copy, each decoded again, with its training
+    position where the mix gave one."""
+    keep = tuple(c for c in docs.columns if c.startswith("mix_position"))
+    return piece_sampling.encode(docs, f"{TOKENIZERS}/piece_bpe_32k.model", keep=keep)
 
 
 STAGES = [
