@@ -223,7 +223,37 @@ def spanning_links(shard: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> t
         tree.remove(np.flatnonzero(gone))
         queue = np.sort(np.r_[queue[~done[queue]], np.flatnonzero(mine & ~done)])
         at_once = min(2 * at_once, 1 << 16) if len(n) <= 4 * len(row) and not later.any() else _AT_ONCE
-    return order[np.concatenate(out_a)], order[np.concatenate(out_b)]
+    a, b = np.concatenate(out_a), np.concatenate(out_b)
+    keep = spanning_forest(n_rows, a, b)
+    return order[a[keep]], order[b[keep]]
+
+
+def spanning_forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers of links that join the same rows without a cycle: each group
+    takes its first link to another group, round by round."""
+    group, kept = np.arange(n), [np.empty(0, np.int64)]
+    open_ = np.arange(len(a))
+    while True:
+        x, y = group[a[open_]], group[b[open_]]
+        open_, x, y = open_[x != y], x[x != y], y[x != y]
+        if not len(open_):
+            return np.sort(np.concatenate(kept))
+        first = np.full(n, len(a), np.int64)
+        np.minimum.at(first, x, open_)
+        np.minimum.at(first, y, open_)
+        took = np.unique(first[first < len(a)])
+        kept.append(took)
+        # a group points at the other end of its link; the smaller of two that
+        # chose each other is the root
+        up = np.arange(n)
+        has = np.flatnonzero(first < len(a))
+        ends = group[a[first[has]]], group[b[first[has]]]
+        up[has] = np.where(ends[0] == has, ends[1], ends[0])
+        mutual = (up[up] == np.arange(n)) & (np.arange(n) < up)
+        up[mutual] = np.flatnonzero(mutual)
+        while (up[up] != up).any():
+            up = up[up]
+        group = up[group]
 
 
 def _shard_links(batches: Iterator[pa.RecordBatch], radius: int, at_least: int) -> Iterator[pa.RecordBatch]:
