@@ -44,8 +44,8 @@ def columns_of(row: str, names: list[str]) -> list[Column]:
 
 def with_types(df: DataFrame, **types: str) -> DataFrame:
     """Cast the named columns, so batches have one known Arrow type."""
-    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c)
-                       for c in df.columns])
+    quoted = {c: F.col("`" + c.replace("`", "``") + "`") for c in df.columns}
+    return df.select(*[col.cast(types[c]).alias(c) if c in types else col.alias(c) for c, col in quoted.items()])
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str,

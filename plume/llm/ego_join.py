@@ -131,13 +131,13 @@ _BLOCK = pa.schema([("dim", pa.int32()), ("nodes", pa.binary()), ("weights", pa.
 def interval_pairs(boxes: DataFrame, n_blocks: int, eps: float) -> DataFrame:
     """(a, b), a <= b: pairs of blocks that boxes cannot prove distant.
 
-    ``boxes``: seq (0..n_blocks-1), dim, low, high.  Intervals are refined from
+    ``boxes``: seq (0..n_blocks-1), dim, low, high (of ``LEAD`` axes or fewer).  Intervals are refined from
     the root; only children of surviving pairs are ever looked at.
     """
     sides = [f"lo{k}" for k in range(LEAD)] + [f"hi{k}" for k in range(LEAD)]
     level = boxes.select(F.col("seq").alias("at"), F.col("dim").alias("dlo"), F.col("dim").alias("dhi"),
-                         *[F.col("low")[k].alias(f"lo{k}") for k in range(LEAD)],
-                         *[F.col("high")[k].alias(f"hi{k}") for k in range(LEAD)])
+                         *[F.get("low", F.lit(k)).alias(f"lo{k}") for k in range(LEAD)],
+                         *[F.get("high", F.lit(k)).alias(f"hi{k}") for k in range(LEAD)])
     levels, n = [level], n_blocks
     while n > 1:
         n = -(-n // FAN)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plume.llm.common import ints_of, slices, splitmix, texts_of, with_types
+from plume.llm.common import columns_of, ints_of, slices, splitmix, texts_of, with_types
 from plume.llm.trie import ByteTrie
 
 SPACE = "▁"
@@ -219,11 +219,12 @@ def encode(docs: DataFrame, model_path: str, seed: int = 0, sharpness: float = 1
     every row.  Each batch's ids are decoded again: ``lossless`` says whether
     they gave back the text, byte for byte."""
     shared = _shared(docs.sparkSession, model_path)
-    slim = with_types(docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), *keep),
-                      _id="bigint", _text="string")
-    fields = T.StructType().add("doc_id", T.LongType()).add("n_pieces", T.LongType()) \
-        .add("ids", T.ArrayType(T.IntegerType())).add("lossless", T.BooleanType())
-    schema = T.StructType([*fields, *slim.drop("_id", "_text").schema])
+    kept = docs.select(*keep)
+    slim = with_types(docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"),
+                                  F.struct(F.lit(0), *keep).alias("_kept")), _id="bigint", _text="string")
+    schema = T.StructType().add("doc_id", T.LongType()).add("n_pieces", T.LongType()) \
+        .add("ids", T.ArrayType(T.IntegerType())).add("lossless", T.BooleanType()) \
+        .add("_kept", slim.schema["_kept"].dataType)
     names = schema.names
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,9 +236,9 @@ def encode(docs: DataFrame, model_path: str, seed: int = 0, sharpness: float = 1
             offsets = pa.array(np.r_[0, np.cumsum(many)], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(many), pa.ListArray.from_arrays(offsets, pa.array(ids)),
-                 pa.array(same, pa.bool_()), *b.columns[2:]], names)
+                 pa.array(same, pa.bool_()), b.column(2)], names)
 
-    return slim.mapInArrow(rows, schema)
+    return slim.mapInArrow(rows, schema).select(*names[:4], *columns_of("_kept", kept.columns))
 
 
 def decode(encoded: DataFrame, model_path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -79,6 +79,43 @@ def test_distant_blocks_are_skipped(spark):
     assert len(ego_join.interval_pairs(boxes, 20, 10.0).collect()) == 39
 
 
+def test_given_vectors_are_hardly_compared_whole(spark):
+    rows = [v for _, v in _vectors(spark.read.parquet(f"{SF}/embeddings.parquet")) if _usable(v)]
+    x = np.unique(np.array(rows), axis=0)
+    u = ego_join.unit(x)
+    c = u - u.mean(0)
+    axes = {x.shape[1]: np.linalg.eigh(c.T @ c)[1][:, ::-1][:, :ego_join.LEAD]}
+    stats = {}
+    links, _ = ego_join.join_blocks(x, np.ones(len(x), np.int64), None, None, 0.9, axes, stats=stats)
+    near = u @ u.T >= 0.9
+    np.fill_diagonal(near, False)
+    assert (links == near.sum(1)).all()
+    assert stats["all"] == len(x) * (len(x) - 1) // 2 and stats["whole"] < 0.05 * stats["all"]
+
+
+@pytest.mark.parametrize("leaf", [1, 3, 64])
+def test_leaves_of_any_size_lose_no_link(leaf):
+    rng = np.random.default_rng(leaf)
+    c = rng.normal(size=(5, 8))
+    x = np.concatenate([c[rng.integers(0, 5, 90)] + 0.2 * rng.normal(size=(90, 8)), rng.normal(size=(40, 8))])
+    w = rng.integers(1, 4, len(x))
+    u = ego_join.unit(x)
+    near = u @ u.T >= 0.9
+    np.fill_diagonal(near, False)
+    for cut in (len(x), 50, 1):
+        a, b = x[:cut], x[cut:]
+        links, parent = ego_join.join_blocks(a, w[:cut], b if len(b) else None, w[cut:] if len(b) else None,
+                                             0.9, {}, leaf=leaf)
+        want = near.copy()
+        if len(b):
+            want[:cut, :cut] = want[cut:, cut:] = False
+        assert (links == want @ w).all()
+        root = np.arange(len(x))
+        for _ in x:
+            root = np.minimum(root, np.where(want, root[None, :], len(x)).min(1))
+        assert (parent == root).all()
+
+
 def _brute_nearest(rows, k=10):
     good = [(i, np.array(v)) for i, v in rows if i is not None and _usable(v)]
     out = {}
@@ -115,6 +152,31 @@ def test_many_shards_and_a_hot_vector(spark):
     assert sorted(r["rank"] for r in got) == sorted(list(range(1, 11)) * len(want))
 
 
+def test_a_query_id_with_two_vectors_is_answered_for_each(spark):
+    rows = [(100, [0.0, 1.0]), (100, [1.0, 0.0]), (100, [1.0, 0.0])] + [(i, [float(i), 1.0]) for i in range(1, 8)]
+    df = spark.createDataFrame(rows, "vec_id int, embedding array<double>")
+    by = {}
+    for r in hnsw.nearest(df, F.col("vec_id") % 100 == 0).orderBy("rank").collect():
+        by.setdefault(r["query_key"], []).append((r["rank"], r["vec_id"]))
+    assert sorted(by.values()) == [[(k, k) for k in range(1, 8)]] * 2
+
+
+@pytest.mark.parametrize("n", [1, 2, 40, 3000])
+def test_every_node_can_be_reached(n):
+    rng = np.random.default_rng(n)
+    x = np.repeat(rng.normal(size=(20, 24)), -(-n // 20), 0)[:n] + 0.01 * rng.normal(size=(n, 24))
+    x = x[rng.permutation(n)]
+    for nodes, near in hnsw.build_graph(x):
+        row = {v: i for i, v in enumerate(nodes.tolist())}
+        seen, todo = {int(nodes[-1])}, [int(nodes[-1])]
+        while todo:
+            for v in near[row[todo.pop()]].tolist():
+                if v >= 0 and v not in seen:
+                    seen.add(v)
+                    todo.append(v)
+        assert len(seen) == len(nodes)
+
+
 def test_nearest_of_edge_rows(spark):
     df = spark.createDataFrame([(i, v, 1, 1) for i, v in EDGE if i != 2] + [(2, [1.0, 0.0], 1, 1)],
                                "vec_id int, embedding array<double>, vec int, shard int")

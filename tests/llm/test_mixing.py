@@ -76,11 +76,41 @@ def test_edge_tables(spark, edge_docs, no_docs, clashing):
     assert got == _oracle(edge_docs.toPandas().astype({"doc_id": "Int64", "n_chars": "Int64"}))
     assert mixing.mix(no_docs).count() == 0
     copies = mixing.mix_documents(clashing)
-    assert copies.columns == clashing.columns
-    assert set(copies.collect()) <= set(clashing.collect())
+    assert copies.columns == [*clashing.columns, "mix_position"]
+    assert set(copies.drop("mix_position").collect()) <= set(clashing.collect())
+    assert mixing.mix_documents(copies).columns == [*copies.columns, "mix_position_"]
     assert mixing.mix_documents(no_docs).count() == 0
 
 
+def test_reruns_take_the_same_texts_whatever_the_partitions(spark):
+    """One id and equal sizes: only the texts can tell the rows apart."""
+    rows = [(7, f"word{i} and two more", "en", "ab"[i % 2], i) for i in range(40)] + [(7, "same text here too", "en", "a", 1)] * 5
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = [[(r["text"], r["source"], r["mix_position"]) for r in
+              mixing.mix_documents(d, per_range=p).orderBy("mix_position", "text", "source").collect()]
+             for d, p in ((docs.repartition(1), 5_000), (docs.repartition(5), 5_000), (docs.repartition(3, "n_chars"), 4))]
+    assert found[0] == found[1] == found[2] and 0 < len(found[0]) < 2 * len(rows)
+
+
+def test_position_orders_the_mix_after_storage(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    mixed = mixing.mix_documents(docs)
+    want = [r["mix_position"] for r in mixed.collect()]
+    assert want == sorted(want) and all(0 <= p <= 1 for p in want)
+    mixed.write.parquet(str(tmp_path / "mix"))
+    back = spark.read.parquet(str(tmp_path / "mix")).orderBy("mix_position")
+    assert [r["mix_position"] for r in back.collect()] == want
+
+
+def test_a_hot_id_is_spread(spark):
+    rows = [(5, f"word{i}", "en", "a", i) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    laid = mixing._laid_out(docs, 2.0, 1.5, 100)
+    assert laid.groupBy("_slice").count().agg({"count": "max"}).first()[0] < 600
+    starts = sorted(r["_start"] for r in laid.collect())
+    assert starts == list(range(3000))
+
+
 def test_copies_come_near_the_targets(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     sizes = {r["doc_id"]: (r["source"], r["size"], r["target"]) for r in

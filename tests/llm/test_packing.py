@@ -48,18 +48,15 @@ def _check(df, docs, length):
         assert (ids[cu[-1]:] == 50256).all()
         for k, (a, b) in enumerate(zip(cu, cu[1:])):
             assert b > a and pos[a:b].tolist() == list(range(b - a))
-            segs.setdefault(r["doc_ids"][k], []).append((r["doc_offsets"][k], ids[a:b].tolist()))
+            segs.setdefault((r["row_keys"][k], r["doc_ids"][k]), []).append((r["doc_offsets"][k], ids[a:b].tolist()))
+    assert len({k for k, _ in segs}) == len(segs)
     out = Counter()
-    for d, parts in segs.items():
-        texts = []
+    for (_, d), parts in segs.items():
+        text = []
         for o, ids in sorted(parts):
-            if o == 0:
-                texts.append([])
-            if len(parts) == len({x for x, _ in parts}):
-                assert o == len(texts[-1])
-            texts[-1] += ids
-        for t in texts:
-            out[(d, ENC.decode(t))] += 1
+            assert o == len(text)
+            text += ids
+        out[(d, ENC.decode(text))] += 1
     assert out == Counter((d, t) for d, t in docs if t)
 
 
@@ -73,8 +70,10 @@ def test_query_is_lossless(spark):
 
 
 def test_edge_tables(spark, edge_docs, no_docs, clashing):
-    docs = [(r["doc_id"], r["text"]) for r in edge_docs.collect() if r["doc_id"] != 2]
-    _check(pk.pack(clashing.filter("doc_id is null or doc_id != 2"), PATH, length=100), docs, 100)
+    docs = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
+    _check(pk.pack(clashing, PATH, length=100), docs, 100)
+    long = [(7, "a b c " * 400), (7, "d e f " * 400), (None, "g h i " * 400), (None, "j k l " * 400), (7, "a b c " * 400)]
+    _check(pk.pack(spark.createDataFrame(long, "doc_id bigint, text string"), PATH, length=64), long, 64)
     assert pk.pack(no_docs, PATH).count() == 0
     segs = pk.unpack(pk.pack(clashing, PATH, length=100))
     assert segs.filter("length(ids) > 400 or length(ids) = 0").count() == 0

@@ -70,6 +70,7 @@ def test_query_round_trip(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
     back = ps.decode(enc, PATH)
     assert back.join(docs, (back.doc_id == docs.doc_id) & (back.text == docs.t)).count() == docs.count()
+    assert enc.filter("not lossless").count() == 0
     again = op3_sentencepiece(spark, SF).repartition(5)
     assert enc.exceptAll(again).count() == 0
 
@@ -78,6 +79,9 @@ def test_edge_tables(spark, edge_docs, no_docs, clashing):
     enc = ps.encode(clashing, PATH)
     rows = Counter((r["doc_id"], r["text"]) for r in ps.decode(enc, PATH).collect())
     assert rows == Counter((r["doc_id"], r["text"] or "") for r in edge_docs.collect())
-    assert enc.filter("n_pieces != size(ids)").count() == 0
+    assert enc.filter("n_pieces != size(ids) or not lossless").count() == 0
+    kept = ps.encode(clashing, PATH, keep=("source", "`a.b`"))
+    assert kept.columns == ["doc_id", "n_pieces", "ids", "lossless", "source", "a.b"]
+    assert kept.select("doc_id", "source").exceptAll(edge_docs.select("doc_id", "source")).count() == 0
     assert ps.encode(no_docs, PATH).count() == 0
     assert ps.decode(ps.encode(no_docs, PATH), PATH).count() == 0

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 import xxhash
@@ -71,6 +73,35 @@ def test_spanning_links_keep_components(seed):
         assert (got[at] == at[_components(fp[at], 4)]).all()
 
 
+@pytest.mark.parametrize("heavy", [0, 3, 64])
+def test_groups_grow_together_without_losing_links(heavy, monkeypatch):
+    monkeypatch.setattr(sh, "_HEAVY", heavy)
+    rng = np.random.default_rng(heavy)
+    for n in (1, 2, 60, 300):
+        base = rng.integers(0, 2 ** 63, 6, dtype=np.uint64)
+        fp = base[rng.integers(0, 6, n)]
+        for _ in range(4):
+            fp = fp ^ (np.uint64(1) << rng.integers(0, 16, n, dtype=np.uint64))
+        fp = np.unique(fp)
+        shard = np.zeros(len(fp), int)
+        a, b = sh.spanning_links(shard, fp, 4)
+        assert (np.bitwise_count(fp[a] ^ fp[b]) <= 4).all() and len(a) < len(fp)
+        root = np.arange(len(fp))
+        for _ in range(len(fp)):
+            np.minimum.at(root, a, root[b])
+            np.minimum.at(root, b, root[a])
+        assert (root == _components(fp, 4)).all()
+
+
+def test_many_small_groups_take_near_linear_time():
+    rng = np.random.default_rng(4)
+    f = rng.integers(0, 2 ** 43, 10_000, dtype=np.uint64)
+    fp = np.unique(np.r_[f, f ^ np.uint64(3)])
+    start = time.perf_counter()
+    a, _ = sh.spanning_links(np.zeros(len(fp), int), fp, 4)
+    assert len(a) >= 10_000 and time.perf_counter() - start < 60
+
+
 def test_blocks_cover_every_near_pair():
     masks = [m % 2 ** 64 for m in sh.block_masks(4)]
     rng = np.random.default_rng(0)
