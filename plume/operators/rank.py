@@ -15,6 +15,9 @@ makes ranks deterministic.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,17 +87,45 @@ def ntile(df: DataFrame, n: int, value_col: str, tiebreak: list[str],
     """N12 + W9/W10: ntile over non-null ``value_col``; null values get null.
 
     Nulls are neither ranked nor counted, as ``dplyr::ntile`` does.
+
+    Only the keys are ranked: rows with equal (group, value, tie-break) are one
+    counted key, the keys' counts are added up over slices of their sorted
+    order, and the first rank of a key is joined back to its rows.  Nothing but
+    keys is written or range-sorted, however wide the table is.
     """
-    group_cols = list(group_cols or [])
-    base = df.withColumn("_ord", -F.col(value_col) if descending else F.col(value_col))
-    base = base.withColumn("_nul", F.col("_ord").isNull())
-    # one pass: null values form their own group (ranked but never bucketed),
-    # so the input plan runs once even though null rows are kept
-    ranked = dist_rank(base, ["_ord", *tiebreak], [*group_cols, "_nul"],
-                       rank_col="_rk", size_col="_sz")
-    ranked = ranked.withColumn(
-        out_col, F.when(~F.col("_nul"), ntile_from_rank(F.col("_rk"), F.col("_sz"), n)))
-    return ranked.drop("_rk", "_sz", "_ord", "_nul")
+    keys = [*(group_cols or []), value_col, *tiebreak]
+    keys = list(dict.fromkeys(keys))
+    ranked = key_ranks(df.filter(F.col(value_col).isNotNull()), value_col, tiebreak, list(group_cols or []), descending)
+    renamed = ranked.select(*[F.col(c).alias(f"_k_{c}") for c in keys], "_first", "_sz", "_n")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
+    out = df.join(renamed, same, "left").drop(*[f"_k_{c}" for c in keys])
+    place = F.lit(0)
+    if not ranked.filter("_n > 1").isEmpty():
+        # rows alike in all keys share the ranks first .. first + n - 1
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))) - 1
+    return out.withColumn(out_col, ntile_from_rank(F.col("_first") + place, F.col("_sz"), n)) \
+        .drop("_first", "_sz", "_n")
+
+
+def key_ranks(df: DataFrame, value_col: str, tiebreak: list[str], group_cols: list[str],
+              descending: bool = False) -> DataFrame:
+    """Distinct (group, value, tie-break) with ``_n`` rows, the 1-based rank
+    ``_first`` of the first of them in the group, and the group's rows ``_sz``."""
+    keys = list(dict.fromkeys([*group_cols, value_col, *tiebreak]))
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) \
+        .withColumn("_ord", -F.col(value_col) if descending else F.col(value_col))
+    order = ["_ord", *tiebreak]
+    sliced = counts.repartitionByRange(*group_cols, *order) \
+        .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    slices = sliced.groupBy(*group_cols, "_pid").agg(F.sum("_n").alias("_m"))
+    before = Window.partitionBy(*group_cols).orderBy("_pid") if group_cols else Window.orderBy("_pid")
+    slices = slices.select(*group_cols, "_pid", (F.sum("_m").over(before) - F.col("_m")).alias("_off"),
+                           F.sum("_m").over(Window.partitionBy(*group_cols)).alias("_sz"))
+    upto = Window.partitionBy(*group_cols, "_pid").orderBy(*order)
+    placed = inner_null_safe(sliced.withColumn("_upto", F.sum("_n").over(upto)), slices, [*group_cols, "_pid"])
+    return placed.withColumn("_first", F.col("_off") + F.col("_upto") - F.col("_n") + 1) \
+        .drop("_ord", "_pid", "_off", "_upto")
 
 
 def quantiles(df: DataFrame, value_col: str, probs: list[float],

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plume.plans import raw_side
 from plume.plans import standins as s
 from plume.plans.oracle import oracle_sql as _oracle
 from plume.plans.oracle_fits import fit_oracles
@@ -85,9 +86,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "votes_attributes_build": s.votes_attributes_build,
     "state_order_dates_report": s.state_order_dates_report,
     "snapshot_latest": s.snapshot_latest,
+    **raw_side.QUERIES,
 }
 
 
 def oracle_sql() -> dict[str, str]:
     sql = {**_oracle(), **fit_oracles()}
+    sql |= raw_side.oracles(sql)
     return {k: v for k, v in sql.items() if k in QUERIES}

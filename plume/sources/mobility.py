@@ -108,6 +108,37 @@ def poi_patterns(patterns: DataFrame, poi: DataFrame, mode: str = "first") -> di
             "daily": daily, "daily_naics": daily_naics}
 
 
+def poi_patterns_stacked(patterns: DataFrame, poi: DataFrame, mode: str = "first") -> DataFrame:
+    """The four outputs of ``poi_patterns`` from one scan of the raw rows.
+
+    Each row becomes its weekly entry and its seven daily ones; grouping sets
+    then add up both grains (county, county and NAICS) of both kinds in one
+    aggregate, combined map-side.  ``output`` names the result a row belongs to
+    (weekly, weekly_naics, daily, daily_naics); visitors are weekly only.
+    """
+    lookup = poi.select("safegraph_place_id", "naics_code", "state", "county")
+    w = patterns.withColumn("start", cal.iso_prefix_date("date_range_start"))
+    w = visitor_split(w, mode).join(lookup, "safegraph_place_id", "left") \
+        .withColumn("naics", F.substring("naics_code", 1, 2))
+
+    def entry(kind: str, date, *counts):
+        return F.struct(F.lit(kind).alias("kind"), date.alias("date"), *[
+            (c.cast("bigint") if c is not None else F.lit(None).cast("bigint")).alias(name)
+            for c, name in zip(counts, _WEEKLY_SUMS)])
+
+    week = entry("weekly", F.col("start"), *[F.col(c) for c in _WEEKLY_SUMS.values()])
+    days = F.transform(
+        F.coalesce(F.from_json("visits_by_day", "array<int>"), F.array().cast("array<int>")),
+        lambda v, i: entry("daily", F.date_add(F.col("start"), i), v, None, None, None))
+    x = w.select("state", "county", "naics", F.inline(F.concat(F.array(week), days)))
+    keys = ["kind", "state", "county", "date"]
+    g = x.groupingSets([keys, [*keys, "naics"]], *keys, "naics").agg(
+        F.grouping("naics").alias("rolled"), *[rsem.sum_skip(c).alias(c) for c in _WEEKLY_SUMS])
+    output = F.concat("kind", F.when(F.col("rolled") == 1, "").otherwise("_naics"))
+    return g.select(output.alias("output"), "state", "county", "naics", "date", "total_visits", *[
+        F.when(F.col("kind") == "weekly", F.col(c)).alias(c) for c in list(_WEEKLY_SUMS)[1:]])
+
+
 # --- D3 ------------------------------------------------------------------------
 
 def poi_weekly_outcomes(weekly: DataFrame, county_fips: DataFrame) -> DataFrame:

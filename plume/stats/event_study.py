@@ -35,6 +35,7 @@ TABLE_SCHEMA = T.StructType([
     T.StructField("percent_difference", T.DoubleType()),
     T.StructField("low", T.DoubleType()),
     T.StructField("high", T.DoubleType()),
+    T.StructField("event_week", T.LongType()),  # null for other regressors
 ])
 
 
@@ -74,7 +75,7 @@ def event_dummies(df: DataFrame, event_col: str, levels: list) -> tuple[DataFram
     return out, [name.format(level=lv) for lv in levels[1:]], name.format(level=levels[0])
 
 
-def _table(spark: SparkSession, name: str, fit, base: str, band: float) -> DataFrame:
+def _table(spark: SparkSession, name: str, fit, base: str, band: float, weeks: dict[str, int]) -> DataFrame:
     rows = [{"term": base, "estimate": 0.0, "std_error": 0.0, "statistic": 0.0,
              "p_value": 0.0}] + fit.table()
     out = []
@@ -84,7 +85,7 @@ def _table(spark: SparkSession, name: str, fit, base: str, band: float) -> DataF
         out.append((name, i, r["term"], r["estimate"], se, r["statistic"], r["p_value"],
                     stars(r["statistic"]) if i else "", pdiff,
                     pdiff - band * se if se == se else None,
-                    pdiff + band * se if se == se else None))
+                    pdiff + band * se if se == se else None, weeks.get(r["term"])))
     return spark.createDataFrame(out, TABLE_SCHEMA)
 
 
@@ -97,13 +98,21 @@ def fit_table(spark: SparkSession, panel: DataFrame, spec: Spec, entity: str,
     data, dummies, base = event_dummies(panel, spec.event_col, levels)
     xs = [*dummies, *spec.controls]
     fit = within(data.dropna(subset=[spec.event_col]), spec.outcome, xs, entity)
-    return _table(spark, spec.name, fit, base, band)
+    return _table(spark, spec.name, fit, base, band, _weeks(spec.event_col, levels))
+
+
+def _weeks(event_col: str, levels: list) -> dict[str, int]:
+    """Term -> event week."""
+    return {f"{event_col}{lv}": int(lv) for lv in levels}
 
 
 def sweep(spark: SparkSession, panel: DataFrame, specs: list[Spec], entity: str,
-          keep_rows: tuple[int, int] | None = None, band: float = BAND) -> DataFrame:
+          keep_rows: tuple[int, int] | None = None, band: float = BAND,
+          weeks: tuple[int, int] | None = None) -> DataFrame:
     """E7 (+F6): fit every spec on one cached panel and stack the tables;
-    ``keep_rows`` keeps term_order in [a, b] (the reference's row filter).
+    ``keep_rows`` keeps term_order in [a, b] (the reference's row filter);
+    ``weeks`` (H12) keeps the terms of event weeks in [a, b], the same weeks in
+    every model whatever its base.
 
     Specs with the same outcome and event column whose complete cases
     coincide (one count job decides) share the data passes
@@ -127,7 +136,8 @@ def sweep(spark: SparkSession, panel: DataFrame, specs: list[Spec], entity: str,
             data = data.dropna(subset=[ev])
             fits = within_multi(data, outcome, [[*dummies, *group[i].controls] for i in part], entity)
             for i, fit in zip(part, fits):
-                tables[group[i].name] = _table(spark, group[i].name, fit, base, band)
+                tables[group[i].name] = _table(spark, group[i].name, fit, base, band,
+                                               _weeks(ev, found[part[0]][1]))
     panel.unpersist()
     ordered = [tables[sp.name] for sp in specs]
     out = ordered[0]
@@ -135,6 +145,8 @@ def sweep(spark: SparkSession, panel: DataFrame, specs: list[Spec], entity: str,
         out = out.unionByName(t)
     if keep_rows:
         out = out.filter(F.col("term_order").between(*keep_rows))
+    if weeks:
+        out = out.filter(F.col("event_week").between(*weeks))
     return out
 
 
