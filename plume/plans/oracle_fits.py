@@ -8,7 +8,7 @@ and skipped on the way, and the swept block ends as the inverse.
 
 from __future__ import annotations
 
-from plume.plans.oracle import DAILY, R6, WEEKLY_PANEL, _event_time
+from plume.plans.oracle import DAILY, R6, WEEKLY_PANEL, _event_time, _panel_sql
 
 
 def two_sided_p(t: str, df: str, steps: int = 2000) -> str:
@@ -101,11 +101,6 @@ _DAYS = f"""
          sqrt(user_id + 0.5) AS z FROM ({DAILY}) d"""
 
 
-_DAYS = f"""
-  SELECT user_id, day - DATE '2024-01-01' AS day_no, total_value AS y, CAST(n_events AS DOUBLE) AS x,
-         sqrt(user_id + 0.5) AS z FROM ({DAILY}) d"""
-
-
 _CONTROLS = ["share_asian", "share_black", "share_white", "share_bachelors", "share_undergrad",
              "share_hhinc_100k", "share_poverty", "share_msta", "share_services", "share_sales",
              "share_resources", "share_public_transit", "mean_precip", "mean_tmin", "mean_tmax",
@@ -155,6 +150,7 @@ def fit_oracles() -> dict[str, str]:
     lags = [(f"{side}_lags", f"weeks_since_{side}", y, ["n_days", "lag1", "lead1"]) for side in ("start", "end")]
     return {"event_study_table": within_sql(_PANEL, plain, "user_id", "week_start"),
             "event_study_lags": within_sql(_PANEL, lags, "user_id", "week_start"),
+            "event_study_report": _report_sql(),
             # entity effects swept, the days as the factor: the same slopes as two-way sweeping
             "two_way_fe_unbalanced": f"""
 SELECT term, estimate, (SELECT count(*) FROM ({DAILY}) d) AS n_obs,

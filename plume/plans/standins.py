@@ -1206,8 +1206,8 @@ def partisan_trends_report(spark, d):
 
 
 def event_study_report(spark, d):
-    """The six-model event-study sweep on the full panel (rows-only: its wide
-    fits are not compared with SQL; the same sweep is, on smaller designs)."""
+    """The six-model event-study sweep on the full panel, lags and leads
+    included; its oracle solves the same six models in SQL."""
     from plume.plans.report import event_study
     return _rounded_table(event_study(spark, _panel_weekly(spark, d)))
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plume.operators.shape import one_hot
-from plume.stats.regress import within
+from plume.stats.regress import within, within_sweep
 from plume.stats.tdist import stars, t_quantile
 
 BAND = 1.96  # fixed value: half-width of the reported interval in standard errors
@@ -60,6 +60,16 @@ def event_levels(df: DataFrame, event_col: str, designs: list[list[str]]) -> lis
     return [(row[f"n{i}"], sorted(row[f"levels{i}"])) for i in range(len(designs))]
 
 
+def _levels(df: DataFrame, specs: list[Spec]) -> list[list]:
+    """The event levels among each model's complete rows, in one pass."""
+    aggs = []
+    for i, sp in enumerate(specs):
+        complete = reduce(and_, [F.col(c).isNotNull() for c in (sp.event_col, sp.outcome, *sp.controls)])
+        aggs.append(F.collect_set(F.when(complete, F.col(sp.event_col))).alias(f"levels{i}"))
+    row = df.agg(*aggs).first()
+    return [sorted(row[f"levels{i}"]) for i in range(len(specs))]
+
+
 def event_dummies(df: DataFrame, event_col: str, levels: list) -> tuple[DataFrame, list[str], str]:
     """Factor expansion of event time; the lowest level is the omitted base.
 
@@ -114,31 +124,20 @@ def sweep(spark: SparkSession, panel: DataFrame, specs: list[Spec], entity: str,
     ``weeks`` (H12) keeps the terms of event weeks in [a, b], the same weeks in
     every model whatever its base.
 
-    Specs with the same outcome and event column whose complete cases
-    coincide (one count job decides) share the data passes
-    (``regress.within_multi``); the others are fitted one by one.
+    All models are fitted from two passes over the panel, each on its own
+    complete cases (``regress.within_sweep``).
     """
-    from plume.stats.regress import within_multi
-
-    panel = panel.cache()
-    groups: dict[tuple[str, str], list[Spec]] = {}
-    for sp in specs:
-        groups.setdefault((sp.outcome, sp.event_col), []).append(sp)
-    tables = {}
-    for (outcome, ev), group in groups.items():
-        designs = [[outcome, *sp.controls] for sp in group]
-        union = list(dict.fromkeys(c for d in designs for c in d))
-        *found, (n_all, _) = event_levels(panel, ev, [*designs, union])
-        together = [i for i, (n, _) in enumerate(found) if n == n_all]
-        alone = [[i] for i in range(len(group)) if i not in together]
-        for part in [together, *alone] if together else alone:
-            data, dummies, base = event_dummies(panel, ev, found[part[0]][1])
-            data = data.dropna(subset=[ev])
-            fits = within_multi(data, outcome, [[*dummies, *group[i].controls] for i in part], entity)
-            for i, fit in zip(part, fits):
-                tables[group[i].name] = _table(spark, group[i].name, fit, base, band,
-                                               _weeks(ev, found[part[0]][1]))
-    panel.unpersist()
+    levels = _levels(panel, specs)
+    data = panel
+    for ev in dict.fromkeys(sp.event_col for sp in specs):
+        every = sorted({lv for sp, found in zip(specs, levels) if sp.event_col == ev for lv in found})
+        data = one_hot(data, ev, every, name=ev + "{level}")
+    models = [(sp.outcome, [*[f"{sp.event_col}{lv}" for lv in found[1:]], *sp.controls])
+              for sp, found in zip(specs, levels)]
+    fits = within_sweep(data, models, entity)
+    tables = {sp.name: _table(spark, sp.name, fit, f"{sp.event_col}{found[0]}" if found else "", band,
+                              _weeks(sp.event_col, found))
+              for sp, found, fit in zip(specs, levels, fits)}
     ordered = [tables[sp.name] for sp in specs]
     out = ordered[0]
     for t in ordered[1:]:

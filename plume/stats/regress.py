@@ -1,9 +1,9 @@
 """Linear panel estimators as Spark jobs.
 
 Rows never leave the executors: the cross-product (Gram) matrix and the
-cluster score outer products are sums computed by ``agg`` (or per-partition
-partial matrices via ``mapInPandas`` when k is large); only k x k matrices
-reach the driver, where numpy solves them.
+cluster score outer products are added up from partial matrices of the tasks
+(``moments`` for within fits); only k x k matrices reach the driver, where numpy
+solves them.
 
 Conventions follow ``plm(model = "within")`` + ``vcovHC(type = "sss",
 cluster = "group")``: entity effects are swept out by demeaning, the
@@ -17,14 +17,13 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from plume.stats.moments import Design, Passes
 from plume.stats.tdist import t_two_sided_p
 
-_AGG_MAX_K = 12  # beyond this many columns, partial Gram matrices per partition (numpy)
-
 
 @dataclass
 class Fit:
@@ -50,50 +49,28 @@ class Fit:
 # --- distributed cross products ------------------------------------------------
 
 def gram(df: DataFrame, cols: list[str], extra: list | None = None):
-    """Sum of outer products of the row vectors of ``cols`` (k x k).
+    """Sum of outer products of the row vectors of ``cols`` (k x k): one partial
+    matrix per partition (Arrow batches, numpy), added up by a k-row aggregate.
 
-    ``extra`` aggregate columns ride along in the same job; with them the
-    result is ``(matrix, row)``.
+    With ``extra`` aggregate columns the result is ``(matrix, row)``.
     """
     k = len(cols)
-    extra = list(extra or [])
-    if k <= _AGG_MAX_K:
-        exprs = [F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"g_{i}_{j}")
-                 for i in range(k) for j in range(i, k)]
-        row = df.agg(*exprs, *extra).collect()[0]
-        g = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                v = row[f"g_{i}_{j}"]
-                g[i, j] = g[j, i] = 0.0 if v is None else float(v)
-        return (g, row) if extra else g
-    g = _gram_partials(df, cols)
-    return (g, df.agg(*extra).collect()[0]) if extra else g
-
-
-def _gram_partials(df: DataFrame, cols: list[str]) -> np.ndarray:
-    """One partial k x k matrix per partition (Arrow batches, numpy), summed
-    by a k-row aggregate: for wide designs where k^2/2 sum expressions would
-    overflow code generation."""
-    k = len(cols)
-    schema = T.StructType([T.StructField("i", T.IntegerType()),
-                           T.StructField("v", T.ArrayType(T.DoubleType()))])
 
     def part(batches):
-        import pandas as pd
         acc = np.zeros((k, k))
         for b in batches:
-            x = b[cols].to_numpy(dtype=float)
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns])
             acc += x.T @ x
-        yield pd.DataFrame({"i": list(range(k)), "v": [acc[i].tolist() for i in range(k)]})
+        yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(list(acc), pa.list_(pa.float64()))],
+                                         ["i", "v"])
 
-    partial = df.select(*cols).mapInPandas(part, schema)
-    summed = partial.groupBy("i").agg(
-        *[F.sum(F.col("v")[j]).alias(f"c{j}") for j in range(k)]).collect()
+    partial = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]) \
+        .mapInArrow(part, "i int, v array<double>")
+    summed = partial.groupBy("i").agg(*[F.sum(F.col("v")[j]).alias(f"c{j}") for j in range(k)]).collect()
     g = np.zeros((k, k))
     for r in summed:
         g[r["i"], :] = [r[f"c{j}"] for j in range(k)]
-    return g
+    return (g, df.agg(*extra).collect()[0]) if extra else g
 
 
 def demean(df: DataFrame, cols: list[str], entity: list[str]) -> DataFrame:
@@ -162,96 +139,56 @@ def within(df: DataFrame, y: str, xs: list[str], entity: list[str] | str,
     """E1 (+E4, E11): one-way within regression with cluster-robust errors.
 
     Complete cases only (F7); entity means are taken after the drop, as plm
-    does.  ``cluster="entity"`` clusters on the entity key.  Two jobs: the
-    Gram matrix with counts and raw sums of squares, then the cluster scores
-    with their outer products and the cluster count.
+    does.  ``cluster="entity"`` clusters on the entity key.
     """
     entity = [entity] if isinstance(entity, str) else list(entity)
-    data = df.select(*entity, y, *xs).dropna()
+    if cluster != "entity":
+        return _within_other(df, y, xs, entity, cluster)
+    return within_sweep(df, [(y, xs)], entity)[0]
+
+
+def within_sweep(df: DataFrame, models: list[tuple[str, list[str]]], entity: list[str] | str) -> list[Fit]:
+    """Within fits (cluster on entity) of several (outcome, regressors), each on
+    its own complete cases, in two passes over the rows for all of them."""
+    entity = [entity] if isinstance(entity, str) else list(entity)
+    cols = list(dict.fromkeys(c for y, xs in models for c in (*xs, y)))
+    place = {c: i for i, c in enumerate(cols)}
+    passes = Passes(df, entity, cols, [Design(place[y], [place[x] for x in xs]) for y, xs in models])
+    moments = passes.moments()
+    solved = []
+    for (_, xs), m in zip(models, moments):
+        keep = independent_columns(m.gram[:-1, :-1], xs, scale=m.raw)
+        solved.append((keep, *_solve(m.gram, keep, len(xs))))
+    meats = passes.meats([[place[xs[i]] for i in keep] for (_, xs), (keep, _, _) in zip(models, solved)],
+                         [beta for _, beta, _ in solved])
+    fits = []
+    for (_, xs), m, (keep, beta, inv), meat in zip(models, moments, solved, meats):
+        g, n, k = m.entities, m.n, len(keep)
+        factor = (g / max(g - 1, 1)) * ((n - 1) / max(n - k, 1))
+        fits.append(Fit([xs[i] for i in keep], beta, factor * inv @ meat @ inv, n, g, n - g - k,
+                        [xs[i] for i in range(len(xs)) if i not in keep]))
+    return fits
+
+
+def _within_other(df: DataFrame, y: str, xs: list[str], entity: list[str], cluster: str | None) -> Fit:
+    """Within fit with errors clustered on another column, or without."""
+    data = df.select(*entity, y, *xs, *([cluster] if cluster else [])).dropna()
     w = Window.partitionBy(*entity)
     dmc = {f"_d{i}": F.col(c) - F.avg(F.col(c)).over(w) for i, c in enumerate([y, *xs])}
     dm = data.withColumns(dmc).cache()
     dy, dxs = "_d0", [f"_d{i + 1}" for i in range(len(xs))]
-    cl = entity if cluster == "entity" else ([cluster] if cluster else None)
-    k = len(xs)
-    if k + 1 > _AGG_MAX_K and cl == entity:
-        # wide design: one numpy pass also yields n (constant column) and the
-        # raw sums of squares (raw columns on the diagonal)
-        gg = gram(dm.withColumn("_one", F.lit(1.0)), [*dxs, dy, *xs, "_one"])
-        g = gg[:k + 1, :k + 1]
-        raw_ss = np.diag(gg)[k + 1:2 * k + 1].copy()
-        n = int(round(gg[-1, -1]))
-        row = {}
-    else:
-        extra = [F.count(F.lit(1)).alias("_n"),
-                 *[F.sum(F.col(x) * F.col(x)).alias(f"_ss{i}") for i, x in enumerate(xs)]]
-        if cl != entity:
-            extra.append(F.countDistinct(*entity).alias("_g"))
-        g, row = gram(dm, [*dxs, dy], extra)
-        n = int(row["_n"])
-        raw_ss = np.array([float(row[f"_ss{i}"] or 0.0) for i in range(len(xs))])
-    keep = independent_columns(g[:-1, :-1], xs, scale=raw_ss)
+    g, row = gram(dm, [*dxs, dy], [
+        F.count(F.lit(1)).alias("_n"), F.countDistinct(*entity).alias("_g"),
+        *[F.sum(F.col(x) * F.col(x)).alias(f"_ss{i}") for i, x in enumerate(xs)]])
+    n, n_ent = int(row["_n"]), int(row["_g"])
+    keep = independent_columns(g[:-1, :-1], xs, scale=np.array([float(row[f"_ss{i}"] or 0.0) for i in range(len(xs))]))
     beta, inv = _solve(g, keep, len(xs))
-    kept = [xs[i] for i in keep]
-    vc, n_ent = None, (int(row["_g"]) if cl != entity else None)
-    if cl:
-        vc, n_cl = _cluster_vcov(dm, dy, [dxs[i] for i in keep], beta, inv, cl, n, len(keep))
-        n_ent = n_ent if n_ent is not None else n_cl
+    vc = _cluster_vcov(dm, dy, [dxs[i] for i in keep], beta, inv, [cluster], n, len(keep))[0] if cluster else None
     dm.unpersist()
-    return Fit(kept, beta, vc, n, n_ent, n - n_ent - len(keep),
+    return Fit([xs[i] for i in keep], beta, vc, n, n_ent, n - n_ent - len(keep),
                [xs[i] for i in range(len(xs)) if i not in keep])
 
 
-def within_multi(df: DataFrame, y: str, designs: list[list[str]], entity: list[str] | str) -> list[Fit]:
-    """Several within fits (cluster on entity) that share their complete-case
-    rows, in two passes over the data instead of two per model: one demeaned
-    Gram over the union of regressors (each model's matrix is a sub-block,
-    since demeaning acts column by column), then one groupBy(entity) giving
-    every model's cluster scores.  Callers check that the designs' complete
-    cases coincide (``event_study.sweep`` does)."""
-    entity = [entity] if isinstance(entity, str) else list(entity)
-    cols: list[str] = []
-    for d in designs:
-        cols += [c for c in d if c not in cols]
-    data = df.select(*entity, y, *cols).dropna()
-    w = Window.partitionBy(*entity)
-    dname = {c: f"_d{i + 1}" for i, c in enumerate(cols)}
-    dm = data.withColumns({"_d0": F.col(y) - F.avg(F.col(y)).over(w),
-                           **{dname[c]: F.col(c) - F.avg(F.col(c)).over(w) for c in cols}}).cache()
-    g, row = gram(dm, [dname[c] for c in cols] + ["_d0"],
-                  [F.count(F.lit(1)).alias("_n"),
-                   *[F.sum(F.col(c) * F.col(c)).alias(f"_ss{i}") for i, c in enumerate(cols)]])
-    n = int(row["_n"])
-    raw_ss = np.array([float(row[f"_ss{i}"] or 0.0) for i in range(len(cols))])
-    solved = []
-    for d in designs:
-        idx = [cols.index(c) for c in d]
-        sub = np.zeros((len(idx) + 1, len(idx) + 1))
-        full = idx + [len(cols)]
-        sub[:, :] = g[np.ix_(full, full)]
-        keep = independent_columns(sub[:-1, :-1], d, scale=raw_ss[idx])
-        beta, inv = _solve(sub, keep, len(idx))
-        solved.append(([d[i] for i in keep], beta, inv, [d[i] for i in range(len(d)) if i not in keep]))
-    # every model's residual and scores in one pass
-    aggs = []
-    for m, (kept, beta, _inv, _drop) in enumerate(solved):
-        u = F.col("_d0") - sum((F.lit(float(b)) * F.col(dname[x]) for b, x in zip(beta, kept)),
-                               F.lit(0.0))
-        aggs += [F.sum(F.col(dname[x]) * u).alias(f"s{m}_{j}") for j, x in enumerate(kept)]
-    scores = dm.groupBy(*entity).agg(*aggs).cache()
-    fits = []
-    for m, (kept, beta, inv, dropped) in enumerate(solved):
-        meat, srow = gram(scores, [f"s{m}_{j}" for j in range(len(kept))],
-                          [F.count(F.lit(1)).alias("_g")])
-        g_n = int(srow["_g"])
-        factor = (g_n / max(g_n - 1, 1)) * ((n - 1) / max(n - len(kept), 1))
-        fits.append(Fit(kept, beta, factor * inv @ meat @ inv, n, g_n,
-                        n - g_n - len(kept), dropped))
-    scores.unpersist()
-    dm.unpersist()
-    return fits
-
-
 def _cluster_vcov(dm: DataFrame, y: str, xs: list[str], beta: np.ndarray, inv: np.ndarray,
                   cluster, n: int, k: int):
     """Sandwich with cluster scores s_g = sum_i x_i u_i.
@@ -265,12 +202,8 @@ def _cluster_vcov(dm: DataFrame, y: str, xs: list[str], beta: np.ndarray, inv: n
     scores = res.groupBy(*cl).agg(*[F.sum(F.col(x) * F.col("_u")).alias(f"s{i}")
                                     for i, x in enumerate(xs)])
     sc = [f"s{i}" for i in range(len(xs))]
-    if len(sc) + 1 > _AGG_MAX_K:
-        gg = gram(scores.withColumn("_one", F.lit(1.0)), [*sc, "_one"])
-        meat, n_cl = gg[:-1, :-1], int(round(gg[-1, -1]))
-    else:
-        meat, row = gram(scores, sc, [F.count(F.lit(1)).alias("_g")])
-        n_cl = int(row["_g"])
+    gg = gram(scores.withColumn("_one", F.lit(1.0)), [*sc, "_one"])
+    meat, n_cl = gg[:-1, :-1], int(round(gg[-1, -1]))
     factor = (n_cl / max(n_cl - 1, 1)) * ((n - 1) / max(n - k, 1))
     return factor * inv @ meat @ inv, n_cl
 

@@ -3,10 +3,11 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from plume.stats import event_study as es
-from plume.stats import regress
+from plume.stats import moments, regress
 from plume.stats.tdist import t_cdf, t_quantile, t_two_sided_p
 
 
@@ -82,10 +83,12 @@ def test_collinear_term_is_dropped(spark):
     assert fit.terms == ["x1", "x2"] and set(fit.dropped) == {"x3", "const_in_e"}
 
 
-def test_gram_partials_equal_agg(spark):
+def test_gram_equals_numpy(spark):
     _, df = _panel(spark)
     cols = ["x1", "x2", "y"]
-    assert np.allclose(regress.gram(df, cols), regress._gram_partials(df, cols))
+    x = df.select(*cols).toPandas().to_numpy()
+    g, row = regress.gram(df, cols, [F.count(F.lit(1)).alias("n")])
+    assert np.allclose(g, x.T @ x) and row["n"] == len(x)
 
 
 def test_two_way_balanced_matches_double_demeaning(spark):
@@ -142,9 +145,69 @@ def test_welch_matches_numpy(spark):
     assert abs(r.ci_high - (a.mean() - b.mean() + half)) < 1e-9
 
 
-def test_within_multi_equals_separate_fits(spark):
+def _naive_within(rows, y, xs):
+    """Coefficients, clustered covariance, rows and entities by numpy; rows: dicts."""
+    full = [r for r in rows if all(r[c] is not None for c in (y, *xs))]
+    ents = sorted({r["e"] for r in full}, key=str)
+    z = np.array([[r[c] for c in (*xs, y)] for r in full], float)
+    code = np.array([ents.index(r["e"]) for r in full])
+    for e in range(len(ents)):
+        z[code == e] -= z[code == e].mean(0)
+    x, v = z[:, :-1], z[:, -1]
+    inv = np.linalg.inv(x.T @ x)
+    beta = inv @ x.T @ v
+    s = np.array([(x[code == e] * (v - x @ beta)[code == e][:, None]).sum(0) for e in range(len(ents))])
+    n, g, k = len(full), len(ents), len(xs)
+    return beta, g / (g - 1) * (n - 1) / (n - k) * inv @ s.T @ s @ inv, n, g
+
+
+def _gappy(spark, parts):
+    """A panel with gaps in every column and one entity at a third of the rows."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(900):
+        e = None if i % 11 == 0 else 0 if i % 3 == 0 else int(rng.integers(1, 40))
+        x = rng.normal(size=3) + (e or 0)
+        row = dict(e=e, y=float(3 + x @ [1, -2, 0.5] + rng.normal()), x1=float(x[0]), x2=float(x[1]), x3=float(x[2]))
+        for c, every in (("x2", 7), ("x3", 4), ("y", 13)):
+            if i % every == 0:
+                row[c] = None
+        rows.append(row)
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], "e int, y double, x1 double, x2 double, x3 double")
+    return rows, df.repartition(parts)
+
+
+@pytest.mark.parametrize("parts, chunk", [(1, 65_536), (6, 65_536), (3, 50)])
+def test_sweep_of_models_with_other_gaps_against_numpy(spark, parts, chunk, monkeypatch):
+    monkeypatch.setattr(moments, "CHUNK", chunk)
+    rows, df = _gappy(spark, parts)
+    models = [("y", ["x1"]), ("y", ["x1", "x2"]), ("y", ["x3", "x1", "x2"]), ("x3", ["x2"])]
+    for (y, xs), fit in zip(models, regress.within_sweep(df, models, "e")):
+        beta, vcov, n, g = _naive_within(rows, y, xs)
+        assert (fit.terms, fit.n_obs, fit.n_groups) == (xs, n, g)
+        assert np.allclose(fit.coef, beta, atol=1e-10) and np.allclose(fit.vcov, vcov, atol=1e-10)
+
+
+def test_a_hot_entity_is_many_summaries(spark):
+    _, df = _gappy(spark, 8)
+    p = moments.Passes(df, ["e"], ["x1", "x2", "y"], [moments.Design(2, [0, 1])])
+    hot = p.summaries.filter("i is null and entity like '%\"0\"%'")
+    assert hot.select("n").agg(F.max("n")).first()[0] < 60 and hot.count() > 8
+
+
+def test_models_without_rows_or_terms(spark):
+    _, df = _gappy(spark, 2)
+    df = df.withColumn("none", F.lit(None).cast("double")).withColumn("flat", F.col("e") * 1.0)
+    empty, flat, plain = regress.within_sweep(df, [("y", ["none"]), ("y", ["flat"]), ("y", ["x1"])], "e")
+    assert empty.n_obs == 0 and empty.dropped == ["none"] and flat.dropped == ["flat"]
+    assert plain.terms == ["x1"]
+    none = regress.within_sweep(df.filter("false"), [("y", ["x1"])], "e")[0]
+    assert (none.n_obs, none.n_groups, none.terms) == (0, 0, [])
+
+
+def test_within_sweep_equals_separate_fits(spark):
     _, df = _panel(spark)
-    fits = regress.within_multi(df, "y", [["x1"], ["x1", "x2"]], "e")
+    fits = regress.within_sweep(df, [("y", ["x1"]), ("y", ["x1", "x2"])], "e")
     for f, xs in zip(fits, [["x1"], ["x1", "x2"]]):
         one = regress.within(df, "y", xs, "e")
         assert np.allclose(f.coef, one.coef, atol=1e-12)
@@ -152,8 +215,7 @@ def test_within_multi_equals_separate_fits(spark):
 
 
 def test_wide_design_matches_numpy(spark):
-    """k above the agg threshold: numpy partial Gram path, n and raw sums of
-    squares from the same pass."""
+    """Fifteen regressors."""
     rng = np.random.default_rng(11)
     k, rows = 15, []
     for e in range(25):
