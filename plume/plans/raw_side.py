@@ -299,10 +299,33 @@ def partisan_cases_long_report(spark, d):
     return out.select(F.col("republican").cast("long"), "week_start_date", "measure", r6("count").alias("count"))
 
 
+def streaming_coverage(spark, d):
+    """2.14 with state (M8, M1): device files arrive later half first; the days
+    seen and the base-week mean of each county are kept by the stream."""
+    from plume.streaming.coverage import coverage_stream, read_coverage
+    base = _folder(spark, "coverage")
+    dev = s.device_days(spark, d)
+    first = F.substring("date_range_start", 1, 10) < "2024-01-16"
+    dev.filter(~first).coalesce(2).write.option("header", True).csv(f"{base}/src")
+    coverage_stream(spark, f"{base}/src", f"{base}/out", (s.STUDY_START, "2024-01-07"), f"{base}/ck", 1).awaitTermination()
+    dev.filter(first).coalesce(2).write.mode("append").option("header", True).csv(f"{base}/src")
+    coverage_stream(spark, f"{base}/src", f"{base}/out", (s.STUDY_START, "2024-01-07"), f"{base}/ck", 1).awaitTermination()
+    return read_coverage(spark, f"{base}/out").select(
+        "county_fips", "n_days", r6("initial_device_count").alias("initial_device_count"))
+
+
+_COVERAGE = f"""
+  WITH dv AS (SELECT lpad(CAST(user_id AS VARCHAR), 5, '0') AS county_fips, CAST(ts AS DATE) AS date, COUNT(*) AS devices
+              FROM events GROUP BY user_id, event_type, CAST(ts AS DATE))
+  SELECT county_fips, count(DISTINCT date) AS n_days,
+         {R6("avg(devices) FILTER (WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-07')")} AS initial_device_count
+  FROM dv GROUP BY 1"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     inferred_csv_scan, checked_gz_directory, snapshot_versions, poi_outputs_build, poi_counties_build, null_county_share,
     orders_in_force_at_events, open_orders_at_shipments, full_coverage_anti, unmatched_customers, wide_table_page,
-    event_study_band, partisan_cases_long_report)}
+    event_study_band, partisan_cases_long_report, streaming_coverage)}
 
 
 def oracles(known: dict[str, str]) -> dict[str, str]:
@@ -313,6 +336,7 @@ def oracles(known: dict[str, str]) -> dict[str, str]:
         "poi_outputs_build": _POI_OUTPUTS, "poi_counties_build": _inside_sql(),
         "null_county_share": f"""SELECT {R6('avg(CASE WHEN state IS NULL THEN 1.0 ELSE 0.0 END)')} AS null_county_share,
                                         COUNT(*) AS n_poi FROM ({_inside_sql()}) x""",
+        "streaming_coverage": _COVERAGE,
         "orders_in_force_at_events": _IN_FORCE, "open_orders_at_shipments": _OPEN_ORDERS,
         "full_coverage_anti": known["coverage_filter"],
         "unmatched_customers": """SELECT c_custkey, c_name, c_nationkey FROM customer

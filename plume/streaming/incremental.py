@@ -14,8 +14,8 @@ Design: a file-source stream (``trigger(availableNow=True)``) feeds
 3. overwrites just those date partitions of the silver table (dynamic
    partition overwrite).
 
-Coverage (M8) and the attrition base (M1) need the whole date range and stay
-in the batch build (``plume.sources.mobility.distancing``).
+Coverage (M8) and the attrition base (M1) need the whole date range: they are
+stream state in ``plume.streaming.coverage``.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from plume.sources import mobility
-from plume.streaming import incremental
+from plume.streaming import coverage, incremental
 
 import world
 
@@ -48,3 +48,37 @@ def test_patterns_stream_matches_batch(spark):
     batch = mobility.poi_patterns(w["weekly_patterns"], poi)["weekly"].select(
         "state", "county", "date_week_start", "total_visits", "total_visitors_same_cbg")
     assert _norm(got.collect()) == _norm(batch.collect())
+
+
+def _coverage_of(rows):
+    """County -> (days seen, mean device count of the base week) by plain Python."""
+    out = {}
+    for r in rows:
+        county, day = str(r["origin_census_block_group"]).rjust(12, "0")[:5], r["date_range_start"][:10]
+        days, counts = out.setdefault(county, (set(), []))
+        days.add(day)
+        if "2020-01-27" <= day <= "2020-02-02" and r["device_count"] is not None:
+            counts.append(r["device_count"])
+    return {c: (len(days), sum(n) / len(n) if n else None) for c, (days, n) in out.items()}
+
+
+def test_coverage_state_ends_at_the_batch_answer_in_any_order(spark):
+    rows = world.build(spark)["device_daily"]
+    want = _coverage_of(rows.collect())
+    month = F.substring("date_range_start", 6, 2)
+    for turn, order in enumerate((["05", "02", "01", "04", "03", "06"], ["01", "02", "03", "04", "05", "06"])):
+        base = tempfile.mkdtemp(prefix="plume-cover-")
+        src, out, ck = (f"{base}/{p}" for p in ("src", "out", "ck"))
+        for k, m in enumerate(order):
+            rows.filter(month == m).coalesce(2).write.mode("append").option("header", True).csv(src)
+            if turn == 0 and k in (0, 3, 5) or k == 5:  # restarts go on from the state
+                coverage.coverage_stream(spark, src, out, checkpoint=ck, max_files=3).awaitTermination()
+        got = {r["county_fips"]: (r["n_days"], r["initial_device_count"])
+               for r in coverage.read_coverage(spark, out).collect()}
+        assert got == want
+    most = max(n for n, _ in want.values())
+    assert {r["county_fips"] for r in coverage.read_coverage(spark, out, most).collect()} == {
+        c for c, (n, _) in want.items() if n == most}
+    # nothing new: nothing changes
+    coverage.coverage_stream(spark, src, out, checkpoint=ck).awaitTermination()
+    assert coverage.read_coverage(spark, out).count() == len(want)
