@@ -61,9 +61,12 @@ def words_of(text: bytes) -> list[str]:
     out = []
     for w in text.decode("utf-8", "replace").lower().split():
         out.append(w)
-        parts = _INNER.split(bare(w))
-        if len(parts) > 1:
-            out += [p for p in parts if p]
+        if not w.isalnum():  # most words have nothing to split
+            inner = bare(w)
+            if not inner.isalnum():
+                parts = _INNER.split(inner)
+                if len(parts) > 1:
+                    out += [p for p in parts if p]
     return out
 
 
@@ -165,7 +168,7 @@ class FuzzyLexicon:
         and look-alike signs is read as letters, which counts as one edit."""
         word = bare(word)
         term, e = self.match(word)
-        if term < 0 and any(c in _ALIKE for c in word) and any(c.isalpha() for c in word):
+        if term < 0 and not _ALIKE.isdisjoint(word) and any(c.isalpha() for c in word):
             term, e = self.match(word.translate(_LETTER))
             e = max(e, 1) if term >= 0 else e
         return term, e
@@ -196,7 +199,7 @@ class ToxicModel:
         if "_matcher" not in self.__dict__:  # made once in a worker
             self._matcher = FuzzyLexicon(self.terms), {}
         lexicon, seen = self._matcher
-        if len(seen) > 100_000:  # a memory bound only: matches are found again
+        if len(seen) > 300_000:  # a memory bound only: matches are found again
             seen.clear()
         out = []
         for i, w in enumerate(words):
