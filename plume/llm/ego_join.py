@@ -331,7 +331,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
         "dim int, nodes binary, weights binary, vecs binary, low array<double>, high array<double>")
         .withColumn("block", F.monotonically_increasing_id()))
     if not blocks.isEmpty():
-        numbered = _numbered(blocks, tile_bytes)
+        numbered = cut(_numbered(blocks, tile_bytes))
         tiles = cut(numbered.groupBy("seq", "dim", "part").agg(
             F.array(*[F.min(F.col("low")[k]) for k in range(LEAD)]).alias("low"),
             F.array(*[F.max(F.col("high")[k]) for k in range(LEAD)]).alias("high")))
