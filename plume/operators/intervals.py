@@ -40,9 +40,17 @@ def pieces(a: Column, b: Column, levels: int) -> Column:
 
 
 def range_join(points: DataFrame, intervals: DataFrame, point: str, start: str, end: str,
-               on: list[str] | None = None) -> DataFrame:
+               on: list[str] | None = None, sums: list[str] | None = None) -> DataFrame:
     """Inner join of ``points`` with the ``intervals`` that hold at ``point``,
-    with equal ``on`` columns if given.  Other column names must differ."""
+    with equal ``on`` columns if given.  Other column names must differ.
+
+    With ``sums``, whole-number columns of ``intervals`` that are only to be
+    added up per point, the intervals naming a piece are added up before the
+    join.  A row is then a point and one piece with the sums over all the
+    intervals held there, not a point and one interval: at most one row a level
+    and point, however many intervals overlap, and sums over the rows of a point
+    equal those over its pairs.
+    """
     on = list(on or [])
     low, high = points.agg(F.min(_number(points, point)), F.max(_number(points, point))).first()
     low, high = (0, 0) if low is None else (low, high)
@@ -52,6 +60,8 @@ def range_join(points: DataFrame, intervals: DataFrame, point: str, start: str,
     some = F.col(start).isNotNull() | F.col(end).isNotNull()
     held = intervals.filter(some).withColumn("_a", a.cast("bigint")).withColumn("_b", b.cast("bigint")) \
         .filter("_a <= _b").withColumn("_piece", F.explode(pieces(F.col("_a"), F.col("_b"), levels))).drop("_a", "_b")
+    if sums is not None:
+        held = held.groupBy(*on, "_piece").agg(*[F.sum(c).alias(c) for c in sums])
     # a point need only name pieces of the levels that occur (at most 64 numbers)
     used = sorted(r[0] for r in held.select("_piece.level").distinct().collect())
     place = (_number(points, point) - low).cast("bigint")

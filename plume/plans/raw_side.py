@@ -240,12 +240,14 @@ def open_orders_at_shipments(spark, d):
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey",
                                          F.to_date("o_orderdate").alias("order_day"))
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    rows = li.join(o.join(c, "o_custkey"), "l_orderkey")
-    # one row per (nation, first day, last day), with its orders
-    spans = rows.groupBy("c_nationkey", "l_orderkey").agg(F.min("order_day").alias("first_day"), F.max("ship_day").alias("last_day")) \
-        .groupBy("c_nationkey", "first_day", "last_day").agg(F.count(F.lit(1)).alias("n"))
-    days = rows.select("c_nationkey", "ship_day").distinct()
-    return intervals.range_join(days, spans, "ship_day", "first_day", "last_day", ["c_nationkey"]) \
+    placed = o.join(c, "o_custkey")
+    # one row per (nation, first day, last day), with its orders; both sides are
+    # written, as the interval join reads them more than once
+    spans = li.groupBy("l_orderkey").agg(F.max("ship_day").alias("last_day")).join(placed, "l_orderkey") \
+        .groupBy("c_nationkey", "l_orderkey").agg(F.min("order_day").alias("first_day"), F.max("last_day").alias("last_day")) \
+        .groupBy("c_nationkey", "first_day", "last_day").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    days = li.join(placed, "l_orderkey").select("c_nationkey", "ship_day").distinct().checkpoint()
+    return intervals.range_join(days, spans, "ship_day", "first_day", "last_day", ["c_nationkey"], sums=["n"]) \
         .groupBy("c_nationkey", "ship_day").agg(F.sum("n").alias("open_orders"))
 
 

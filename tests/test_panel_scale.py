@@ -5,6 +5,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from plume.operators import intervals
 from plume.plans import build, standins
 from plume.sources import mobility
 
@@ -86,3 +87,19 @@ def test_panel_sources_run_once(spark):
     got = sorted((r["county_fips"], r["republican_vtsh_ntile"]) for r in out.collect())
     assert got == [(f"0100{k}", k + 1) for k in range(9)]
     assert seen.value == 9
+
+
+def test_overlapping_intervals_are_added_before_they_meet_the_points(spark):
+    day = F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int") % 64)
+    points = spark.range(64).select(day.alias("d"), F.lit("k").alias("k")) \
+        .union(spark.sql("SELECT date'2020-01-05', CAST(NULL AS STRING)"))
+    spans = spark.range(2000).select(
+        F.when(F.col("id") % 9 > 0, "k").alias("k"), F.when(F.col("id") % 7 > 0, day).alias("a"),
+        F.when(F.col("id") % 5 > 0, F.date_add(day, (F.col("id") % 23).cast("int"))).alias("b"),
+        (F.col("id") % 4).alias("n"))
+    pairs = intervals.range_join(points, spans, "d", "a", "b", ["k"])
+    summed = intervals.range_join(points, spans, "d", "a", "b", ["k"], sums=["n"])
+    total = lambda x: sorted(((r["k"] or "", r["d"], r["s"]) for r in
+                              x.groupBy("k", "d").agg(F.sum("n").alias("s")).collect()))
+    assert total(summed) == total(pairs)
+    assert summed.count() <= 65 * 7 < pairs.count()
